@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe
+from . import bpe, simhash
 from .common import read
 
 WORD_BPE = "word_bpe_49k.json"
@@ -18,5 +18,15 @@ def op8_bpe_merge_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.decode(bpe.encode(docs, path), path))
 
 
-QUERIES = {"op8_bpe_merge_rounds": op8_bpe_merge_rounds}
+def op10_simhash_vp_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components over all documents."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = simhash.with_fingerprint(docs).select("doc_id", "fingerprint")
+    return simhash.digests(simhash.grouped(coded))
+
+
+QUERIES = {
+    "op8_bpe_merge_rounds": op8_bpe_merge_rounds,
+    "op10_simhash_vp_forest": op10_simhash_vp_forest,
+}
 ORACLES: dict[str, str] = {}
