@@ -18,6 +18,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,7 +27,7 @@ from tokenizers import Tokenizer
 from .common import WHITE, per_text, with_results
 
 #: A worker forgets its chunks beyond this many, or this many characters of them.
-REMEMBERED_CHUNKS, REMEMBERED_CHARS = 600_000, 16_000_000
+REMEMBERED_CHUNKS, REMEMBERED_CHARS = 400_000, 12_000_000
 #: Below this, lower-casing is normalising: the characters have no other canonical form, and every Unicode version classes them alike.
 LATIN = "\u0180"
 NO_RANK = np.iinfo(np.int32).max
@@ -280,27 +281,33 @@ def encoder_from(path: str) -> Encoder:
     return Encoder(bpe_from(path))
 
 
+def _rows(values: np.ndarray, lens: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(lens)], pa.int32()), pa.array(values, pa.int32()))
+
+
 def _ids_of(path: str):
-    kind = pa.list_(pa.int32())
+    return per_text(lambda texts: _rows(*encoder_from(path).encode(texts)), pa.list_(pa.int32()))
+
+
+def _decoded(bpe: Bpe, ids: np.ndarray, lens: np.ndarray) -> pa.Array:
+    ends = np.cumsum(lens)
+    return pa.array([" ".join(bpe.names[ids[b - n : b]]) for b, n in zip(ends, lens, strict=True)], pa.string())
+
+
+def _both_of(path: str):
+    kind = pa.struct([("ids", pa.list_(pa.int32())), ("decoded", pa.string())])
 
     def work(texts: list[str]) -> pa.Array:
         ids, lens = encoder_from(path).encode(texts)
-        return pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(lens)], pa.int32()), pa.array(ids, pa.int32()))
+        return pa.StructArray.from_arrays([_rows(ids, lens), _decoded(bpe_from(path), ids, lens)], fields=list(kind))
 
     return per_text(work, kind)
 
 
 def _text_of(path: str):
     def run(rows: pa.Array) -> pa.Array:
-        bpe = bpe_from(path)
-        out = []
-        for k in range(0, len(rows), 256):  # token strings of a few texts at a time
-            part = rows.slice(k, 256)
-            values = part.flatten().to_numpy(zero_copy_only=False)
-            offsets = np.r_[0, np.cumsum([len(x) if x.is_valid else 0 for x in part])] if part.null_count else part.offsets.to_numpy() - part.offsets[0].as_py()
-            named = bpe.names[values]
-            out += [" ".join(named[a:b]) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
-        return pa.array(out, pa.string())
+        lens = pc.fill_null(pc.list_value_length(rows), 0).to_numpy(zero_copy_only=False)
+        return _decoded(bpe_from(path), rows.flatten().to_numpy(zero_copy_only=False), lens)
 
     return run
 
@@ -323,6 +330,12 @@ def decode(docs: DataFrame, path: str, ids: str = "token_ids", decoded: str = "d
     return with_results(docs, {decoded: column})
 
 
+def round_trip(docs: DataFrame, path: str, text: str = "text", ids: str = "token_ids", decoded: str = "decoded") -> DataFrame:
+    """Adds what :func:`encode` and then :func:`decode` add, in one pass through one worker."""
+    both = F.arrow_udf(_both_of(path), "struct<ids: array<int>, decoded: string>")(F.col(f"`{text}`").cast("string"))
+    return with_results(docs, {ids: both["ids"], decoded: both["decoded"]})
+
+
 def digests(coded: DataFrame) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 and decoded_sha256 of encoded and decoded documents."""
     return coded.select(

@@ -13,12 +13,24 @@ from pyspark.sql import functions as F
 #: The white space of every word contract: space, tab, line feed, vertical tab, form feed, carriage return.
 WHITE = "\x20\t\n\x0b\x0c\r"
 #: Characters that one Python step handles at once, so a batch of long texts stays small.
-SLICE_CHARS = 4_000_000
+SLICE_CHARS = 2_000_000
+#: Rows and bytes that Spark hands to a Python worker at once, unless the session asks for less: the defaults are made for short rows.
+BATCH_ROWS, BATCH_BYTES = 2_000, 16 << 20
 #: Prefix of every column that is only used inside an operator.
 OWN = "__q_"
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Lowers the session's Arrow batches to what a worker holds easily when texts are long."""
+    for key, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        key = f"spark.sql.execution.arrow.{key}"
+        now = spark.conf.get(key)
+        if not now.isdigit() or not 0 < int(now) <= most:
+            spark.conf.set(key, str(most))
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 

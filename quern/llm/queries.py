@@ -15,7 +15,7 @@ def op8_bpe_merge_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every whole text of documents encoded and decoded again, as digests."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     path = public_tokenizers.path(WORD_BPE)
-    return bpe.digests(bpe.decode(bpe.encode(docs, path), path))
+    return bpe.digests(bpe.round_trip(docs, path))
 
 
 def op10_simhash_vp_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
