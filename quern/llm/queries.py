@@ -5,12 +5,22 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, simhash
-from .common import read
+from . import bpe, sharding, simhash
+from .common import read, written
 
 WORD_BPE = "word_bpe_49k.json"
 
 
+SHARDS = sharding.Tree(24)
+
+
+def op4_hash_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 24 shards of three regions; a 25th would open a region."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    placed = sharding.place(docs, SHARDS).drop("text")
+    return sharding.digests(sharding.number(written(placed, "placed")))
+
+
 def op8_bpe_merge_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every whole text of documents encoded and decoded again, as digests."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
@@ -26,7 +36,8 @@ def op10_simhash_vp_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_hash_tree_shards": op4_hash_tree_shards,
     "op8_bpe_merge_rounds": op8_bpe_merge_rounds,
     "op10_simhash_vp_forest": op10_simhash_vp_forest,
 }
-ORACLES: dict[str, str] = {}
+ORACLES = {"op4_hash_tree_shards": sharding.oracle_sql(SHARDS)}
