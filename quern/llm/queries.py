@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, sharding, simhash
+from . import bpe, licenses, sharding, simhash
 from .common import read, written
 
 WORD_BPE = "word_bpe_49k.json"
@@ -28,6 +28,12 @@ def op8_bpe_merge_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.round_trip(docs, path))
 
 
+def op9_license_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and detections of every whole text."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return licenses.digests(licenses.scan_documents(docs))
+
+
 def op10_simhash_vp_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components over all documents."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
@@ -38,6 +44,7 @@ def op10_simhash_vp_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op4_hash_tree_shards": op4_hash_tree_shards,
     "op8_bpe_merge_rounds": op8_bpe_merge_rounds,
+    "op9_license_rules": op9_license_rules,
     "op10_simhash_vp_forest": op10_simhash_vp_forest,
 }
 ORACLES = {"op4_hash_tree_shards": sharding.oracle_sql(SHARDS)}
