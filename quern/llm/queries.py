@@ -5,12 +5,18 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, licenses, sharding, simhash
+from . import bpe, licenses, quality, sharding, simhash
 from .common import read, written
 
 WORD_BPE = "word_bpe_49k.json"
 
 
+def op2_ngram_llr_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality counts and verdict of every whole text."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality.digests(quality.score(docs, quality.trusted_ids(read(spark, sf_dir, "labels"))))
+
+
 SHARDS = sharding.Tree(24)
 
 
@@ -42,6 +48,7 @@ def op10_simhash_vp_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_ngram_llr_quality": op2_ngram_llr_quality,
     "op4_hash_tree_shards": op4_hash_tree_shards,
     "op8_bpe_merge_rounds": op8_bpe_merge_rounds,
     "op9_license_rules": op9_license_rules,
