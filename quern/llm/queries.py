@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, licenses, quality, sharding, simhash
+from . import bpe, licenses, mixing, quality, sharding, simhash
 from .common import read, written
 
 WORD_BPE = "word_bpe_49k.json"
@@ -17,6 +17,12 @@ def op2_ngram_llr_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.digests(quality.score(docs, quality.trusted_ids(read(spark, sf_dir, "labels"))))
 
 
+def op3_subset_sum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words the mix takes of every document."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return mixing.digests(mixing.mix(docs, keep_text=False))
+
+
 SHARDS = sharding.Tree(24)
 
 
@@ -49,6 +55,7 @@ def op10_simhash_vp_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_ngram_llr_quality": op2_ngram_llr_quality,
+    "op3_subset_sum_mix": op3_subset_sum_mix,
     "op4_hash_tree_shards": op4_hash_tree_shards,
     "op8_bpe_merge_rounds": op8_bpe_merge_rounds,
     "op9_license_rules": op9_license_rules,
