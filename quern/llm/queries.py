@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, licenses, mixing, quality, sharding, simhash
+from . import bpe, licenses, mixing, quality, sharding, simhash, token_counts
 from .common import read, written
 
 WORD_BPE = "word_bpe_49k.json"
@@ -33,6 +33,12 @@ def op4_hash_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.digests(sharding.number(written(placed, "placed")))
 
 
+def op6_pretoken_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of every whole text of documents."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_counts.digests(docs, public_tokenizers.path(WORD_BPE))
+
+
 def op8_bpe_merge_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every whole text of documents encoded and decoded again, as digests."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
@@ -57,6 +63,7 @@ QUERIES = {
     "op2_ngram_llr_quality": op2_ngram_llr_quality,
     "op3_subset_sum_mix": op3_subset_sum_mix,
     "op4_hash_tree_shards": op4_hash_tree_shards,
+    "op6_pretoken_counts": op6_pretoken_counts,
     "op8_bpe_merge_rounds": op8_bpe_merge_rounds,
     "op9_license_rules": op9_license_rules,
     "op10_simhash_vp_forest": op10_simhash_vp_forest,
