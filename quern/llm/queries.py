@@ -5,12 +5,18 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, licenses, mixing, quality, sharding, simhash, token_counts
+from . import bpe, licenses, mixing, pii, quality, sharding, simhash, token_counts
 from .common import read, written
 
 WORD_BPE = "word_bpe_49k.json"
 
 
+def op1_crf_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every whole text of documents."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.digests(pii.find_in(docs))
+
+
 def op2_ngram_llr_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality counts and verdict of every whole text."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
@@ -60,6 +66,7 @@ def op10_simhash_vp_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_crf_personal_data": op1_crf_personal_data,
     "op2_ngram_llr_quality": op2_ngram_llr_quality,
     "op3_subset_sum_mix": op3_subset_sum_mix,
     "op4_hash_tree_shards": op4_hash_tree_shards,
