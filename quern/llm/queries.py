@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, licenses, mixing, pii, quality, sharding, simhash, token_counts
+from . import bpe, licenses, mixing, pii, preferences, quality, sharding, simhash, token_counts
 from .common import read, written
 
 WORD_BPE = "word_bpe_49k.json"
@@ -45,6 +45,13 @@ def op6_pretoken_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.digests(docs, public_tokenizers.path(WORD_BPE))
 
 
+def op7_preference_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation as chosen, against itself with the last reply of the next."""
+    turns = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    pairs = preferences.with_borrowed_reply(preferences.conversations(turns))
+    return preferences.digests(preferences.format_pairs(pairs))
+
+
 def op8_bpe_merge_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every whole text of documents encoded and decoded again, as digests."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
@@ -71,8 +78,9 @@ QUERIES = {
     "op3_subset_sum_mix": op3_subset_sum_mix,
     "op4_hash_tree_shards": op4_hash_tree_shards,
     "op6_pretoken_counts": op6_pretoken_counts,
+    "op7_preference_pairs": op7_preference_pairs,
     "op8_bpe_merge_rounds": op8_bpe_merge_rounds,
     "op9_license_rules": op9_license_rules,
     "op10_simhash_vp_forest": op10_simhash_vp_forest,
 }
-ORACLES = {"op4_hash_tree_shards": sharding.oracle_sql(SHARDS)}
+ORACLES = {"op4_hash_tree_shards": sharding.oracle_sql(SHARDS), "op7_preference_pairs": preferences.ORACLE_SQL}
