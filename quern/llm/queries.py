@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, licenses, mixing, pii, preferences, quality, sharding, simhash, token_counts
+from . import bpe, licenses, mixing, pii, preferences, quality, sharding, simhash, token_counts, vectors
 from .common import read, written
 
 WORD_BPE = "word_bpe_49k.json"
@@ -39,6 +39,12 @@ def op4_hash_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.digests(sharding.number(written(placed, "placed")))
 
 
+def op5_adaptive_scan_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest of every vector whose id is divisible by 20, among all others."""
+    rows = read(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return vectors.nearest_neighbours(rows, rows.where("vec_id % 20 = 0").select("vec_id"))
+
+
 def op6_pretoken_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes and tokens of every whole text of documents."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
@@ -77,6 +83,7 @@ QUERIES = {
     "op2_ngram_llr_quality": op2_ngram_llr_quality,
     "op3_subset_sum_mix": op3_subset_sum_mix,
     "op4_hash_tree_shards": op4_hash_tree_shards,
+    "op5_adaptive_scan_neighbours": op5_adaptive_scan_neighbours,
     "op6_pretoken_counts": op6_pretoken_counts,
     "op7_preference_pairs": op7_preference_pairs,
     "op8_bpe_merge_rounds": op8_bpe_merge_rounds,
