@@ -46,6 +46,16 @@ def with_results(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     return df.select(*kept, *[v.alias(k) for k, v in columns.items()])
 
 
+def packed(df: DataFrame, *names: str) -> DataFrame:
+    """The columns of these names, and all columns in one: results can then clash with none."""
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias(f"{OWN}row"), *[F.col(f"`{n}`") for n in names])
+
+
+def unpacked(df: DataFrame, like: DataFrame) -> DataFrame:
+    """What :func:`packed` put into one column."""
+    return df.select(*[F.col(f"{OWN}row")[c].alias(c) for c in like.columns])
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """Binds ``value`` once for ``body``; Spark would otherwise copy its expression to each use."""
     return F.element_at(F.transform(F.array(value), body), 1)

@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import OWN, source_key, with_results, written
+from .common import OWN, packed, source_key, unpacked, with_results, written
 
 #: Weights of the sources in the order of their names, repeating; shares of all sizes; the most of a source's size.
 WEIGHTS, SHARE, MOST = (3, 1, 2), 1.5, 2.0
@@ -155,10 +155,10 @@ def mixed(sized: DataFrame, source: str = "source") -> DataFrame:
     return out.drop(_KEY, _HASH, _SALT, *[f"{OWN}{n}" for n in ("rank", "quota", "passes", "source_size", "target")])
 
 
-def repeated(docs: DataFrame) -> DataFrame:
-    """The mix itself: each document as often as it is taken, without the columns of the decision."""
-    copies = F.when(F.col("copies") > 0, F.array_repeat(F.lit(0), F.col("copies"))).otherwise(F.array().cast("array<int>"))
-    return docs.withColumn(f"{OWN}copy", F.explode(copies)).drop(f"{OWN}copy", "size", "source_size", "target", "copies", "taken")
+def mixture(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", seed: int = SEED) -> DataFrame:
+    """The mix itself: each document of :func:`mix` as often as it is taken, with its own columns."""
+    rows = mix(packed(docs, doc_id, text, source), doc_id, text, source, seed, keep_text=False).where("copies > 0")
+    return unpacked(rows.withColumn(f"{OWN}copy", F.explode(F.array_repeat(F.lit(0), F.col("copies")))), docs)
 
 
 def digests(rows: DataFrame) -> DataFrame:

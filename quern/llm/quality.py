@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import OWN, let, with_results
+from .common import OWN, let, packed, unpacked, with_results
 
 #: Buckets (the counts are a table of so many rows), smoothing in target counts, and the least mean ratio of a kept document.
 BUCKETS, SMOOTHING, THRESHOLD = 1 << 18, 4.0, -0.15
@@ -20,7 +20,7 @@ MAX_TRUSTED = 20_000
 LEAST_WORDS, MOST_REPEATED = 50, 50
 WORD, SYMBOLS, WHITE_CHARS = r"[^\x20\x09-\x0D]+", "#*$%&|<>", " \t\n\x0b\x0c\r"
 
-_TEXT, _WORDS, _HASHES = f"{OWN}text", f"{OWN}words", f"{OWN}hashes"
+_TEXT, _WORDS, _HASHES, _ONCE = f"{OWN}text", f"{OWN}words", f"{OWN}hashes", f"{OWN}once"
 
 
 def indices(count: Column) -> Column:
@@ -111,6 +111,10 @@ def score(docs: DataFrame, trusted: DataFrame, doc_id: str = "doc_id", text: str
     repeated rows too; rows with a null id are scored like others. Input columns called like the results
     give way. An empty table gives an empty one.
     """
+    return _scored(docs, trusted, doc_id, text, buckets, threshold).drop(_ONCE)
+
+
+def _scored(docs: DataFrame, trusted: DataFrame, doc_id: str, text: str, buckets: int, threshold: float) -> DataFrame:
     ratio = weights(bucket_counts(docs, trusted, doc_id, text, buckets), buckets).scalar()
     rows = hashed(docs, text).withColumn(f"{OWN}grams", grams(F.col(_HASHES), buckets))
     total = F.aggregate(f"{OWN}grams", F.lit(0.0), lambda a, g: a + F.get(F.col(f"{OWN}w"), g))
@@ -125,6 +129,7 @@ def score(docs: DataFrame, trusted: DataFrame, doc_id: str = "doc_id", text: str
             "n_dup_lines": duplicate_lines(whole).cast("long"),
             "n_repeat_words": repeated_words(F.col(_HASHES)).cast("long"),
             "llr": F.when(F.size(f"{OWN}grams") > 0, total / F.size(f"{OWN}grams")).otherwise(F.lit(0.0)),
+            _ONCE: F.monotonically_increasing_id(),
         },
     ).drop(_TEXT, _WORDS, _HASHES, f"{OWN}grams", f"{OWN}w")
     failed = (F.col("n_words") < LEAST_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * MOST_REPEATED)
@@ -132,6 +137,17 @@ def score(docs: DataFrame, trusted: DataFrame, doc_id: str = "doc_id", text: str
     return with_results(out, {"kept": ~F.col("base_failed") & (F.col("llr") >= threshold)})
 
 
+
+def kept_documents(docs: DataFrame, trusted: DataFrame, doc_id: str = "doc_id", text: str = "text", buckets: int = BUCKETS, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` that :func:`score` keeps, with their own columns.
+
+    The filter asks for a row number, below which Spark moves no filter: it would put the whole chain of
+    expressions into the filter, once for every use.
+    """
+    marked = _scored(packed(docs, doc_id, text), trusted, doc_id, text, buckets, threshold)
+    return unpacked(marked.where(F.col("kept") & (F.col(_ONCE) >= 0)), docs)
+
+
 def digests(scored: DataFrame) -> DataFrame:
     return scored.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.round("llr", 6).alias("llr"))
 

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import OWN, drop_written, per_text, with_results, written
+from .common import OWN, drop_written, packed, per_text, unpacked, with_results, written
 
 SEED, WORDS, BITS = 42, 3, 3
 #: Fingerprints a shard is meant to hold, leaves with points of the sample, the largest sample (8 bytes each), and leaf size.
@@ -256,12 +256,13 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", wor
     Of rows that share this id, the one with the smallest fingerprint, then text, stays. A component
     without any id keeps all its rows: nothing tells which to take.
     """
-    marked = near_duplicates(docs, doc_id, text, words, bits)
+    coded = with_fingerprint(packed(docs, doc_id, text), text, words).drop(text)
+    marked = grouped(coded, doc_id, bits)
     nameless = marked.where(F.col("component_id").isNull())
     named = marked.where(F.col(f"`{doc_id}`") == F.col("component_id"))
-    first = Window.partitionBy("component_id").orderBy("fingerprint", f"`{text}`")
+    first = Window.partitionBy("component_id").orderBy("fingerprint", F.col(f"{OWN}row")[text])
     named = named.withColumn(f"{OWN}n", F.row_number().over(first)).where(f"{OWN}n = 1").drop(f"{OWN}n")
-    return named.unionByName(nameless).select(*[f"`{c}`" for c in docs.columns])
+    return unpacked(named.unionByName(nameless), docs)
 
 
 def digests(marked: DataFrame) -> DataFrame:
