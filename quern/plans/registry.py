@@ -2,14 +2,415 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quern.functions import dates, issuers, text
+from quern.operators import curation, identity, listing, search
+from quern.sources.catalogue import read_table as table
+from quern.sources.catalogue import unified
+from quern.streaming import refresh
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLES: dict[str, str] = {}
+
+
+def query(oracle: str | None = None):
+    """Registers a function under its name, with its SQL."""
+
+    def add(f: Callable[[SparkSession, str], DataFrame]):
+        QUERIES[f.__name__] = f
+        if oracle:
+            ORACLES[f.__name__] = oracle
+        return f
+
+    return add
+
+
+def inline(rows: list[tuple], names: str) -> str:
+    """Rows as a DuckDB table expression."""
+
+    def value(v) -> str:
+        return "NULL" if v is None else str(v) if isinstance(v, int | float) else "[" + ", ".join(map(value, v)) + "]" if isinstance(v, list) else "'" + v.replace("'", "''") + "'"
+
+    return f"(VALUES {', '.join('(' + ', '.join(map(value, r)) + ')' for r in rows)}) t({names})"
+
+
+# ---------------------------------------------------------------- the list
+
+
+@query("SELECT source, count(*) AS n FROM documents GROUP BY source")
+def facet_count_source(spark, d):
+    return listing.facet_counts(table(spark, d, "documents"), "source")
+
+
+@query("SELECT lang, count(*) AS n FROM documents GROUP BY lang")
+def facet_count_lang(spark, d):
+    return listing.facet_counts(table(spark, d, "documents"), "lang")
+
+
+@query("SELECT doc_id, lang, source, n_chars FROM documents WHERE source IN ('src0', 'src3') AND lang IN ('en', 'de')")
+def facet_filter_lang_source(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", "lang", "source", "n_chars")
+    return listing.facet_filter(docs, {"lang": ["en", "de"], "source": ["src0", "src3"], "kind": None})
+
+
+@query("""WITH c AS (SELECT source, count(*) AS n FROM documents GROUP BY source), r AS (SELECT *, row_number() OVER (ORDER BY n DESC, source) AS place FROM c)
+SELECT source, n, place::INTEGER AS place, (SELECT count(*) FROM c) > 5 AS more FROM r WHERE place <= 5""")
+def facet_top_values(spark, d):
+    return listing.top_values(table(spark, d, "documents"), "source", 5)
+
+
+YEARS = range(1995, 2002)
+
+
+@query("SELECT o_orderpriority, " + ", ".join(f"count(*) FILTER (WHERE year(o_orderdate) = {y}) AS y{y}" for y in YEARS) + " FROM orders GROUP BY o_orderpriority")
+def heatmap_priority_year(spark, d):
+    return listing.matrix(table(spark, d, "orders"), "o_orderpriority", F.year("o_orderdate"), YEARS)
+
+
+@query("""WITH c AS (SELECT o_orderpriority, year(o_orderdate)::INTEGER AS year, count(*) AS n FROM orders GROUP BY ALL)
+SELECT *, round(n / max(n) OVER (PARTITION BY o_orderpriority), 6) AS density FROM c""")
+def heatmap_density(spark, d):
+    return listing.density(table(spark, d, "orders"), "o_orderpriority", F.year("o_orderdate"))
+
+
+@query("SELECT o_orderkey, o_orderpriority FROM orders WHERE o_orderpriority = '1-URGENT' AND year(o_orderdate) = 1997")
+def heatmap_cell_drill(spark, d):
+    return listing.cell(table(spark, d, "orders"), "o_orderpriority", "1-URGENT", "o_orderdate", 1997).select("o_orderkey", "o_orderpriority")
+
+
+@query("""WITH c AS (SELECT year(o_orderdate)::INTEGER AS y, month(o_orderdate)::INTEGER AS m, count(*) AS n FROM orders WHERE o_orderdate IS NOT NULL GROUP BY ALL)
+SELECT y, m, y || '년 ' || m || '월' AS label, n, y * 12 + m = max(y * 12 + m) OVER () AS open FROM c""")
+def month_buckets(spark, d):
+    return listing.months(table(spark, d, "orders"), "o_orderdate")
+
+
+@query("""WITH c AS (SELECT DISTINCT year(ts)::INTEGER AS y, month(ts)::INTEGER AS m FROM events)
+SELECT y || '년 ' || m || '월' AS label, y * 12 + m = max(y * 12 + m) OVER () AS open FROM c""")
+def latest_month_flag(spark, d):
+    return listing.months(table(spark, d, "events"), "ts").select("label", "open")
+
+
+@query("SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS day FROM orders ORDER BY orders.o_orderdate DESC, o_orderkey LIMIT 20")
+def newest_first_topk(spark, d):
+    return listing.ordered(table(spark, d, "orders"), "o_orderdate", "o_orderkey", True, 20).select("o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"))
+
+
+@query("SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS day FROM orders ORDER BY orders.o_orderdate, o_orderkey LIMIT 20")
+def oldest_first_topk(spark, d):
+    return listing.ordered(table(spark, d, "orders"), "o_orderdate", "o_orderkey", False, 20).select("o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"))
+
+
+@query("SELECT DISTINCT year(o_orderdate)::INTEGER AS year FROM orders WHERE o_orderdate IS NOT NULL")
+def year_jump_list(spark, d):
+    return listing.years(table(spark, d, "orders"), "o_orderdate")
+
+
+@query("SELECT o_orderkey FROM orders WHERE o_orderdate >= (SELECT max(o_orderdate) FROM orders) - INTERVAL 90 DAYS")
+def recent_only(spark, d):
+    return listing.recent(table(spark, d, "orders").select("o_orderkey", "o_orderdate"), "o_orderdate", 90).select("o_orderkey")
+
+
+@query("SELECT doc_id, text, lang, source, n_chars FROM documents WHERE doc_id = 7")
+def get_document(spark, d):
+    return listing.get_document(table(spark, d, "documents"), 7).select("doc_id", "text", "lang", "source", "n_chars")
+
+
+@query("""SELECT CASE WHEN grouping(source) = 0 THEN 'source' WHEN grouping(lang) = 0 THEN 'lang' ELSE 'all' END AS facet, coalesce(source, lang) AS value, count(*) AS n, sum(n_chars)::BIGINT AS chars
+FROM documents GROUP BY GROUPING SETS ((source), (lang), ())""")
+def corpus_stats(spark, d):
+    return listing.corpus_stats(table(spark, d, "documents"))
+
+
+# ---------------------------------------------------------------- links and titles
+
+EXTERNAL = "coalesce(regexp_matches(url, '^https?://', 'i') OR starts_with(url, '//'), false)"
+LINKS = [("http://a.test",), ("HTTPS://a.test/x#1",), ("//a.test",), ("/a",), ("index.html",), ("mailto:a@b.test",), ("",), ("ftp://a.test",), (None,)]
+
+
+@query(f"SELECT page_id, {EXTERNAL} AS external FROM pages")
+def external_link_flag(spark, d):
+    return table(spark, d, "pages").select("page_id", text.is_external(F.col("url")).alias("external"))
+
+
+@query(f"SELECT url, CASE WHEN {EXTERNAL} THEN '_blank' END AS target, CASE WHEN {EXTERNAL} THEN 'noopener noreferrer' ELSE 'noopener' END AS rel, nullif(url, '') AS link, {EXTERNAL} AND url IS DISTINCT FROM 'http://a.test' AS apart FROM {inline(LINKS, 'url')}")
+def link_rewrite(spark, d):
+    url = F.col("url")
+    rows = spark.createDataFrame(LINKS, "url string")
+    return rows.select("url", text.link_target(url).alias("target"), text.link_rel(url, F.lit("noopener")).alias("rel"), text.title_link(url).alias("link"), text.opens_apart(url, F.lit("http://a.test")).alias("apart"))
+
+
+VISITS = [("?k=law", "#x"), ("", ""), (None, "#top"), ("?a=1&b=2", None)]
+
+
+@query(f"SELECT 'index.html' || coalesce(search, '') || coalesce(hash, '') AS url FROM {inline(VISITS, 'search, hash')}")
+def redirect_url(spark, d):
+    return spark.createDataFrame(VISITS, "search string, hash string").select(text.redirect("index.html", F.col("search"), F.col("hash")).alias("url"))
+
+
+@query("SELECT page_id, regexp_extract(lower(url), '^(?:https?:)?//([^/?#]*)', 1) AS host, regexp_extract(url, '[?]([^#]*)', 1) AS query, regexp_extract(url, '#(.*)$', 1) AS fragment FROM pages")
+def url_parts(spark, d):
+    url = F.col("url")
+    return table(spark, d, "pages").select("page_id", text.url_host(url).alias("host"), text.url_query(url).alias("query"), text.url_fragment(url).alias("fragment"))
+
+
+URL_KEY = r"regexp_replace(regexp_replace(lower(trim(url)), '^(https?:)?//(www[.])?', ''), '/+($|[#])', '\1')"
+ADDRESSES = [("https://www.a.test/doc/1/",), ("http://a.test/doc/1",), ("https://a.test/doc#part1",), ("https://a.test/doc#part2",), ("https://a.test/x(INI)",), (None,)]
+
+
+@query(f"SELECT url, {URL_KEY} AS key FROM pages UNION ALL SELECT url, {URL_KEY} FROM {inline(ADDRESSES, 'url')}")
+def url_key_keep_fragment(spark, d):
+    urls = table(spark, d, "pages").select("url").unionByName(spark.createDataFrame(ADDRESSES, "url string"))
+    return urls.select("url", text.url_key(F.col("url")).alias("key"))
+
+
+def _title_key_sql(title: str) -> str:
+    return rf"trim(replace(regexp_replace(regexp_replace(lower(trim(regexp_replace({title}, '\s+', ' ', 'g'))), ' [-–—] .*$', ''), '^the ', ''), 'oecd.ai', 'oecdai'))"
+
+
+TITLES = [("The AI Act",), ("AI Act — final text",), ("ai  act",), ("OECD.AI Principles",), ("OECDAI principles - 2024",), ("Theatre",), (None,)]
+
+
+@query(f"SELECT title, {_title_key_sql('title')} AS key FROM {inline(TITLES, 'title')}")
+def title_key(spark, d):
+    return spark.createDataFrame(TITLES, "title string").select("title", text.title_key(F.col("title")).alias("key"))
+
+
+@query(f"SELECT {_title_key_sql("trim(regexp_extract(html, '<title>([^<]*)</title>', 1))")} AS key, count(*) AS n FROM pages GROUP BY 1")
+def title_cluster_counts(spark, d):
+    return table(spark, d, "pages").groupBy(text.title_key(text.page_title(F.col("html"))).alias("key")).agg(F.count(F.lit(1)).alias("n"))
+
+
+MARKED = [("**a** and __b__",), ("plain * text_",), ("__u__**b**",), (None,), ("law and **safety** law",)]
+
+
+@query(rf"SELECT body, regexp_replace(regexp_replace(body, '\*\*([^*]+)\*\*', '<strong>\1</strong>', 'g'), '__([^_]+)__', '<u>\1</u>', 'g') AS html FROM {inline(MARKED, 'body')}")
+def markup_render(spark, d):
+    return spark.createDataFrame(MARKED, "body string").select("body", text.markup(F.col("body")).alias("html"))
+
+
+SUMMARIES = [("핵심내용: 요약 하나", "", "원문"), ("핵심내용 요약 둘", "new", "old"), ("no label", None, "old"), (None, "  ", None)]
+
+
+@query(rf"SELECT body, coalesce(nullif(trim(regexp_extract(body, '핵심내용\s*[:：]?\s*(.*)$', 1)), ''), body) AS summary, coalesce(nullif(trim(rewritten), ''), original) AS kept FROM {inline(SUMMARIES, 'body, rewritten, original')}")
+def summary_fields(spark, d):
+    rows = spark.createDataFrame(SUMMARIES, "body string, rewritten string, original string")
+    return rows.select("body", text.summary_of(F.col("body")).alias("summary"), text.kept_summary(F.col("rewritten"), F.col("original")).alias("kept"))
+
+
+SCRIPTS = [("인공지능법", "An English summary"), ("인공지능법", "한글 요약"), ("AI Act", "An English summary"), ("혼합 AI", "mixed 요약")]
+
+
+@query(f"SELECT title, summary, regexp_matches(title, '[가-힣]') AND regexp_matches(summary, '[A-Za-z]') AND NOT regexp_matches(summary, '[가-힣]') AS foreign_summary FROM {inline(SCRIPTS, 'title, summary')}")
+def foreign_summaries(spark, d):
+    return spark.createDataFrame(SCRIPTS, "title string, summary string").select("title", "summary", text.only_summary_foreign(F.col("title"), F.col("summary")).alias("foreign_summary"))
+
+
+# ---------------------------------------------------------------- dates
+
+PATHS = [("https://a.test/2025/11/news.html",), ("https://a.test/2024/03/09/",), ("https://a.test/en/2093/",), ("https://a.test/2025/13/",), ("",), (None,)]
+
+
+@query(f"SELECT url, try_cast(nullif(regexp_extract(url, '/(20[0-9][0-9])/(0[1-9]|1[0-2])', 1), '') AS INTEGER) AS y, try_cast(nullif(regexp_extract(url, '/(20[0-9][0-9])/(0[1-9]|1[0-2])', 2), '') AS INTEGER) AS m FROM {inline(PATHS, 'url')}")
+def url_path_date(spark, d):
+    date = dates.from_url_path(F.col("url"))
+    return spark.createDataFrame(PATHS, "url string").select("url", date["y"].alias("y"), date["m"].alias("m"))
+
+
+METAS = [('<meta property="article:published_time" content="2025-11-03T10:00">',), ('<meta name="date" content="2024-07">',), ('<meta name="author" content="2020-01-01">',), (None,)]
+
+
+@query("SELECT html, try_cast(nullif(regexp_extract(html, p, 1), '') AS INTEGER) AS y, try_cast(nullif(regexp_extract(html, p, 2), '') AS INTEGER) AS m, try_cast(nullif(regexp_extract(html, p, 3), '') AS INTEGER) AS d "
+       "FROM (SELECT html, '<meta[^>]*(?:published_time|datePublished|name=\"date\")[^>]*content=\"([0-9]{4})-([0-9]{2})(?:-([0-9]{2}))?' AS p FROM " + inline(METAS, "html") + ")")
+def html_meta_date(spark, d):
+    date = dates.from_html_meta(F.col("html"))
+    return spark.createDataFrame(METAS, "html string").select("html", *[date[c].alias(c) for c in ("y", "m", "d")])
+
+
+DATED = [
+    (1, "bulk", "2020-08-04", "2017", None, None),
+    (2, "bulk", "2019-05-01", None, None, None),
+    (3, "bulk", "2020-11-04", "2018", "2018-06-05", None),
+    (4, "confirmed", "2024-02-03", None, None, "2024-03-01"),
+    (5, "confirmed", "2024", None, None, "2024-03-01"),
+    (6, "confirmed", None, None, None, "2023-12-31"),
+    (7, "posted", "2025-01-01", "2021-04-05", None, None),
+    (8, "posted", "2025-01-01", None, None, None),
+    (9, "text", "2026년", None, None, None),
+]
+#: What DATED resolves to, by the rules of its sources.
+RESOLVED = [(1, 2017, None, None, "2017년"), (2, 2019, 5, 1, "2019-05-01"), (3, 2018, 6, 5, "2018-06-05"), (4, 2024, 2, 3, "2024-02-03"), (5, 2024, 3, 1, "2024-03-01"), (6, 2023, 12, 31, "2023-12-31"), (7, 2021, 4, 5, "2021-04-05"), (8, None, None, None, None), (9, 2026, None, None, "2026년")]
+
+
+@query(f"SELECT * FROM {inline(RESOLVED, 'id, y, m, d, label')}")
+def partial_date_resolution(spark, d):
+    """bulk: upload days of a whole collection don't count; confirmed: to the day, else added on; posted: a post's day never counts."""
+    rows = spark.createDataFrame(DATED, "id int, source string, stated string, original string, other string, added string")
+    rows = rows.withColumns({c: dates.parse(F.col(c)) for c in ("stated", "original", "other", "added")})
+    stated, original, other, added = (F.col(c) for c in ("stated", "original", "other", "added"))
+    bulk = dates.not_bulk(stated, [(2020, 8, 4), (2020, 11, 4)])
+    date = F.when(F.col("source") == "bulk", dates.most_exact(F.coalesce(original, bulk), other)).when(F.col("source") == "confirmed", dates.confirmed_or_added(stated, added)).when(F.col("source") == "posted", original).otherwise(stated)
+    rows = rows.withColumn("date", date.cast(dates.PARTIAL))
+    return rows.select("id", *[F.col("date")[c].alias(c) for c in ("y", "m", "d")], dates.label(F.col("date")).alias("label"))
+
+
+# ---------------------------------------------------------------- curation and issuers
+
+OFFICES = [("서울특별시교육청",), ("교육부·서울교육청",), ("부산광역시",), ("State of California",), ("City of New York",), ("Norwegian Ministry of Local Government and Regional Development",), ("上海市人民政府",), ("Ministry of Science",), (None,)]
+OFFICE_SQL = "CASE WHEN issuer IS NULL THEN NULL WHEN regexp_matches(issuer, '교육부.*교육청|Ministry of Local Government') THEN 'central' WHEN regexp_matches(issuer, '교육청|광역시|특별시|(State|City|County) of |Municipal|(省|市)人民政府|Provincial (People''s )?Government|Alberta') THEN 'regional' ELSE 'central' END"
+
+
+@query(f"SELECT issuer, {OFFICE_SQL} AS level FROM {inline(OFFICES, 'issuer')}")
+def issuer_level(spark, d):
+    return spark.createDataFrame(OFFICES, "issuer string").select("issuer", issuers.level(F.col("issuer")).alias("level"))
+
+
+PLACES = [(1, "Parliament", None, "https://p.test/1"), (2, "Agency", " ", "https://other.test/"), (3, "Agency", "KR", "https://p.test/2"), (4, None, None, None)]
+PLACED = [(1, "EU"), (2, "US"), (3, "KR"), (4, None)]
+
+
+@query(f"SELECT * FROM {inline(PLACED, 'id, country')}")
+def country_repair(spark, d):
+    rows = spark.createDataFrame(PLACES, "id int, issuer string, country string, url string")
+    hosts = spark.createDataFrame([("p.test", "EU")], "host string, country string")
+    names = spark.createDataFrame([("Agency", "US"), ("Parliament", "XX")], "issuer string, country string")
+    return issuers.fill_country(rows, hosts, names, text.url_host(F.col("url"))).select("id", "country")
+
+
+TOPICS = [(1, ["윤리·규범", "법", "가이드라인", "표준", "딥페이크"]), (2, ["국가안보", "피지컬AI"]), (3, ["법"])]
+LEFT = [(1, "딥페이크"), (2, "국가안보,피지컬AI"), (3, "")]
+
+
+@query(f"SELECT * FROM {inline(LEFT, 'id, topics')}")
+def topic_minus_kind(spark, d):
+    return spark.createDataFrame(TOPICS, "id int, topics array<string>").select("id", F.array_join(curation.topics_without_kinds(F.col("topics")), ",").alias("topics"))
+
+
+RULES = {"(?i)licen[cs]e": 2.0, "(?i)token": 1.0, "@": 1.0}
+
+
+@query("""WITH s AS (SELECT doc_id, CASE WHEN regexp_matches(text, 'licen[cs]e', 'i') THEN 2.0 ELSE 0.0 END + CASE WHEN regexp_matches(text, 'token', 'i') THEN 1.0 ELSE 0.0 END + CASE WHEN regexp_matches(text, '@') THEN 1.0 ELSE 0.0 END AS score FROM documents)
+SELECT doc_id, score::DOUBLE AS score FROM s WHERE score >= 1 AND doc_id NOT IN (SELECT doc_id FROM labels WHERE quality = 0)""")
+def relevance_filter(spark, d):
+    decisions = table(spark, d, "labels").select("doc_id", (F.col("quality") != 0).alias("keep"))
+    return curation.relevant(table(spark, d, "documents"), decisions, RULES, 1.0).select("doc_id", "score")
+
+
+# ---------------------------------------------------------------- identity
+
+
+@query("""SELECT min(doc_id) AS doc_id, count(*) AS n, string_agg(DISTINCT source, ',' ORDER BY source) AS sources FROM documents GROUP BY text""")
+def merge_exact_duplicates(spark, d):
+    return identity.exact_duplicates(table(spark, d, "documents").select("doc_id", "source", "text"))
+
+
+EDGES = [(5, 4), (4, 3), (3, 1), (7, 8), (8, 9), (9, 7), (10, 10)]
+NODES = [(n,) for n in range(1, 12)]
+
+
+@query(f"""WITH RECURSIVE e AS (SELECT a, b FROM {inline(EDGES, 'a, b')} UNION ALL SELECT b, a FROM {inline(EDGES, 'a, b')}),
+r AS (SELECT id, id AS place FROM {inline(NODES, 'id')} UNION SELECT r.id, e.b FROM r JOIN e ON e.a = r.place)
+SELECT id, min(place) AS cluster FROM r GROUP BY id""")
+def identity_components(spark, d):
+    return identity.components(spark.createDataFrame(NODES, "id int"), spark.createDataFrame(EDGES, "a int, b int"))
+
+
+RECORDS = [
+    (1, "curated", 2, "The AI Act", "https://c.test/1", None, None),
+    (2, "official", 0, "AI Act - final", "https://o.test/act", "2024-06-13", "text"),
+    (3, "official", 0, "ISO 1", "https://iso.test/s#1", "2020", None),
+    (4, "official", 0, "ISO 2", "https://iso.test/s#2", "2021", None),
+    (5, "official", 1, "Statute (html)", "https://uk.test/s.html", "2019", "html"),
+    (6, "official", 2, "Statute (pdf)", "https://uk.test/s.pdf", "2019", None),
+    (7, "added", 1, "Right original", "https://x.test/same", None, None),
+    (8, "official", 0, "Other document", "https://x.test/same", "2018", None),
+]
+MERGED = [(2, "2024-06-13", "https://o.test/act", "curated,official", 2), (3, "2020", "https://iso.test/s#1", "official", 1), (4, "2021", "https://iso.test/s#2", "official", 1), (5, "2019", "https://uk.test/s.html", "official", 2), (7, None, "https://x.test/same", "added", 1), (8, "2018", "https://x.test/same", "official", 1)]
+
+
+@query(f"SELECT id, date, url, sources, n_records::BIGINT AS n_records FROM {inline(MERGED, 'id, date, url, sources, n_records')}")
+def identity_merge(spark, d):
+    rows = spark.createDataFrame(RECORDS, "id int, source string, priority int, original_title string, url string, date string, summary string")
+    same, apart = spark.createDataFrame([(6, 5)], "a int, b int"), spark.createDataFrame([(7, 8)], "a int, b int")
+    clusters = identity.components(rows, identity.match_edges(rows, same, apart))
+    merged = identity.merge(rows.join(clusters, "id"))
+    return merged.select("id", "date", "url", F.array_join("sources", ",").alias("sources"), "n_records")
+
+
+BILLS = [(1, "AI Bill", "House", "H.R. 1"), (2, "AI Bill", "Senate", "S. 2"), (3, "AI Principles", "LG", None), (4, "AI Principles", "CJ", None), (5, "Alone", "X", "H.R. 9"), (6, "Twice", "Y", None), (7, "Twice", "Y", None)]
+
+
+@query(f"""WITH w AS (SELECT *, count(*) OVER (PARTITION BY title) AS n, (SELECT count(DISTINCT issuer) FROM {inline(BILLS, 'id2, title2, issuer, bill2')} WHERE title2 = title) AS k FROM {inline(BILLS, 'id, title, issuer, bill_no')})
+SELECT id, CASE WHEN n > 1 AND bill_no IS NOT NULL THEN title || ' (' || bill_no || ')' WHEN n > 1 AND k > 1 THEN title || ' (' || issuer || ')' ELSE title END AS display_title FROM w""")
+def name_collision_suffix(spark, d):
+    return identity.told_apart(spark.createDataFrame(BILLS, "id int, title string, issuer string, bill_no string")).select("id", "display_title")
+
+
+@query("SELECT doc_id AS id, 'documents' AS source, lang, NULL::VARCHAR AS url FROM documents UNION ALL SELECT page_id, 'pages', NULL, url FROM pages")
+def multi_source_union(spark, d):
+    docs = table(spark, d, "documents").select(F.col("doc_id").alias("id"), "lang")
+    pages = table(spark, d, "pages").select(F.col("page_id").alias("id"), "url")
+    return unified({"documents": docs, "pages": pages}).select("id", "source", "lang", "url")
+
+
+# ---------------------------------------------------------------- search
+
+TERMS = ["license", "token", "public"]
+BM25_SQL = r"""WITH t AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS t FROM documents),
+p AS (SELECT doc_id, len(t) AS dl, w, len(list_filter(t, lambda x: x = w)) AS tf FROM t, (SELECT unnest(['license', 'public', 'token']) AS w)),
+s AS (SELECT count(*)::DOUBLE AS n, avg(len(t)) AS mean FROM t), df AS (SELECT w, count(*)::DOUBLE AS df FROM p WHERE tf > 0 GROUP BY w)
+SELECT doc_id, round(sum(ln(1 + (s.n - df.df + 0.5::DOUBLE) / (df.df + 0.5::DOUBLE)) * tf * 2.2::DOUBLE / (tf + 1.2::DOUBLE * (0.25::DOUBLE + 0.75::DOUBLE * dl / s.mean))), 6) AS score
+FROM p JOIN df USING (w), s WHERE tf > 0 GROUP BY doc_id ORDER BY score DESC, doc_id LIMIT 10"""
+
+
+@query(BM25_SQL)
+def fts_bm25_topk(spark, d):
+    return search.bm25(table(spark, d, "documents"), TERMS, 10)
+
+
+COSINE_SQL = """WITH q AS (SELECT embedding::DOUBLE[] AS q FROM embeddings WHERE vec_id = 0)
+SELECT vec_id, round(list_cosine_similarity(embedding::DOUBLE[], q), 6) AS score FROM embeddings, q ORDER BY score DESC, vec_id LIMIT 10"""
+
+
+def _query_vector(spark, d) -> list[float]:
+    return [float(x) for x in table(spark, d, "embeddings").where("vec_id = 0").first().embedding]
+
+
+@query(COSINE_SQL)
+def embedding_topk(spark, d):
+    return search.nearest(table(spark, d, "embeddings"), _query_vector(spark, d), 10)
+
+
+@query(f"""WITH a AS ({BM25_SQL}), b AS ({COSINE_SQL}), r AS (
+  SELECT doc_id, 1.0::DOUBLE / (60 + row_number() OVER (ORDER BY score DESC, doc_id)) AS r FROM a
+  UNION ALL SELECT vec_id, 1.0::DOUBLE / (60 + row_number() OVER (ORDER BY score DESC, vec_id)) FROM b)
+SELECT doc_id, round(sum(r), 9) AS score FROM r GROUP BY doc_id ORDER BY score DESC, doc_id LIMIT 10""")
+def search_library(spark, d):
+    vectors = embedding_topk(spark, d).withColumnRenamed("vec_id", "doc_id")
+    return search.fused([fts_bm25_topk(spark, d), vectors], "doc_id", 10)
+
+
+@query(r"""WITH t AS (SELECT doc_id, unnest(list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '')) AS term FROM documents)
+SELECT term, count(DISTINCT doc_id) AS df, count(*) AS n FROM t GROUP BY term""")
+def fts_index_terms(spark, d):
+    return search.postings(table(spark, d, "documents")).groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("n"))
+
+
+# ---------------------------------------------------------------- refresh
+
 
-def facet_count_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return docs.groupBy("source").agg(F.count(F.lit(1)).alias("n"))
+@query("SELECT event_id, event_type FROM events WHERE ts >= (SELECT max(ts) FROM events) - INTERVAL 1 DAYS")
+def incremental_refresh(spark, d):
+    events = table(spark, d, "events").select("event_id", "event_type", "ts")
+    newest = events.agg(F.max("ts").alias("t")).scalar()
+    known = events.where(F.col("ts") < newest - F.expr("INTERVAL 1 DAYS"))
+    return refresh.new_rows(events, known, "event_id").select("event_id", "event_type")
 
 
-QUERIES = {"facet_count_source": facet_count_source}
-ORACLES = {"facet_count_source": "SELECT source, count(*) AS n FROM documents GROUP BY source"}
+@query("SELECT strftime(ts, '%Y-%m-%d') AS day, event_type, count(*) AS n FROM events GROUP BY ALL")
+def daily_event_counts(spark, d):
+    days = refresh.daily_counts(table(spark, d, "events"), "ts", "event_type")
+    return days.withColumn("day", F.date_format("day", "yyyy-MM-dd"))
