@@ -97,7 +97,10 @@ def fit(sizes: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
         t[k] += more
         rest -= more * int(s[k])
     fits = np.flatnonzero((n > t) & (s <= rest))
-    t[fits] += subset_sum(s[fits], (n - t)[fits], rest)
+    more = subset_sum(s[fits], (n - t)[fits], rest)
+    t[fits] += more
+    if rest > int((more * s[fits]).sum()) and budget <= WINDOW:  # few documents: the even share may stand in the way
+        t = subset_sum(s, n, budget)
     take[real] = t
     return take
 

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import written
@@ -23,6 +23,8 @@ NEAREST, BLOCK, COLUMNS, LENIENCY = 20, 8192, 16, 2.1
 #: Most lists, sample rows for each and at most, rows of the sample that bound distances, coverage the probes are chosen for.
 MAX_LISTS, ROWS_PER_LIST, MAX_SAMPLE, BOUNDING, COVERED = 4096, 64, 65_536, 4096, 0.97
 SEED, SPARE = 5, 12
+#: Vectors that the lists scanned first hold at least, for each neighbour wanted.
+FIRST_ROWS = 32
 
 
 @dataclass
@@ -91,9 +93,12 @@ def _lists_of(shared):
 
 
 def _probes_of(shared, nearest: int):
-    """For query vectors: the lists to probe, and a distance within which twice ``nearest`` vectors of these lists lie."""
+    """For query vectors: the lists to probe, how many of them come first, and a distance within which twice ``nearest`` vectors lie.
+
+    The first lists hold several times ``nearest`` vectors, and what is found in them bounds the rest.
+    """
     bounding = 2 * nearest
-    kind = pa.struct([("lists", pa.list_(pa.int32())), ("bound", pa.float64())])
+    kind = pa.struct([("lists", pa.list_(pa.int32())), ("first", pa.int32()), ("bound", pa.float64())])
 
     def run(column: pa.Array) -> pa.Array:
         index, rows = shared.value, []
@@ -101,11 +106,12 @@ def _probes_of(shared, nearest: int):
             points = index.rotated(_matrix(column.slice(k, 512)), query=True)
             order = distances(points, index.centroids).argsort(axis=1, kind="stable")
             held = np.cumsum(index.sizes[order], axis=1)
-            probes = np.maximum(index.probes, (held < 4 * nearest).sum(axis=1) + 1)
+            first = np.minimum((held < FIRST_ROWS * nearest).sum(axis=1) + 1, order.shape[1])
+            probes = np.maximum(index.probes, first)
             place = np.argsort(order, axis=1)
             near = np.where(place[:, index.lists] < probes[:, None], distances(points, index.bounding), np.inf)
             bound = np.partition(near, bounding - 1, axis=1)[:, bounding - 1] if near.shape[1] >= bounding else np.full(len(points), np.inf)
-            rows += [{"lists": o[:p], "bound": b} for o, p, b in zip(order, probes, bound, strict=True)]
+            rows += [{"lists": o[:p], "first": f, "bound": b} for o, p, f, b in zip(order, probes, first, bound, strict=True)]
         return pa.array(rows, kind)
 
     return run
@@ -207,11 +213,25 @@ def nearest_neighbours(vectors: DataFrame, asked: DataFrame, nearest: int = NEAR
     dealt = assigned.withColumn("block", F.pmod("h2", F.get(blocks, F.col("list"))).cast("int"))
     wanted = asked.select(F.col("vec_id").cast("long").alias("query_id")).where("query_id is not null").distinct()
     queries = usable.join(wanted, usable.vec_id == wanted.query_id).select("query_id", "h1", "h2").distinct()
-    probe = F.arrow_udf(_probes_of(shared, nearest + 1), "struct<lists: array<int>, bound: double>")
+    probe = F.arrow_udf(_probes_of(shared, nearest + 1), "struct<lists: array<int>, first: int, bound: double>")
     each = distinct.join(queries.select("h1", "h2").distinct(), ["h1", "h2"], "left_semi").select("h1", "h2", "embedding", probe("embedding").alias("p"))
-    each = each.select("h1", "h2", "embedding", F.col("p")["bound"].alias("bound"), F.explode(F.col("p")["lists"]).alias("list"))
-    each = each.select("*", F.explode(F.sequence(F.lit(0), F.get(blocks, F.col("list")) - 1)).alias("block"))
-    found = dealt.groupBy("list", "block").cogroup(each.groupBy("list", "block")).applyInArrow(_search(shared, nearest + 1), "h1 long, h2 long, score double, ids array<long>")
+    each = written(each, "probes")
+
+    def searched(asked: DataFrame, lists: Column, bound: Column) -> DataFrame:
+        one = asked.select("h1", "h2", "embedding", bound.alias("bound"), F.explode(lists).alias("list"))
+        one = one.select("*", F.explode(F.sequence(F.lit(0), F.get(blocks, F.col("list")) - 1)).alias("block"))
+        found = dealt.groupBy("list", "block").cogroup(one.groupBy("list", "block"))
+        return found.applyInArrow(_search(shared, nearest + 1), "h1 long, h2 long, score double, ids array<long>")
+
+    lists, first = F.col("p")["lists"], F.col("p")["first"]
+    # what the first lists hold bounds the distances worth keeping in the others, so these give few rows
+    near = written(searched(each, F.slice(lists, F.lit(1), first), F.col("p")["bound"]), "near")
+    place = F.row_number().over(Window.partitionBy("h1", "h2").orderBy(F.desc("score")))
+    reached = near.withColumn("k", place).where(F.col("k") == nearest + 1).select("h1", "h2", F.col("score").alias("least"))
+    length = F.aggregate("embedding", F.lit(0.0), lambda a, c: a + c * c)
+    bound = F.least(F.col("p")["bound"], length + F.lit(float(shape.square)) - F.lit(2.0) * F.col("least"))
+    rest = F.slice(lists, first + 1, F.size(lists))
+    found = near.unionByName(searched(each.join(reached, ["h1", "h2"], "left"), rest, bound))
     by_score = Window.partitionBy("h1", "h2").orderBy(F.desc("score"), F.get("ids", F.lit(0)))
     top = found.withColumn("k", F.row_number().over(by_score)).where(F.col("k") <= nearest + 1)
     pool = top.groupBy("h1", "h2").agg(F.array_sort(F.flatten(F.collect_list(F.transform("ids", lambda i: F.struct((-F.col("score")).alias("order"), i.alias("id")))))).alias("pool"))
