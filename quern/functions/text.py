@@ -99,3 +99,17 @@ def only_summary_foreign(short_title: Column, summary: Column) -> Column:
 def tokens(text: Column) -> Column:
     """Lower-case runs of letters and digits."""
     return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), lambda t: t != "")
+
+
+def country_flag(code: Column) -> Column:
+    """The flag of a two-letter country code: its letters as regional indicators; nothing for anything else."""
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    signs = "".join(chr(0x1F1E6 + k) for k in range(26))
+    return F.when(F.upper(code).rlike("^[A-Z]{2}$"), F.translate(F.upper(code), letters, signs))
+
+
+def words_replaced(text: Column, dictionary: dict[str, str]) -> Column:
+    """Whole words replaced by those of a small dictionary, longer entries first; names that it lacks stay."""
+    for word in sorted(dictionary, key=lambda w: (-len(w), w)):
+        text = F.regexp_replace(text, f"\\b{word}\\b", dictionary[word])
+    return text

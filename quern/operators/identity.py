@@ -71,6 +71,13 @@ def merge(clustered: DataFrame, priority: str = "priority") -> DataFrame:
     return clustered.groupBy("cluster").agg(F.min_by("id", order).alias("id"), *kept, F.array_sort(F.collect_set("source")).alias("sources"), F.count(F.lit(1)).alias("n_records"))
 
 
+def best_dates(clustered: DataFrame, date: str = "date") -> DataFrame:
+    """(cluster, date): the most exact date of each cluster's records, of equally exact ones the earliest."""
+    exact = F.when(F.col(date)["d"].isNotNull(), 3).when(F.col(date)["m"].isNotNull(), 2).when(F.col(date)["y"].isNotNull(), 1)
+    key = F.coalesce(F.col(date)["y"], F.lit(0)) * 10000 + F.coalesce(F.col(date)["m"], F.lit(0)) * 100 + F.coalesce(F.col(date)["d"], F.lit(0))
+    return clustered.groupBy("cluster").agg(F.max_by(date, F.when(exact.isNotNull(), F.struct(exact, -key))).alias(date))
+
+
 def exact_duplicates(docs: DataFrame) -> DataFrame:
     """One row for each text: its smallest id, its sources in order and how many documents have it."""
     by_text = docs.groupBy(F.xxhash64("text").alias("h1"), F.sha2("text", 256).alias("h2"))

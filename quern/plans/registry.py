@@ -356,6 +356,33 @@ def multi_source_union(spark, d):
     return unified({"documents": docs, "pages": pages}).select("id", "source", "lang", "url")
 
 
+CODES = [("KR",), ("us",), ("EU",), ("KOR",), ("",), (None,)]
+
+
+@query(f"SELECT code, CASE WHEN regexp_matches(upper(code), '^[A-Z]{{2}}$') THEN chr(unicode(substr(upper(code), 1, 1)) + 127397) || chr(unicode(substr(upper(code), 2, 1)) + 127397) END AS flag FROM {inline(CODES, 'code')}")
+def country_flag(spark, d):
+    return spark.createDataFrame(CODES, "code string").select("code", text.country_flag(F.col("code")).alias("flag"))
+
+
+MIXED = [("일본 promotion act",), ("영국 data act",), ("Aletheia 윤리",), ("promotional",)]
+
+
+@query(rf"SELECT title, regexp_replace(regexp_replace(regexp_replace(title, '\bpromotion\b', '촉진', 'g'), '\bdata\b', '데이터', 'g'), '\bact\b', '법', 'g') AS repaired FROM {inline(MIXED, 'title')}")
+def title_repair(spark, d):
+    words = {"promotion": "촉진", "data": "데이터", "act": "법"}
+    return spark.createDataFrame(MIXED, "title string").select("title", text.words_replaced(F.col("title"), words).alias("repaired"))
+
+
+FOUND_DATES = [(1, 2024, None, None), (1, 2024, 5, 3), (1, 2024, 6, None), (2, 2020, 1, None), (2, None, None, None), (3, None, None, None), (4, 2021, 2, 2), (4, 2021, 2, 1)]
+
+
+@query(f"""SELECT cluster, y, m, d FROM (SELECT *, row_number() OVER (PARTITION BY cluster ORDER BY (CASE WHEN d IS NOT NULL THEN 3 WHEN m IS NOT NULL THEN 2 WHEN y IS NOT NULL THEN 1 ELSE 0 END) DESC, y, m, d) AS n FROM {inline(FOUND_DATES, 'cluster, y, m, d')}) WHERE n = 1""")
+def cluster_best_date(spark, d):
+    rows = spark.createDataFrame(FOUND_DATES, "cluster int, y int, m int, d int")
+    best = identity.best_dates(rows.select("cluster", F.struct("y", "m", "d").alias("date")))
+    return best.select("cluster", *[F.col("date")[c].alias(c) for c in ("y", "m", "d")])
+
+
 # ---------------------------------------------------------------- search
 
 TERMS = ["license", "token", "public"]
