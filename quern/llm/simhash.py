@@ -223,9 +223,12 @@ def components(edges: DataFrame) -> DataFrame:
         state = now
 
 
-def grouped(coded: DataFrame, doc_id: str = "doc_id", bits: int = BITS) -> DataFrame:
+def grouped(coded: DataFrame, doc_id: str = "doc_id", bits: int = BITS, root: str | None = None) -> DataFrame:
     """Adds component_id to rows with a ``fingerprint``: the smallest id that a row reaches over links.
 
+    ``root`` names a column for the smallest fingerprint of the component, which tells components apart
+    even where ids repeat; it is left out by default.
+
     Every row stays. Rows with a null id take part, and get a null component only if no row of their
     component has an id; rows with a null fingerprint get a null component. Repeated rows share their
     component. An input column called component_id gives way. An empty table gives an empty one.
@@ -234,11 +237,12 @@ def grouped(coded: DataFrame, doc_id: str = "doc_id", bits: int = BITS) -> DataF
     distinct = coded.where("fingerprint is not null").groupBy(F.col("fingerprint").alias("fp"))
     distinct = written(distinct.agg(F.min(f"`{doc_id}`").alias("least")), "distinct")
     found = components(links(distinct.select("fp"), bits))
-    root = distinct.join(found, distinct.fp == found.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    smallest = root.groupBy("root").agg(F.min("least").alias("smallest"))
-    label = root.join(smallest, "root").select(F.col("fp").alias(f"{OWN}fp"), F.col("smallest").alias(f"{OWN}component"))
+    rooted = distinct.join(found, distinct.fp == found.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    smallest = rooted.groupBy("root").agg(F.min("least").alias("smallest"))
+    label = rooted.join(smallest, "root").select(F.col("fp").alias(f"{OWN}fp"), F.col("smallest").alias(f"{OWN}component"), F.col("root").alias(f"{OWN}root"))
     out = coded.join(label, coded.fingerprint == F.col(f"{OWN}fp"), "left").drop(f"{OWN}fp")
-    return with_results(out, {"component_id": F.col(f"{OWN}component")}).drop(f"{OWN}component")
+    results = {"component_id": F.col(f"{OWN}component")} | ({root: F.col(f"{OWN}root")} if root else {})
+    return with_results(out, results).drop(*[f"{OWN}{c}" for c in ("component", "root") if f"{OWN}{c}" != root])
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS, bits: int = BITS) -> DataFrame:
@@ -257,12 +261,19 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", wor
     without any id keeps all its rows: nothing tells which to take.
     """
     coded = with_fingerprint(packed(docs, doc_id, text), text, words).drop(text)
-    marked = grouped(coded, doc_id, bits)
-    nameless = marked.where(F.col("component_id").isNull())
-    named = marked.where(F.col(f"`{doc_id}`") == F.col("component_id"))
-    first = Window.partitionBy("component_id").orderBy("fingerprint", F.col(f"{OWN}row")[text])
-    named = named.withColumn(f"{OWN}n", F.row_number().over(first)).where(f"{OWN}n = 1").drop(f"{OWN}n")
-    return unpacked(named.unionByName(nameless), docs)
+    # who stays is decided on ids and fingerprints; whole rows are dealt out once, to meet the decision
+    marked = grouped(coded.select(doc_id, "fingerprint"), doc_id, bits, root=f"{OWN}component_root")
+    nameless = F.col("component_id").isNull()
+    own = marked.where(nameless | (F.col(f"`{doc_id}`") == F.col("component_id")))
+    least = own.groupBy(F.col(f"`{doc_id}`").alias(f"{OWN}id"), f"{OWN}component_root", F.when(nameless, F.col("fingerprint")).alias(f"{OWN}each"))
+    keys = least.agg(F.min("fingerprint").alias(f"{OWN}fp")).drop(f"{OWN}component_root")
+    # keys that can't be null: no filter against null computes the fingerprints once more, and the rank is taken where the join puts the rows
+    id_key, names = lambda c: [F.coalesce(F.col(c).cast("string"), F.lit("")), F.col(c).isNull()], [f"{OWN}key{k}" for k in range(3)]
+    rows = coded.select("*", *[c.alias(n) for c, n in zip([*id_key(f"`{doc_id}`"), F.coalesce("fingerprint", F.lit(0))], names, strict=True)])
+    keys = keys.select(f"{OWN}each", *[c.alias(n) for c, n in zip([*id_key(f"{OWN}id"), F.col(f"{OWN}fp")], names, strict=True)])
+    first = F.row_number().over(Window.partitionBy(*names).orderBy(F.col(f"{OWN}row")[text]))
+    rows = rows.join(keys, names).withColumn(f"{OWN}n", first).where(F.col(f"{OWN}each").isNotNull() | (F.col(f"{OWN}n") == 1))
+    return unpacked(rows, docs)
 
 
 def digests(marked: DataFrame) -> DataFrame:

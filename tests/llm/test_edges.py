@@ -155,6 +155,12 @@ def test_the_forest_finds_every_link(spark, crowded):
     assert all(len(g) == 1 for g in groups.values()) and len(set.union(*groups.values())) == len(groups)
 
 
+def test_one_of_each_component_stays_even_where_ids_repeat(spark):
+    data = [(1, "a b c d"), (1, "a b c d"), (1, "z y x w"), (None, "q r s t u"), (None, "q r s t u"), (2, "A b c d"), (7, "m n o p"), (None, "m n o p")]
+    kept = simhash.one_of_each(spark.createDataFrame(data, "doc_id long, text string")).collect()
+    assert sorted((str(r.doc_id), r.text) for r in kept) == [("1", "a b c d"), ("1", "z y x w"), ("7", "m n o p"), ("None", "q r s t u"), ("None", "q r s t u")]
+
+
 def test_empty_texts_link_to_each_other(spark):
     docs = spark.createDataFrame([(5, None), (3, ""), (4, " "), (1, "a b c d")], "doc_id long, text string")
     assert {r.doc_id: (r.fingerprint, r.component_id) for r in simhash.near_duplicates(docs).collect() if r.doc_id > 1} == {5: (0, 3), 3: (0, 3), 4: (0, 3)}
