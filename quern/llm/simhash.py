@@ -24,6 +24,8 @@ SEED, WORDS, BITS = 42, 3, 3
 #: Fingerprints a shard is meant to hold, leaves with points of the sample, the largest sample (8 bytes each), and leaf size.
 SHARD, SAMPLE_PER_SHARD, MAX_SAMPLE, LEAF = 8192, 16, 1_000_000, 256
 LEAST_SHARDS = 16
+#: A split must leave less than this share of the comparisons.
+WORTH = 0.95
 #: Shingles whose bits are counted at once.
 COUNTED = 1 << 16
 
@@ -62,16 +64,19 @@ def halves(points: np.ndarray) -> list[np.ndarray]:
 
 
 def choose(values: np.ndarray, rng: np.random.Generator, radius: int) -> tuple[np.uint32, int, np.ndarray] | None:
-    """A vantage point, the distance that splits best, and all distances; None if nothing splits."""
+    """A vantage point, the distance that splits best, and all distances; None if no split saves comparisons.
+
+    Both branches compare all pairs at worst, so a split pays if the squares of their sizes, copies included, come to
+    less than the square of all; with that no order of splits costs more than comparing all pairs at once.
+    """
     best = None
     for v in rng.choice(values, min(4, len(values)), replace=False):
         d = np.bitwise_count(values ^ v)
         at = int(np.median(d))
         for cut in (at - 1, at):
-            inner = np.count_nonzero(d <= cut)
-            outer = np.count_nonzero(d > cut - radius)
-            if inner and max(inner, outer) < len(values) and (best is None or max(inner, outer) < best[0]):
-                best = (max(inner, outer), v, cut, d)
+            cost = np.count_nonzero(d <= cut) ** 2 + np.count_nonzero(d.astype(np.int16) > cut - radius) ** 2
+            if cost < WORTH * len(values) ** 2 and (best is None or cost < best[0]):
+                best = (cost, v, cut, d)
     return best and best[1:]
 
 
