@@ -67,7 +67,7 @@ FAMILIES = [
     ("cc0", "(?:cc0|cc zero|creative commons zero)(?: 1 0)?(?: universal)?", "cc0|zero", "cc0 1 0"),
     ("cc-by", "(?:cc by|creative commons attribution)(?: [1234] 0)?(?: international)?", "attribution|cc by", "cc by [1234] 0"),
     ("cc-by-sa", "(?:cc by sa|creative commons attribution share ?alike)(?: [1234] 0)?(?: international)?", "sa|share", "cc by sa [1234] 0"),
-    ("cc-by-nd", "(?:cc by nd|creative commons attribution no ?deriv(?:ative)?s?)(?: [1234] 0)?(?: international)?", "nd|no ?deriv", "cc by nd [1234] 0"),
+    ("cc-by-nd", "(?:cc by nd|creative commons attribution no ?deriv(?:ative)?s?)(?: [1234] 0)?(?: international)?", "nd|deriv", "cc by nd [1234] 0"),
     ("cc-by-nc", "(?:cc by nc|creative commons attribution non ?commercial)(?: [1234] 0)?(?: international)?", "nc|commercial", "cc by nc [1234] 0"),
     ("cc-by-nc-sa", "(?:cc by nc sa|creative commons attribution non ?commercial share ?alike)(?: [1234] 0)?(?: international)?", "nc sa|share", "cc by nc sa [1234] 0"),
     ("cc-by-nc-nd", "(?:cc by nc nd|creative commons attribution non ?commercial no ?deriv(?:ative)?s?)(?: [1234] 0)?(?: international)?", "nc nd|deriv", "cc by nc nd [1234] 0"),
@@ -120,19 +120,25 @@ class Rule:
     confidence: float
 
 
+def _spdx_key(spdx: str) -> str:
+    """The first word of each identifier; the family's name needn't stand beside it."""
+    whole = spdx[3:-1].split("|") if spdx.startswith("(?:") else [spdx]
+    return "|".join(x.split(" ")[0] for x in whole)
+
+
 @lru_cache(maxsize=1)
 def rules() -> list[Rule]:
     """All rules in their order: every family in every frame, names that stand alone, and signatures."""
-    rows = [(label, frame.format(name=name, spdx=spdx), (key, word), priority, sure) for frame, word, priority, sure in FRAMES for label, name, key, spdx in FAMILIES]
+    rows = [(label, frame.format(name=name, spdx=spdx), (_spdx_key(spdx) if "{spdx}" in frame else key, word), priority, sure) for frame, word, priority, sure in FRAMES for label, name, key, spdx in FAMILIES]
     rows += [(label, name, (key,), 5, 0.6) for label, name, key, _ in FAMILIES if label.startswith(ALONE)]
     rows += [(label, pattern, (key,), priority, sure) for label, pattern, key, priority, sure in SIGNATURES]
     rows.sort(key=lambda r: r[3])
-    return [Rule(n, label, re.compile(f"(?<= )(?:{p})(?= )".encode()), tuple(tuple(k.replace(" ?", "").encode() for k in key.split("|")) for key in keys), priority, sure) for n, (label, p, keys, priority, sure) in enumerate(rows)]
+    return [Rule(n, label, re.compile(f"(?<= )(?:{p})(?= )".encode()), tuple(tuple(k.encode() for k in key.split("|")) for key in keys), priority, sure) for n, (label, p, keys, priority, sure) in enumerate(rows)]
 
 
 _WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 #: One of these stands in every match of a rule, as whole or part of a word.
-GATE = [b"licen", b"spdx", b"gpl", b"public domain", b"commons", b"rights reserved", b"hereby granted", b"redistribution", b"cc0", b"cc by", b"apache", b"mpl", b"epl", b"cddl", b"eupl", b"odbl", b"gfdl", b"wtfpl", b"released", b"published", b"distributed", b"provided", b"available", b"covered", b"governed", b"protected", b"subject to", b"endorse", b"advertising", b"misrepresented", b"unencumbered", b"proprietary", b"documentation"]
+GATE = [b"licen", b"spdx", b"gpl", b"public domain", b"commons", b"rights reserved", b"hereby granted", b"redistribution", b"cc0", b"cc zero", b"cc by", b"apache", b"mpl", b"epl", b"cddl", b"eupl", b"odbl", b"gfdl", b"wtfpl", b"released", b"published", b"distributed", b"provided", b"available", b"covered", b"governed", b"protected", b"subject to", b"endorse", b"advertising", b"misrepresented", b"unencumbered", b"proprietary", b"documentation"]
 
 
 def scan(text: str) -> dict:
