@@ -1,20 +1,27 @@
 """Quality rules with DataFrame functions alone: hashed n-gram log-likelihood ratios and counts of repetition.
 
-Words and word pairs are hashed to a fixed number of buckets. One pass over the whole corpus counts the
+Words and word pairs are hashed to buckets, whose number grows with the input. One pass over the whole corpus counts the
 buckets for all documents (raw) and for trusted ones (target); a document scores the mean over its
 n-grams of ``ln p_target - ln p_raw``, both smoothed so that a bucket the target never saw costs little
 where it couldn't be expected to see it. A fixed threshold decides every document alike.
+
+The ratios of the most frequent buckets are one array; those of the others are joined to their n-grams. An
+n-gram found once in the corpus needs no row: its counts follow from its own document.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from .common import OWN, let, packed, unpacked, with_results
+from .common import OWN, let, packed, unpacked, with_results, written
 
-#: Buckets (the counts are a table of so many rows), smoothing in target counts, and the least mean ratio of a kept document.
+#: Least number of buckets, smoothing in target counts, and the least mean ratio of a kept document.
 BUCKETS, SMOOTHING, THRESHOLD = 1 << 18, 4.0, -0.15
+#: At most so many n-grams share a bucket on average, repeated ones counted; the most ratios in one array.
+GRAMS_A_BUCKET, SLOTS = 4, 1 << 20
+#: Rows of ids or means that are broadcast; more are joined by a shuffle. This decides speed, not results.
+MOST_BROADCAST = 1 << 19
 #: The most labelled documents that the target is counted on; which, a hash of the id decides.
 MAX_TRUSTED = 20_000
 LEAST_WORDS, MOST_REPEATED = 50, 50
@@ -46,8 +53,15 @@ def windows(hashes: Column, words: int) -> Column:
 
 def grams(hashes: Column, buckets: int) -> Column:
     """The buckets of all words and word pairs."""
-    m = F.lit(buckets)
-    return F.concat(F.transform(hashes, lambda h: F.pmod(h, m).cast("int")), F.transform(windows(hashes, 2), lambda h: F.pmod(h, m).cast("int")))
+    m, kind = F.lit(buckets), "int" if buckets <= 1 << 31 else "bigint"
+    return F.concat(F.transform(hashes, lambda h: F.pmod(h, m).cast(kind)), F.transform(windows(hashes, 2), lambda h: F.pmod(h, m).cast(kind)))
+
+
+def bucket_number(docs: DataFrame, text: str = "text") -> int:
+    """A power of two that follows the n-grams of the corpus: two for each white character or text."""
+    whole = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
+    words = docs.agg(F.sum(F.length(whole) - F.length(F.translate(whole, WHITE_CHARS, "")) + F.lit(1)).alias("n")).first().n or 0
+    return max(BUCKETS, 1 << (2 * words // GRAMS_A_BUCKET).bit_length())
 
 
 def repeated_words(hashes: Column, words: int = 3) -> Column:
@@ -79,29 +93,70 @@ def duplicate_lines(text: Column) -> Column:
     return let(F.filter(F.split(text, "\n"), lambda x: F.length(F.translate(x, WHITE_CHARS, "")) > 0), lambda x: F.size(x) - F.size(F.array_distinct(x)))
 
 
+def _marked(docs: DataFrame, trusted: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """Texts, with a mark where the id is in ``trusted``, at most MAX_TRUSTED of them."""
+    ids = trusted.select(F.col(f"`{doc_id}`").alias(f"{OWN}id")).where(f"{OWN}id is not null").distinct()
+    ids = ids.orderBy(F.xxhash64(f"{OWN}id"), f"{OWN}id").limit(MAX_TRUSTED).withColumn(f"{OWN}trusted", F.lit(1))
+    own = docs.select(F.col(f"`{doc_id}`").alias(f"{OWN}doc"), F.col(f"`{text}`").alias("text"))
+    return own.join(F.broadcast(ids), F.col(f"{OWN}doc") == F.col(f"{OWN}id"), "left")
+
+
 def bucket_counts(docs: DataFrame, trusted: DataFrame, doc_id: str = "doc_id", text: str = "text", buckets: int = BUCKETS) -> DataFrame:
-    """(bucket, raw, target): n-grams of all documents and of those whose id is in ``trusted``, at most MAX_TRUSTED of them.
+    """(bucket, raw, target): n-grams of all documents and of those whose id is in ``trusted``.
 
     Counts are combined before they are shuffled, to at most ``buckets`` rows a task.
     """
-    ids = trusted.select(F.col(f"`{doc_id}`").alias(f"{OWN}id")).where(f"{OWN}id is not null").distinct()
-    ids = ids.orderBy(F.xxhash64(f"{OWN}id"), f"{OWN}id").limit(MAX_TRUSTED).withColumn(f"{OWN}trusted", F.lit(1))
-    own = docs.select(F.col(f"`{doc_id}`").alias(f"{OWN}doc"), F.col(f"`{text}`").alias("text"))
-    marked = own.join(F.broadcast(ids), F.col(f"{OWN}doc") == F.col(f"{OWN}id"), "left")
-    each = hashed(marked).select(f"{OWN}trusted", F.explode(grams(F.col(_HASHES), buckets)).alias("bucket"))
+    each = hashed(_marked(docs, trusted, doc_id, text)).select(f"{OWN}trusted", F.explode(grams(F.col(_HASHES), buckets)).alias("bucket"))
     return each.groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"), F.count(f"{OWN}trusted").alias("target"))
 
 
+def _ratio(raw: Column, target: Column, share: Column | float, smoothing: float = SMOOTHING) -> Column:
+    return F.log((target + F.lit(smoothing)) / (raw * share + F.lit(smoothing)))
+
+
 def weights(counts: DataFrame, buckets: int = BUCKETS, smoothing: float = SMOOTHING) -> DataFrame:
     """One row with an array: the log ratio of every bucket, in order."""
     spark = counts.sparkSession
     all_ = spark.range(buckets).select(F.col("id").cast("int").alias("bucket")).join(counts, "bucket", "left").na.fill(0, ["raw", "target"])
     rows = all_.agg(F.sum("raw").alias("n"), F.sum("target").alias("t"), F.array_sort(F.collect_list(F.struct("bucket", "raw", "target"))).alias("rows"))
     share = F.col("t") / F.greatest(F.col("n"), F.lit(1))
-    return rows.select(F.transform("rows", lambda r: F.log((r["target"] + F.lit(smoothing)) / (r["raw"] * share + F.lit(smoothing)))).alias("weights"))
+    return rows.select(F.transform("rows", lambda r: _ratio(r["raw"], r["target"], share, smoothing)).alias("weights"))
+
+
+def _text_hash(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))
+
 
+def _in_array(bucket: Column, array: Column, slots: int) -> Column:
+    return F.get(array["owners"], F.pmod(bucket, F.lit(slots)).cast("int")) == bucket
 
-def score(docs: DataFrame, trusted: DataFrame, doc_id: str = "doc_id", text: str = "text", buckets: int = BUCKETS, threshold: float = THRESHOLD) -> DataFrame:
+
+def _large_weights(docs: DataFrame, trusted: DataFrame, doc_id: str, text: str, buckets: int, slots: int) -> tuple[Column, DataFrame]:
+    """The array of the most frequent bucket of each slot, and (text hash, mean) over the other n-grams of each text.
+
+    Copies of a text have the same mean, so its hash is key enough.
+    """
+    total = Observation()
+    counts = bucket_counts(docs, trusted, doc_id, text, buckets).observe(total, F.sum("raw").alias("n"), F.sum("target").alias("t"))
+    counts = written(counts.where("raw > 1"), "counts")
+    share = (total.get["t"] or 0) / max(total.get["n"] or 0, 1)
+    rated = counts.select("bucket", "raw", _ratio(F.col("raw"), F.col("target"), share).alias("weight"))
+    slot = F.pmod("bucket", F.lit(slots)).cast("int").alias("slot")
+    best = rated.groupBy(slot).agg(F.max(F.struct("raw", "bucket", "weight")).alias("best"))
+    filled = docs.sparkSession.range(slots).select(F.col("id").cast("int").alias("slot")).join(best, "slot", "left")
+    listed = filled.agg(F.array_sort(F.collect_list(F.struct("slot", F.coalesce("best.bucket", F.lit(-1)).alias("bucket"), F.coalesce("best.weight", F.lit(0.0)).alias("weight")))).alias("rows"))
+    array = written(listed.select(F.struct(F.col("rows.bucket").alias("owners"), F.col("rows.weight").alias("weights")).alias("array")), "frequent").scalar()
+
+    marked = hashed(_marked(docs, trusted, doc_id, text)).withColumn(f"{OWN}w", array)
+    rest = F.filter(grams(F.col(_HASHES), buckets), lambda g: ~_in_array(g, F.col(f"{OWN}w"), slots))
+    rest = marked.select(_text_hash(F.col("text")).alias(f"{OWN}th"), f"{OWN}trusted", F.explode(rest).alias("bucket"))
+    once = _ratio(F.lit(1), F.when(F.col(f"{OWN}trusted").isNotNull(), 1).otherwise(0), share)
+    means = rest.join(rated.drop("raw"), "bucket", "left").groupBy(f"{OWN}th").agg(F.avg(F.coalesce("weight", once)).alias(f"{OWN}mean"))
+    means = written(means, "means")
+    return array, F.broadcast(means) if means.count() <= MOST_BROADCAST else means
+
+
+def score(docs: DataFrame, trusted: DataFrame, doc_id: str = "doc_id", text: str = "text", buckets: int | None = None, threshold: float = THRESHOLD) -> DataFrame:
     """Adds n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, llr and kept to whole documents.
 
     ``trusted`` holds the ids (column ``doc_id``) of documents the target is counted on. A null text has no
@@ -109,15 +164,27 @@ def score(docs: DataFrame, trusted: DataFrame, doc_id: str = "doc_id", text: str
     the base. A document without n-grams has the ratio zero, and so has every document where no trusted one
     is found. kept is false where the base fails, else whether llr reaches ``threshold``. Every row stays,
     repeated rows too; rows with a null id are scored like others. Input columns called like the results
-    give way. An empty table gives an empty one.
+    give way. An empty table gives an empty one. ``buckets`` follows :func:`bucket_number` unless given.
     """
     return _scored(docs, trusted, doc_id, text, buckets, threshold).drop(_ONCE)
 
 
-def _scored(docs: DataFrame, trusted: DataFrame, doc_id: str, text: str, buckets: int, threshold: float) -> DataFrame:
-    ratio = weights(bucket_counts(docs, trusted, doc_id, text, buckets), buckets).scalar()
-    rows = hashed(docs, text).withColumn(f"{OWN}grams", grams(F.col(_HASHES), buckets))
-    total = F.aggregate(f"{OWN}grams", F.lit(0.0), lambda a, g: a + F.get(F.col(f"{OWN}w"), g))
+def _scored(docs: DataFrame, trusted: DataFrame, doc_id: str, text: str, buckets: int | None, threshold: float, slots: int = SLOTS) -> DataFrame:
+    buckets = buckets or bucket_number(docs, text)
+    if buckets <= slots:
+        ratio = weights(bucket_counts(docs, trusted, doc_id, text, buckets), buckets).scalar()
+        total = F.aggregate(f"{OWN}grams", F.lit(0.0), lambda a, g: a + F.get(F.col(f"{OWN}w"), g))
+        whole_rows = docs.withColumn(f"{OWN}mean", F.lit(0.0))
+    else:
+        ratio, means = _large_weights(docs, trusted, doc_id, text, buckets, slots)
+
+        def weight(g: Column) -> Column:
+            array = F.col(f"{OWN}w")
+            return F.when(_in_array(g, array, slots), F.get(array["weights"], F.pmod(g, F.lit(slots)).cast("int"))).otherwise(F.coalesce(f"{OWN}mean", F.lit(0.0)))
+
+        total = F.aggregate(f"{OWN}grams", F.lit(0.0), lambda a, g: a + weight(g))
+        whole_rows = docs.withColumn(f"{OWN}th", _text_hash(F.col(f"`{text}`"))).join(means, f"{OWN}th", "left").drop(f"{OWN}th")
+    rows = hashed(whole_rows, text).withColumn(f"{OWN}grams", grams(F.col(_HASHES), buckets))
     rows = rows.withColumn(f"{OWN}w", ratio)
     whole = F.col(_TEXT)
     out = with_results(
@@ -131,14 +198,14 @@ def _scored(docs: DataFrame, trusted: DataFrame, doc_id: str, text: str, buckets
             "llr": F.when(F.size(f"{OWN}grams") > 0, total / F.size(f"{OWN}grams")).otherwise(F.lit(0.0)),
             _ONCE: F.monotonically_increasing_id(),
         },
-    ).drop(_TEXT, _WORDS, _HASHES, f"{OWN}grams", f"{OWN}w")
+    ).drop(_TEXT, _WORDS, _HASHES, f"{OWN}grams", f"{OWN}w", f"{OWN}mean")
     failed = (F.col("n_words") < LEAST_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * MOST_REPEATED)
     out = with_results(out, {"base_failed": failed})
     return with_results(out, {"kept": ~F.col("base_failed") & (F.col("llr") >= threshold)})
 
 
 
-def kept_documents(docs: DataFrame, trusted: DataFrame, doc_id: str = "doc_id", text: str = "text", buckets: int = BUCKETS, threshold: float = THRESHOLD) -> DataFrame:
+def kept_documents(docs: DataFrame, trusted: DataFrame, doc_id: str = "doc_id", text: str = "text", buckets: int | None = None, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that :func:`score` keeps, with their own columns.
 
     The filter asks for a row number, below which Spark moves no filter: it would put the whole chain of
