@@ -22,8 +22,6 @@ BUCKETS, SMOOTHING, THRESHOLD = 1 << 18, 4.0, -0.15
 GRAMS_A_BUCKET, SLOTS = 4, 1 << 20
 #: Rows of ids or means that are broadcast; more are joined by a shuffle. This decides speed, not results.
 MOST_BROADCAST = 1 << 19
-#: The most labelled documents that the target is counted on; which, a hash of the id decides.
-MAX_TRUSTED = 20_000
 LEAST_WORDS, MOST_REPEATED = 50, 50
 WORD, SYMBOLS, WHITE_CHARS = r"[^\x20\x09-\x0D]+", "#*$%&|<>", " \t\n\x0b\x0c\r"
 
@@ -94,11 +92,11 @@ def duplicate_lines(text: Column) -> Column:
 
 
 def _marked(docs: DataFrame, trusted: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """Texts, with a mark where the id is in ``trusted``, at most MAX_TRUSTED of them."""
-    ids = trusted.select(F.col(f"`{doc_id}`").alias(f"{OWN}id")).where(f"{OWN}id is not null").distinct()
-    ids = ids.orderBy(F.xxhash64(f"{OWN}id"), f"{OWN}id").limit(MAX_TRUSTED).withColumn(f"{OWN}trusted", F.lit(1))
+    """Texts, with a mark where the id is in ``trusted``."""
+    ids = trusted.select(F.col(f"`{doc_id}`").alias(f"{OWN}id")).where(f"{OWN}id is not null").distinct().withColumn(f"{OWN}trusted", F.lit(1))
+    ids = F.broadcast(ids) if ids.count() <= MOST_BROADCAST else ids
     own = docs.select(F.col(f"`{doc_id}`").alias(f"{OWN}doc"), F.col(f"`{text}`").alias("text"))
-    return own.join(F.broadcast(ids), F.col(f"{OWN}doc") == F.col(f"{OWN}id"), "left")
+    return own.join(ids, F.col(f"{OWN}doc") == F.col(f"{OWN}id"), "left")
 
 
 def bucket_counts(docs: DataFrame, trusted: DataFrame, doc_id: str = "doc_id", text: str = "text", buckets: int = BUCKETS) -> DataFrame:

@@ -20,3 +20,9 @@ def test_joined_ratios(spark, sf_dir):
     expected = llr(docs.toPandas(), {r.doc_id for r in trusted.collect()}, buckets)
     assert len(found) == docs.count()
     assert all(abs(r.llr - expected[r.doc_id]) < 1e-9 for r in found)
+
+
+def test_target_is_counted_on_all_trusted_documents(spark):
+    docs = spark.range(25_000).selectExpr("id AS doc_id", "concat('word', id % 7) AS text")
+    counts = quality.bucket_counts(docs, spark.range(-10_000, 25_000).selectExpr("id AS doc_id"))
+    assert [tuple(r) for r in counts.selectExpr("sum(raw)", "sum(target)").collect()] == [(25_000, 25_000)]
