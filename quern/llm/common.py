@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 
@@ -62,29 +63,43 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share; set here only where the session has none."""
+    """The folder that driver and executors share. Only where all run in one process may the session have none."""
     jsc = spark.sparkContext._jsc.sc()
     if jsc.getCheckpointDir().isDefined():
         return jsc.getCheckpointDir().get()
-    at = spark.conf.get("spark.checkpoint.dir", None) or "/tmp/quern-checkpoints"
+    at = spark.conf.get("spark.checkpoint.dir", None)
+    if not at:
+        if not jsc.isLocal():
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        at = tempfile.mkdtemp(prefix="quern-")
     spark.sparkContext.setCheckpointDir(at)
     return jsc.getCheckpointDir().get()
 
 
+def _hadoop(spark: SparkSession, path: str) -> tuple:
+    """A path and its file system, as Hadoop's classes have them."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def written(df: DataFrame, what: str) -> DataFrame:
-    """Writes ``df`` as Parquet to the shared folder and reads it again: computed once, and it outlives executors."""
+    """Writes ``df`` as Parquet to the shared folder and reads it again: computed once, and it outlives executors.
+
+    It is removed by :func:`drop_written`, or when the session's process ends.
+    """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{what}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    at = f"{shared_folder(spark)}/{what}-{uuid.uuid4().hex}"
+    path, files = _hadoop(spark, at)
+    df.write.parquet(at)
+    files.deleteOnExit(path)
+    return spark.read.schema(df.schema).parquet(at)
 
 
 def drop_written(df: DataFrame) -> None:
     """Removes what :func:`written` wrote for ``df``."""
-    spark = df.sparkSession
     for f in {x.rpartition("/")[0] for x in df.inputFiles()}:
-        path = spark._jvm.org.apache.hadoop.fs.Path(f)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        path, files = _hadoop(df.sparkSession, f)
+        files.delete(path, True)
 
 
 def text_slices(texts: pa.Array) -> Iterator[list[str]]:

@@ -5,27 +5,34 @@ buckets for all documents (raw) and for trusted ones (target); a document scores
 n-grams of ``ln p_target - ln p_raw``, both smoothed so that a bucket the target never saw costs little
 where it couldn't be expected to see it. A fixed threshold decides every document alike.
 
-The ratios of the most frequent buckets are one array; those of the others are joined to their n-grams. An
-n-gram found once in the corpus needs no row: its counts follow from its own document.
+N-grams are rows of generated code: a text's word hashes are zipped with themselves shifted by one and exploded, so no
+lambda runs for an n-gram in counting or scoring. All that is known of a text is kept by its hash, one
+row for each distinct text, and joined to the documents.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import OWN, let, packed, unpacked, with_results, written
+from .common import OWN, drop_written, let, packed, unpacked, with_results, written
 
 #: Least number of buckets, smoothing in target counts, and the least mean ratio of a kept document.
 BUCKETS, SMOOTHING, THRESHOLD = 1 << 18, 4.0, -0.15
-#: At most so many n-grams share a bucket on average, repeated ones counted; the most ratios in one array.
-GRAMS_A_BUCKET, SLOTS = 4, 1 << 20
-#: Rows of ids or means that are broadcast; more are joined by a shuffle. This decides speed, not results.
+#: Buckets grow as this power of the n-grams, one for so many of that; bytes of text that stand for one n-gram.
+GROWTH, SHARED_BY, BYTES_A_GRAM = 0.75, 5, 3
+#: Ratios that one array or broadcast holds (8 bytes each in the array); of more buckets the most frequent are broadcast and the others joined.
+SLOTS = 1 << 23
+#: Rows of ids or texts that are broadcast; more are joined by a shuffle. This decides speed, not results.
 MOST_BROADCAST = 1 << 19
+#: N-grams that one task counts at most, unless the table is cut more coarsely; ratios gathered at once on the way to the array.
+GRAMS_A_TASK, CHUNK = 1 << 26, 4096
 LEAST_WORDS, MOST_REPEATED = 50, 50
 WORD, SYMBOLS, WHITE_CHARS = r"[^\x20\x09-\x0D]+", "#*$%&|<>", " \t\n\x0b\x0c\r"
 
-_TEXT, _WORDS, _HASHES, _ONCE = f"{OWN}text", f"{OWN}words", f"{OWN}hashes", f"{OWN}once"
+_TEXT, _HASHES = f"{OWN}text", f"{OWN}hashes"
+_KEYS = [f"{OWN}text_key{k}" for k in range(2)]
+_FACTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
 def indices(count: Column) -> Column:
@@ -34,10 +41,9 @@ def indices(count: Column) -> Column:
 
 
 def hashed(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Adds the words of the whole text and the hash of each."""
+    """Adds the whole text, empty for null, and the hash of each of its words."""
     whole = docs.withColumn(_TEXT, F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")))
-    words = whole.withColumn(_WORDS, F.regexp_extract_all(_TEXT, F.lit(WORD), F.lit(0)))
-    return words.withColumn(_HASHES, F.transform(_WORDS, lambda w: F.xxhash64(w)))
+    return whole.withColumn(_HASHES, F.transform(F.regexp_extract_all(_TEXT, F.lit(WORD), F.lit(0)), lambda w: F.xxhash64(w)))
 
 
 def windows(hashes: Column, words: int) -> Column:
@@ -49,17 +55,17 @@ def windows(hashes: Column, words: int) -> Column:
     return F.transform(indices(F.size(hashes) - F.lit(words - 1)), at)
 
 
-def grams(hashes: Column, buckets: int) -> Column:
-    """The buckets of all words and word pairs."""
-    m, kind = F.lit(buckets), "int" if buckets <= 1 << 31 else "bigint"
-    return F.concat(F.transform(hashes, lambda h: F.pmod(h, m).cast(kind)), F.transform(windows(hashes, 2), lambda h: F.pmod(h, m).cast(kind)))
+def bucket_number(docs: DataFrame, text: str = "text") -> int:
+    """Buckets for the n-grams of the corpus, by the bytes of all its texts: their number to the power GROWTH, a fifth of it."""
+    return _buckets(text_bytes(docs, text))
 
 
-def bucket_number(docs: DataFrame, text: str = "text") -> int:
-    """A power of two that follows the n-grams of the corpus: two for each white character or text."""
-    whole = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
-    words = docs.agg(F.sum(F.length(whole) - F.length(F.translate(whole, WHITE_CHARS, "")) + F.lit(1)).alias("n")).first().n or 0
-    return max(BUCKETS, 1 << (2 * words // GRAMS_A_BUCKET).bit_length())
+def text_bytes(docs: DataFrame, text: str = "text") -> int:
+    return docs.agg(F.sum(F.octet_length(F.col(f"`{text}`").cast("string"))).alias("n")).first().n or 0
+
+
+def _buckets(size: int) -> int:
+    return max(BUCKETS, int((size / BYTES_A_GRAM) ** GROWTH / SHARED_BY))
 
 
 def repeated_words(hashes: Column, words: int = 3) -> Column:
@@ -71,24 +77,53 @@ def repeated_words(hashes: Column, words: int = 3) -> Column:
         return F.when(last < 0, F.lit(0)).otherwise(F.aggregate(gaps, F.lit(words), lambda a, g: a + g))
 
     def starts(ordered: Column) -> Column:
-        def mark(k: Column) -> Column:
-            here = F.get(ordered, k)
-            twin = [F.coalesce(here["h"] == F.get(ordered, k + F.lit(step))["h"], F.lit(False)) for step in (-1, 1)]
-            return F.when(twin[0] | twin[1], here["i"])
+        def twin(x: Column, k: Column) -> Column:
+            after = F.coalesce(F.get(ordered, k + F.lit(1))["h"] == x["h"], F.lit(False))
+            return after | F.coalesce(F.get(ordered, k - F.lit(1))["h"] == x["h"], F.lit(False))
 
-        return F.sort_array(F.array_compact(F.transform(indices(F.size(ordered)), mark)))
+        return F.sort_array(F.transform(F.filter(ordered, twin), lambda x: x["i"]))
 
     def counted(all_: Column) -> Column:
-        pairs = F.array_sort(F.transform(all_, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+        pairs = F.sort_array(F.arrays_zip(all_.alias("h"), indices(F.size(all_)).alias("i")))
         some = let(pairs, lambda p: let(starts(p), covered))
         return F.when(F.size(F.array_distinct(all_)) == F.size(all_), F.lit(0)).otherwise(some)
 
     return let(windows(hashes, words), counted)
 
 
+def without_characters(text: Column, characters: str) -> Column:
+    """The text without these characters, one replacement each: far faster than a translation, which asks a map for every character."""
+    for c in characters:
+        text = F.replace(text, F.lit(c), F.lit(""))
+    return text
+
+
 def duplicate_lines(text: Column) -> Column:
     """How many lines with a word equal an earlier line."""
-    return let(F.filter(F.split(text, "\n"), lambda x: F.length(F.translate(x, WHITE_CHARS, "")) > 0), lambda x: F.size(x) - F.size(F.array_distinct(x)))
+    return let(F.filter(F.split(text, "\n"), lambda x: F.ltrim(x, F.lit(WHITE_CHARS)) != ""), lambda x: F.size(x) - F.size(F.array_distinct(x)))
+
+
+def text_keys(text: Column) -> list[Column]:
+    """96 bits that tell texts apart, a null text like an empty one."""
+    whole = F.coalesce(text.cast("string"), F.lit(""))
+    return [c.alias(n) for c, n in zip([F.xxhash64(whole), F.hash(whole)], _KEYS, strict=True)]
+
+
+def _paired(hashes: str) -> Column:
+    """A generator of (first, second): every word hash and the next one, null after the last."""
+    h = F.col(hashes)
+    return F.inline(F.arrays_zip(h.alias("first"), F.slice(h, F.lit(2), F.size(h)).alias("second")))
+
+
+def _bucket(buckets: int, *hashes: str) -> Column:
+    """The bucket of a word, or of a pair."""
+    return F.pmod(F.col(hashes[0]) if len(hashes) == 1 else F.xxhash64(*hashes), F.lit(buckets))
+
+
+def _each_bucket(pairs: DataFrame, buckets: int, *others: str) -> DataFrame:
+    """A row for every n-gram: of a word, and of a pair where there is a next word."""
+    both = F.array(_bucket(buckets, "first"), F.when(F.col("second").isNotNull(), _bucket(buckets, "first", "second")))
+    return pairs.select(*others, F.explode(both).alias("bucket")).where("bucket is not null")
 
 
 def _marked(docs: DataFrame, trusted: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -104,54 +139,79 @@ def bucket_counts(docs: DataFrame, trusted: DataFrame, doc_id: str = "doc_id", t
 
     Counts are combined before they are shuffled, to at most ``buckets`` rows a task.
     """
-    each = hashed(_marked(docs, trusted, doc_id, text)).select(f"{OWN}trusted", F.explode(grams(F.col(_HASHES), buckets)).alias("bucket"))
+    pairs = hashed(_marked(docs, trusted, doc_id, text)).select(f"{OWN}trusted", _paired(_HASHES))
+    each = _each_bucket(pairs, buckets, f"{OWN}trusted")
     return each.groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"), F.count(f"{OWN}trusted").alias("target"))
 
 
-def _ratio(raw: Column, target: Column, share: Column | float, smoothing: float = SMOOTHING) -> Column:
-    return F.log((target + F.lit(smoothing)) / (raw * share + F.lit(smoothing)))
+def _ratio(raw: Column, target: Column, share: float, smoothing: float = SMOOTHING) -> Column:
+    return F.log((target + F.lit(smoothing)) / (raw * F.lit(share) + F.lit(smoothing)))
 
 
-def weights(counts: DataFrame, buckets: int = BUCKETS, smoothing: float = SMOOTHING) -> DataFrame:
-    """One row with an array: the log ratio of every bucket, in order."""
-    spark = counts.sparkSession
-    all_ = spark.range(buckets).select(F.col("id").cast("int").alias("bucket")).join(counts, "bucket", "left").na.fill(0, ["raw", "target"])
-    rows = all_.agg(F.sum("raw").alias("n"), F.sum("target").alias("t"), F.array_sort(F.collect_list(F.struct("bucket", "raw", "target"))).alias("rows"))
-    share = F.col("t") / F.greatest(F.col("n"), F.lit(1))
-    return rows.select(F.transform("rows", lambda r: _ratio(r["raw"], r["target"], share, smoothing)).alias("weights"))
+def _array(rated: DataFrame, buckets: int) -> DataFrame:
+    """One row with an array: the weight of every bucket, in order, zero where none is known; gathered in parallel by chunks."""
+    filled = rated.sparkSession.range(buckets).select(F.col("id").alias("bucket")).join(rated.select("bucket", "weight"), "bucket", "left")
+    each = F.struct("bucket", F.coalesce("weight", F.lit(0.0)).alias("weight"))
+    chunks = filled.groupBy(F.floor(F.col("bucket") / CHUNK).alias("chunk")).agg(F.sort_array(F.collect_list(each))["weight"].alias("weights"))
+    return chunks.agg(F.flatten(F.sort_array(F.collect_list(F.struct("chunk", "weights")))["weights"]).alias("weights"))
 
 
-def _text_hash(text: Column) -> Column:
-    return F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))
-
-
-def _in_array(bucket: Column, array: Column, slots: int) -> Column:
-    return F.get(array["owners"], F.pmod(bucket, F.lit(slots)).cast("int")) == bucket
-
+def _facts(docs: DataFrame, text: str) -> DataFrame:
+    """For each document the keys of its text, its word hashes, and what the base rules count."""
+    whole = F.col(_TEXT)
+    facts = [
+        F.size(_HASHES).cast("long"),
+        F.length(without_characters(whole, WHITE_CHARS)).cast("long"),
+        (F.octet_length(whole) - F.octet_length(without_characters(whole, SYMBOLS))).cast("long"),
+        duplicate_lines(whole).cast("long"),
+        repeated_words(F.col(_HASHES)).cast("long"),
+    ]
+    return hashed(docs.select(F.col(f"`{text}`").alias("text"))).select(*text_keys(whole), _HASHES, *[c.alias(n) for c, n in zip(facts, _FACTS, strict=True)])
+
+
+def texts_scored(docs: DataFrame, trusted: DataFrame, doc_id: str, text: str, buckets: int | None, slots: int = SLOTS) -> DataFrame:
+    """A row for every distinct text with words: its keys, the counts of the base rules, and llr."""
+    size = text_bytes(docs, text)
+    buckets = buckets or _buckets(size)
+    # fewer tasks combine more of the counts before the shuffle, as long as every core has two
+    tasks = max(2 * docs.sparkSession.sparkContext.defaultParallelism, size // BYTES_A_GRAM // GRAMS_A_TASK)
+    counts = written(bucket_counts(docs.coalesce(tasks), trusted, doc_id, text, buckets), "counts")
+    total = counts.agg(F.sum("raw").alias("n"), F.sum("target").alias("t")).first()
+    rated = counts.select("bucket", "raw", _ratio(F.col("raw"), F.col("target"), (total.t or 0) / max(total.n or 0, 1)).alias("weight"))
+    facts = _facts(docs, text)
+    if buckets <= slots:
+        array = written(_array(rated, buckets), "ratios")
+        drop_written(counts)
 
-def _large_weights(docs: DataFrame, trusted: DataFrame, doc_id: str, text: str, buckets: int, slots: int) -> tuple[Column, DataFrame]:
-    """The array of the most frequent bucket of each slot, and (text hash, mean) over the other n-grams of each text.
+        def weight(*hashes: str) -> Column:
+            return F.get(array.scalar(), _bucket(buckets, *hashes).cast("int"))
 
-    Copies of a text have the same mean, so its hash is key enough.
-    """
-    total = Observation()
-    counts = bucket_counts(docs, trusted, doc_id, text, buckets).observe(total, F.sum("raw").alias("n"), F.sum("target").alias("t"))
-    counts = written(counts.where("raw > 1"), "counts")
-    share = (total.get["t"] or 0) / max(total.get["n"] or 0, 1)
-    rated = counts.select("bucket", "raw", _ratio(F.col("raw"), F.col("target"), share).alias("weight"))
-    slot = F.pmod("bucket", F.lit(slots)).cast("int").alias("slot")
-    best = rated.groupBy(slot).agg(F.max(F.struct("raw", "bucket", "weight")).alias("best"))
-    filled = docs.sparkSession.range(slots).select(F.col("id").cast("int").alias("slot")).join(best, "slot", "left")
-    listed = filled.agg(F.array_sort(F.collect_list(F.struct("slot", F.coalesce("best.bucket", F.lit(-1)).alias("bucket"), F.coalesce("best.weight", F.lit(0.0)).alias("weight")))).alias("rows"))
-    array = written(listed.select(F.struct(F.col("rows.bucket").alias("owners"), F.col("rows.weight").alias("weights")).alias("array")), "frequent").scalar()
-
-    marked = hashed(_marked(docs, trusted, doc_id, text)).withColumn(f"{OWN}w", array)
-    rest = F.filter(grams(F.col(_HASHES), buckets), lambda g: ~_in_array(g, F.col(f"{OWN}w"), slots))
-    rest = marked.select(_text_hash(F.col("text")).alias(f"{OWN}th"), f"{OWN}trusted", F.explode(rest).alias("bucket"))
-    once = _ratio(F.lit(1), F.when(F.col(f"{OWN}trusted").isNotNull(), 1).otherwise(0), share)
-    means = rest.join(rated.drop("raw"), "bucket", "left").groupBy(f"{OWN}th").agg(F.avg(F.coalesce("weight", once)).alias(f"{OWN}mean"))
-    means = written(means, "means")
-    return array, F.broadcast(means) if means.count() <= MOST_BROADCAST else means
+        paired = F.col("second").isNotNull()
+        weights = facts.select(*_KEYS, *_FACTS, _paired(_HASHES)).select(
+            *_KEYS, *_FACTS, (weight("first") + F.when(paired, weight("first", "second")).otherwise(F.lit(0.0))).alias("sum"), F.when(paired, 2).otherwise(1).alias("n")
+        )
+    else:
+        weights = _joined_weights(facts, rated, buckets, slots)
+    own = [F.max(c).alias(c) for c in _FACTS]  # copies of a text agree in them, and in the mean
+    return written(weights.groupBy(*_KEYS).agg(*own, (F.sum("sum") / F.sum("n")).alias("llr")), "texts")
+
+
+def _joined_weights(facts: DataFrame, rated: DataFrame, buckets: int, slots: int) -> DataFrame:
+    """Sums of weights where the table is larger than ``slots``: frequent buckets are broadcast, the others joined to what asks for them."""
+    magnitude = F.floor(F.log2("raw")).cast("int")
+    held, least = 0, 64
+    for r in rated.groupBy(magnitude.alias("m")).count().orderBy(F.desc("m")).collect():  # at most 64 rows
+        held += r["count"]
+        if held > slots:
+            break
+        least = r["m"]
+    hot = rated.where(magnitude >= least).select("bucket", "weight")
+    each = _each_bucket(facts.select(*_KEYS, _paired(_HASHES)), buckets, *_KEYS).join(F.broadcast(hot), "bucket", "left")
+    rare = each.where("weight is null").drop("weight").join(rated.where(magnitude < least).select("bucket", "weight"), "bucket")
+    none = [F.lit(None).cast("long").alias(c) for c in _FACTS]
+    sums = [x.groupBy(*_KEYS).agg(F.sum("weight").alias("sum"), F.count(F.lit(1)).alias("n")).select(*_KEYS, *none, "sum", "n") for x in (each.where("weight is not null"), rare)]
+    own = facts.where("n_words > 0").select(*_KEYS, *_FACTS, F.lit(0.0).alias("sum"), F.lit(0).cast("long").alias("n"))
+    return own.unionByName(sums[0]).unionByName(sums[1])
 
 
 def score(docs: DataFrame, trusted: DataFrame, doc_id: str = "doc_id", text: str = "text", buckets: int | None = None, threshold: float = THRESHOLD) -> DataFrame:
@@ -164,53 +224,27 @@ def score(docs: DataFrame, trusted: DataFrame, doc_id: str = "doc_id", text: str
     repeated rows too; rows with a null id are scored like others. Input columns called like the results
     give way. An empty table gives an empty one. ``buckets`` follows :func:`bucket_number` unless given.
     """
-    return _scored(docs, trusted, doc_id, text, buckets, threshold).drop(_ONCE)
+    return _scored(docs, trusted, doc_id, text, buckets, threshold)
 
 
 def _scored(docs: DataFrame, trusted: DataFrame, doc_id: str, text: str, buckets: int | None, threshold: float, slots: int = SLOTS) -> DataFrame:
-    buckets = buckets or bucket_number(docs, text)
-    if buckets <= slots:
-        ratio = weights(bucket_counts(docs, trusted, doc_id, text, buckets), buckets).scalar()
-        total = F.aggregate(f"{OWN}grams", F.lit(0.0), lambda a, g: a + F.get(F.col(f"{OWN}w"), g))
-        whole_rows = docs.withColumn(f"{OWN}mean", F.lit(0.0))
-    else:
-        ratio, means = _large_weights(docs, trusted, doc_id, text, buckets, slots)
-
-        def weight(g: Column) -> Column:
-            array = F.col(f"{OWN}w")
-            return F.when(_in_array(g, array, slots), F.get(array["weights"], F.pmod(g, F.lit(slots)).cast("int"))).otherwise(F.coalesce(f"{OWN}mean", F.lit(0.0)))
-
-        total = F.aggregate(f"{OWN}grams", F.lit(0.0), lambda a, g: a + weight(g))
-        whole_rows = docs.withColumn(f"{OWN}th", _text_hash(F.col(f"`{text}`"))).join(means, f"{OWN}th", "left").drop(f"{OWN}th")
-    rows = hashed(whole_rows, text).withColumn(f"{OWN}grams", grams(F.col(_HASHES), buckets))
-    rows = rows.withColumn(f"{OWN}w", ratio)
-    whole = F.col(_TEXT)
-    out = with_results(
-        rows,
-        {
-            "n_words": F.size(_WORDS).cast("long"),
-            "word_chars": F.length(F.translate(whole, WHITE_CHARS, "")).cast("long"),
-            "n_symbols": (F.length(whole) - F.length(F.translate(whole, SYMBOLS, ""))).cast("long"),
-            "n_dup_lines": duplicate_lines(whole).cast("long"),
-            "n_repeat_words": repeated_words(F.col(_HASHES)).cast("long"),
-            "llr": F.when(F.size(f"{OWN}grams") > 0, total / F.size(f"{OWN}grams")).otherwise(F.lit(0.0)),
-            _ONCE: F.monotonically_increasing_id(),
-        },
-    ).drop(_TEXT, _WORDS, _HASHES, f"{OWN}grams", f"{OWN}w", f"{OWN}mean")
-    failed = (F.col("n_words") < LEAST_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * MOST_REPEATED)
-    out = with_results(out, {"base_failed": failed})
-    return with_results(out, {"kept": ~F.col("base_failed") & (F.col("llr") >= threshold)})
-
+    known = texts_scored(docs, trusted, doc_id, text, buckets, slots)
+    known = known.select(*_KEYS, *[F.col(c).alias(f"{OWN}{c}") for c in (*_FACTS, "llr")])
+    known = F.broadcast(known) if known.count() <= MOST_BROADCAST else known
+    rows = docs.select("*", *text_keys(F.col(f"`{text}`"))).join(known, _KEYS, "left")
+    found = {c: F.coalesce(f"{OWN}{c}", F.lit(0).cast("long")) for c in _FACTS} | {"llr": F.coalesce(f"{OWN}llr", F.lit(0.0))}
+    failed = (found["n_words"] < LEAST_WORDS) | (found["n_repeat_words"] * 100 > found["n_words"] * MOST_REPEATED)
+    found |= {"base_failed": failed, "kept": ~failed & (found["llr"] >= threshold)}
+    return with_results(rows, found).drop(*_KEYS, *[f"{OWN}{c}" for c in (*_FACTS, "llr")])
 
 
 def kept_documents(docs: DataFrame, trusted: DataFrame, doc_id: str = "doc_id", text: str = "text", buckets: int | None = None, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` that :func:`score` keeps, with their own columns.
+    """The rows of ``docs`` that :func:`score` keeps, with their own columns, whatever these are called.
 
-    The filter asks for a row number, below which Spark moves no filter: it would put the whole chain of
-    expressions into the filter, once for every use.
+    Rows with a null or empty text go, as the base rejects them; repeated rows stay or go together. An empty table gives an empty one.
     """
     marked = _scored(packed(docs, doc_id, text), trusted, doc_id, text, buckets, threshold)
-    return unpacked(marked.where(F.col("kept") & (F.col(_ONCE) >= 0)), docs)
+    return unpacked(marked.where("kept"), docs)
 
 
 def digests(scored: DataFrame) -> DataFrame:

@@ -6,9 +6,13 @@ from tests.llm.test_contracts import llr
 
 
 def test_buckets_follow_the_corpus(spark, sf_dir):
-    numbers = [quality.bucket_number(read(spark, sf_dir.replace("sf0.001", sf), "documents")) for sf in ("sf0.001", "sf0.01", "sf0.1")]
-    assert numbers[0] == numbers[1] == quality.BUCKETS  # some 360,000 different n-grams on sf0.01
-    assert numbers[2] >= 1 << 21  # 2,730,560 on sf0.1
+    """Above the floor, 16 times the text has eight times the buckets; all texts are weighed, none is sampled."""
+    docs = read(spark, sf_dir, "documents")
+    size = sum(len(r.text.encode()) for r in docs.collect() if r.text)
+    assert quality.text_bytes(docs) == size and quality.bucket_number(docs) == quality.BUCKETS
+    numbers = [quality._buckets(10**9 * 16**k) for k in range(4)]
+    assert numbers[0] > quality.BUCKETS
+    assert all(abs(b / a - 8) < 0.001 for a, b in zip(numbers, numbers[1:], strict=False))
 
 
 def test_joined_ratios(spark, sf_dir):
