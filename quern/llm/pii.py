@@ -1,9 +1,10 @@
 """Personal data: fixed patterns, and a linear-chain conditional random field over word shapes.
 
-The field is trained from a small labelled table and decoded by Viterbi in numpy batches. A word without a
-digit or an at sign can only be tagged O, in training and decoding alike; as such a word fixes the
-state between its neighbours, the best path of a text is that of its runs of other words, each between
-two O. Only these runs are decoded, which is exact and leaves most words to one search for a character.
+The field is trained from a small labelled table and decoded by Viterbi in numpy batches over all words of all texts.
+Features are of a word, or of one neighbour, so the scores of a place are a sum of rows that are
+computed once for each distinct word. Most places need no Viterbi step: where O beats every other label by more than
+transitions and neighbours could make up for, every best path has O there. The bound is proven for
+each place (see :meth:`Field.open_places`), so what is decoded between such places is what whole sentences give.
 """
 
 from __future__ import annotations
@@ -24,8 +25,12 @@ from .pii_examples import examples, luhn
 #: Kinds in the order in which spans of one start are listed; the field alone finds secrets.
 KINDS = ("email", "ip", "card", "phone", "secret")
 LABELS = ("O", *[f"{p}-{k}" for k in KINDS for p in "BI"])
-#: Rows of the labelled table that training reads at most, its passes, its regularisation, and how often it must meet a feature.
+#: Rows of the labelled table that training reads at most unless told otherwise, its passes, its regularisation, and how often it must meet a feature.
 MAX_LABELLED, PASSES, L2, LEAST_MET = 50_000, 60, 0.02, 3
+#: Distinct words, and distinct shapes, that a worker remembers, and the characters of the longest word.
+REMEMBERED, LONGEST = 200_000, 64
+#: Places whose scores are looked at together.
+PLACES = 1 << 16
 
 # ---------------------------------------------------------------- base patterns
 
@@ -64,67 +69,81 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 # ---------------------------------------------------------------- features
 
 _CANDIDATE = re.compile("[0-9@]")
-_END = re.compile(f"[{WHITE}]")
+_WORD = re.compile(f"[^{WHITE}]+")
 _SHAPES = str.maketrans({**{c: "9" for c in "0123456789"}, **{chr(c): "a" for c in range(97, 123)}, **{chr(c): "A" for c in range(65, 91)}})
+_BEYOND = re.compile(r"[^\x00-\x7f]")
 _RUN = re.compile(r"(.)\1+", re.S)
 _HEX = re.compile(r"[\"'(]*[0-9a-fA-F]{16,}[\"')]*[^0-9a-zA-Z]*$")
-_EDGE = re.compile(r"^[^0-9A-Za-z]+|[^0-9A-Za-z]+$")
-
-
-def is_candidate(word: str) -> bool:
-    return _CANDIDATE.search(word) is not None
+_CORE = re.compile("[0-9A-Za-z](?:.*[0-9A-Za-z])?", re.S)
 
 
 def shape_of(word: str) -> str:
-    """Digits as 9, letters as a or A, other characters as they are; of a very long word, both ends."""
-    word = word if len(word) <= 128 else word[:64] + word[-64:]
+    """Digits as 9, letters as a or A, other characters as they are."""
     shape = word.translate(_SHAPES)
-    return shape if shape.isascii() else "".join("a" if c.isalpha() else c for c in shape)
+    return shape if shape.isascii() else _BEYOND.sub(lambda m: "a" if m[0].isalpha() else m[0], shape)
+
+
+def core_of(word: str) -> str:
+    """The word from its first to its last ASCII letter or digit."""
+    found = _CORE.search(word)
+    return found[0] if found else ""
 
 
-@lru_cache(maxsize=50_000)
-def own_features(word: str) -> tuple[str, ...]:
-    """Features of a candidate by its own shape."""
+def facts_of(word: str) -> tuple[str, bool, bool | None, bool | None]:
+    """All that the features of a word by itself depend on: its shape, whether it is a number in base 16, and whether its octets and its check digit are right."""
     shape = shape_of(word)
-    core = _EDGE.sub("", word[:256])
-    digits = _NOT_DIGIT.sub("", core)
+    based = len(word) >= 16 and _HEX.match(word) is not None
+    if "9" not in shape:
+        return shape, based, None, None
+    core = core_of(word)
     parts = core.split(".")
-    four = len(parts) == 4 and all(p.isascii() and p.isdigit() for p in parts)
+    octets = all(len(p) < 4 and int(p) <= 255 for p in parts) if len(parts) == 4 and all(p.isascii() and p.isdigit() for p in parts) else None
+    digits = _NOT_DIGIT.sub("", core)
+    return shape, based, octets, luhn(digits) if 12 <= len(digits) <= 19 and not re.search("[A-Za-z@]", core) else None
+
+
+def own_features(facts: tuple[str, bool, bool | None, bool | None]) -> list[str]:
+    """Features of a word by what :func:`facts_of` has of it."""
+    shape, based, octets, checked = facts
+    core = core_of(shape)
     out = [
         "bias",
         "runs=" + _RUN.sub(r"\1", shape),
-        "core=" + _RUN.sub(r"\1", shape_of(core)),
-        "digits=" + str(min(len(digits), 20)),
-        "length=" + str(min(len(word), 40) // 4),
+        "core=" + _RUN.sub(r"\1", core),
+        "digits=" + str(min(core.count("9"), 20)),
+        "length=" + str(min(len(shape), 40) // 4),
         "at=" + str(min(core.count("@"), 2)),
         "dots=" + str(min(core.count("."), 4)),
         "colons=" + str(min(core.count(":"), 4)),
         "dashes=" + str(min(core.count("-"), 3)),
         "first=" + shape[0],
-        "alldigits=" + str(core.isascii() and core.isdigit()),
-        "hex=" + str(bool(_HEX.match(word[:256]))),
-        "quoted=" + str(word[0] in "\"'"),
+        "alldigits=" + str(core != "" and not core.strip("9")),
+        "hex=" + str(based),
+        "quoted=" + str(shape[0] in "\"'"),
     ]
     if len(core) <= 14:
-        out.append("exact=" + shape_of(core))
-    if four:
-        out.append("octets=" + str(all(len(p) < 4 and int(p) <= 255 for p in parts)))
-    if 12 <= len(digits) <= 19 and not re.search("[A-Za-z@]", core):
-        out.append("luhn=" + str(luhn(digits)))
-    return tuple(out)
+        out.append("exact=" + core)
+    return [*out, *[f"{name}={told}" for name, told in (("octets", octets), ("luhn", checked)) if told is not None]]
 
 
 def context(word: str | None) -> str:
-    """What a neighbour tells: a plain word in lower case and without marks, a candidate's shape."""
+    """What a neighbour tells: a plain word in lower case with a sign that announces something, one with a digit or at sign by its shape."""
     if word is None:
         return "none"
-    if is_candidate(word):
-        return "~" + _RUN.sub(r"\1", shape_of(_EDGE.sub("", word[:256])))
-    return _EDGE.sub("", word[:32]).lower() or word[:3]
+    core = core_of(word)
+    if _CANDIDATE.search(word):
+        return "~" + _RUN.sub(r"\1", shape_of(core))
+    return core.lower() + "=" * (word[-1] in ":=") if core else _RUN.sub(r"\1", word)
 
 
-def features(before: str | None, word: str, after: str | None) -> list[str]:
-    return [*own_features(word), "before=" + context(before), "after=" + context(after)]
+#: Where a neighbour stands, and what its features begin with.
+SIDES = {-2: "before2=", -1: "before=", 1: "after="}
+
+
+def features(words: list[str | None], at: int) -> list[str]:
+    """All features of the word at a place; beyond both ends there is none."""
+    inside = range(len(words))
+    return [*own_features(facts_of(words[at])), *[name + context(words[at + k] if at + k in inside else None) for k, name in SIDES.items()]]
 
 
 # ---------------------------------------------------------------- the field
@@ -140,6 +159,39 @@ def allowed() -> np.ndarray:
 
 
 NEVER = -1e9
+#: The row of neighbours that tell the field nothing.
+UNMET = 1
+
+
+class _Words(dict):
+    """Words to codes: the row of what a word's own facts score, and the row of what it tells its neighbours.
+
+    Row zero of the scores is what lies beyond a text. Neighbours of which the field has met nothing share the row UNMET.
+    """
+
+    def __init__(self, field: Field):
+        super().__init__({None: 0})
+        self.field, self.facts = field, {None: 0}
+        self.own = np.zeros((1024, len(LABELS)), np.float32)
+        told = sorted({f[len(name) :] for f in field.at for name in SIDES.values() if f.startswith(name)} - {"none"})
+        self.told = {t: k for k, t in enumerate(["none", None, *told])}
+        self.sides = np.array([[self._scores([name + (t or "")] if t is not None else []) for name in SIDES.values()] for t in self.told], np.float32)
+
+    def _scores(self, names: list[str]) -> np.ndarray:
+        at, emit = self.field.at, self.field.emit
+        return emit[[at[f] for f in names if f in at]].sum(axis=0)
+
+    def __missing__(self, word: str) -> int:
+        facts = facts_of(word)
+        if (row := self.facts.get(facts)) is None:
+            row = self.facts[facts] = len(self.facts)
+            if row == len(self.own):
+                self.own = np.r_[self.own, np.zeros_like(self.own)]
+            self.own[row] = self._scores(own_features(facts))
+        code = row << 32 | self.told.get(context(word), UNMET)
+        if len(word) <= LONGEST:
+            self[word] = code
+        return code
 
 
 class Field:
@@ -148,16 +200,63 @@ class Field:
     def __init__(self, names: list[str], emit: np.ndarray, move: np.ndarray):
         self.at, self.emit = {n: k for k, n in enumerate(names)}, emit
         self.move = np.where(allowed(), move, NEVER)
-        self.memo: dict[tuple, np.ndarray] = {}
-
-    def scores(self, before: str | None, word: str, after: str | None) -> np.ndarray:
-        key = (word, before, after)
-        if (found := self.memo.get(key)) is None:
-            if len(self.memo) > 100_000:
-                self.memo.clear()
-            rows = [self.at[f] for f in features(before, word, after) if f in self.at]
-            found = self.memo[key] = self.emit[rows].sum(axis=0)
-        return found
+        self.words: _Words | None = None
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"words": None}
+
+    def codes_of(self, words: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """For each word the rows of its own score and of what it tells its neighbours, and both tables of scores."""
+        if self.words is None or len(self.words) > REMEMBERED or len(self.words.facts) > REMEMBERED:
+            self.words = _Words(self)
+        known = self.words
+        codes = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
+        return codes >> 32, codes & 0xFFFFFFFF, known.own, known.sides
+
+    def open_places(self, words: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """Places where the best path may have another label than O, in order, and their scores of all labels.
+
+        ``words`` have two None before, between and after texts. A path with label y at a
+        place can have O there instead. The step into the place then loses at most the largest
+        ``move[a, y] - move[a, O]`` of any label a that may stand before y. After the place, a label that may follow O stays;
+        an I becomes the B of its kind, after which the same labels may follow, and that costs what ``move`` and the
+        scores of the next place say. Where O leads y by more than these losses, no best path has y there; where
+        an I can't stand, the place before has no such cost, and where neither B nor I can, no I follows.
+        """
+        m, kinds = self.move, range(len(KINDS))
+        b_of, i_of = [1 + 2 * k for k in kinds], [2 + 2 * k for k in kinds]
+        ends = [0, *b_of]
+        into_b = np.array([max(m[a, b] - m[a, 0] for a in range(len(LABELS))) for b in b_of], np.float32)
+        into_i = np.array([max(m[a, i] - m[a, 0] for a in (b, i)) for b, i in zip(b_of, i_of, strict=True)], np.float32)
+        stay_b = np.array([max(m[b, c] - m[0, c] for c in ends) for b in b_of], np.float32)
+        stay_i = np.array([max(m[i, c] - m[0, c] for c in ends) for i in i_of], np.float32)
+        after = [max(m[i, c] - m[b, c] for c in (*ends, i)) for b, i in zip(b_of, i_of, strict=True)]
+        goes_b = np.array([m[b, i] - m[0, b] + x for b, i, x in zip(b_of, i_of, after, strict=True)], np.float32)
+        goes_i = np.array([m[i, i] - m[0, b] + x for b, i, x in zip(b_of, i_of, after, strict=True)], np.float32)
+        at, told, own, sides = self.codes_of(words)
+        places, scores = [np.zeros(0, np.int64)], [np.zeros((0, len(LABELS)))]
+        for first in range(2, len(at) - 2, PLACES):
+            last = min(first + PLACES, len(at) - 2)
+            # one place more on either side, as each test asks the next place or the one before
+            low, high = max(first - 1, 2), min(last + 2, len(at) - 2)
+            x = own[at[low:high]]
+            for n, k in enumerate(SIDES):
+                x += sides[told[low + k : high + k], n]
+            there = (at[low:high] > 0)[:, None]
+            turn = np.zeros((len(x), len(KINDS)), np.float32)
+            turn[:-1] = x[1:, 2::2] - x[1:, 1::2]
+            can_i = there & (x[:, :1] - x[:, 2::2] <= into_i + np.maximum(stay_i, goes_i + turn) + 1e-3)
+            cost = np.full_like(turn, 1) * stay_b
+            cost[:-1] = np.where(can_i[1:], np.maximum(stay_b, goes_b + turn[:-1]), stay_b)
+            can_b = there & (x[:, :1] - x[:, 1::2] <= into_b + cost + 1e-3)
+            # an I needs a B before it with nothing but I between; before the first place anything may stand
+            here = np.arange(len(x))[:, None]
+            broken, begun = (np.maximum.accumulate(np.where(c, here, 0), axis=0) for c in (~can_i, can_b))
+            can_i[1:] &= begun[:-1] >= broken[1:]
+            open_ = np.flatnonzero((can_b | can_i).any(axis=1)[first - low : last - low]) + (first - low)
+            places.append(open_ + low)
+            scores.append(x[open_].astype(np.float64))
+        return np.concatenate(places), np.concatenate(scores)
 
     def decode(self, runs: list[np.ndarray]) -> list[np.ndarray]:
         """The best labels of each run of emission scores, by Viterbi over runs of like length at once."""
@@ -201,21 +300,32 @@ class Field:
         return [paths[k, :n] for k, n in enumerate(lens)]
 
 
-def runs_of(words: list[str]) -> list[tuple[int, int]]:
-    """(start, end) of the runs of candidates among the words of a sentence."""
-    out, start = [], None
-    for k, w in enumerate([*words, ""]):
-        if is_candidate(w):
-            start = k if start is None else start
-        elif start is not None:
-            out.append((start, k))
-            start = None
-    return out
-
+def expected(x: np.ndarray, mask: np.ndarray, move: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of sequences of emission scores (sequence, step, label): the probability of each label, and the expected number of each transition.
 
-def _log_sum(a: np.ndarray, axis: int) -> np.ndarray:
-    top = a.max(axis=axis, keepdims=True)
-    return np.squeeze(top, axis) + np.log(np.exp(a - top).sum(axis=axis))
+    Forward and backward sums are scaled at each step, which cancels where they are multiplied.
+    """
+    n, steps, m = x.shape
+    a, e = np.exp(move), np.exp(x - x.max(axis=2, keepdims=True))
+    fwd, bwd = np.zeros((n, steps, m)), np.zeros((n, steps, m))
+    for t in range(steps):
+        new = (fwd[:, t - 1] @ a if t else a[None, 0]) * e[:, t]
+        fwd[:, t] = np.where(mask[:, t, None], new / new.sum(axis=1, keepdims=True), fwd[:, t - 1])
+    bwd[:, -1] = a[:, 0]
+    for t in range(steps - 2, -1, -1):
+        new = (e[:, t + 1] * bwd[:, t + 1]) @ a.T
+        bwd[:, t] = np.where(mask[:, t + 1, None], new / new.sum(axis=1, keepdims=True), a[:, 0])
+    p = fwd * bwd
+    p /= p.sum(axis=2, keepdims=True)
+    last = np.arange(n), mask.sum(axis=1) - 1
+    moves = np.zeros((m, m))
+    moves[0] = p[:, 0].sum(axis=0)
+    moves[:, 0] += p[last].sum(axis=0)
+    for t in range(1, steps):
+        live = mask[:, t]
+        f, g = fwd[live, t - 1], e[live, t] * bwd[live, t]
+        moves += a * ((f / np.einsum("na,ab,nb->n", f, a, g)[:, None]).T @ g)
+    return p, moves
 
 
 class Adam:
@@ -243,9 +353,7 @@ def train(rows: Iterable[tuple[int, int, str, str]], passes: int = PASSES) -> Fi
     runs: list[tuple[list[list[str]], list[int]]] = []
     for s in sorted(sentences):
         words, tags = zip(*((w, t) for _, w, t in sorted(sentences[s])), strict=True)
-        around = [None, *words, None]
-        for a, b in runs_of(list(words)):
-            runs.append(([features(*around[k : k + 3]) for k in range(a, b)], [LABELS.index(t) for t in tags[a:b]]))
+        runs.append(([features(list(words), k) for k in range(len(words))], [LABELS.index(t) for t in tags]))
     met = Counter(f for r, _ in runs for x in r for f in x)
     names = {f: k for k, f in enumerate(sorted(f for f, n in met.items() if n >= LEAST_MET))}
     emit, move, ok = np.zeros((len(names), len(LABELS))), np.zeros((len(LABELS), len(LABELS))), allowed()
@@ -275,25 +383,9 @@ def train(rows: Iterable[tuple[int, int, str, str]], passes: int = PASSES) -> Fi
     np.add.at(seen_move, (gold[end], 0), 1.0)
     climb_emit, climb_move = Adam(emit), Adam(move)
     for _ in range(passes):
-        x, t_ = np.zeros((n, steps, m)), np.where(ok, move, NEVER)
+        x = np.zeros((n, steps, m))
         x[mask] = np.r_[emit, np.zeros((1, m))][grid].sum(axis=1)
-        fwd, bwd = np.zeros((n, steps, m)), np.zeros((n, steps, m))
-        fwd[:, 0] = t_[0] + x[:, 0]
-        for t in range(1, steps):
-            fwd[:, t] = np.where(mask[:, t, None], _log_sum(fwd[:, t - 1, :, None] + t_[None], 1) + x[:, t], fwd[:, t - 1])
-        z = _log_sum(fwd[:, -1] + t_[:, 0], 1)
-        bwd[:, -1] = t_[:, 0]
-        for t in range(steps - 2, -1, -1):
-            inner = _log_sum(t_[None] + (x[:, t + 1] + bwd[:, t + 1])[:, None, :], 2)
-            bwd[:, t] = np.where(mask[:, t + 1, None], inner, t_[:, 0])
-        p = np.exp(np.minimum(fwd + bwd - z[:, None, None], 0))
-        got_move = np.zeros((m, m))
-        got_move[0] = p[:, 0].sum(axis=0)
-        got_move[:, 0] += p[end].sum(axis=0)
-        for t in range(1, steps):
-            live = mask[:, t]
-            joint = fwd[live, t - 1, :, None] + t_[None] + (x[live, t] + bwd[live, t])[:, None, :] - z[live, None, None]
-            got_move += np.exp(np.minimum(joint, 0)).sum(axis=0)
+        p, got_move = expected(x, mask, np.where(ok, move, NEVER))
         climb_emit.step((seen_emit - gathered(p[mask]) - L2 * emit) / n)
         climb_move.step((seen_move - got_move - L2 * move) / n)
     return Field(list(names), emit, move)
@@ -302,54 +394,33 @@ def train(rows: Iterable[tuple[int, int, str, str]], passes: int = PASSES) -> Fi
 # ---------------------------------------------------------------- documents
 
 
-def candidates(text: str) -> list[tuple[int, int]]:
-    """(start, end) of the words that hold a digit or an at sign."""
-    out, at = [], 0
-    while m := _CANDIDATE.search(text, at):
-        start = m.start()
-        while start > at and text[start - 1] not in WHITE:
-            start -= 1
-        end = _END.search(text, m.end())
-        end = end.start() if end else len(text)
-        out.append((start, end))
-        at = end
-    return out
-
-
-def _neighbour(text: str, start: int, end: int, step: int) -> str | None:
-    """The word before ``start`` or after ``end``, or what 64 characters of it hold."""
-    if step < 0:
-        left = text[max(0, start - 64) : start].split()
-        return left[-1] if left else None
-    right = text[end : end + 64].split()
-    return right[0] if right else None
-
-
 def tag(texts: list[str], field: Field) -> list[list[tuple[str, int, int]]]:
     """(kind, start, end) of what the field finds in each text."""
-    runs, places = [], []
-    for n, text in enumerate(texts):
-        run: list[tuple[int, int]] = []
-        words = candidates(text)
-        for k, (a, b) in enumerate(words):
-            run.append((a, b))
-            if k + 1 == len(words) or text[b : words[k + 1][0]].strip(WHITE):
-                spans = [text[x:y] for x, y in run]
-                around = [_neighbour(text, *run[0], -1), *spans, _neighbour(text, *run[-1], 1)]
-                runs.append(np.array([field.scores(*around[j : j + 3]) for j in range(len(run))]))
-                places.append((n, run))
-                run = []
+    words: list[str | None] = [None, None]
+    firsts = []
+    for text in texts:
+        firsts.append(len(words))
+        words += _WORD.findall(text)
+        words += (None, None)
+    places, scores = field.open_places(words)
     out: list[list[tuple[str, int, int]]] = [[] for _ in texts]
-    for (n, run), path in zip(places, field.decode(runs), strict=True):
+    if not len(places):
+        return out
+    starts = np.r_[0, np.flatnonzero(np.diff(places) > 1) + 1]
+    path = np.concatenate(field.decode(np.split(scores, starts[1:])))
+    found = np.flatnonzero(path)
+    text_of = np.searchsorted(firsts, places[found], side="right") - 1
+    for n in np.unique(text_of):
+        spans = [m.span() for m in _WORD.finditer(texts[n])]
+        here = found[text_of == n]
         j = 0
-        while j < len(path):
-            label = LABELS[path[j]]
-            k = j + 1
-            if label != "O":
-                while k < len(path) and LABELS[path[k]] == "I-" + label[2:]:
-                    k += 1
-                if span := trimmed(texts[n], run[j][0], run[k - 1][1], label[2:]):
-                    out[n].append((label[2:], *span))
+        while j < len(here):
+            label, k = LABELS[path[here[j]]], j + 1
+            while k < len(here) and here[k] == here[k - 1] + 1 and LABELS[path[here[k]]] == "I-" + label[2:]:
+                k += 1
+            first, last = (int(places[here[x]]) - firsts[n] for x in (j, k - 1))
+            if span := trimmed(texts[n], spans[first][0], spans[last][1], label[2:]):
+                out[n].append((label[2:], *span))
             j = k
     return out
 
@@ -365,19 +436,14 @@ def trimmed(text: str, start: int, end: int, kind: str) -> tuple[int, int] | Non
 
 def find(texts: list[str], field: Field) -> list[list[tuple[str, int, int, bool]]]:
     """All spans of each text, by start and kind: base ones, and the field's where no base one is."""
-    maybe = [k for k, t in enumerate(texts) if _CANDIDATE.search(t)]
-    tagged = dict(zip(maybe, tag([texts[k] for k in maybe], field), strict=True))
     out = []
-    for k, text in enumerate(texts):
-        if k not in tagged:
-            out.append([])
-            continue
-        base = base_spans(text)
+    for text, tagged in zip(texts, tag(texts, field), strict=True):
+        base = base_spans(text) if _CANDIDATE.search(text) else []  # every pattern has a digit or an at sign
         spans = [(*s, True) for s in base]
         ends = sorted(base, key=lambda s: s[1])
         starts = [s[1] for s in ends]
         reach = np.maximum.accumulate([s[2] for s in ends]) if ends else np.zeros(0, np.int64)
-        for kind, a, b in tagged[k]:
+        for kind, a, b in tagged:
             n = int(np.searchsorted(starts, b)) if starts else 0  # base spans that start before b
             if not n or reach[n - 1] <= a:
                 spans.append((kind, a, b, False))
@@ -409,9 +475,9 @@ def default_field() -> Field:
     return train(examples())
 
 
-def trained(labelled: DataFrame) -> Field:
-    """A field from a table (sentence, position, word, tag) of at most MAX_LABELLED rows, the first sentences of a larger one."""
-    rows = labelled.where("word is not null and tag is not null").orderBy("sentence", "position").limit(MAX_LABELLED).collect()
+def trained(labelled: DataFrame, most: int = MAX_LABELLED) -> Field:
+    """A field from a table (sentence, position, word, tag) of at most ``most`` rows, the first sentences of a larger one."""
+    rows = labelled.where("word is not null and word <> '' and tag is not null").orderBy("sentence", "position").limit(most).collect()
     return train((r.sentence, r.position, r.word, r.tag) for r in rows)
 
 
@@ -423,7 +489,8 @@ def find_in(docs: DataFrame, text: str = "text", result: str = "spans", field: F
     """Adds ``result``: the spans (kind, start, end in code points, whether a base pattern) of each whole text.
 
     A null or empty text has none. Rows, repeated ones too, and other columns stay; an input column called
-    like the result gives way. An empty table gives an empty one. Texts and words of any length are read whole.
+    like the result gives way. An empty table gives an empty one. Texts and words of any length are read whole; a text
+    that is all matches takes some 600 bytes a match.
     """
     model = _shared(docs, field)
     work = per_text(lambda texts: _packed(find(texts, model.value)), _SPANS)
@@ -431,14 +498,21 @@ def find_in(docs: DataFrame, text: str = "text", result: str = "spans", field: F
 
 
 def redacted(docs: DataFrame, text: str = "text", field: Field | None = None) -> DataFrame:
-    """The documents with every span replaced by its kind in angle brackets; a null text stays null."""
+    """The documents with every span of the column ``text`` (in any case) replaced by its kind in angle brackets.
+
+    A null text stays null and an empty one empty. Rows, repeated ones too, and all other columns stay as they are, whatever they are
+    called. An empty table gives an empty one. Texts of any length are read whole.
+    """
     model = _shared(docs, field)
 
     def work(texts: list[str]) -> pa.Array:
         return pa.array([redact(t, s) for t, s in zip(texts, find(texts, model.value), strict=True)], pa.string())
 
+    meant = [c for c in docs.columns if c == text] or [c for c in docs.columns if c.lower() == text.lower()]
+    if len(meant) != 1:
+        raise ValueError(f"{len(meant)} columns are called {text}")
     new = F.arrow_udf(per_text(work, pa.string()), "string")(F.col(f"`{text}`").cast("string"))
-    return docs.select(*[F.when(F.col(f"`{c}`").isNotNull(), new).alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns])
+    return docs.select(*[F.when(F.col(f"`{c}`").isNotNull(), new).alias(c) if c == meant[0] else F.col(f"`{c}`") for c in docs.columns])
 
 
 def listed(spans: Column) -> Column:

@@ -15,6 +15,9 @@ CUES = {
     "phone": ["phone", "tel", "tel:", "call", "mobile", "on"],
     "secret": ["token =", "TOKEN =", "key =", "api_key =", "secret =", "password =", "token:"],
 }
+# What announces a secret of letters, and words that follow such words in plain speech.
+LETTER_CUES = ["password =", "password:", "Password:", "passwd =", "passphrase:", "secret =", "secret:", "token =", "pwd:", "key ="]
+PLAIN = "is was for of to in and must can will has that which the a".split()
 MARKS = ["", "", "", "", ".", ",", "!!", "###", "***", "$$$", "%%%", "&&&", ";"]
 
 
@@ -68,6 +71,33 @@ def _example(r: random.Random, kind: str) -> list[str]:
     return [f'"{text}"' if r.random() < 0.7 else text]
 
 
+def _letters(r: random.Random) -> str:
+    """A secret of letters alone."""
+    a, b = _word(r), _word(r)
+    text = r.choice([a, a + b, a.capitalize() + b.capitalize(), (a + b).upper(), f"{a}-{b}", f"{a}_{b}", a + b + _word(r)])
+    return f'"{text}"' if r.random() < 0.4 else text
+
+
+def _filler(r: random.Random) -> str:
+    """A word that is nothing, of any length and shape: what a secret of letters looks like tells nothing by itself."""
+    kind = r.random()
+    if kind < 0.4:
+        return _word(r)
+    if kind < 0.55:
+        return r.choice([str.lower, str.lower, str.capitalize, str.upper])(r.choice(PLAIN))
+    if kind < 0.75:
+        return "".join(r.choice(SYLLABLES) for _ in range(r.randint(3, 9)))
+    if kind < 0.85:
+        return _letters(r).strip('"')
+    return r.choice([lambda: _word(r).capitalize(), lambda: _word(r).upper(), lambda: r.choice("aeiAEIBCDXYZ"), lambda: r.choice([str.lower, str.upper])(_word(r).replace("e", r.choice("éèüñó"))), lambda: r.choice(["-", "|", "=", ":", "***", "###", "$$$", "—", "&", "//", "日本", "{", "}"]), lambda: f"<{_word(r)}>", lambda: f"{_word(r)}'{r.choice('sdt')}"])()
+
+
+def _speech(r: random.Random) -> list[str]:
+    """Words that announce something, in plain speech, and signs that announce nothing."""
+    cue = r.choice(LETTER_CUES).split()[0].strip(":").lower()
+    return r.choice([lambda: [cue, r.choice(PLAIN), _word(r)], lambda: [f"{_word(r)}:", _word(r)], lambda: [_word(r), "=", _word(r)], lambda: [cue, _word(r)], lambda: [cue + r.choice(".,"), _word(r)], lambda: [f'"{_word(r)}"', _word(r)]])()
+
+
 def _nothing(r: random.Random) -> list[str]:
     """Words with digits or an at sign that are none of it."""
     n = r.randint(0, 5000)
@@ -102,18 +132,22 @@ def _nothing(r: random.Random) -> list[str]:
     )()
 
 
-def examples(count: int = 1000, seed: int = 11) -> list[tuple[int, int, str, str]]:
+def examples(count: int = 1500, seed: int = 11) -> list[tuple[int, int, str, str]]:
     """(sentence, position, word, tag) of so many sentences; tags are O, B-kind and I-kind."""
     r = random.Random(seed)
     rows = []
     for n in range(count):
         words: list[tuple[str, str]] = []
         for _ in range(r.randint(1, 3)):
-            words += [(_word(r) + r.choice(MARKS), "O") for _ in range(r.randint(1, 4))]
-            kind = r.choice([*CUES, None, None, None, None])
-            if kind is None:
+            words += [(_filler(r) + r.choice(MARKS), "O") for _ in range(r.randint(1, 8))]
+            kind = r.choice([*CUES, "letters", "letters", None, None, None, None, "speech"])
+            if kind in (None, "speech"):
+                mark = r.choice(MARKS)
+                found = [(w, "O") for w in (_nothing(r) if kind is None else _speech(r))]
+            elif kind == "letters":
                 mark = r.choice(MARKS)
-                found = [(w, "O") for w in _nothing(r)]
+                words += [(w, "O") for w in r.choice(LETTER_CUES).split()]
+                found = [(_letters(r), "B-secret")]
             else:
                 if kind == "secret" or r.random() < 0.3:
                     words += [(w, "O") for w in r.choice(CUES[kind]).split()]
@@ -126,11 +160,11 @@ def examples(count: int = 1000, seed: int = 11) -> list[tuple[int, int, str, str
                     tags = [f"B-{kind}", *[f"I-{kind}"] * (len(things) - 1)]
                 found = [(w + each * (k < len(things) - 1), t) for k, (w, t) in enumerate(zip(things, tags, strict=True))]
             words += found[:-1] + [(found[-1][0] + mark, found[-1][1])]
-        words += [(_word(r), "O") for _ in range(r.randint(0, 2))]
+        words += [(_filler(r), "O") for _ in range(r.randint(0, 3))]
         rows += [(n, k, w, t) for k, (w, t) in enumerate(words)]
     return rows
 
 
-def labelled(spark: SparkSession, count: int = 1000, seed: int = 11) -> DataFrame:
+def labelled(spark: SparkSession, count: int = 1500, seed: int = 11) -> DataFrame:
     """The same as a table."""
     return spark.createDataFrame(examples(count, seed), "sentence int, position int, word string, tag string")
