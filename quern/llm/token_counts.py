@@ -1,10 +1,11 @@
 """Token counts without ids: pieces are counted once for each distinct pre-token.
 
-A document is its pre-tokens and how often each occurs in it. Joining them to the number of pieces of every
+A document is its pre-tokens and how often each occurs in it. Joining them to a table with the number of pieces of every
 distinct pre-token and summing gives its tokens. The join is split by heat, as one pre-token may be a
-third of all: pieces of frequent pre-tokens (found on a bounded sample of texts, which decides speed
-alone) are counted on the driver and broadcast, and their frequencies are summed where the text is read; all
-others are dealt by pre-token, so that each is counted once in the cluster, and then summed by document.
+third of all: pieces of pre-tokens that are frequent in a bounded sample, drawn over the whole table, are counted
+on the driver and broadcast, and their frequencies are summed where the text is read. All others go through
+the table of pieces, where each distinct one is counted once, and a sort-merge join whose large partitions
+Spark splits; so a frequent pre-token that the sample lacks, or a long one, costs time but never fills one task.
 """
 
 from __future__ import annotations
@@ -13,18 +14,17 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import Bpe, bpe_from
-from .common import OWN, WHITE, text_slices
+from .common import OWN, WHITE, text_slices, written
 
-#: Documents of the sample, frequent pre-tokens that are broadcast, and the bytes of the longest: at most 6 MB.
-SAMPLED, FREQUENT, LONGEST = 4_000, 1 << 18, 24
+#: Documents of the sample (about), frequent pre-tokens that are broadcast, and the bytes of the longest: at most 6 MB.
+SAMPLED, FREQUENT, LONGEST, SEED = 4_000, 1 << 18, 24, 3
 LIMIT = 2048
-#: A worker forgets what chunks fall into beyond so many chunks.
+#: A worker forgets what chunks fall into beyond so many chunks; their pieces are counted elsewhere, once.
 REMEMBERED = 300_000
 _CHUNK = re.compile(f"[^{WHITE}]+")
 
@@ -71,8 +71,9 @@ def _frequencies(path: str):
 
 
 def frequent(docs: DataFrame, path: str, text: str = "text") -> dict[bytes, int]:
-    """Pieces of at most FREQUENT pre-tokens of at most LONGEST bytes, the most frequent of SAMPLED documents."""
-    sample = docs.select(F.col(f"`{text}`").cast("string").alias("text")).limit(SAMPLED)
+    """Pieces of at most FREQUENT pre-tokens of at most LONGEST bytes, the most frequent of some SAMPLED documents anywhere in the table."""
+    n = docs.count()
+    sample = docs.select(F.col(f"`{text}`").cast("string").alias("text")).sample(min(1.0, SAMPLED / max(n, 1)), SEED)
     counted = sample.mapInArrow(_frequencies(path), "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
     words = [bytes(r.word) for r in counted.orderBy(F.desc("n"), "word").limit(FREQUENT).select("word").collect()]
     return dict(zip(words, pieces(bpe_from(path), words), strict=True))
@@ -104,21 +105,13 @@ def _split(path: str, hot):
     return run
 
 
-def _count_dealt(path: str):
-    """Rows dealt by pre-token to rows with pieces times occurrences; a partition counts each pre-token once."""
+def _pieces(path: str):
+    """Batches of distinct pre-tokens to their numbers of pieces."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[bytes | None, int] = {None: 1}  # a document's own row has a sum in place of occurrences
         bpe = bpe_from(path)
         for batch in batches:
-            words = batch.column("word").to_pylist()
-            new = list({w for w in words if w not in known})
-            known.update(zip(new, pieces(bpe, new), strict=True))
-            each = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
-            total = each * batch.column("n").to_numpy()
-            yield pa.record_batch([batch.column("row"), batch.column("carried"), pa.array(total)], names=["row", "carried", "n"])
-            if len(known) > REMEMBERED:
-                known = {None: 1}
+            yield pa.record_batch([batch.column(0), pa.array(pieces(bpe, batch.column(0).to_pylist()), pa.int64())], names=["word", "k"])
 
     return run
 
@@ -129,20 +122,19 @@ def count_tokens(docs: DataFrame, path: str, text: str = "text", result: str = "
 
     A null or empty text has none. Every row stays, repeated rows too; an input column called like the
     result gives way. An empty table gives an empty one. Texts stay where they are read; rare pre-tokens,
-    sums and the other columns are dealt out.
+    sums and the other columns are written to the shared folder and dealt out.
     """
     hot = docs.sparkSession.sparkContext.broadcast(frequent(docs, path, text))
     others = [c for c in docs.columns if c.lower() not in (text.lower(), result.lower())]
     carried = F.struct(F.lit(0).alias(f"{OWN}0"), *[F.col(f"`{c}`") for c in others])
     split = F.arrow_udf(_split(path, hot), "struct<n: bigint, rest: array<struct<word: binary, n: bigint>>>")
     rows = docs.select(carried.alias("carried"), F.monotonically_increasing_id().alias("row"), split(F.col(f"`{text}`").cast("string")).alias("split"))
-    own = F.array(F.struct(F.lit(None).cast("binary").alias("word"), F.col("split")["n"].alias("n")))
-    rows = rows.select("row", "carried", F.posexplode(F.concat(own, F.col("split")["rest"])).alias("k", "part"))
-    rows = rows.select("row", F.when(F.col("k") == 0, F.col("carried")).alias("carried"), F.col("part")["word"].alias("word"), F.col("part")["n"].alias("n"))
-    kind = rows.select("row", "carried", "n").schema
-    dealt = rows.repartition(F.when(F.col("word").isNull(), F.col("row")).otherwise(F.xxhash64("word")))
-    sums = dealt.mapInArrow(_count_dealt(path), kind).groupBy("row").agg(F.first("carried", ignorenulls=True).alias("carried"), F.sum("n").alias("n"))
-    return sums.select(*[F.col("carried")[c].alias(c) for c in others], F.col("n").alias(result))
+    rows = written(rows.select("carried", "row", "split.n", "split.rest"), "frequencies")
+    rare = rows.select("row", F.inline("rest").alias("word", "times"))
+    known = written(rare.select("word").distinct().mapInArrow(_pieces(path), "word binary, k long"), "pieces")
+    sums = rare.join(known.hint("merge"), "word").groupBy("row").agg(F.sum(F.col("times") * F.col("k")).alias("more"))
+    total = rows.select("carried", "row", "n").join(sums, "row", "left")
+    return total.select(*[F.col("carried")[c].alias(c) for c in others], (F.col("n") + F.coalesce("more", F.lit(0))).alias(result))
 
 
 def digests(docs: DataFrame, path: str, limit: int = LIMIT) -> DataFrame:
