@@ -2,7 +2,8 @@
 
 Documents are counted by source and exact length. For each source the budget left after whole passes is
 filled from these counts: an even share of every length first, then, largest length first, down to a
-window that a bounded-knapsack programme fills exactly where any sum of the leftover lengths does. The
+window that a bounded-knapsack programme fills. If no sum of the lengths left over fills it, some of the even share is given
+back and a window of twice the size is tried, until one is filled or the programme has had the whole budget. The
 numbers taken of each length then select documents by a seeded hash of their id.
 """
 
@@ -17,11 +18,11 @@ from .common import OWN, packed, source_key, unpacked, with_results, written
 
 #: Weights of the sources in the order of their names, repeating; shares of all sizes; the most of a source's size.
 WEIGHTS, SHARE, MOST = (3, 1, 2), 1.5, 2.0
-#: Words that the knapsack programme fills, and parts in which documents of one length are ranked.
-WINDOW, SALTS, SEED = 1 << 17, 64, 7
+#: Words that the knapsack programme fills at first (5 bytes each). Parts in which documents of one length are ranked: at least, and rows of all sources for each.
+WINDOW, SALTS, ROWS_A_SALT, SEED = 1 << 17, 64, 1 << 16, 7
 WORD = r"[^\x20\x09-\x0D]+"
 
-_KEY, _SIZE, _HASH, _SALT = f"{OWN}source", "size", f"{OWN}hash", f"{OWN}salt"
+_KEY, _SIZE, _HASH, _TIE, _SALT = f"{OWN}source", "size", f"{OWN}hash", f"{OWN}tie", f"{OWN}salt"
 
 
 def words_of(text: Column) -> Column:
@@ -52,7 +53,7 @@ def subset_sum(sizes: np.ndarray, left: np.ndarray, budget: int) -> np.ndarray:
     take = np.zeros(len(sizes), np.int64)
     if budget <= 0:
         return take
-    first = np.full(budget + 1, -1, np.int64)  # the item that first reaches a sum; items before it reach the rest
+    first = np.full(budget + 1, -1, np.int32)  # the item that first reaches a sum; items before it reach the rest
     reach = np.zeros(budget + 1, bool)
     reach[0] = True
     items: list[tuple[int, int]] = []
@@ -96,11 +97,25 @@ def fit(sizes: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
         more = min(int(n[k] - t[k]), (rest - WINDOW) // int(s[k]))
         t[k] += more
         rest -= more * int(s[k])
-    fits = np.flatnonzero((n > t) & (s <= rest))
-    more = subset_sum(s[fits], (n - t)[fits], rest)
+    best = budget - budget % int(np.gcd.reduce(s))  # no sum of the lengths is nearer
+    window, least = WINDOW, None
+    while True:
+        fits = np.flatnonzero((n > t) & (s <= rest))
+        more = subset_sum(s[fits], (n - t)[fits], rest)
+        left = rest - int((more * s[fits]).sum())
+        if least is None:
+            # steps from here to a best choice can be ordered so that their sums stay within the largest length, and steps between equal
+            # sums can be left out: a best choice is at most twice that length steps away, so no more of a length need be given back
+            done = t.copy()
+            done[fits] += more
+            least = np.maximum(done - 2 * int(s.max()), 0)
+        if budget - left >= best or (t <= least).all():
+            break
+        window, free = 2 * window, np.maximum(t - least, 0)
+        back = np.minimum(free, -(-(free.astype(object) * max(window - rest, 1)) // int((free * s).sum())).astype(np.int64))
+        t = t - back
+        rest += int((back * s).sum())
     t[fits] += more
-    if rest > int((more * s[fits]).sum()) and budget <= WINDOW:  # few documents: the even share may stand in the way
-        t = subset_sum(s, n, budget)
     take[real] = t
     return take
 
@@ -118,19 +133,21 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
 
     size is the number of words of the whole text (null: 0); copies how often the mix takes the document, 0 to
     2, and taken its words, repeats counted. Every row stays. A null source is a source, the last. Which
-    documents of a length are taken depends on the seed, the id and the text alone; rows that agree in all of
-    them are interchangeable. Documents without words take part with no words. Input columns called like the
+    documents of a length are taken depends on the seed, the id and the text, and of rows that agree in these on the
+    other columns but maps; rows that agree in all are interchangeable. Documents without words take part with no words. Input columns called like the
     results give way. An empty table gives an empty one.
     """
     row_hash = F.xxhash64(F.lit(seed), F.col(f"`{doc_id}`"), F.col(f"`{text}`").cast("string"))
-    sized = with_results(docs, {_SIZE: words_of(F.col(f"`{text}`")), _HASH: row_hash})
+    others = [F.col(f"`{c}`") for c, kind in docs.dtypes if c not in (doc_id, text) and "map<" not in kind and kind not in ("variant", "void")]
+    sized = with_results(docs, {_SIZE: words_of(F.col(f"`{text}`")), _HASH: row_hash, _TIE: F.xxhash64(F.lit(seed), *others)})
     return mixed(sized if keep_text else sized.drop(text), source)
 
 
 def mixed(sized: DataFrame, source: str = "source") -> DataFrame:
     """:func:`mix` from its first step on: rows with their size and hash."""
-    keyed = with_results(sized, {_KEY: source_key(F.col(f"`{source}`")), _SALT: F.pmod(_HASH, F.lit(SALTS))})
-    keyed = written(keyed, "sized")
+    keyed = written(with_results(sized, {_KEY: source_key(F.col(f"`{source}`"))}), "sized")
+    salts = max(SALTS, keyed.count() // ROWS_A_SALT)
+    keyed = keyed.withColumn(_SALT, F.pmod(_HASH, F.lit(salts)))
     plain = keyed.select(_KEY, F.col(f"`{source}`").cast("string").alias("source"), _SIZE, _SALT)
     by_salt = written(plain.groupBy(_KEY, "source", _SIZE, _SALT).agg(F.count(F.lit(1)).alias("n")), "lengths")
     lengths = by_salt.groupBy(_KEY, _SIZE).agg(F.sum("n").alias("n"))
@@ -138,12 +155,12 @@ def mixed(sized: DataFrame, source: str = "source") -> DataFrame:
     goals = written(targets(sums), "targets")
     # a source has at most as many lengths as the root of twice its words
     plan = lengths.join(goals, _KEY).groupBy(_KEY).applyInPandas(_fit_source, f"`{_KEY}` string, size long, passes int, more long")
-    before = Window.partitionBy(_KEY, _SIZE).orderBy(_SALT).rowsBetween(Window.unboundedPreceding, -1)  # at most SALTS rows
+    before = Window.partitionBy(_KEY, _SIZE).orderBy(_SALT).rowsBetween(Window.unboundedPreceding, -1)  # at most a row for each salt
     parts = by_salt.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))).join(plan, [_KEY, _SIZE])
     parts = parts.join(goals.select(_KEY, "source_size", "target"), _KEY)
     quota = F.greatest(F.lit(0), F.least(F.col("n"), F.col("more") - F.col("before")))
     parts = parts.select(_KEY, _SIZE, _SALT, *[c.alias(f"{OWN}{n}") for n, c in (("quota", quota), ("passes", F.col("passes")), ("source_size", F.col("source_size")), ("target", F.col("target")))])
-    rank = F.row_number().over(Window.partitionBy(_KEY, _SIZE, _SALT).orderBy(_HASH))
+    rank = F.row_number().over(Window.partitionBy(_KEY, _SIZE, _SALT).orderBy(_HASH, _TIE))
     chosen = keyed.withColumn(f"{OWN}rank", rank).join(parts, [_KEY, _SIZE, _SALT])
     copies = F.col(f"{OWN}passes") + (F.col(f"{OWN}rank") <= F.col(f"{OWN}quota")).cast("int")
     out = with_results(
@@ -155,11 +172,14 @@ def mixed(sized: DataFrame, source: str = "source") -> DataFrame:
             "taken": (copies * F.col(_SIZE)).cast("long"),
         },
     )
-    return out.drop(_KEY, _HASH, _SALT, *[f"{OWN}{n}" for n in ("rank", "quota", "passes", "source_size", "target")])
+    return out.drop(_KEY, _HASH, _TIE, _SALT, *[f"{OWN}{n}" for n in ("rank", "quota", "passes", "source_size", "target")])
 
 
 def mixture(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", seed: int = SEED) -> DataFrame:
-    """The mix itself: each document of :func:`mix` as often as it is taken, with its own columns."""
+    """The mix itself: each document of :func:`mix` as often as it is taken, with its own columns, whatever these are called.
+
+    Documents without words, null texts too, are taken like any others of their length. An empty table gives an empty one.
+    """
     rows = mix(packed(docs, doc_id, text, source), doc_id, text, source, seed, keep_text=False).where("copies > 0")
     return unpacked(rows.withColumn(f"{OWN}copy", F.explode(F.array_repeat(F.lit(0), F.col("copies")))), docs)
 

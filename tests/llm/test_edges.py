@@ -6,6 +6,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from quern.llm import bpe, licenses, mixing, pii, pii_examples, preferences, quality, sharding, simhash, token_counts, vectors
@@ -87,6 +88,16 @@ def test_token_counts_without_frequent_pre_tokens(spark, monkeypatch):
     assert found == {k: len(c.ids) for k, c in enumerate(coded)}
 
 
+def test_token_counts_of_a_hot_word_outside_the_first_documents_and_of_a_long_one(spark, monkeypatch):
+    monkeypatch.setattr(token_counts, "SAMPLED", 20)
+    long = "x" * 40
+    texts = [f"früh{k} only here" for k in range(300)] + [f"späterwort {long} " * 50 + f"zahl{k}" for k in range(300)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    found = {r.doc_id: r.n_tokens for r in token_counts.count_tokens(docs, PATH).collect()}
+    coded = Tokenizer.from_file(PATH).encode_batch(texts, add_special_tokens=False)
+    assert found == {k: len(c.ids) for k, c in enumerate(coded)}
+
+
 def test_subset_sums_are_the_largest_within_the_budget():
     rng = random.Random(4)
     for _ in range(300):
@@ -101,6 +112,33 @@ def test_subset_sums_are_the_largest_within_the_budget():
         assert int((mixing.subset_sum(sizes, left, budget) * sizes).sum()) == max(s for s in sums if s <= budget)
 
 
+def test_shortfalls_are_filled_at_every_size(monkeypatch):
+    monkeypatch.setattr(mixing, "WINDOW", 32)
+    rng = random.Random(12)
+    for _ in range(200):
+        sizes = np.array(rng.sample(range(20, 90), rng.randint(2, 4)))
+        left = np.array([rng.randint(1, 30) for _ in sizes])
+        budget = rng.randint(1, int((sizes * left).sum()))
+        sums = 1  # bit n: n words can be had
+        for s, n in zip(sizes, left, strict=True):
+            for _ in range(n):
+                sums |= sums << int(s)
+        take = mixing.fit(sizes, left, budget)
+        assert (take <= left).all() and (take >= 0).all()
+        assert int((take * sizes).sum()) == (sums & ((1 << (budget + 1)) - 1)).bit_length() - 1
+
+
+def test_a_shortfall_that_nothing_fills_costs_little():
+    take = mixing.fit(np.array([1000, 1001]), np.array([10_000_000, 1]), 5_000_000_500)  # only 0 and 1 beyond a multiple of 1,000
+    assert int((take * np.array([1000, 1001])).sum()) == 5_000_000_001
+
+
+def test_mix_of_rows_that_differ_in_other_columns_alone(spark):
+    docs = spark.createDataFrame([(1, "a b c", "s", k) for k in range(40)], "doc_id long, text string, source string, k int")
+    runs = [sorted(r.k for r in mixing.mixture(d).collect()) for d in (docs, docs.repartition(7), docs.orderBy(F.desc("k")))]
+    assert runs[0] == runs[1] == runs[2] and len(runs[0]) == 60
+
+
 def test_mixing_targets_with_hot_empty_and_null_sources(spark):
     data = [(k, "w " * 10, "hot") for k in range(300)] + [(k, "w " * (k % 7), None) for k in range(300, 360)] + [(900, "", "empty"), (901, None, "empty")]
     out = mixing.mix(spark.createDataFrame(data, "doc_id long, text string, source string")).toPandas()
