@@ -28,15 +28,22 @@ def parse(text: Column) -> Column:
 
 
 def from_url_path(url: Column) -> Column:
-    """Year and month of a path such as /2025/11/; both must be there."""
-    pattern = "/(20[0-9]{2})/(0[1-9]|1[0-2])(?:/(0[1-9]|[12][0-9]|3[01])(?:/|$))?(?:/|$)?"
-    return partial(_number(url, pattern, 1), _number(url, pattern, 2), _number(url, pattern, 3))
+    """Year, month and perhaps day of a path such as /2025/11/; year and month must each be a whole part of the path."""
+    path = F.regexp_replace(url, "[?#].*$", "")
+    pattern = "/(20[0-9]{2})/(0[1-9]|1[0-2])(?:/(0[1-9]|[12][0-9]|3[01]))?(?=/|$)"
+    return partial(_number(path, pattern, 1), _number(path, pattern, 2), _number(path, pattern, 3))
 
 
 def from_html_meta(html: Column) -> Column:
-    """The publication day that a page states about itself."""
-    pattern = "<meta[^>]*(?:published_time|datePublished|name=\"date\")[^>]*content=\"([0-9]{4})-([0-9]{2})(?:-([0-9]{2}))?"
-    return partial(_number(html, pattern, 1), _number(html, pattern, 2), _number(html, pattern, 3))
+    """The publication day that a page states about itself: of the first meta element that names and holds one.
+
+    Attributes may stand in any order and in either kind of quotes, or none.
+    """
+    named = "(?i)\\s(?:name|property|itemprop)\\s*=\\s*[\"']?(?:[\\w:.-]*published_time|datePublished|date)[\"'\\s/>]"
+    held = "(?i)\\scontent\\s*=\\s*[\"']?\\s*([0-9]{4})-([0-9]{2})(?:-([0-9]{2}))?"
+    elements = F.regexp_extract_all(html, F.lit("(?is)<meta\\b[^>]*>"), F.lit(0))
+    first = F.get(F.filter(elements, lambda x: x.rlike(named) & x.rlike(held)), F.lit(0))
+    return partial(_number(first, held, 1), _number(first, held, 2), _number(first, held, 3))
 
 
 def precision(date: Column) -> Column:

@@ -1,4 +1,4 @@
-"""What an issuer's name tells: whether it is regional, and its country."""
+"""What an issuer's name tells: whether it is regional, what else it is, and its country."""
 
 from __future__ import annotations
 
@@ -7,17 +7,28 @@ from pyspark.sql import functions as F
 
 # Patterns of names that are central though they look regional, then of regional ones.
 CENTRAL = ["교육부.*교육청", "Ministry of Local Government"]
+# Patterns of names of universities, laboratories and companies.
+KINDS = {
+    "university": ["대학교", r"\bUniversit(y|é|ät|at|e)\b", r"\bCollege\b", r"\bInstitute of Technology\b"],
+    "lab": ["연구소", "연구원", r"\bLab(s|oratory|oratories)?\b", r"\bResearch (Institute|Center|Centre)\b"],
+    "company": ["주식회사", r"\(주\)", r"\b(Inc|Corp|Corporation|Ltd|LLC|GmbH|PLC|Company)\b", r"\b(LG|CJ|OpenAI|Anthropic|Microsoft|Google|Meta|NAVER|Kakao)\b"],
+}
 REGIONAL = ["교육청", "광역시", "특별시", "(State|City|County) of ", "Municipal", "(省|市)人民政府", "Provincial (People's )?Government", "Alberta"]
 
 
+def _any(issuer: Column, patterns: list[str]) -> Column:
+    found = F.lit(False)
+    for p in patterns:
+        found = found | issuer.rlike(p)
+    return found
+
+
 def level(issuer: Column) -> Column:
-    """central for the exceptions, regional for regional names, else central; null stays null."""
-    exception, regional = F.lit(False), F.lit(False)
-    for p in CENTRAL:
-        exception = exception | issuer.rlike(p)
-    for p in REGIONAL:
-        regional = regional | issuer.rlike(p)
-    return F.when(issuer.isNull(), F.lit(None)).when(exception, "central").when(regional, "regional").otherwise("central")
+    """central for the exceptions, regional for regional names, university, lab or company for those, else central; null stays null."""
+    out = F.when(issuer.isNull(), F.lit(None)).when(_any(issuer, CENTRAL), "central").when(_any(issuer, REGIONAL), "regional")
+    for kind, patterns in KINDS.items():
+        out = out.when(_any(issuer, patterns), kind)
+    return out.otherwise("central")
 
 
 def fill_country(docs: DataFrame, by_host: DataFrame, by_issuer: DataFrame, host: Column) -> DataFrame:

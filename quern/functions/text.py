@@ -54,9 +54,13 @@ def title_key(title: Column) -> Column:
 
 
 def url_key(url: Column) -> Column:
-    """An address without scheme, www and a last slash; its fragment stays, as it can name another document."""
-    bare = F.regexp_replace(F.lower(F.trim(url)), "^(https?:)?//(www[.])?", "")
-    return F.regexp_replace(bare, "/+($|[#])", "$1")
+    """An address without scheme, www and the slashes that end its path.
+
+    Only scheme and host are the same in any case. Path, query and fragment stay as they are, as they can name another document.
+    """
+    bare = F.trim(url)
+    server = "^(?:[Hh][Tt][Tt][Pp][Ss]?:)?//(?:[Ww][Ww][Ww][.])?([^/?#]*)"
+    return F.concat(F.lower(F.regexp_extract(bare, server, 1)), F.regexp_replace(F.regexp_replace(bare, server, ""), "^([^?#]*?)/+($|[?#])", "$1$2"))
 
 
 def url_host(url: Column) -> Column:
@@ -111,5 +115,5 @@ def country_flag(code: Column) -> Column:
 def words_replaced(text: Column, dictionary: dict[str, str]) -> Column:
     """Whole words replaced by those of a small dictionary, longer entries first; names that it lacks stay."""
     for word in sorted(dictionary, key=lambda w: (-len(w), w)):
-        text = F.regexp_replace(text, f"\\b{word}\\b", dictionary[word])
+        text = F.regexp_replace(text, rf"\b\Q{word}\E\b", F.lit(dictionary[word].replace("\\", r"\\").replace("$", r"\$")))
     return text

@@ -11,6 +11,16 @@ from pyspark.sql import functions as F
 KIND_TOPICS = ("윤리·규범", "법", "가이드라인", "표준")
 
 
+# The colour of each kind of document.
+KIND_COLOURS = {"law": "#1d4ed8", "bill": "#be123c", "admin": "#0369a1", "treaty": "#3d3a6e", "declaration": "#a16207", "guideline": "#0f766e", "strategy": "#c2410c", "report": "#474284", "standard": "#7c3aed", "institution": "#3f5340", "news": "#b44a58", "other": "#534f4a"}
+
+
+def kind_colour(kind: Column) -> Column:
+    """The colour of a kind; that of other kinds for a kind that isn't known, null for none."""
+    known = F.create_map(*[F.lit(x) for pair in KIND_COLOURS.items() for x in pair])
+    return F.when(kind.isNotNull(), F.coalesce(F.try_element_at(known, kind), F.lit(KIND_COLOURS["other"])))
+
+
 def rule_score(text: Column, weights: Mapping[str, float]) -> Column:
     """The sum of the weights of the patterns found in a text."""
     score = F.lit(0.0)

@@ -2,19 +2,17 @@
 
 from __future__ import annotations
 
-import uuid
-
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quern.functions import dates
 from quern.functions import text as T
+from quern.sources.shared import shared_folder
 
 
 def _saved(df: DataFrame) -> DataFrame:
     """Cuts the lineage by a checkpoint in the shared folder."""
-    context = df.sparkSession.sparkContext
-    if not context._jsc.sc().getCheckpointDir().isDefined():
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or f"/tmp/quern-{uuid.uuid4().hex}")
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 
@@ -62,11 +60,15 @@ def match_edges(records: DataFrame, same: DataFrame | None = None, apart: DataFr
 def merge(clustered: DataFrame, priority: str = "priority") -> DataFrame:
     """One row for each cluster: the fields of its best record, and the sources of all.
 
-    The record with the smallest ``priority`` wins, of equal ones that with the smallest id; fields
-    that it lacks come from the next that has them.
+    The record with the smallest ``priority`` wins, of equal ones that with the earliest date known to the day (column
+    ``date``, text or a partial date, if there is one), then that with the smallest id; fields that it lacks come from the next that has them.
     """
     fields = [c for c in clustered.columns if c not in ("cluster", "id", "source", priority)]
-    order = F.struct(F.col(priority), F.col("id"))
+    day = F.lit(None).cast("int")
+    if "date" in clustered.columns:
+        date = dates.parse(F.col("date")) if clustered.schema["date"].dataType.typeName() == "string" else F.col("date")
+        day = F.when(dates.precision(date) == 3, dates.sort_key(date))
+    order = F.struct(F.col(priority), day.isNull(), day, F.col("id"))
     kept = [F.min_by(F.struct(F.col(c).alias("v")), F.when(F.col(c).isNotNull(), order))["v"].alias(c) for c in fields]
     return clustered.groupBy("cluster").agg(F.min_by("id", order).alias("id"), *kept, F.array_sort(F.collect_set("source")).alias("sources"), F.count(F.lit(1)).alias("n_records"))
 
@@ -86,8 +88,9 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
 
 def told_apart(docs: DataFrame) -> DataFrame:
     """Adds display_title: documents of one title get their bill number or, of several issuers, their issuer behind it."""
-    same = Window.partitionBy("title")
-    rows = docs.withColumns({"_n": F.count(F.lit(1)).over(same), "_issuers": F.size(F.collect_set("issuer").over(same))})
-    suffix = F.when(F.col("_n") > 1, F.when(F.col("bill_no").isNotNull(), F.col("bill_no")).when(F.col("_issuers") > 1, F.col("issuer")))
+    # three numbers for each title, combined before the shuffle and joined back, so a common title fills no task
+    titles = docs.where("title is not null").groupBy(F.col("title").alias("_title"))
+    titles = titles.agg(F.count(F.lit(1)).alias("_n"), (F.min("issuer") != F.max("issuer")).alias("_several")).where("_n > 1")
+    suffix = F.when(F.col("_n") > 1, F.when(F.col("bill_no").isNotNull(), F.col("bill_no")).when(F.col("_several"), F.col("issuer")))
     shown = F.when(suffix.isNotNull(), F.concat("title", F.lit(" ("), suffix, F.lit(")"))).otherwise(F.col("title"))
-    return rows.withColumn("display_title", shown).drop("_n", "_issuers")
+    return docs.join(titles, F.col("title") == F.col("_title"), "left").withColumn("display_title", shown).drop("_title", "_n", "_several")

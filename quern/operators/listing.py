@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
+from quern.functions import dates
+
 # The order of the facets.
 FACETS = ("source", "issuer", "country", "kind", "topic")
 
@@ -70,6 +72,19 @@ def months(docs: DataFrame, date: str) -> DataFrame:
     return counts.select("y", "m", F.concat(F.col("y").cast("string"), F.lit("년 "), F.col("m").cast("string"), F.lit("월")).alias("label"), "n", (F.col("y") * 12 + F.col("m") == newest).alias("open"))
 
 
+def date_buckets(docs: DataFrame, date: str) -> DataFrame:
+    """Counts by month, and by year where no month is known; ``date`` is a partial date."""
+    day = F.col(date)
+    rows = docs.where(day["y"].isNotNull()).groupBy(day["y"].alias("y"), day["m"].alias("m")).agg(F.count(F.lit(1)).alias("n"))
+    bucket = F.struct(F.col("y").alias("y"), F.col("m").alias("m"), F.lit(None).cast("int").alias("d"))
+    return rows.select("y", "m", dates.label(bucket).alias("label"), "n")
+
+
+def with_link(docs: DataFrame, url: str = "url") -> DataFrame:
+    """Documents that have an address."""
+    return docs.where(F.coalesce(F.col(url), F.lit("")) != "")
+
+
 def ordered(docs: DataFrame, date: str, key: str, newest: bool = True, k: int | None = None) -> DataFrame:
     """By date, newest or oldest first, then by key; the first k if asked for."""
     by = F.col(date).desc_nulls_last() if newest else F.col(date).asc_nulls_last()

@@ -23,8 +23,9 @@ def postings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
 def bm25(docs: DataFrame, terms: Sequence[str], k: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The k best documents (doc_id, score) for some terms; only counts of these terms leave the scan."""
     wanted = sorted(set(terms))
-    rows = docs.select(F.col(doc_id).alias("doc_id"), tokens(F.col(text)).alias("t"))
-    rows = rows.select("doc_id", F.size("t").alias("length"), *[F.size(F.filter("t", _is(w))).alias(f"tf{i}") for i, w in enumerate(wanted)])
+    low = F.lower(F.coalesce(F.col(text), F.lit("")))
+    tfs = [F.when(low.contains(w), F.regexp_count(low, F.lit(rf"(?<![\p{{L}}\p{{N}}])\Q{w}\E(?![\p{{L}}\p{{N}}])"))).otherwise(F.lit(0)) for w in wanted]
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.regexp_count(low, F.lit(r"[\p{L}\p{N}]+")).alias("length"), *[c.alias(f"tf{i}") for i, c in enumerate(tfs)])
     counts = [F.count(F.when(F.col(f"tf{i}") > 0, 1)).cast("double").alias(f"df{i}") for i in range(len(wanted))]
     stats = rows.agg(F.struct(F.count(F.lit(1)).cast("double").alias("n"), F.avg("length").alias("mean"), *counts).alias("s")).scalar()
     rows = rows.where(" or ".join(f"tf{i} > 0" for i in range(len(wanted)))).withColumn("s", stats)
@@ -36,8 +37,19 @@ def bm25(docs: DataFrame, terms: Sequence[str], k: int, doc_id: str = "doc_id",
     return rows.select("doc_id", F.round(score, 6).alias("score")).orderBy(F.desc("score"), "doc_id").limit(k)
 
 
-def _is(word: str):
-    return lambda t: t == F.lit(word)
+def bm25_indexed(index: DataFrame, stats: DataFrame, terms: Sequence[str], k: int) -> DataFrame:
+    """The k best documents (doc_id, score) by postings (term, doc_id, tf, length) and stats (n, mean) of one row.
+
+    The terms are a filter that reaches the scan; of postings clustered by term few row groups are read.
+    """
+    wanted = sorted(set(terms))
+    found = index.where(F.col("term").isin(*wanted)).select("term", "doc_id", "tf", "length")
+    df = found.groupBy("term").agg(F.count(F.lit(1)).cast("double").alias("df"))
+    s, tf = F.col("s"), F.col("tf").cast("double")
+    rows = found.join(F.broadcast(df), "term").withColumn("s", stats.select(F.struct(F.col("n").cast("double").alias("n"), "mean")).scalar())  # a row for each term asked for
+    idf = F.log(F.lit(1.0) + (s["n"] - F.col("df") + F.lit(0.5)) / (F.col("df") + F.lit(0.5)))
+    score = idf * tf * F.lit(K1 + 1) / (tf + F.lit(K1) * (F.lit(1 - B) + F.lit(B) * F.col("length") / s["mean"]))
+    return rows.groupBy("doc_id").agg(F.round(F.sum(score), 6).alias("score")).orderBy(F.desc("score"), "doc_id").limit(k)
 
 
 def cosine(vector: Column, query: Sequence[float]) -> Column:

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from quern.functions import dates, issuers, text
 from quern.operators import curation, identity, listing, search
+from quern.sources.catalogue import read_documents, read_index, unified, write_index
 from quern.sources.catalogue import read_table as table
-from quern.sources.catalogue import unified
+from quern.sources.shared import scratch
 from quern.streaming import refresh
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -136,10 +137,10 @@ def external_link_flag(spark, d):
     return table(spark, d, "pages").select("page_id", text.is_external(F.col("url")).alias("external"))
 
 
-@query(f"SELECT url, CASE WHEN {EXTERNAL} THEN '_blank' END AS target, CASE WHEN {EXTERNAL} THEN 'noopener noreferrer' ELSE 'noopener' END AS rel, nullif(url, '') AS link, {EXTERNAL} AND url IS DISTINCT FROM 'http://a.test' AS apart FROM {inline(LINKS, 'url')}")
+@query(f"SELECT url, CASE WHEN {EXTERNAL} THEN '_blank' END AS target, CASE WHEN {EXTERNAL} THEN 'noopener noreferrer' ELSE 'noopener' END AS rel, nullif(url, '') AS link, {EXTERNAL} AND url IS DISTINCT FROM 'http://a.test' AS apart FROM (SELECT url FROM pages UNION ALL SELECT url FROM {inline(LINKS, 'url')})")
 def link_rewrite(spark, d):
     url = F.col("url")
-    rows = spark.createDataFrame(LINKS, "url string")
+    rows = table(spark, d, "pages").select("url").unionByName(spark.createDataFrame(LINKS, "url string"))
     return rows.select("url", text.link_target(url).alias("target"), text.link_rel(url, F.lit("noopener")).alias("rel"), text.title_link(url).alias("link"), text.opens_apart(url, F.lit("http://a.test")).alias("apart"))
 
 
@@ -157,11 +158,25 @@ def url_parts(spark, d):
     return table(spark, d, "pages").select("page_id", text.url_host(url).alias("host"), text.url_query(url).alias("query"), text.url_fragment(url).alias("fragment"))
 
 
-URL_KEY = r"regexp_replace(regexp_replace(lower(trim(url)), '^(https?:)?//(www[.])?', ''), '/+($|[#])', '\1')"
-ADDRESSES = [("https://www.a.test/doc/1/",), ("http://a.test/doc/1",), ("https://a.test/doc#part1",), ("https://a.test/doc#part2",), ("https://a.test/x(INI)",), (None,)]
+ADDRESSES = [
+    ("https://www.a.test/doc/1/",), ("http://a.test/doc/1",), ("https://a.test/doc#part1",), ("https://a.test/doc#part2",), ("https://a.test/x(INI)",), (None,),
+    ("HTTP://WWW.A.Test/D?id=AbC#P1",), ("http://a.test/d?id=aBc#p1",), ("//A.test",), ("https://a.test/",), ("https://a.test//?q=/",), ("https://a.test/x/#/y/",), ("/Local/Path//",), ("a.test/x",), ("",), ("https://a.test?x=//b.test/",), (" https://a.test/z/ ",),
+]
 
 
-@query(f"SELECT url, {URL_KEY} AS key FROM pages UNION ALL SELECT url, {URL_KEY} FROM {inline(ADDRESSES, 'url')}")
+def _url_key_sql(rows: str) -> str:
+    """By positions of characters rather than by patterns: the server ends at the first of / ? #, the path at the first of ? #."""
+
+    def first(text: str, signs: str) -> str:
+        return "least(" + ", ".join(f"coalesce(nullif(strpos({text}, '{c}'), 0), 1000000)" for c in signs) + ")"
+
+    return f"""SELECT url, lower(CASE WHEN lower(host[1:4]) = 'www.' THEN host[5:] ELSE host END) || rtrim(tail[1:{first("tail", "?#")} - 1], '/') || tail[{first("tail", "?#")}:] AS key FROM (
+SELECT url, CASE WHEN pos = 0 THEN '' ELSE body[1:{first("body", "/?#")} - 1] END AS host, CASE WHEN pos = 0 THEN body ELSE body[{first("body", "/?#")}:] END AS tail FROM (
+SELECT url, pos, CASE WHEN pos = 0 THEN trim(url) ELSE trim(url)[pos:] END AS body FROM (
+SELECT url, CASE WHEN trim(url)[1:2] = '//' THEN 3 WHEN lower(trim(url)[1:7]) = 'http://' THEN 8 WHEN lower(trim(url)[1:8]) = 'https://' THEN 9 ELSE 0 END AS pos FROM {rows})))"""
+
+
+@query(_url_key_sql(f"(SELECT url FROM pages UNION ALL SELECT url FROM {inline(ADDRESSES, 'url')})"))
 def url_key_keep_fragment(spark, d):
     urls = table(spark, d, "pages").select("url").unionByName(spark.createDataFrame(ADDRESSES, "url string"))
     return urls.select("url", text.url_key(F.col("url")).alias("key"))
@@ -174,9 +189,18 @@ def _title_key_sql(title: str) -> str:
 TITLES = [("The AI Act",), ("AI Act — final text",), ("ai  act",), ("OECD.AI Principles",), ("OECDAI principles - 2024",), ("Theatre",), (None,)]
 
 
-@query(f"SELECT title, {_title_key_sql('title')} AS key FROM {inline(TITLES, 'title')}")
+PAGE_TITLE = "trim(regexp_extract(html, '<title>([^<]*)</title>', 1))"
+
+
+@query(f"SELECT title, {_title_key_sql('title')} AS key FROM (SELECT {PAGE_TITLE} AS title FROM pages UNION ALL SELECT title FROM {inline(TITLES, 'title')})")
 def title_key(spark, d):
-    return spark.createDataFrame(TITLES, "title string").select("title", text.title_key(F.col("title")).alias("key"))
+    titles = table(spark, d, "pages").select(text.page_title(F.col("html")).alias("title")).unionByName(spark.createDataFrame(TITLES, "title string"))
+    return titles.select("title", text.title_key(F.col("title")).alias("key"))
+
+
+@query("SELECT page_id, url FROM pages WHERE length(url) > 0")
+def pages_with_link(spark, d):
+    return listing.with_link(table(spark, d, "pages")).select("page_id", "url")
 
 
 @query(f"SELECT {_title_key_sql("trim(regexp_extract(html, '<title>([^<]*)</title>', 1))")} AS key, count(*) AS n FROM pages GROUP BY 1")
@@ -211,23 +235,54 @@ def foreign_summaries(spark, d):
 
 # ---------------------------------------------------------------- dates
 
-PATHS = [("https://a.test/2025/11/news.html",), ("https://a.test/2024/03/09/",), ("https://a.test/en/2093/",), ("https://a.test/2025/13/",), ("",), (None,)]
+PATHS = [("https://a.test/2025/11/news.html",), ("https://a.test/2024/03/09/",), ("https://a.test/en/2093/",), ("https://a.test/2025/13/",), ("",), (None,), ("https://a.test/2025/110/",), ("https://a.test/2025/11",), ("https://a.test/2025/11/45/x",), ("https://a.test/x?at=/2025/11/",), ("https://a.test/2025/07?p=1",), ("https://a.test/12025/11/",), ("https://a.test/2024/02/30/",), ("/2023/05/06#a",)]
 
 
-@query(f"SELECT url, try_cast(nullif(regexp_extract(url, '/(20[0-9][0-9])/(0[1-9]|1[0-2])', 1), '') AS INTEGER) AS y, try_cast(nullif(regexp_extract(url, '/(20[0-9][0-9])/(0[1-9]|1[0-2])', 2), '') AS INTEGER) AS m FROM {inline(PATHS, 'url')}")
+@query(f"""WITH p AS (SELECT url, string_split(regexp_replace(url, '[?#].*$', ''), '/') AS parts FROM (SELECT url FROM pages UNION ALL SELECT url FROM {inline(PATHS, 'url')})),
+f AS (SELECT url, parts, list_min(list_filter(range(2, len(parts)), lambda k: regexp_full_match(parts[k], '20[0-9][0-9]') AND regexp_full_match(parts[k + 1], '0[1-9]|1[0-2]'))) AS k FROM p)
+SELECT url, parts[k]::INTEGER AS y, parts[k + 1]::INTEGER AS m, CASE WHEN regexp_full_match(parts[k + 2], '0[1-9]|[12][0-9]|3[01]') THEN parts[k + 2]::INTEGER END AS d FROM f""")
 def url_path_date(spark, d):
     date = dates.from_url_path(F.col("url"))
-    return spark.createDataFrame(PATHS, "url string").select("url", date["y"].alias("y"), date["m"].alias("m"))
-
-
-METAS = [('<meta property="article:published_time" content="2025-11-03T10:00">',), ('<meta name="date" content="2024-07">',), ('<meta name="author" content="2020-01-01">',), (None,)]
+    urls = table(spark, d, "pages").select("url").unionByName(spark.createDataFrame(PATHS, "url string"))
+    return urls.select("url", *[date[c].alias(c) for c in ("y", "m", "d")])
+
+
+METAS = [
+    ('<meta property="article:published_time" content="2025-11-03T10:00">',),
+    ('<meta name="date" content="2024-07">',),
+    ('<meta name="author" content="2020-01-01">',),
+    ('<meta content="2023-02-01" name="date">',),
+    ("<META itemprop='datePublished' content='2022-12-31'/>",),
+    ('<meta name=date content=2021-06-05>',),
+    ('<meta name="date" content="soon"><meta property="og:published_time" content="2019-01-02">',),
+    ('<meta name="dateline" content="2018-01-01"><p>date content="2017-01-01"</p>',),
+    ('<meta name="date"><p content="2016-01-01">',),
+    (None,),
+]
+#: Each attribute of an element as one [name, value] pair, which tells nothing of their order or quotes.
+META_SQL = r"""WITH m AS (SELECT html, unnest(regexp_extract_all(html, '(?is)<meta\b[^>]*>')) AS e FROM rows),
+o AS (SELECT html, e, strpos(html, e) AS pos, regexp_extract_all(e, '([A-Za-z]+)\s*=\s*("[^"]*"|''[^'']*''|[^\s"''>]+)', 1) AS k, list_transform(regexp_extract_all(e, '([A-Za-z]+)\s*=\s*("[^"]*"|''[^'']*''|[^\s"''>]+)', 2), lambda v: trim(v, '"'' /')) AS v FROM m),
+d AS (SELECT html, pos, list_extract(v, list_position(list_transform(k, lambda x: lower(x)), 'content')) AS c FROM o
+  WHERE len(list_filter(range(1, len(k) + 1), lambda j: lower(k[j]) IN ('name', 'property', 'itemprop') AND (lower(v[j]) IN ('date', 'datepublished') OR ends_with(lower(v[j]), 'published_time')))) > 0),
+f AS (SELECT html, arg_min(c, pos) AS c FROM d WHERE regexp_matches(c, '^[0-9]{4}-[0-9]{2}') GROUP BY html)
+SELECT rows.html, c[1:4]::INTEGER AS y, c[6:7]::INTEGER AS m, CASE WHEN regexp_matches(c, '^[0-9]{4}-[0-9]{2}-[0-9]{2}') THEN c[9:10]::INTEGER END AS d FROM rows LEFT JOIN f ON f.html = rows.html"""
 
 
-@query("SELECT html, try_cast(nullif(regexp_extract(html, p, 1), '') AS INTEGER) AS y, try_cast(nullif(regexp_extract(html, p, 2), '') AS INTEGER) AS m, try_cast(nullif(regexp_extract(html, p, 3), '') AS INTEGER) AS d "
-       "FROM (SELECT html, '<meta[^>]*(?:published_time|datePublished|name=\"date\")[^>]*content=\"([0-9]{4})-([0-9]{2})(?:-([0-9]{2}))?' AS p FROM " + inline(METAS, "html") + ")")
+@query(META_SQL.replace("WITH m", f"WITH rows AS (SELECT html FROM pages UNION ALL SELECT html FROM {inline(METAS, 'html')}), m", 1))
 def html_meta_date(spark, d):
     date = dates.from_html_meta(F.col("html"))
-    return spark.createDataFrame(METAS, "html string").select("html", *[date[c].alias(c) for c in ("y", "m", "d")])
+    pages = table(spark, d, "pages").select("html").unionByName(spark.createDataFrame(METAS, "html string"))
+    return pages.select("html", *[date[c].alias(c) for c in ("y", "m", "d")])
+
+
+@query("""WITH o AS (SELECT year(o_orderdate)::INTEGER AS y, CASE WHEN o_orderpriority <> '5-LOW' THEN month(o_orderdate)::INTEGER END AS m FROM orders WHERE o_orderdate IS NOT NULL)
+SELECT y, m, CASE WHEN m IS NULL THEN y || '년' ELSE y || '년 ' || m || '월' END AS label, count(*) AS n FROM o GROUP BY y, m""")
+def month_or_year_buckets(spark, d):
+    """Orders of low priority as if only their year were known."""
+    day = F.col("o_orderdate")
+    known = F.col("o_orderpriority") != "5-LOW"
+    date = dates.partial(F.year(day), F.when(known, F.month(day)), F.when(known, F.day(day)))
+    return listing.date_buckets(table(spark, d, "orders").select(date.alias("date")), "date")
 
 
 DATED = [
@@ -259,8 +314,8 @@ def partial_date_resolution(spark, d):
 
 # ---------------------------------------------------------------- curation and issuers
 
-OFFICES = [("서울특별시교육청",), ("교육부·서울교육청",), ("부산광역시",), ("State of California",), ("City of New York",), ("Norwegian Ministry of Local Government and Regional Development",), ("上海市人民政府",), ("Ministry of Science",), (None,)]
-OFFICE_SQL = "CASE WHEN issuer IS NULL THEN NULL WHEN regexp_matches(issuer, '교육부.*교육청|Ministry of Local Government') THEN 'central' WHEN regexp_matches(issuer, '교육청|광역시|특별시|(State|City|County) of |Municipal|(省|市)人民政府|Provincial (People''s )?Government|Alberta') THEN 'regional' ELSE 'central' END"
+OFFICES = [("서울특별시교육청",), ("교육부·서울교육청",), ("부산광역시",), ("State of California",), ("City of New York",), ("Norwegian Ministry of Local Government and Regional Development",), ("上海市人民政府",), ("Ministry of Science",), ("서울대학교",), ("Stanford University",), ("한국전자통신연구원",), ("Lawrence Berkeley National Laboratory",), ("LG",), ("CJ",), ("Example Corp.",), ("(주)예시",), ("Incheon Office",), (None,)]
+OFFICE_SQL = "CASE WHEN issuer IS NULL THEN NULL WHEN regexp_matches(issuer, '교육부.*교육청|Ministry of Local Government') THEN 'central' WHEN regexp_matches(issuer, '교육청|광역시|특별시|(State|City|County) of |Municipal|(省|市)人民政府|Provincial (People''s )?Government|Alberta') THEN 'regional' WHEN contains(issuer, '대학교') OR list_has_any(string_split_regex(issuer, '[^A-Za-z]+'), ['University', 'College']) THEN 'university' WHEN regexp_matches(issuer, '연구[소원]') OR list_has_any(string_split_regex(issuer, '[^A-Za-z]+'), ['Lab', 'Laboratory', 'Laboratories']) THEN 'lab' WHEN issuer LIKE '%주식회사%' OR issuer LIKE '%(주)%' OR list_has_any(string_split_regex(issuer, '[^A-Za-z]+'), ['Inc', 'Corp', 'Corporation', 'Ltd', 'LLC', 'LG', 'CJ']) THEN 'company' ELSE 'central' END"
 
 
 @query(f"SELECT issuer, {OFFICE_SQL} AS level FROM {inline(OFFICES, 'issuer')}")
@@ -269,22 +324,22 @@ def issuer_level(spark, d):
 
 
 PLACES = [(1, "Parliament", None, "https://p.test/1"), (2, "Agency", " ", "https://other.test/"), (3, "Agency", "KR", "https://p.test/2"), (4, None, None, None)]
-PLACED = [(1, "EU"), (2, "US"), (3, "KR"), (4, None)]
+HOSTS, ISSUERS = [("p.test", "EU")], [("Agency", "US"), ("Parliament", "XX")]
 
 
-@query(f"SELECT * FROM {inline(PLACED, 'id, country')}")
+@query(f"""SELECT p.id, coalesce(nullif(trim(p.country), ''), h.country, i.country) AS country FROM {inline(PLACES, 'id, issuer, country, url').replace(' t(', ' p(')}
+LEFT JOIN {inline(HOSTS, 'host, country').replace(' t(', ' h(')} ON split_part(p.url, '/', 3) = h.host LEFT JOIN {inline(ISSUERS, 'issuer, country').replace(' t(', ' i(')} ON p.issuer = i.issuer""")
 def country_repair(spark, d):
     rows = spark.createDataFrame(PLACES, "id int, issuer string, country string, url string")
-    hosts = spark.createDataFrame([("p.test", "EU")], "host string, country string")
-    names = spark.createDataFrame([("Agency", "US"), ("Parliament", "XX")], "issuer string, country string")
+    hosts = spark.createDataFrame(HOSTS, "host string, country string")
+    names = spark.createDataFrame(ISSUERS, "issuer string, country string")
     return issuers.fill_country(rows, hosts, names, text.url_host(F.col("url"))).select("id", "country")
 
 
 TOPICS = [(1, ["윤리·규범", "법", "가이드라인", "표준", "딥페이크"]), (2, ["국가안보", "피지컬AI"]), (3, ["법"])]
-LEFT = [(1, "딥페이크"), (2, "국가안보,피지컬AI"), (3, "")]
 
 
-@query(f"SELECT * FROM {inline(LEFT, 'id, topics')}")
+@query(f"SELECT id, array_to_string(list_filter(topics, lambda x: x NOT IN ('윤리·규범', '법', '가이드라인', '표준')), ',') AS topics FROM {inline(TOPICS, 'id, topics')}")
 def topic_minus_kind(spark, d):
     return spark.createDataFrame(TOPICS, "id int, topics array<string>").select("id", F.array_join(curation.topics_without_kinds(F.col("topics")), ",").alias("topics"))
 
@@ -356,6 +411,61 @@ def multi_source_union(spark, d):
     return unified({"documents": docs, "pages": pages}).select("id", "source", "lang", "url")
 
 
+PAGES_SQL = f"""rec AS (SELECT page_id AS id, {PAGE_TITLE} AS title, url, regexp_extract(lower(url), '^(?:https?:)?//([^/?#]*)', 1) AS source, CASE WHEN url LIKE 'https:%' THEN 0 ELSE 1 END AS priority FROM pages),
+keyed AS (SELECT id, 't' || {_title_key_sql("title")} AS k FROM rec WHERE {_title_key_sql("title")} <> '' UNION SELECT id, 'u' || key FROM rec JOIN (SELECT DISTINCT * FROM ({_url_key_sql("pages")})) u ON u.url = rec.url WHERE key <> ''),
+least AS (SELECT k, min(id) AS b FROM keyed GROUP BY k), e AS (SELECT id AS a, b FROM keyed JOIN least USING (k) UNION SELECT b, id FROM keyed JOIN least USING (k)),
+r AS (SELECT id, id AS place FROM rec UNION SELECT r.id, e.b FROM r JOIN e ON e.a = r.place), c AS (SELECT id, min(place) AS cluster FROM r GROUP BY id)"""
+
+
+def _page_records(spark, d):
+    url, html = F.col("url"), F.col("html")
+    return table(spark, d, "pages").select(F.col("page_id").alias("id"), text.page_title(html).alias("original_title"), "url", text.url_host(url).alias("source"), F.when(url.startswith("https:"), 0).otherwise(1).alias("priority"))
+
+
+@query(f"WITH RECURSIVE {PAGES_SQL} SELECT id, cluster FROM c")
+def identity_pages(spark, d):
+    """All pages, linked by title and address."""
+    records = _page_records(spark, d)
+    return identity.components(records, identity.match_edges(records))
+
+
+@query(f"""WITH RECURSIVE {PAGES_SQL}, w AS (SELECT *, row_number() OVER (PARTITION BY cluster ORDER BY priority, id) AS n FROM rec JOIN c USING (id))
+SELECT cluster, max(id) FILTER (WHERE n = 1) AS id, max(url) FILTER (WHERE n = 1) AS url, string_agg(DISTINCT source, ',' ORDER BY source) AS sources, count(*) AS n_records FROM w GROUP BY cluster""")
+def identity_merge_pages(spark, d):
+    """All pages, one row for each cluster; a page by https comes before others."""
+    records = _page_records(spark, d)
+    merged = identity.merge(records.join(identity.components(records, identity.match_edges(records)), "id"))
+    return merged.select("cluster", "id", "url", F.array_join("sources", ",").alias("sources"), "n_records")
+
+
+@query(f"""WITH t AS (SELECT page_id, {PAGE_TITLE} AS title, regexp_extract(lower(url), '^(?:https?:)?//([^/?#]*)', 1) AS issuer, nullif(regexp_extract(url, '[?]([^#]*)', 1), '') AS bill FROM pages),
+n AS (SELECT title, count(*) AS n, count(DISTINCT issuer) AS k FROM t GROUP BY title)
+SELECT page_id, CASE WHEN n > 1 AND bill IS NOT NULL THEN title || ' (' || bill || ')' WHEN n > 1 AND k > 1 THEN title || ' (' || issuer || ')' ELSE title END AS display_title FROM t JOIN n USING (title)""")
+def name_collision_pages(spark, d):
+    """All pages, with the query of the address in the place of a bill number."""
+    url = F.col("url")
+    rows = table(spark, d, "pages").select("page_id", text.page_title(F.col("html")).alias("title"), text.url_host(url).alias("issuer"), F.nullif(text.url_query(url), F.lit("")).alias("bill_no"))
+    return identity.told_apart(rows).select("page_id", "display_title")
+
+
+COLOURED = [("law",), ("bill",), ("treaty",), ("news",), ("other",), ("unheard of",), (None,)]
+COLOUR_SQL = "CASE WHEN kind IS NULL THEN NULL ELSE CASE kind " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in curation.KIND_COLOURS.items()) + " ELSE '#534f4a' END END"
+
+
+@query(f"SELECT kind, {COLOUR_SQL} AS colour FROM {inline(COLOURED, 'kind')}")
+def kind_colour(spark, d):
+    return spark.createDataFrame(COLOURED, "kind string").select("kind", curation.kind_colour(F.col("kind")).alias("colour"))
+
+
+@query("SELECT doc_id::VARCHAR AS id, source AS sources, text AS summary, year(DATE '2026-01-01')::INTEGER AS y, NULL::INTEGER AS m FROM documents")
+def documents_json(spark, d):
+    """All documents written as JSON and read by the declared schema; a year alone stays one."""
+    docs = table(spark, d, "documents")
+    at = scratch(spark, "json")
+    docs.select(F.col("doc_id").cast("string").alias("id"), F.array("source").alias("sources"), F.col("text").alias("summary"), F.struct(F.lit(2026).alias("y")).alias("date"), F.lit("x").alias("unknown")).write.mode("overwrite").json(at)
+    return read_documents(spark, at).select("id", F.array_join("sources", ",").alias("sources"), "summary", F.col("date")["y"].alias("y"), F.col("date")["m"].alias("m"))
+
+
 CODES = [("KR",), ("us",), ("EU",), ("KOR",), ("",), (None,)]
 
 
@@ -398,6 +508,21 @@ def fts_bm25_topk(spark, d):
     return search.bm25(table(spark, d, "documents"), TERMS, 10)
 
 
+#: The folder of the index of each table folder, by application.
+_INDEXES: dict[tuple[str, str], str] = {}
+
+
+@query(BM25_SQL)
+def fts_index_search(spark, d):
+    """The same from the index, which the first search of a folder in a session writes."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _INDEXES:
+        at = scratch(spark, "index")
+        write_index(table(spark, d, "documents").select("doc_id", "text"), at, "doc_id", "text")
+        _INDEXES[key] = at
+    return search.bm25_indexed(*read_index(spark, _INDEXES[key]), TERMS, 10)
+
+
 COSINE_SQL = """WITH q AS (SELECT embedding::DOUBLE[] AS q FROM embeddings WHERE vec_id = 0)
 SELECT vec_id, round(list_cosine_similarity(embedding::DOUBLE[], q), 6) AS score FROM embeddings, q ORDER BY score DESC, vec_id LIMIT 10"""
 

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quern.functions.dates import PARTIAL
 from quern.operators.search import postings
 
 STRING, STRINGS = T.StringType(), T.ArrayType(T.StringType())
@@ -24,10 +23,6 @@ DOCUMENT = T.StructType(
         T.StructField("embedding", T.ArrayType(T.FloatType())),
     ]
 )
-LOG_ENTRY = T.StructType([T.StructField("date", T.DateType(), False), T.StructField("tags", STRINGS), T.StructField("title", STRING), T.StructField("body", STRING)])
-# The kinds of documents and their states.
-KINDS = ("law", "bill", "admin", "treaty", "declaration", "guideline", "strategy", "report", "standard", "institution", "news", "other")
-STATES = ("enacted", "amended", "pending", "defunct")
 
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -51,12 +46,16 @@ def unified(collections: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def write_index(docs: DataFrame, folder: str, doc_id: str = "id", text: str = "summary", vector: str = "embedding", mode: str = "overwrite") -> None:
-    """Postings, clustered by term so that a search reads few row groups, and vectors."""
+    """Postings in ranges of (term, doc_id), so that a search reads few row groups and a common term is spread; their statistics; vectors, if there are any."""
     terms = postings(docs, doc_id, text)
-    terms.repartition("term").sortWithinPartitions("term", "doc_id").write.mode(mode).parquet(f"{folder}/postings")
-    docs.where(F.col(vector).isNotNull()).select(F.col(doc_id).alias("vec_id"), F.col(vector).alias("embedding")).write.mode(mode).parquet(f"{folder}/vectors")
+    terms.repartitionByRange("term", "doc_id").sortWithinPartitions("term", "doc_id").write.mode(mode).parquet(f"{folder}/postings")
+    written = docs.sparkSession.read.parquet(f"{folder}/postings")
+    words = written.agg(F.coalesce(F.sum("tf"), F.lit(0)).alias("words")).scalar()
+    docs.agg(F.count(F.lit(1)).alias("n")).withColumn("mean", F.try_divide(words, "n")).write.mode(mode).parquet(f"{folder}/stats")
+    if vector in docs.columns:
+        docs.where(F.col(vector).isNotNull()).select(F.col(doc_id).alias("vec_id"), F.col(vector).alias("embedding")).write.mode(mode).parquet(f"{folder}/vectors")
 
 
-def with_partial_date(rows: DataFrame, date: str) -> DataFrame:
-    """Casts a date struct to the declared type."""
-    return rows.withColumn(date, F.col(date).cast(PARTIAL))
+def read_index(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Postings and statistics of an index that :func:`write_index` wrote."""
+    return spark.read.parquet(f"{folder}/postings"), spark.read.parquet(f"{folder}/stats")

@@ -21,7 +21,27 @@ def test_partial_dates_never_gain_a_day(spark):
 
 
 def test_brackets_of_addresses_stay(spark):
-    assert column(spark, ["https://e.test/x(INI)", "https://e.test/x/#a"], text.url_key) == ["e.test/x(ini)", "e.test/x#a"]
+    assert column(spark, ["https://e.test/x(INI)", "https://e.test/x/#a"], text.url_key) == ["e.test/x(INI)", "e.test/x#a"]
+
+
+def test_only_scheme_and_host_are_the_same_in_any_case(spark):
+    assert column(spark, ["HTTP://WWW.E.test/D?id=AbC#P1", "http://e.test/d?id=aBc#p1"], text.url_key) == ["e.test/D?id=AbC#P1", "e.test/d?id=aBc#p1"]
+
+
+def test_dictionary_words_are_no_patterns(spark):
+    assert column(spark, ["a.b axb $1"], lambda v: text.words_replaced(v, {"a.b": "c$1"})) == ["c$1 axb $1"]
+
+
+def test_of_equal_records_the_earliest_exact_date_survives(spark):
+    rows = [(1, 1, "a", 0, "2020"), (1, 2, "b", 0, "2019-05-01"), (1, 3, "c", 0, "2018-07-09"), (2, 4, "a", 0, None), (2, 5, "b", 0, "2021")]
+    merged = identity.merge(spark.createDataFrame(rows, "cluster int, id int, source string, priority int, date string"))
+    assert sorted((r.cluster, r.id, r.date) for r in merged.collect()) == [(1, 3, "2018-07-09"), (2, 4, "2021")]
+
+
+def test_titles_told_apart_with_null_and_common_titles(spark):
+    rows = [(1, None, "X", None), (2, None, "Y", "B"), *[(k, "T", "X" if k % 2 else "Y", None) for k in range(10, 40)]]
+    out = identity.told_apart(spark.createDataFrame(rows, "id int, title string, issuer string, bill_no string"))
+    assert {r.id: r.display_title for r in out.collect() if r.id < 12} == {1: None, 2: None, 10: "T (Y)", 11: "T (X)"} and out.count() == 32
 
 
 def test_facets_are_or_within_and_and_across(spark):
