@@ -8,8 +8,9 @@ import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from quern.llm import pii, quality, simhash
+from quern.llm import pii, quality
 from tests.llm.test_contracts import WORD, base_spans, llr
+from tests.llm.test_near_copies import brute_force
 
 
 @pytest.fixture(scope="module")
@@ -43,14 +44,24 @@ def test_quality(spark, sf_dir, stages):
 
 
 def test_near_duplicates(stages):
-    ids, prints = stages[1].doc_id.tolist(), [simhash.fingerprint(t) for t in stages[1].text]
-    group = {i: i for i in ids}
-    for a in range(len(ids)):
-        for b in range(a):
-            if (prints[a] ^ prints[b]).bit_count() <= 3:
-                low, high = sorted((group[ids[a]], group[ids[b]]))
-                group = {i: low if g == high else g for i, g in group.items()}
-    assert sorted(stages[2].doc_id) == sorted(set(group.values()))
+    """Stages on word shingles take five words and a similarity of 0.8."""
+    assert sorted(stages[2].doc_id) == brute_force(stages[1].doc_id.tolist(), stages[1].text.tolist())
+
+
+def test_stages_on_odd_rows(spark, sf_dir):
+    text = " ".join(f"word{k} mail a.b@c.org" for k in range(40))
+    data = [(1, text, "en", "s", 1), (1, text, "en", "s", 1), (2, None, None, None, None), (None, "", "en", "", 0), (3, text + " more", "de", None, None)]
+    odd = spark.createDataFrame(data, "doc_id long, text string, lang string, source string, n_chars long").selectExpr("*", "'x' AS `size`", "1 AS `a.b`")
+    for docs in (odd, odd.limit(0)):
+        for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
+            out = stage(spark, docs, sf_dir)
+            assert k == 4 or out.columns == docs.columns, name
+            rows = out.collect()
+            assert len(rows) <= 2 * docs.count() if k == 3 else len(rows) <= docs.count()
+            if k in (2, 4):
+                assert len(rows) == docs.count()
+    hidden = corpus_pipeline.personal_data(spark, odd.drop("n_chars"), sf_dir).collect()
+    assert not any(r.text and "@" in r.text for r in hidden)
 
 
 def test_personal_data(stages):
