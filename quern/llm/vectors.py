@@ -5,6 +5,7 @@ Vectors are rotated at random and scanned in blocks of columns: from the distanc
 so far a hypothesis test decides whether the whole distance can still be among the best, and abandons
 the candidate if not. Lists are fitted on a bounded sample, every distinct vector is indexed, and lists are
 cut into blocks, so no list has to fit in a task. Equal vectors are one candidate with their smallest ids.
+A query for which the tests leave too few neighbours is scanned again over all lists without them.
 """
 
 from __future__ import annotations
@@ -31,7 +32,8 @@ FIRST_ROWS = 32
 class Index:
     """Rotation and centroids of the lengthened space, and what a query needs to choose its lists."""
 
-    square: float  # of the longest vector
+    scale: float  # the largest component: vectors are divided by it, so that no square overflows
+    square: float  # of the longest vector, divided
     rotation: np.ndarray
     centroids: np.ndarray
     probes: int
@@ -40,6 +42,7 @@ class Index:
     sizes: np.ndarray | None = None  # of the lists
 
     def rotated(self, vectors: np.ndarray, query: bool = False) -> np.ndarray:
+        vectors = vectors / self.scale
         extra = np.zeros(len(vectors)) if query else np.sqrt(np.maximum(self.square - (vectors * vectors).sum(axis=1), 0))
         return np.c_[vectors, extra] @ self.rotation
 
@@ -49,12 +52,12 @@ def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.maximum((a * a).sum(axis=1)[:, None] + (b * b).sum(axis=1)[None] - 2 * (a @ b.T), 0)
 
 
-def fit(sample: np.ndarray, square: float, total: int, nearest: int) -> Index:
+def fit(sample: np.ndarray, scale: float, square: float, total: int, nearest: int) -> Index:
     """Lists by k-means on the sample, and the probes that cover COVERED of the neighbours within it."""
     rng = np.random.default_rng(SEED)
     wide = sample.shape[1] + 1
     rotation = np.linalg.qr(rng.standard_normal((wide, wide)))[0]
-    index = Index(square, rotation, np.zeros((1, wide)), 1, np.zeros((0, wide)), np.zeros(0, np.int64))
+    index = Index(scale, square, rotation, np.zeros((1, wide)), 1, np.zeros((0, wide)), np.zeros(0, np.int64))
     points = index.rotated(sample)
     lists = int(np.clip(min(np.sqrt(total), total // 64, len(sample) // 8), 1, MAX_LISTS))
     centroids = points[rng.choice(len(points), lists, replace=False)] if len(points) else np.zeros((1, wide))
@@ -117,11 +120,17 @@ def _probes_of(shared, nearest: int):
     return run
 
 
-def scan(queries: np.ndarray, vectors: np.ndarray, bounds: np.ndarray, keep: int) -> tuple[np.ndarray, np.ndarray, int]:
+def scan(queries: np.ndarray, vectors: np.ndarray, bounds: np.ndarray, keep: int, leniency: float = LENIENCY) -> tuple[np.ndarray, np.ndarray, int]:
     """(query, vector) positions of up to ``keep`` nearest vectors of each query, and the columns read of all pairs.
 
-    ``bounds`` are squared distances beyond which a vector isn't wanted.
+    ``bounds`` are squared distances beyond which a vector isn't wanted. With an infinite ``leniency`` only what a partial distance
+    proves too far is abandoned.
     """
+
+    def most(limit: np.ndarray, read: int) -> np.ndarray:
+        """Partial distances up to which a candidate stays."""
+        return limit if np.isinf(leniency) or read == wide else limit * read / wide * (1 + leniency / np.sqrt(read)) ** 2
+
     wide = queries.shape[1]
     limit = bounds * (1 + 1e-9) + 1e-12
     best_q, best_v, best_d = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
@@ -132,15 +141,14 @@ def scan(queries: np.ndarray, vectors: np.ndarray, bounds: np.ndarray, keep: int
         first = min(COLUMNS, wide)
         partial = distances(queries[:, :first], part[:, :first])
         read += partial.size * first
-        q, v = np.nonzero(partial <= (limit * first / wide * (1 + LENIENCY / np.sqrt(first)) ** 2)[:, None] if first < wide else partial <= limit[:, None])
+        q, v = np.nonzero(partial <= most(limit, first)[:, None])
         d = partial[q, v]
         for at in range(first, wide, COLUMNS):
             end = min(at + COLUMNS, wide)
             gap = queries[q, at:end] - part[v, at:end]
             d = d + np.einsum("ij,ij->i", gap, gap)
             read += len(q) * (end - at)
-            test = limit[q] * end / wide * (1 + LENIENCY / np.sqrt(end)) ** 2 if end < wide else limit[q]
-            live = d <= test
+            live = d <= most(limit, end)[q]
             q, v, d = q[live], v[live], d[live]
         best_q, best_v, best_d = np.r_[best_q, q], np.r_[best_v, v + k], np.r_[best_d, d]
         order = np.lexsort((best_v, best_d, best_q))
@@ -154,7 +162,7 @@ def scan(queries: np.ndarray, vectors: np.ndarray, bounds: np.ndarray, keep: int
     return best_q, best_v, read
 
 
-def _search(shared, nearest: int):
+def _search(shared, nearest: int, leniency: float):
     out = pa.schema([("h1", pa.int64()), ("h2", pa.int64()), ("score", pa.float64()), ("ids", pa.list_(pa.int64()))])
 
     def run(vectors: pa.Table, queries: pa.Table) -> pa.Table:
@@ -166,7 +174,7 @@ def _search(shared, nearest: int):
         for k in range(0, len(queries), 1024):
             asked = queries.slice(k, 1024)
             y = _matrix(asked.column("embedding"))
-            q, v, _ = scan(index.rotated(y, query=True), turned, asked.column("bound").to_numpy(), nearest + SPARE)
+            q, v, _ = scan(index.rotated(y, query=True), turned, asked.column("bound").to_numpy(), nearest + SPARE, leniency)
             score = np.einsum("ij,ij->i", y[q], x[v])
             parts.append(pa.table([asked.column("h1").take(pa.array(q)), asked.column("h2").take(pa.array(q)), pa.array(score), vectors.column("ids").take(pa.array(v))], schema=out))
         return pa.concat_tables(parts)
@@ -180,14 +188,15 @@ def nearest_neighbours(vectors: DataFrame, asked: DataFrame, nearest: int = NEAR
     score is the inner product in double precision, ties go to the smaller id, and a row of the query's own id is
     no candidate. Null ids, and vectors that are null, empty, zero or hold null or non-finite components take no
     part; neither do those of another length than most (of equally frequent ones, the longest). With fewer candidates,
-    all are returned. Repeated rows of one id are candidates each. An empty table gives an empty one.
+    all are returned. Repeated rows of one id are candidates each. Scores of very long vectors may be infinite; ties, as ever, go to
+    the smaller id. Other columns, whatever they are called, are not looked at. An empty table gives an empty one.
     """
     spark = vectors.sparkSession
     x = F.col("embedding")
     known = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), x.cast("array<double>").alias("embedding")).where("vec_id is not null and embedding is not null")
     real = F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < F.lit(float("inf")))) & F.exists(x, lambda c: c != 0)
-    known = known.where(real).withColumn("square", F.aggregate(x, F.lit(0.0), lambda a, c: a + c * c))
-    shapes = known.groupBy(F.size("embedding").alias("wide")).agg(F.count(F.lit(1)).alias("n"), F.max("square").alias("square"))
+    known = known.where(real)
+    shapes = known.groupBy(F.size("embedding").alias("wide")).agg(F.count(F.lit(1)).alias("n"), F.max(F.array_max(F.transform(x, lambda c: F.abs(c)))).alias("scale"))
     shape = shapes.orderBy(F.desc("n"), F.desc("wide")).first()
     kind = "query_id long, rank int, vec_id long, score double"
     if shape is None:
@@ -199,9 +208,11 @@ def nearest_neighbours(vectors: DataFrame, asked: DataFrame, nearest: int = NEAR
     few = usable.withColumn("k", first).where(F.col("k") <= nearest + 1)
     distinct = few.groupBy("h1", "h2").agg(F.array_sort(F.collect_list("vec_id")).alias("ids"), F.first("embedding").alias("embedding"))
     distinct = written(distinct, "vectors")
-    total = distinct.count()
+    scale = float(shape.scale)
+    length = F.aggregate("embedding", F.lit(0.0), lambda a, c: a + (c / F.lit(scale)) * (c / F.lit(scale)))
+    total, square = distinct.agg(F.count(F.lit(1)), F.max(length)).first()
     sample = distinct.orderBy("h1", "h2").limit(int(min(MAX_SAMPLE, max(ROWS_PER_LIST * np.sqrt(total), 4096)))).select("embedding").toArrow()
-    index = fit(_matrix(sample.column(0)), float(shape.square), total, nearest + 1)
+    index = fit(_matrix(sample.column(0)), scale, float(square), total, nearest + 1)
     assign = F.arrow_udf(_lists_of(spark.sparkContext.broadcast(index)), "int")
     assigned = written(distinct.withColumn("list", assign("embedding")), "lists")
     sizes = np.zeros(len(index.centroids), np.int64)
@@ -217,24 +228,35 @@ def nearest_neighbours(vectors: DataFrame, asked: DataFrame, nearest: int = NEAR
     each = distinct.join(queries.select("h1", "h2").distinct(), ["h1", "h2"], "left_semi").select("h1", "h2", "embedding", probe("embedding").alias("p"))
     each = written(each, "probes")
 
-    def searched(asked: DataFrame, lists: Column, bound: Column) -> DataFrame:
+    def searched(asked: DataFrame, lists: Column, bound: Column, leniency: float = LENIENCY) -> DataFrame:
         one = asked.select("h1", "h2", "embedding", bound.alias("bound"), F.explode(lists).alias("list"))
         one = one.select("*", F.explode(F.sequence(F.lit(0), F.get(blocks, F.col("list")) - 1)).alias("block"))
         found = dealt.groupBy("list", "block").cogroup(one.groupBy("list", "block"))
-        return found.applyInArrow(_search(shared, nearest + 1), "h1 long, h2 long, score double, ids array<long>")
+        return found.applyInArrow(_search(shared, nearest + 1, leniency), "h1 long, h2 long, score double, ids array<long>")
 
     lists, first = F.col("p")["lists"], F.col("p")["first"]
     # what the first lists hold bounds the distances worth keeping in the others, so these give few rows
     near = written(searched(each, F.slice(lists, F.lit(1), first), F.col("p")["bound"]), "near")
     place = F.row_number().over(Window.partitionBy("h1", "h2").orderBy(F.desc("score")))
     reached = near.withColumn("k", place).where(F.col("k") == nearest + 1).select("h1", "h2", F.col("score").alias("least"))
-    length = F.aggregate("embedding", F.lit(0.0), lambda a, c: a + c * c)
-    bound = F.least(F.col("p")["bound"], length + F.lit(float(shape.square)) - F.lit(2.0) * F.col("least"))
+    bound = F.least(F.col("p")["bound"], length + F.lit(float(square)) - F.lit(2.0) * F.col("least") / F.lit(scale) / F.lit(scale))
     rest = F.slice(lists, first + 1, F.size(lists))
     found = near.unionByName(searched(each.join(reached, ["h1", "h2"], "left"), rest, bound))
-    by_score = Window.partitionBy("h1", "h2").orderBy(F.desc("score"), F.get("ids", F.lit(0)))
-    top = found.withColumn("k", F.row_number().over(by_score)).where(F.col("k") <= nearest + 1)
-    pool = top.groupBy("h1", "h2").agg(F.array_sort(F.flatten(F.collect_list(F.transform("ids", lambda i: F.struct((-F.col("score")).alias("order"), i.alias("id")))))).alias("pool"))
-    pairs = queries.join(pool, ["h1", "h2"])
+    pools = written(pool_of(found, nearest), "pools")
+    # a pool that lacks neighbours is made anew from all lists, by partial distances that prove and don't test
+    short = each.join(pools.where(F.size("pool") > nearest), ["h1", "h2"], "left_anti")
+    if short.limit(1).count():
+        every = F.sequence(F.lit(0), F.lit(len(sizes) - 1))
+        again = written(pool_of(searched(short, every, F.lit(float("inf")), float("inf")), nearest), "again")
+        pools = pools.join(again, ["h1", "h2"], "left_anti").unionByName(again)
+    pairs = queries.join(pools, ["h1", "h2"])
     others = F.slice(F.filter("pool", lambda p: p["id"] != F.col("query_id")), 1, nearest)
     return pairs.select("query_id", F.posexplode(others).alias("k", "p")).select("query_id", (F.col("k") + 1).alias("rank"), F.col("p")["id"].alias("vec_id"), (-F.col("p")["order"]).alias("score"))
+
+
+def pool_of(found: DataFrame, nearest: int) -> DataFrame:
+    """(h1, h2, pool): of each query vector the best candidates by score, then id, with one place to spare for the query itself."""
+    by_score = Window.partitionBy("h1", "h2").orderBy(F.desc("score"), F.get("ids", F.lit(0)))
+    top = found.withColumn("k", F.row_number().over(by_score)).where(F.col("k") <= nearest + 1)
+    each = F.transform("ids", lambda i: F.struct((-F.col("score")).alias("order"), i.alias("id")))
+    return top.groupBy("h1", "h2").agg(F.array_sort(F.flatten(F.collect_list(each))).alias("pool"))

@@ -369,6 +369,32 @@ def test_neighbours_of_copies_ties_and_broken_vectors(spark):
     assert vectors.nearest_neighbours(df.limit(0), df.limit(0).select("vec_id")).count() == 0
 
 
+def test_queries_with_too_few_neighbours_are_scanned_again(spark, monkeypatch):
+    """A test that abandons nearly everything still gives 20 neighbours, and then the right ones."""
+    monkeypatch.setattr(vectors, "LENIENCY", -3.5)
+    rng = np.random.default_rng(2)
+    data = [(k, rng.normal(0, 1, 24).tolist()) for k in range(900)]
+    df = spark.createDataFrame(data, "vec_id long, embedding array<double>").selectExpr("*", "'x' AS ids", "1 AS h1", "2 AS score")
+    out = vectors.nearest_neighbours(df, df.where("vec_id % 90 = 0").select("vec_id")).collect()
+    by = {}
+    for r in out:
+        by.setdefault(r.query_id, []).append((r["rank"], r.vec_id))
+    x = np.array([v for _, v in data])
+    hits = 0
+    for q, found in by.items():
+        best = [i for i in np.argsort(-(x @ x[q]), kind="stable") if i != q][:20]
+        assert len(found) == 20
+        hits += len({i for _, i in found} & set(best))
+    assert len(by) == 10 and hits >= 180
+
+
+def test_huge_components(spark):
+    data = [(k, [1e200 * (k + 1), 1e180, -1e200 * k]) for k in range(60)]
+    df = spark.createDataFrame(data, "vec_id long, embedding array<double>")
+    out = vectors.nearest_neighbours(df, df.where("vec_id = 20").select("vec_id")).collect()
+    assert [r["rank"] for r in sorted(out, key=lambda r: r["rank"])] == list(range(1, 21)) and all(r.score == float("inf") for r in out)
+
+
 def test_scanning_by_columns_finds_what_full_distances_find():
     rng = np.random.default_rng(9)
     x, q = rng.normal(0, 1, (5000, 65)), rng.normal(0, 1, (40, 65))
