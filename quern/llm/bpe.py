@@ -71,6 +71,8 @@ class Bpe:
         odd = [t for t in spec["added_tokens"] if t["normalized"] or t["lstrip"] or t["rstrip"] or t["single_word"]]
         if odd:
             raise ValueError(f"added tokens with such flags are not read: {odd}")
+        if any(not t["content"] or set(t["content"]) & set(WHITE) for t in spec["added_tokens"]):
+            raise ValueError("special strings that are empty or hold white space are not read: texts are cut at it")
         tokenizer = Tokenizer.from_file(path)
         self.normalize = tokenizer.normalizer.normalize_str if tokenizer.normalizer else str
         self.library_pieces = tokenizer.pre_tokenizer.pre_tokenize_str

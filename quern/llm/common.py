@@ -22,7 +22,10 @@ OWN = "__q_"
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Lowers the session's Arrow batches to what a worker holds easily when texts are long."""
+    """Lowers the session's Arrow batches to what a worker holds easily when texts are long.
+
+    The settings stay lowered for what the session does later: plans ask for them when they run, not when they are made. Results don't depend on them.
+    """
     for key, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
         key = f"spark.sql.execution.arrow.{key}"
         now = spark.conf.get(key)
@@ -85,7 +88,7 @@ def _hadoop(spark: SparkSession, path: str) -> tuple:
 def written(df: DataFrame, what: str) -> DataFrame:
     """Writes ``df`` as Parquet to the shared folder and reads it again: computed once, and it outlives executors.
 
-    It is removed by :func:`drop_written`, or when the session's process ends.
+    Columns of types that Parquet lacks (void, intervals) fail, so they have to be cast or left out before. The table is removed by :func:`drop_written`, or when the session's process ends.
     """
     spark = df.sparkSession
     at = f"{shared_folder(spark)}/{what}-{uuid.uuid4().hex}"

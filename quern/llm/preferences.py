@@ -93,7 +93,8 @@ def format_pairs(pairs: DataFrame, chosen: str = "chosen", rejected: str = "reje
 def conversations(turns: DataFrame) -> DataFrame:
     """(conv_id, turns): the turns of each conversation in order; turns without a conversation are left out.
 
-    Turns of one number are ordered by role, then text, null first; repeated turns stay.
+    Turns of one number are ordered by role, then text, null first; repeated turns stay. Other columns, whatever they are called,
+    are left out. An empty table gives an empty one.
     """
     known = turns.where("conv_id is not null").select("conv_id", F.struct(F.col("turn"), F.col("role").cast("string").alias("role"), F.col("text").cast("string").alias("text")).alias("t"))
     rows = known.groupBy("conv_id").agg(F.array_sort(F.collect_list("t")).alias("turns"))
@@ -104,16 +105,18 @@ def with_borrowed_reply(rows: DataFrame) -> DataFrame:
     """(conv_id, chosen, rejected): rejected has the last assistant reply of the next conversation in its place.
 
     The next is that with the next greater id among those with a reply in the same block of BLOCK ids, after the last the
-    first. A conversation without a reply is its own counterpart.
+    first. A conversation without a reply, or alone with one in its block, is its own counterpart. Other columns are left out. An empty
+    table gives an empty one.
     """
     places = F.filter(F.transform("turns", lambda t, i: F.when(t["role"] == LEARNED, i)), lambda i: i.isNotNull())
-    marked = rows.withColumn("last", F.array_max(places))
-    block = Window.partitionBy(F.floor(F.col("conv_id") / F.lit(BLOCK)), F.col("last").isNull()).orderBy("conv_id")
-    reply = F.get("turns", F.col("last"))["text"]
+    last, lent_ = f"{OWN}last", f"{OWN}lent"
+    marked = rows.select("conv_id", "turns", F.array_max(places).alias(last))
+    block = Window.partitionBy(F.floor(F.col("conv_id") / F.lit(BLOCK)), F.col(last).isNull()).orderBy("conv_id")
+    reply = F.get("turns", F.col(last))["text"]
     first = F.first(F.struct(reply.alias("r"))).over(block.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
     lent = F.coalesce(F.lead(F.struct(reply.alias("r"))).over(block), first)["r"]
-    rejected = F.transform("turns", lambda t, i: F.when(i == F.col("last"), F.struct(t["role"].alias("role"), F.col("lent").alias("text"))).otherwise(t))
-    return marked.withColumn("lent", lent).select("conv_id", F.col("turns").alias("chosen"), rejected.alias("rejected"))
+    rejected = F.transform("turns", lambda t, i: F.when(i == F.col(last), F.struct(t["role"].alias("role"), F.col(lent_).alias("text"))).otherwise(t))
+    return marked.withColumn(lent_, lent).select("conv_id", F.col("turns").alias("chosen"), rejected.alias("rejected"))
 
 
 def listed(mask: str) -> Column:

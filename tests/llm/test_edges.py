@@ -406,6 +406,26 @@ def test_scanning_by_columns_finds_what_full_distances_find():
     assert hits / 800 > 0.97 and read < full.size * 65
 
 
+def test_pairs_that_part_in_the_middle_and_differ_in_length(spark):
+    turn = lambda role, text: (role, text)
+    same = [turn("system", "s"), turn("user", "q"), turn("assistant", "a1")]
+    chosen = [*same, turn("user", "more"), turn("assistant", "good"), turn("user", "ok"), turn("assistant", "bye")]
+    rejected = [*same, turn("user", "more"), turn("assistant", "bad")]
+    rows = [(1, chosen, rejected, "x"), (2, rejected, chosen, "x"), (3, same, chosen, "x"), (4, None, same, "x"), (5, [turn("user", "a")], [turn("assistant", "a")], "x"), (6, [], [], "x")]
+    kind = "array<struct<role: string, text: string>>"
+    df = spark.createDataFrame(rows, f"conv_id long, chosen {kind}, rejected {kind}, `prompt` string")
+    got = {r.conv_id: r for r in preferences.format_pairs(df.selectExpr("*", "1 AS chosen_mask", "2 AS `a.b`", "3 AS n")).collect()}
+    show = lambda turns: "".join(f"<|{r}|>\n{t}<|end|>\n" for r, t in turns)
+    for k, a, b, _ in rows:
+        a, b = a or [], b or []
+        n = next((i for i, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b)))
+        r = got[k]
+        assert (r.prompt_turns, r.prompt, r.chosen_text, r.rejected_text) == (n, show(a[:n]), show(a[n:]), show(b[n:]))
+        for text, mask, turns in ((r.chosen_text, r.chosen_mask, a[n:]), (r.rejected_text, r.rejected_mask, b[n:])):
+            assert [text[m.start : m.end] for m in mask] == [f"{t}<|end|>\n" for role, t in turns if role == "assistant"]
+    assert got[1].prompt_turns == 4 and got[1]["a.b"] == 2 and got[1].n == 3
+
+
 def test_preferences_of_null_turns_and_equal_conversations(spark):
     turns = [(1, 0, "user", "hi"), (1, 1, "assistant", "yes"), (2, 0, "user", "hi"), (2, 1, "assistant", None), (3, 0, None, None), (None, 0, "user", "lost"), (4, None, "assistant", "a"), (4, None, "assistant", "a")]
     df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").selectExpr("*", "'x' AS prompt", "'y' AS chosen")
