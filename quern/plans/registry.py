@@ -296,11 +296,18 @@ DATED = [
     (8, "posted", "2025-01-01", None, None, None),
     (9, "text", "2026년", None, None, None),
 ]
-#: What DATED resolves to, by the rules of its sources.
-RESOLVED = [(1, 2017, None, None, "2017년"), (2, 2019, 5, 1, "2019-05-01"), (3, 2018, 6, 5, "2018-06-05"), (4, 2024, 2, 3, "2024-02-03"), (5, 2024, 3, 1, "2024-03-01"), (6, 2023, 12, 31, "2023-12-31"), (7, 2021, 4, 5, "2021-04-05"), (8, None, None, None, None), (9, 2026, None, None, "2026년")]
-
-
-@query(f"SELECT * FROM {inline(RESOLVED, 'id, y, m, d, label')}")
+#: Dates are split at hyphens; which column counts follows from how much of each is known.
+DATED_SQL = f"""WITH rows AS (SELECT * FROM {inline(DATED, 'id, source, stated, original, other, added')}),
+long AS (SELECT id, c, string_split(replace(t, '년', ''), '-') AS p FROM (SELECT id, unnest(['stated', 'original', 'other', 'added']) AS c, unnest([stated, original, other, added]) AS t FROM rows) WHERE t IS NOT NULL),
+dated AS (SELECT id, c, p[1]::INTEGER AS y, p[2]::INTEGER AS m, p[3]::INTEGER AS d, len(p) AS k FROM long),
+known AS (SELECT id, source, coalesce(max(k) FILTER (WHERE c = 'stated' AND NOT (source = 'bulk' AND (y, m, d) IN ((2020, 8, 4), (2020, 11, 4)))), 0) AS ks, coalesce(max(k) FILTER (WHERE c = 'original'), 0) AS ko,
+  coalesce(max(k) FILTER (WHERE c = 'other'), 0) AS kr FROM rows LEFT JOIN dated USING (id) GROUP BY id, source),
+chosen AS (SELECT id, CASE source WHEN 'bulk' THEN CASE WHEN kr > CASE WHEN ko > 0 THEN ko ELSE ks END THEN 'other' WHEN ko > 0 THEN 'original' WHEN ks > 0 THEN 'stated' END
+  WHEN 'confirmed' THEN CASE WHEN ks = 3 THEN 'stated' ELSE 'added' END WHEN 'posted' THEN 'original' ELSE 'stated' END AS c FROM known)
+SELECT id, y, m, d, CASE k WHEN 3 THEN y || '-' || lpad(m::VARCHAR, 2, '0') || '-' || lpad(d::VARCHAR, 2, '0') WHEN 2 THEN y || '년 ' || m || '월' WHEN 1 THEN y || '년' END AS label FROM chosen LEFT JOIN dated USING (id, c)"""
+
+
+@query(DATED_SQL)
 def partial_date_resolution(spark, d):
     """bulk: upload days of a whole collection don't count; confirmed: to the day, else added on; posted: a post's day never counts."""
     rows = spark.createDataFrame(DATED, "id int, source string, stated string, original string, other string, added string")
@@ -383,13 +390,20 @@ RECORDS = [
     (7, "added", 1, "Right original", "https://x.test/same", None, None),
     (8, "official", 0, "Other document", "https://x.test/same", "2018", None),
 ]
-MERGED = [(2, "2024-06-13", "https://o.test/act", "curated,official", 2), (3, "2020", "https://iso.test/s#1", "official", 1), (4, "2021", "https://iso.test/s#2", "official", 1), (5, "2019", "https://uk.test/s.html", "official", 2), (7, None, "https://x.test/same", "added", 1), (8, "2018", "https://x.test/same", "official", 1)]
+SAME, APART = [(6, 5)], [(7, 8)]
+MERGE_SQL = f"""WITH RECURSIVE rec AS (SELECT * FROM {inline(RECORDS, 'id, source, priority, title, url, date, summary')}),
+held AS (SELECT unnest([a, b]) AS id FROM {inline(APART, 'a, b')}),
+keyed AS (SELECT id, 't' || {_title_key_sql("title")} AS k FROM rec WHERE id NOT IN (SELECT id FROM held) UNION SELECT id, 'u' || key FROM rec JOIN (SELECT DISTINCT * FROM ({_url_key_sql("rec")})) u ON u.url = rec.url WHERE id NOT IN (SELECT id FROM held)),
+e AS (SELECT x.id AS a, y.id AS b FROM keyed x JOIN keyed y USING (k) UNION SELECT a, b FROM {inline(SAME, 'a, b')} UNION SELECT b, a FROM {inline(SAME, 'a, b')}),
+r AS (SELECT id, id AS place FROM rec UNION SELECT r.id, e.b FROM r JOIN e ON e.a = r.place), c AS (SELECT id, min(place) AS cluster FROM r GROUP BY id),
+o AS (SELECT *, row_number() OVER (PARTITION BY cluster ORDER BY priority, CASE WHEN length(date) = 10 THEN date END NULLS LAST, id) AS n FROM rec JOIN c USING (id))
+SELECT max(id) FILTER (WHERE n = 1) AS id, arg_min(date, n) FILTER (WHERE date IS NOT NULL) AS date, arg_min(url, n) FILTER (WHERE url IS NOT NULL) AS url, string_agg(DISTINCT source, ',' ORDER BY source) AS sources, count(*) AS n_records FROM o GROUP BY cluster"""
 
 
-@query(f"SELECT id, date, url, sources, n_records::BIGINT AS n_records FROM {inline(MERGED, 'id, date, url, sources, n_records')}")
+@query(MERGE_SQL)
 def identity_merge(spark, d):
     rows = spark.createDataFrame(RECORDS, "id int, source string, priority int, original_title string, url string, date string, summary string")
-    same, apart = spark.createDataFrame([(6, 5)], "a int, b int"), spark.createDataFrame([(7, 8)], "a int, b int")
+    same, apart = spark.createDataFrame(SAME, "a int, b int"), spark.createDataFrame(APART, "a int, b int")
     clusters = identity.components(rows, identity.match_edges(rows, same, apart))
     merged = identity.merge(rows.join(clusters, "id"))
     return merged.select("id", "date", "url", F.array_join("sources", ",").alias("sources"), "n_records")
