@@ -214,6 +214,12 @@ def _joined_weights(facts: DataFrame, rated: DataFrame, buckets: int, slots: int
     return own.unionByName(sums[0]).unionByName(sums[1])
 
 
+def _verdict(n_words: Column, n_repeat_words: Column, llr: Column, threshold: float) -> tuple[Column, Column]:
+    """Whether a text fails the base rules, and whether it is kept."""
+    failed = (n_words < LEAST_WORDS) | (n_repeat_words * 100 > n_words * MOST_REPEATED)
+    return failed, ~failed & (llr >= threshold)
+
+
 def score(docs: DataFrame, trusted: DataFrame, doc_id: str = "doc_id", text: str = "text", buckets: int | None = None, threshold: float = THRESHOLD) -> DataFrame:
     """Adds n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, llr and kept to whole documents.
 
@@ -233,8 +239,8 @@ def _scored(docs: DataFrame, trusted: DataFrame, doc_id: str, text: str, buckets
     known = F.broadcast(known) if known.count() <= MOST_BROADCAST else known
     rows = docs.select("*", *text_keys(F.col(f"`{text}`"))).join(known, _KEYS, "left")
     found = {c: F.coalesce(f"{OWN}{c}", F.lit(0).cast("long")) for c in _FACTS} | {"llr": F.coalesce(f"{OWN}llr", F.lit(0.0))}
-    failed = (found["n_words"] < LEAST_WORDS) | (found["n_repeat_words"] * 100 > found["n_words"] * MOST_REPEATED)
-    found |= {"base_failed": failed, "kept": ~failed & (found["llr"] >= threshold)}
+    failed, kept = _verdict(found["n_words"], found["n_repeat_words"], found["llr"], threshold)
+    found |= {"base_failed": failed, "kept": kept}
     return with_results(rows, found).drop(*_KEYS, *[f"{OWN}{c}" for c in (*_FACTS, "llr")])
 
 
@@ -243,8 +249,11 @@ def kept_documents(docs: DataFrame, trusted: DataFrame, doc_id: str = "doc_id",
 
     Rows with a null or empty text go, as the base rejects them; repeated rows stay or go together. An empty table gives an empty one.
     """
-    marked = _scored(packed(docs, doc_id, text), trusted, doc_id, text, buckets, threshold)
-    return unpacked(marked.where("kept"), docs)
+    known = texts_scored(docs, trusted, doc_id, text, buckets)
+    kept = known.where(_verdict(F.col("n_words"), F.col("n_repeat_words"), F.col("llr"), threshold)[1]).select(*_KEYS)
+    kept = F.broadcast(kept) if kept.count() <= MOST_BROADCAST else kept
+    rows = packed(docs, text).select("*", *text_keys(F.col(f"`{text}`")))
+    return unpacked(rows.join(kept, _KEYS, "left_semi"), docs)
 
 
 def digests(scored: DataFrame) -> DataFrame:

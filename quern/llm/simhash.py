@@ -212,16 +212,18 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, root) of every node on an edge but the roots: root is the smallest node that it reaches.
 
     Each round gives the neighbours of a node, and itself, to the smallest of them, until nothing changes;
-    minima are combined before they are shuffled, and every round is written to the shared folder.
+    minima are combined before they are shuffled, and every round is written to the shared folder. So are the minima:
+    the join with them then has a shuffle on either side, and Spark splits the many edges of a hub.
     """
     edges = written(edges.where("a != b").distinct(), "links")
     state = None
     while True:
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"))
+        least = written(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m")), "least")
         moved = both.join(least, "a").select(F.explode(F.array("a", "b")).alias("a"), F.col("m").alias("b"))
         after = written(moved.where("a != b").distinct(), "links")
         drop_written(edges)
+        drop_written(least)
         edges = after
         now = tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
         if now == state:
