@@ -26,7 +26,8 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     state = None
     while True:
         both = now.union(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"))
+        # saved, so that the join has a shuffle on either side and Spark can split the edges of a hub
+        least = _saved(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m")))
         now = _saved(both.join(least, "a").select(F.explode(F.array("a", "b")).alias("a"), F.col("m").alias("b")).where("a <> b").distinct())
         after = tuple(now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
         if after == state:
