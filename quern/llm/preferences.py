@@ -15,7 +15,7 @@ from .common import OWN, with_results
 # The marks around a turn.
 OPEN, CLOSE, END = "<|", "|>\n", "<|end|>\n"
 LEARNED = "assistant"
-#: Conversations of neighbouring ids that lend each other replies.
+#: Conversations that lend each other replies, on average; which do, a hash of their ids decides.
 BLOCK = 64
 
 
@@ -104,14 +104,16 @@ def conversations(turns: DataFrame) -> DataFrame:
 def with_borrowed_reply(rows: DataFrame) -> DataFrame:
     """(conv_id, chosen, rejected): rejected has the last assistant reply of the next conversation in its place.
 
-    The next is that with the next greater id among those with a reply in the same block of BLOCK ids, after the last the
-    first. A conversation without a reply, or alone with one in its block, is its own counterpart. Other columns are left out. An empty
-    table gives an empty one.
+    Conversations with a reply are dealt into blocks of some BLOCK by a hash of their id, however far apart ids are. The next is
+    that with the next greater id in the block, after the last the first. A conversation without a reply, or the only one with a
+    reply, is its own counterpart. Other columns are left out. An empty table gives an empty one.
     """
     places = F.filter(F.transform("turns", lambda t, i: F.when(t["role"] == LEARNED, i)), lambda i: i.isNotNull())
     last, lent_ = f"{OWN}last", f"{OWN}lent"
     marked = rows.select("conv_id", "turns", F.array_max(places).alias(last))
-    block = Window.partitionBy(F.floor(F.col("conv_id") / F.lit(BLOCK)), F.col(last).isNull()).orderBy("conv_id")
+    blocks = marked.where(F.col(last).isNotNull()).agg(F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("long"))).scalar()
+    hashed = F.conv(F.substring(F.md5(F.col("conv_id").cast("string")), 1, 8), 16, 10).cast("long")
+    block = Window.partitionBy(hashed % blocks, F.col(last).isNull()).orderBy("conv_id")
     reply = F.get("turns", F.col(last))["text"]
     first = F.first(F.struct(reply.alias("r"))).over(block.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
     lent = F.coalesce(F.lead(F.struct(reply.alias("r"))).over(block), first)["r"]
@@ -136,7 +138,7 @@ replies AS (SELECT l.conv_id, l.last, t.text AS reply FROM lasts l JOIN t ON t.c
 lent AS (
   SELECT conv_id, last,
     CASE WHEN lead(conv_id) OVER w IS NULL THEN first_value(reply) OVER w ELSE lead(reply) OVER w END AS lent
-  FROM replies WINDOW w AS (PARTITION BY floor(conv_id / {BLOCK}.0) ORDER BY conv_id)),
+  FROM replies WINDOW w AS (PARTITION BY ('0x' || substr(md5(conv_id::VARCHAR), 1, 8))::BIGINT % (SELECT greatest(1, ceil(count(*) / {BLOCK}.0))::BIGINT FROM replies) ORDER BY conv_id)),
 both_ AS (SELECT t.conv_id, t.i, t.role, t.text AS chosen, CASE WHEN t.i = r.last THEN r.lent ELSE t.text END AS rejected FROM t LEFT JOIN lent r USING (conv_id)),
 shared AS (
   SELECT conv_id, coalesce(min(i) FILTER (WHERE chosen IS DISTINCT FROM rejected) - 1, count(*)) AS n FROM both_ GROUP BY conv_id),

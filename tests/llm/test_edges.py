@@ -426,6 +426,12 @@ def test_pairs_that_part_in_the_middle_and_differ_in_length(spark):
     assert got[1].prompt_turns == 4 and got[1]["a.b"] == 2 and got[1].n == 3
 
 
+def test_conversations_of_sparse_ids_lend_each_other_replies(spark):
+    df = spark.createDataFrame([(k * 6400, i, role, f"{role} {k}") for k in range(200) for i, role in enumerate(("user", "assistant"))], "conv_id long, turn long, role string, text string")
+    out = preferences.format_pairs(preferences.with_borrowed_reply(preferences.conversations(df))).collect()
+    assert len(out) == 200 and all(r.rejected_text and r.rejected_text != r.chosen_text for r in out)
+
+
 def test_preferences_of_null_turns_and_equal_conversations(spark):
     turns = [(1, 0, "user", "hi"), (1, 1, "assistant", "yes"), (2, 0, "user", "hi"), (2, 1, "assistant", None), (3, 0, None, None), (None, 0, "user", "lost"), (4, None, "assistant", "a"), (4, None, "assistant", "a")]
     df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").selectExpr("*", "'x' AS prompt", "'y' AS chosen")
