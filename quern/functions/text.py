@@ -102,7 +102,7 @@ def only_summary_foreign(short_title: Column, summary: Column) -> Column:
 
 def tokens(text: Column) -> Column:
     """Lower-case runs of letters and digits."""
-    return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), lambda t: t != "")
+    return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
 
 
 def country_flag(code: Column) -> Column:
