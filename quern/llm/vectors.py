@@ -22,7 +22,9 @@ from .common import written
 #: Neighbours returned; rows of a block; columns read at once; the test's leniency.
 NEAREST, BLOCK, COLUMNS, LENIENCY = 20, 8192, 16, 2.1
 #: Most lists, sample rows for each and at most, rows of the sample that bound distances, coverage the probes are chosen for.
-MAX_LISTS, ROWS_PER_LIST, MAX_SAMPLE, BOUNDING, COVERED = 4096, 64, 65_536, 4096, 0.97
+MAX_LISTS, ROWS_PER_LIST, MAX_SAMPLE, BOUNDING, COVERED = 16_384, 64, 262_144, 4096, 0.97
+#: Lists beyond which centroids are found and looked up in two levels; passes of k-means; numbers of a block of distances (8 bytes each).
+ONE_LEVEL, PASSES, DISTANCES = 1024, 8, 1 << 22
 SEED, SPARE = 5, 12
 #: Vectors that the lists scanned first hold at least, for each neighbour wanted.
 FIRST_ROWS = 32
@@ -39,6 +41,8 @@ class Index:
     probes: int
     bounding: np.ndarray  # rotated vectors of the sample, and the list of each
     lists: np.ndarray
+    tops: np.ndarray | None = None  # centroids of groups of lists, and the group of each list, if there are two levels
+    group: np.ndarray | None = None
     sizes: np.ndarray | None = None  # of the lists
 
     def rotated(self, vectors: np.ndarray, query: bool = False) -> np.ndarray:
@@ -47,6 +51,37 @@ class Index:
         return np.c_[vectors, extra] @ self.rotation
 
 
+    def list_of(self, points: np.ndarray) -> np.ndarray:
+        """The list of each rotated vector: of the nearest centroid, with two levels among those of the nearest group."""
+        if self.tops is None:
+            return nearest_of(points, self.centroids)
+        top, out = nearest_of(points, self.tops), np.zeros(len(points), np.int64)
+        order = np.argsort(top, kind="stable")
+        for rows in np.split(order, np.flatnonzero(np.diff(top[order])) + 1):
+            if len(rows):
+                lists = np.flatnonzero(self.group == top[rows[0]])
+                out[rows] = lists[nearest_of(points[rows], self.centroids[lists])]
+        return out
+
+
+def nearest_of(points: np.ndarray, centroids: np.ndarray) -> np.ndarray:
+    """The nearest centroid of each point."""
+    step = max(1, DISTANCES // len(centroids))
+    parts = [distances(points[k : k + step], centroids).argmin(axis=1) for k in range(0, len(points), step)]
+    return np.concatenate(parts) if parts else np.zeros(0, np.int64)
+
+
+def k_means(points: np.ndarray, count: int, rng: np.random.Generator) -> np.ndarray:
+    """So many centroids, or as many as there are points."""
+    centroids = points[rng.choice(len(points), min(count, len(points)), replace=False)]
+    for _ in range(PASSES if len(centroids) > 1 else 0):
+        own = nearest_of(points, centroids)
+        sums, n = np.zeros_like(centroids), np.bincount(own, minlength=len(centroids))
+        np.add.at(sums, own, points)
+        centroids = np.where(n[:, None] > 0, sums / np.maximum(n, 1)[:, None], centroids)
+    return centroids
+
+
 def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Squared distances of all rows."""
     return np.maximum((a * a).sum(axis=1)[:, None] + (b * b).sum(axis=1)[None] - 2 * (a @ b.T), 0)
@@ -60,21 +95,23 @@ def fit(sample: np.ndarray, scale: float, square: float, total: int, nearest: in
     index = Index(scale, square, rotation, np.zeros((1, wide)), 1, np.zeros((0, wide)), np.zeros(0, np.int64))
     points = index.rotated(sample)
     lists = int(np.clip(min(np.sqrt(total), total // 64, len(sample) // 8), 1, MAX_LISTS))
-    centroids = points[rng.choice(len(points), lists, replace=False)] if len(points) else np.zeros((1, wide))
-    for _ in range(8 if lists > 1 else 0):
-        own = np.concatenate([distances(points[k : k + 4096], centroids).argmin(axis=1) for k in range(0, len(points), 4096)])
-        sums, n = np.zeros_like(centroids), np.bincount(own, minlength=lists)
-        np.add.at(sums, own, points)
-        centroids = np.where(n[:, None] > 0, sums / np.maximum(n, 1)[:, None], centroids)
-    index.centroids, index.bounding = centroids, points[:BOUNDING]
-    index.lists = distances(index.bounding, centroids).argmin(axis=1) if len(points) else index.lists
+    if lists > ONE_LEVEL:
+        index.tops = k_means(points, int(np.sqrt(lists)), rng)
+        top = nearest_of(points, index.tops)
+        parts = [k_means(own, round(len(own) * lists / len(points)) or 1, rng) if len(own) else index.tops[k : k + 1] for k, own in ((k, points[top == k]) for k in range(len(index.tops)))]
+        index.centroids, index.group = np.concatenate(parts), np.repeat(np.arange(len(parts)), [len(p) for p in parts])
+    elif len(points):
+        index.centroids = k_means(points, lists, rng)
+    lists = len(index.centroids)
+    index.bounding = points[:BOUNDING]
+    index.lists = index.list_of(index.bounding) if len(points) else index.lists
     if lists > 1:
         asked = rng.choice(len(sample), min(256, len(sample)), replace=False)
         near = distances(index.rotated(sample[asked], query=True), points)
         near[np.arange(len(asked)), asked] = np.inf
         best = np.argpartition(near, min(nearest, len(sample) - 1) - 1, axis=1)[:, :nearest]
-        own = np.concatenate([distances(points[k : k + 4096], centroids).argmin(axis=1) for k in range(0, len(points), 4096)])
-        order = distances(index.rotated(sample[asked], query=True), centroids).argsort(axis=1)
+        own = index.list_of(points)
+        order = distances(index.rotated(sample[asked], query=True), index.centroids).argsort(axis=1)
         rank = np.argsort(order, axis=1)[np.arange(len(asked))[:, None], own[best]]
         index.probes = int(np.quantile(rank, COVERED)) + 1
     return index
@@ -90,7 +127,7 @@ def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
 def _lists_of(shared):
     def run(column: pa.Array) -> pa.Array:
         points = shared.value.rotated(_matrix(column)) if len(column) else np.zeros((0, 1))
-        return pa.array(distances(points, shared.value.centroids).argmin(axis=1) if len(points) else [], pa.int32())
+        return pa.array(shared.value.list_of(points) if len(points) else [], pa.int32())
 
     return run
 
@@ -105,8 +142,9 @@ def _probes_of(shared, nearest: int):
 
     def run(column: pa.Array) -> pa.Array:
         index, rows = shared.value, []
-        for k in range(0, len(column), 512):
-            points = index.rotated(_matrix(column.slice(k, 512)), query=True)
+        step = max(1, min(512, DISTANCES // len(index.centroids)))
+        for k in range(0, len(column), step):
+            points = index.rotated(_matrix(column.slice(k, step)), query=True)
             order = distances(points, index.centroids).argsort(axis=1, kind="stable")
             held = np.cumsum(index.sizes[order], axis=1)
             first = np.minimum((held < FIRST_ROWS * nearest).sum(axis=1) + 1, order.shape[1])
@@ -220,8 +258,9 @@ def nearest_neighbours(vectors: DataFrame, asked: DataFrame, nearest: int = NEAR
         sizes[row["list"]] = row["count"]
     index.sizes = sizes
     shared = spark.sparkContext.broadcast(index)
-    blocks = F.array(*[F.lit(int(max(1, -(-n // BLOCK)))) for n in sizes])
-    dealt = assigned.withColumn("block", F.pmod("h2", F.get(blocks, F.col("list"))).cast("int"))
+    cut = spark.createDataFrame([(k, int(max(1, -(-n // BLOCK)))) for k, n in enumerate(sizes)], "list int, blocks int")
+    cut = F.broadcast(cut)  # at most MAX_LISTS rows
+    dealt = assigned.join(cut, "list").withColumn("block", F.pmod("h2", "blocks").cast("int")).drop("blocks")
     wanted = asked.select(F.col("vec_id").cast("long").alias("query_id")).where("query_id is not null").distinct()
     queries = usable.join(wanted, usable.vec_id == wanted.query_id).select("query_id", "h1", "h2").distinct()
     probe = F.arrow_udf(_probes_of(shared, nearest + 1), "struct<lists: array<int>, first: int, bound: double>")
@@ -230,7 +269,7 @@ def nearest_neighbours(vectors: DataFrame, asked: DataFrame, nearest: int = NEAR
 
     def searched(asked: DataFrame, lists: Column, bound: Column, leniency: float = LENIENCY) -> DataFrame:
         one = asked.select("h1", "h2", "embedding", bound.alias("bound"), F.explode(lists).alias("list"))
-        one = one.select("*", F.explode(F.sequence(F.lit(0), F.get(blocks, F.col("list")) - 1)).alias("block"))
+        one = one.join(cut, "list").select("h1", "h2", "embedding", "bound", "list", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
         found = dealt.groupBy("list", "block").cogroup(one.groupBy("list", "block"))
         return found.applyInArrow(_search(shared, nearest + 1, leniency), "h1 long, h2 long, score double, ids array<long>")
 

@@ -388,6 +388,22 @@ def test_queries_with_too_few_neighbours_are_scanned_again(spark, monkeypatch):
     assert len(by) == 10 and hits >= 180
 
 
+def test_two_levels_of_centroids_find_as_much(monkeypatch):
+    rng = np.random.default_rng(5)
+    x = rng.normal(0, 1, (6000, 16))
+    found = []
+    for one_level in (10_000, 20):
+        monkeypatch.setattr(vectors, "ONE_LEVEL", one_level)
+        index = vectors.fit(x, 4.0, float(((x / 4) ** 2).sum(axis=1).max()), 6000, 21)
+        lists = index.list_of(index.rotated(x))
+        assert (index.tops is None) == (one_level > 20) and len(np.unique(lists)) > 40
+        q = x[:100]
+        order = vectors.distances(index.rotated(q, query=True), index.centroids).argsort(axis=1)[:, : index.probes]
+        best = np.argsort(-(q @ x.T), axis=1)[:, 1:21]
+        found.append(np.mean([np.isin(lists[b], o).mean() for b, o in zip(best, order, strict=True)]))
+    assert min(found) > 0.93, found
+
+
 def test_huge_components(spark):
     data = [(k, [1e200 * (k + 1), 1e180, -1e200 * k]) for k in range(60)]
     df = spark.createDataFrame(data, "vec_id long, embedding array<double>")
