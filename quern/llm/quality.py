@@ -22,7 +22,7 @@ BUCKETS, SMOOTHING, THRESHOLD = 1 << 18, 4.0, -0.15
 #: Buckets grow as this power of the n-grams, one for so many of that; bytes of text that stand for one n-gram.
 GROWTH, SHARED_BY, BYTES_A_GRAM = 0.75, 5, 3
 #: Ratios that one array or broadcast holds (8 bytes each in the array); of more buckets the most frequent are broadcast and the others joined.
-SLOTS = 1 << 23
+SLOTS = 10 << 20
 #: Rows of ids or texts that are broadcast; more are joined by a shuffle. This decides speed, not results.
 MOST_BROADCAST = 1 << 19
 #: N-grams that one task counts at most, unless the table is cut more coarsely; ratios gathered at once on the way to the array.
