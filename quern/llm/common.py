@@ -85,12 +85,15 @@ def _hadoop(spark: SparkSession, path: str) -> tuple:
     return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
-def written(df: DataFrame, what: str) -> DataFrame:
+def written(df: DataFrame, what: str, narrow: bool = False) -> DataFrame:
     """Writes ``df`` as Parquet to the shared folder and reads it again: computed once, and it outlives executors.
 
-    Columns of types that Parquet lacks (void, intervals) fail, so they have to be cast or left out before. The table is removed by :func:`drop_written`, or when the session's process ends.
+    Columns of types that Parquet lacks (void, intervals) fail, so they have to be cast or left out before. The table is removed
+    by :func:`drop_written`, or when the session's process ends. A ``narrow`` table, a few numbers a row behind a shuffle, is written
+    by two tasks a core at most, so that its files aren't many and tiny.
     """
     spark = df.sparkSession
+    df = df.coalesce(2 * spark.sparkContext.defaultParallelism) if narrow else df
     at = f"{shared_folder(spark)}/{what}-{uuid.uuid4().hex}"
     path, files = _hadoop(spark, at)
     df.write.parquet(at)

@@ -149,7 +149,7 @@ def mixed(sized: DataFrame, source: str = "source") -> DataFrame:
     salts = max(SALTS, keyed.count() // ROWS_A_SALT)
     keyed = keyed.withColumn(_SALT, F.pmod(_HASH, F.lit(salts)))
     plain = keyed.select(_KEY, F.col(f"`{source}`").cast("string").alias("source"), _SIZE, _SALT)
-    by_salt = written(plain.groupBy(_KEY, "source", _SIZE, _SALT).agg(F.count(F.lit(1)).alias("n")), "lengths")
+    by_salt = written(plain.groupBy(_KEY, "source", _SIZE, _SALT).agg(F.count(F.lit(1)).alias("n")), "lengths", narrow=True)
     lengths = by_salt.groupBy(_KEY, _SIZE).agg(F.sum("n").alias("n"))
     sums = by_salt.groupBy(_KEY).agg(F.first("source").alias("source"), F.sum(F.col(_SIZE) * F.col("n")).alias("source_size"))
     goals = written(targets(sums), "targets")

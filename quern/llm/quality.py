@@ -175,7 +175,7 @@ def texts_scored(docs: DataFrame, trusted: DataFrame, doc_id: str, text: str, bu
     buckets = buckets or _buckets(size)
     # fewer tasks combine more of the counts before the shuffle, as long as every core has two
     tasks = max(2 * docs.sparkSession.sparkContext.defaultParallelism, size // BYTES_A_GRAM // GRAMS_A_TASK)
-    counts = written(bucket_counts(docs.coalesce(tasks), trusted, doc_id, text, buckets), "counts")
+    counts = written(bucket_counts(docs.coalesce(tasks), trusted, doc_id, text, buckets), "counts", narrow=True)
     total = counts.agg(F.sum("raw").alias("n"), F.sum("target").alias("t")).first()
     rated = counts.select("bucket", "raw", _ratio(F.col("raw"), F.col("target"), (total.t or 0) / max(total.n or 0, 1)).alias("weight"))
     facts = _facts(docs, text)
@@ -193,7 +193,7 @@ def texts_scored(docs: DataFrame, trusted: DataFrame, doc_id: str, text: str, bu
     else:
         weights = _joined_weights(facts, rated, buckets, slots)
     own = [F.max(c).alias(c) for c in _FACTS]  # copies of a text agree in them, and in the mean
-    return written(weights.groupBy(*_KEYS).agg(*own, (F.sum("sum") / F.sum("n")).alias("llr")), "texts")
+    return written(weights.groupBy(*_KEYS).agg(*own, (F.sum("sum") / F.sum("n")).alias("llr")), "texts", narrow=True)
 
 
 def _joined_weights(facts: DataFrame, rated: DataFrame, buckets: int, slots: int) -> DataFrame:

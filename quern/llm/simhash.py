@@ -215,13 +215,13 @@ def components(edges: DataFrame) -> DataFrame:
     minima are combined before they are shuffled, and every round is written to the shared folder. So are the minima:
     the join with them then has a shuffle on either side, and Spark splits the many edges of a hub.
     """
-    edges = written(edges.where("a != b").distinct(), "links")
+    edges = written(edges.where("a != b").distinct(), "links", narrow=True)
     state = None
     while True:
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = written(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m")), "least")
+        least = written(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m")), "least", narrow=True)
         moved = both.join(least, "a").select(F.explode(F.array("a", "b")).alias("a"), F.col("m").alias("b"))
-        after = written(moved.where("a != b").distinct(), "links")
+        after = written(moved.where("a != b").distinct(), "links", narrow=True)
         drop_written(edges)
         drop_written(least)
         edges = after
@@ -243,7 +243,7 @@ def grouped(coded: DataFrame, doc_id: str = "doc_id", bits: int = BITS, root: st
     """
     coded = written(coded, "fingerprints")
     distinct = coded.where("fingerprint is not null").groupBy(F.col("fingerprint").alias("fp"))
-    distinct = written(distinct.agg(F.min(f"`{doc_id}`").alias("least")), "distinct")
+    distinct = written(distinct.agg(F.min(f"`{doc_id}`").alias("least")), "distinct", narrow=True)
     found = components(links(distinct.select("fp"), bits))
     rooted = distinct.join(found, distinct.fp == found.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     smallest = rooted.groupBy("root").agg(F.min("least").alias("smallest"))
