@@ -11,7 +11,7 @@ CENTRAL = ["교육부.*교육청", "Ministry of Local Government"]
 KINDS = {
     "university": ["대학교", r"\bUniversit(y|é|ät|at|e)\b", r"\bCollege\b", r"\bInstitute of Technology\b"],
     "lab": ["연구소", "연구원", r"\bLab(s|oratory|oratories)?\b", r"\bResearch (Institute|Center|Centre)\b"],
-    "company": ["주식회사", r"\(주\)", r"\b(Inc|Corp|Corporation|Ltd|LLC|GmbH|PLC|Company)\b", r"\b(LG|CJ|OpenAI|Anthropic|Microsoft|Google|Meta|NAVER|Kakao)\b"],
+    "company": ["주식회사", r"\(주\)", r"\b(Inc|Corp|Corporation|Ltd|LLC|GmbH|PLC|Company)\b", r"\b(LG|CJ)\b"],
 }
 REGIONAL = ["교육청", "광역시", "특별시", "(State|City|County) of ", "Municipal", "(省|市)人民政府", "Provincial (People's )?Government", "Alberta"]
 
