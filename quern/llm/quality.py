@@ -5,8 +5,8 @@ buckets for all documents (raw) and for trusted ones (target); a document scores
 n-grams of ``ln p_target - ln p_raw``, both smoothed so that a bucket the target never saw costs little
 where it couldn't be expected to see it. A fixed threshold decides every document alike.
 
-N-grams are rows of generated code: a text's word hashes are zipped with themselves shifted by one and exploded, so no
-lambda runs for an n-gram in counting or scoring. All that is known of a text is kept by its hash, one
+One lambda hashes the words of a text. N-grams are then rows of generated code: the hashes are zipped with themselves
+shifted by one and exploded, to be counted or summed. All that is known of a text is kept by its hash, one
 row for each distinct text, and joined to the documents.
 """
 
