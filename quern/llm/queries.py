@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, licenses, mixing, pii, preferences, quality, sharding, simhash, token_counts, vectors
+from . import bpe, licenses, mixing, pii, preferences, quality, runs, sharding, simhash, token_counts, vectors
 from .common import read, written
 
 WORD_BPE = "word_bpe_49k.json"
@@ -78,6 +79,12 @@ def op10_simhash_vp_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.digests(simhash.grouped(coded))
 
 
+def op11_word_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words in every whole text, with repetitions planted in every tenth."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return runs.digests(runs.with_runs(docs, turn=runs.planted_turn(F.col("doc_id"))))
+
+
 QUERIES = {
     "op1_crf_personal_data": op1_crf_personal_data,
     "op2_ngram_llr_quality": op2_ngram_llr_quality,
@@ -89,5 +96,6 @@ QUERIES = {
     "op8_bpe_merge_rounds": op8_bpe_merge_rounds,
     "op9_license_rules": op9_license_rules,
     "op10_simhash_vp_forest": op10_simhash_vp_forest,
+    "op11_word_runs": op11_word_runs,
 }
 ORACLES = {"op4_hash_tree_shards": sharding.oracle_sql(SHARDS), "op7_preference_pairs": preferences.ORACLE_SQL}
