@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, divergence, licenses, mixing, pii, preferences, quality, runs, sharding, simhash, token_counts, vectors
+from . import bpe, divergence, forest, licenses, mixing, pii, preferences, quality, runs, sharding, simhash, token_counts, vectors
 from .common import read, written
 
 WORD_BPE = "word_bpe_49k.json"
@@ -85,6 +85,11 @@ def op11_word_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.digests(runs.with_runs(docs, turn=runs.planted_turn(F.col("doc_id"))))
 
 
+def op12_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components over the four-word shingle sets of all documents."""
+    return forest.digests(forest.near_duplicates(read(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
 def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How far the sources of each language part, and by which terms."""
     return divergence.audit(read(spark, sf_dir, "documents").select("text", "lang", "source"))
@@ -102,6 +107,7 @@ QUERIES = {
     "op9_license_rules": op9_license_rules,
     "op10_simhash_vp_forest": op10_simhash_vp_forest,
     "op11_word_runs": op11_word_runs,
+    "op12_lsh_forest": op12_lsh_forest,
     "op13_source_divergence": op13_source_divergence,
 }
 ORACLES = {"op4_hash_tree_shards": sharding.oracle_sql(SHARDS), "op7_preference_pairs": preferences.ORACLE_SQL, "op13_source_divergence": divergence.ORACLE_SQL}
