@@ -3,7 +3,8 @@
 Documents are counted by source and exact length. For each source the budget left after whole passes is
 filled from these counts: an even share of every length first, then, largest length first, down to a
 window that a bounded-knapsack programme fills. If no sum of the lengths left over fills it, some of the even share is given
-back and a window of twice the size is tried, until one is filled or the programme has had the whole budget. The
+back and a window of twice the size is tried, until one is filled, the programme has had the whole budget, or the window is as large as memory
+allows; then the programme runs over residues of one length, whose documents make up for what the others leave. The
 numbers taken of each length then select documents by a seeded hash of their id.
 """
 
@@ -20,6 +21,8 @@ from .common import OWN, packed, source_key, unpacked, with_results, written
 WEIGHTS, SHARE, MOST = (3, 1, 2), 1.5, 2.0
 #: Words that the knapsack programme fills at first (5 bytes each). Parts in which documents of one length are ranked: at least, and rows of all sources for each.
 WINDOW, SALTS, ROWS_A_SALT, SEED = 1 << 17, 64, 1 << 16, 7
+#: The largest window; where none fills the budget, residues of one length are asked (5 bytes a word of it).
+LARGEST_WINDOW = 1 << 21
 WORD = r"[^\x20\x09-\x0D]+"
 
 _KEY, _SIZE, _HASH, _TIE, _SALT = f"{OWN}source", "size", f"{OWN}hash", f"{OWN}tie", f"{OWN}salt"
@@ -34,7 +37,8 @@ def targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float
 
     Sources in the order of their code points, null last, weigh ``weights`` in turn and share ``share`` of all sizes. A
     target stops at ``most`` times its source's size and the rest share its excess by weight: the level at
-    which they end is the largest that any prefix of the sources, by cap for each weight, would leave.
+    which they end is the largest that any prefix of the sources, by cap for each weight, would leave. One task sorts
+    all sources, some 100 bytes each: a million take 0.1 GB, and more spill to its disk.
     """
     everything = Window.partitionBy(F.lit(0))  # a row for each source
     place = F.row_number().over(everything.orderBy(F.col("source").asc_nulls_last())) - F.lit(1)
@@ -78,6 +82,50 @@ def subset_sum(sizes: np.ndarray, left: np.ndarray, budget: int) -> np.ndarray:
     return take
 
 
+def by_residues(s: np.ndarray, n: np.ndarray, done: np.ndarray, left: int) -> np.ndarray:
+    """A choice of sizes (at most n each) whose sum is as near below ``left`` beyond that of ``done`` as a pivot allows.
+
+    One size is the pivot; the programme asks which others, taken more or fewer times, change the sum by which
+    residue of it, and the pivot makes up for the rest. It needs memory in that size alone. A residue never needs more steps than the pivot
+    is large, so a pivot with spare documents on both sides for them gives the nearest sum there is; the smallest of these is taken, or else that with the most.
+    """
+    spare = np.minimum(done, n - done)
+    enough = np.flatnonzero(spare > int(s.max()) + left)
+    at = int(enough[np.argmin(s[enough])]) if len(enough) else int(np.argmax(spare * (s <= LARGEST_WINDOW)))
+    m = int(s[at])
+    first = np.full(m, -1, np.int32)
+    reach = np.zeros(m, bool)
+    reach[0] = True
+    items: list[tuple[int, int]] = []  # a size and how often more, or fewer
+    room = {(k, sign): int(min(x[k], m - 1)) for k in range(len(s)) if k != at for sign, x in ((1, n - done), (-1, done))}
+    goal, part = left % m, 1
+    while room and not reach[goal]:
+        for (k, sign), spared in list(room.items()):  # single steps of all sizes before double ones
+            if reach[goal]:
+                break
+            by = min(part, spared)
+            if by:
+                new = np.roll(reach, sign * by * int(s[k]) % m) & ~reach
+                first[new] = len(items)
+                reach |= new
+                items.append((k, sign * by))
+            room[k, sign] = spared - by
+        room = {x: spared for x, spared in room.items() if spared}
+        part *= 2
+    for short in np.sort((goal - np.flatnonzero(reach)) % m).tolist():  # the sum stays that far below
+        if short >= left:
+            break
+        change, r = np.zeros(len(s), np.int64), (goal - short) % m
+        while r:
+            k, by = items[first[r]]
+            change[k] += by
+            r = (r - by * int(s[k])) % m
+        change[at] = (left - short - int((change * s).sum())) // m
+        if (0 <= done[at] + change[at] <= n[at]).all():
+            return done + change
+    return done
+
+
 def fit(sizes: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
     """How many documents of each size to take, at most ``counts``, so that their words come to ``budget``."""
     take = np.zeros(len(sizes), np.int64)
@@ -97,26 +145,29 @@ def fit(sizes: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
         more = min(int(n[k] - t[k]), (rest - WINDOW) // int(s[k]))
         t[k] += more
         rest -= more * int(s[k])
-    best = budget - budget % int(np.gcd.reduce(s))  # no sum of the lengths is nearer
+    unit = int(np.gcd.reduce(s))
+    best = budget - budget % unit  # no sum of the lengths is nearer
     window, least = WINDOW, None
     while True:
         fits = np.flatnonzero((n > t) & (s <= rest))
         more = subset_sum(s[fits], (n - t)[fits], rest)
         left = rest - int((more * s[fits]).sum())
+        done = t.copy()
+        done[fits] += more
         if least is None:
             # steps from here to a best choice can be ordered so that their sums stay within the largest length, and steps between equal
             # sums can be left out: a best choice is at most twice that length steps away, so no more of a length need be given back
-            done = t.copy()
-            done[fits] += more
             least = np.maximum(done - 2 * int(s.max()), 0)
         if budget - left >= best or (t <= least).all():
             break
+        if 2 * window > LARGEST_WINDOW:
+            done = by_residues(s // unit, n, done, left // unit)
+            break
         window, free = 2 * window, np.maximum(t - least, 0)
         back = np.minimum(free, -(-(free.astype(object) * max(window - rest, 1)) // int((free * s).sum())).astype(np.int64))
         t = t - back
         rest += int((back * s).sum())
-    t[fits] += more
-    take[real] = t
+    take[real] = done
     return take
 
 
@@ -135,7 +186,8 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
     2, and taken its words, repeats counted. Every row stays. A null source is a source, the last. Which
     documents of a length are taken depends on the seed, the id and the text, and of rows that agree in these on the
     other columns but maps; rows that agree in all are interchangeable. Documents without words take part with no words. Input columns called like the
-    results give way. An empty table gives an empty one.
+    results give way. An empty table gives an empty one. Texts of any length are counted whole. A source's lengths, at most the root of twice its words, are fitted by one
+    task, with 10 MB for the window and 5 bytes for each word of one length.
     """
     row_hash = F.xxhash64(F.lit(seed), F.col(f"`{doc_id}`"), F.col(f"`{text}`").cast("string"))
     others = [F.col(f"`{c}`") for c, kind in docs.dtypes if c not in (doc_id, text) and "map<" not in kind and kind not in ("variant", "void")]

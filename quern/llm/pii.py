@@ -13,6 +13,7 @@ import re
 from collections import Counter
 from collections.abc import Iterable
 from functools import lru_cache
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -183,8 +184,10 @@ class _Words(dict):
 
     def __missing__(self, word: str) -> int:
         facts = facts_of(word)
-        if (row := self.facts.get(facts)) is None:
-            row = self.facts[facts] = len(self.facts)
+        # of a long word only a digest is kept, so that what is remembered is bounded in bytes: some 200 for each of REMEMBERED words and shapes
+        key = facts if len(word) <= LONGEST else blake2b(repr(facts).encode("utf-8", "replace"), digest_size=16).digest()
+        if (row := self.facts.get(key)) is None:
+            row = self.facts[key] = len(self.facts)
             if row == len(self.own):
                 self.own = np.r_[self.own, np.zeros_like(self.own)]
             self.own[row] = self._scores(own_features(facts))
@@ -489,8 +492,8 @@ def find_in(docs: DataFrame, text: str = "text", result: str = "spans", field: F
     """Adds ``result``: the spans (kind, start, end in code points, whether a base pattern) of each whole text.
 
     A null or empty text has none. Rows, repeated ones too, and other columns stay; an input column called
-    like the result gives way. An empty table gives an empty one. Texts and words of any length are read whole; a text
-    that is all matches takes some 600 bytes a match.
+    like the result gives way. An empty table gives an empty one. Texts and words of any length are read whole, and of words
+    longer than LONGEST nothing is remembered but a digest of their shape; a text that is all matches takes some 600 bytes a match.
     """
     model = _shared(docs, field)
     work = per_text(lambda texts: _packed(find(texts, model.value)), _SPANS)

@@ -1,6 +1,7 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and clashing columns, for each operator."""
 
 import random
+import tracemalloc
 
 import numpy as np
 import public_tokenizers
@@ -133,6 +134,47 @@ def test_a_shortfall_that_nothing_fills_costs_little():
     assert int((take * np.array([1000, 1001])).sum()) == 5_000_000_001
 
 
+def test_residues_fill_what_no_window_may(monkeypatch):
+    monkeypatch.setattr(mixing, "WINDOW", 16)
+    monkeypatch.setattr(mixing, "LARGEST_WINDOW", 32)
+    rng = random.Random(21)
+    for _ in range(200):
+        sizes = np.array(rng.sample(range(5, 60), rng.randint(2, 4)))
+        left = np.array([400, *[rng.randint(1, 6) for _ in sizes[1:]]])
+        budget = int((sizes * left).sum() * rng.uniform(0.4, 0.6))
+        sums = 1
+        for s, n in zip(sizes, left, strict=True):
+            for _ in range(n):
+                sums |= sums << int(s)
+        take = mixing.fit(sizes, left, budget)
+        assert (take <= left).all() and (take >= 0).all()
+        assert int((take * sizes).sum()) == (sums & ((1 << (budget + 1)) - 1)).bit_length() - 1
+
+
+@pytest.mark.parametrize("outlier", [1001, 100_001, 3_000_001])
+def test_a_long_text_among_equal_ones_takes_little_memory(outlier):
+    tracemalloc.start()
+    sizes = np.array([1000, outlier])
+    take = mixing.fit(sizes, np.array([10_000_000, 1]), 5_000_000_500)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert int((take * sizes).sum()) == 5_000_000_001 and most < 64e6
+
+
+def test_words_of_any_length_take_bounded_memory():
+    rng = random.Random(8)
+    field = pii.default_field()
+    field.words = None
+    word = lambda n: "".join(rng.choice("aZ0+/=.") for _ in range(n))
+    texts = [" ".join(word(10_000) for _ in range(20)) for _ in range(20)]
+    for t in texts:
+        pii.tag([t], field)
+    held = sum(len(w or "") for w in field.words) + sum(len(k if isinstance(k, bytes) else k[0]) for k in field.words.facts if k)
+    assert len(field.words.facts) > 300 and held < 40_000
+    again, field.words = [pii.tag([t], field) for t in texts], None
+    assert again == [pii.tag([t], field) for t in texts]
+
+
 def test_mix_of_rows_that_differ_in_other_columns_alone(spark):
     docs = spark.createDataFrame([(1, "a b c", "s", k) for k in range(40)], "doc_id long, text string, source string, k int")
     runs = [sorted(r.k for r in mixing.mixture(d).collect()) for d in (docs, docs.repartition(7), docs.orderBy(F.desc("k")))]
