@@ -10,6 +10,8 @@ combination, times its tally. All arithmetic is on whole numbers.
 
 from __future__ import annotations
 
+import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,36 +20,61 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import SLICE_CHARS, text_slices, written
 
-TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
+_TERM = re.compile(rb"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")  # of bytes, which all those of a character beyond ASCII match
 #: Documents that a kept term is found in, terms reported for each group.
 LEAST_DOCUMENTS, TOP = 10, 10
 #: Pairs of counts that a task tallies at once, and combinations that it holds before it hands them on.
 PAIRS, HELD = 1 << 18, 1 << 18
+#: Terms of groups that a task counts before it hands them on (some 200 bytes each).
+TERMS_HELD = 1 << 19
 SCALE = 1_000_000_000
 _CELL = "lang string, a string, b string, c bigint, d bigint, m bigint"
 _NUMBERS = ["lang", "a", "b", "c", "d"]
 
 
-def lowered(text: Column) -> Column:
-    """A to Z in lower case and all else as it is: one replacement a letter, far faster than a translation, which asks a map for every character."""
-    for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ":
-        text = F.replace(text, F.lit(c), F.lit(c.lower()))
-    return text
+def partial_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of (text, lang, source) to (lang, source, term, n, docs): occurrences and documents of each term, combined over up to TERMS_HELD terms of groups."""
+    held: dict[tuple[str, str], tuple[Counter, Counter]] = {}
+
+    def out() -> Iterator[pa.RecordBatch]:
+        for (lang, source), (n, docs) in held.items():
+            k = len(n)
+            names = [pa.DictionaryArray.from_arrays(np.zeros(k, np.int32), pa.array([x], pa.string())).cast(pa.string()) for x in (lang, source)]
+            terms = pa.array(list(n), pa.binary()).cast(pa.string())
+            counts = [pa.array(np.fromiter(x, np.int64, k)) for x in (n.values(), map(docs.__getitem__, n))]
+            yield from pa.table([*names, terms, *counts], names=["lang", "source", "term", "n", "docs"]).to_batches(max_chunksize=1 << 16)
+        held.clear()
+
+    for batch in batches:
+        keys = zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)
+        for texts in text_slices(batch.column(0)):
+            for t in texts:
+                n, docs = held.setdefault(next(keys), (Counter(), Counter()))
+                data = t.encode("utf-8", "replace").lower()  # of bytes: A-Z alone
+                if len(data) <= SLICE_CHARS:
+                    words = _TERM.findall(data)
+                    n.update(words)
+                    docs.update(set(words))
+                else:
+                    own = Counter(m[0] for m in _TERM.finditer(data))
+                    n.update(own)
+                    docs.update(own.keys())
+            if sum(len(n) for n, _ in held.values()) > TERMS_HELD:
+                yield from out()
+    yield from out()
 
 
 def term_counts(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source", least: int = LEAST_DOCUMENTS) -> DataFrame:
     """(lang, term, n, sources): the kept terms of each language, how often they occur, and in which sources how often.
 
-    A null text, language or source is read as an empty one. Counts by group are combined before they are shuffled; a term's list
-    has an entry for each source that has it.
+    A null text, language or source is read as an empty one. Counts by group are combined in the tasks that read the texts, before they are
+    shuffled; a term's list has an entry for each source that has it.
     """
     own = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")).alias(n) for c, n in ((text, "text"), (lang, "lang"), (source, "source"))]
-    rows = docs.select(*own).select("lang", "source", F.regexp_extract_all(lowered(F.col("text")), F.lit(TERM), F.lit(0)).alias("terms"))
-    # every occurrence, then every term of the document once
-    each = rows.select("lang", "source", F.size("terms").alias("k"), F.posexplode(F.concat("terms", F.array_distinct("terms"))).alias("at", "term"))
-    counted = each.groupBy("lang", "source", "term").agg(F.count_if(F.col("at") < F.col("k")).alias("n"), F.count_if(F.col("at") >= F.col("k")).alias("docs"))
+    each = docs.select(*own).mapInArrow(partial_counts, "lang string, source string, term string, n bigint, docs bigint")
+    counted = each.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
     by_term = counted.groupBy("lang", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"), F.collect_list(F.struct("source", "n")).alias("sources"))
     return by_term.where(F.col("docs") >= least).select("lang", "term", "n", "sources")
 
