@@ -13,6 +13,17 @@ from quern.functions.text import tokens
 K1, B, RANK_SHIFT = 1.2, 0.75, 60
 
 
+def idf(n: Column, df: Column) -> Column:
+    """The weight of a term that df of n documents have."""
+    return F.log(F.lit(1.0) + (n - df + F.lit(0.5)) / (df + F.lit(0.5)))
+
+
+def bm25_part(weight: Column, tf: Column, length: Column, mean: Column) -> Column:
+    """What a term adds to the score of a document of so many words; it grows with tf and falls with length."""
+    tf = tf.cast("double")
+    return weight * tf * F.lit(K1 + 1) / (tf + F.lit(K1) * (F.lit(1 - B) + F.lit(B) * length / mean))
+
+
 def postings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(term, doc_id, tf, length): the inverted index."""
     rows = docs.select(F.col(doc_id).alias("doc_id"), tokens(F.col(text)).alias("t"))
@@ -31,27 +42,10 @@ def bm25(docs: DataFrame, terms: Sequence[str], k: int, doc_id: str = "doc_id",
     rows = rows.where(" or ".join(f"tf{i} > 0" for i in range(len(wanted)))).withColumn("s", stats)
     s, score = F.col("s"), F.lit(0.0)
     for i in range(len(wanted)):
-        idf = F.log(F.lit(1.0) + (s["n"] - s[f"df{i}"] + F.lit(0.5)) / (s[f"df{i}"] + F.lit(0.5)))
-        tf = F.col(f"tf{i}").cast("double")
-        score = score + idf * tf * F.lit(K1 + 1) / (tf + F.lit(K1) * (F.lit(1 - B) + F.lit(B) * F.col("length") / s["mean"]))
+        score = score + bm25_part(idf(s["n"], s[f"df{i}"]), F.col(f"tf{i}"), F.col("length"), s["mean"])
     return rows.select("doc_id", F.round(score, 6).alias("score")).orderBy(F.desc("score"), "doc_id").limit(k)
 
 
-def bm25_indexed(index: DataFrame, stats: DataFrame, terms: Sequence[str], k: int) -> DataFrame:
-    """The k best documents (doc_id, score) by postings (term, doc_id, tf, length) and stats (n, mean) of one row.
-
-    The terms are a filter that reaches the scan; of postings clustered by term few row groups are read.
-    """
-    wanted = sorted(set(terms))
-    found = index.where(F.col("term").isin(*wanted)).select("term", "doc_id", "tf", "length")
-    df = found.groupBy("term").agg(F.count(F.lit(1)).cast("double").alias("df"))
-    s, tf = F.col("s"), F.col("tf").cast("double")
-    rows = found.join(F.broadcast(df), "term").withColumn("s", stats.select(F.struct(F.col("n").cast("double").alias("n"), "mean")).scalar())  # a row for each term asked for
-    idf = F.log(F.lit(1.0) + (s["n"] - F.col("df") + F.lit(0.5)) / (F.col("df") + F.lit(0.5)))
-    score = idf * tf * F.lit(K1 + 1) / (tf + F.lit(K1) * (F.lit(1 - B) + F.lit(B) * F.col("length") / s["mean"]))
-    return rows.groupBy("doc_id").agg(F.round(F.sum(score), 6).alias("score")).orderBy(F.desc("score"), "doc_id").limit(k)
-
-
 def cosine(vector: Column, query: Sequence[float]) -> Column:
     """Cosine in double precision; null for a zero vector."""
     q = F.array(*[F.lit(float(x)) for x in query])

@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from quern.functions import dates, issuers, text
 from quern.operators import curation, identity, listing, search
-from quern.sources.catalogue import read_documents, read_index, unified, write_index
+from quern.sources import index, vector_index
+from quern.sources.catalogue import read_documents, unified
 from quern.sources.catalogue import read_table as table
-from quern.sources.shared import scratch
+from quern.sources.shared import kept_folder, scratch
 from quern.streaming import refresh
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -522,19 +523,42 @@ def fts_bm25_topk(spark, d):
     return search.bm25(table(spark, d, "documents"), TERMS, 10)
 
 
-#: The folder of the index of each table folder, by application.
-_INDEXES: dict[tuple[str, str], str] = {}
-
-
 @query(BM25_SQL)
 def fts_index_search(spark, d):
-    """The same from the index, which the first search of a folder in a session writes."""
-    key = (spark.sparkContext.applicationId, d)
-    if key not in _INDEXES:
-        at = scratch(spark, "index")
-        write_index(table(spark, d, "documents").select("doc_id", "text"), at, "doc_id", "text")
-        _INDEXES[key] = at
-    return search.bm25_indexed(*read_index(spark, _INDEXES[key]), TERMS, 10)
+    """The same from the index, which is brought to what documents hold now before it is asked."""
+    at = kept_folder(spark, "index", d)
+    version = index.synchronise(spark, at, table(spark, d, "documents").select("doc_id", "text"))
+    return index.search(spark, at, TERMS, 10, version)
+
+
+def _three_batches(spark, d) -> tuple[str, list]:
+    """All documents, those labelled with an old text; their right texts, and bad ones deleted; nothing but one that was never there. Each twice."""
+    at = scratch(spark, "refreshed")
+    docs, labels = table(spark, d, "documents").select("doc_id", "text"), table(spark, d, "labels")
+    labelled = docs.join(labels.select("doc_id", "quality").distinct(), "doc_id", "left")
+    old = F.when(F.col("quality").isNotNull(), F.concat(F.lit("token license "), "text")).otherwise(F.col("text"))
+    batches = [
+        labelled.select("doc_id", old.alias("text")),
+        labelled.where("quality is not null").select("doc_id", "text", (F.col("quality") == 0).alias("deleted")),
+        docs.agg((F.max("doc_id") + 1).alias("doc_id")).select("doc_id", F.lit(None).cast("string").alias("text"), F.lit(True).alias("deleted")),
+    ]
+    return at, [index.refresh(spark, at, b, k) for k in (0, 0, 1, 0, 1, 2, 1) for b in [batches[k]]]
+
+
+@query(BM25_SQL.replace("FROM documents)", "FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE quality = 0))", 1))
+def index_refresh_search(spark, d):
+    """A search after three batches with replays: what a new index of the remaining documents would give."""
+    at, said = _three_batches(spark, d)
+    return index.search(spark, at, TERMS, 10, said[-1])
+
+
+@query(r"""WITH k AS (SELECT doc_id, len(list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '')) AS words, doc_id IN (SELECT doc_id FROM labels) AS labelled, doc_id IN (SELECT doc_id FROM labels WHERE quality = 0) AS bad FROM documents),
+a AS (SELECT 1 AS version, 0 AS last_batch, count(*) AS n, sum(words + CASE WHEN labelled THEN 2 ELSE 0 END) AS words FROM k), b AS (SELECT count(*) AS n, sum(words) AS words FROM k WHERE NOT bad)
+SELECT step, version, last_batch, n::BIGINT AS n, words::BIGINT AS words FROM (SELECT unnest([0, 1]) AS step, a.* FROM a UNION ALL SELECT unnest([2, 3, 4]), 2, 1, b.* FROM b UNION ALL SELECT unnest([5, 6]), 3, 2, b.* FROM b)""")
+def index_replay(spark, d):
+    """What the index says of itself after each of seven calls, of which four hand in a batch again."""
+    said = _three_batches(spark, d)[1]
+    return spark.createDataFrame([(k, v["version"], v["last_batch"], v["n"], v["words"]) for k, v in enumerate(said)], "step int, version int, last_batch int, n long, words long")
 
 
 COSINE_SQL = """WITH q AS (SELECT embedding::DOUBLE[] AS q FROM embeddings WHERE vec_id = 0)
@@ -550,6 +574,14 @@ def embedding_topk(spark, d):
     return search.nearest(table(spark, d, "embeddings"), _query_vector(spark, d), 10)
 
 
+@query(COSINE_SQL)
+def vector_index_search(spark, d):
+    """The same from stored vectors: cells that can't hold one of the best aren't read."""
+    at = kept_folder(spark, "vectors", d)
+    version = vector_index.synchronise(spark, at, table(spark, d, "embeddings"))
+    return vector_index.search(spark, at, _query_vector(spark, d), 10, version=version)
+
+
 @query(f"""WITH a AS ({BM25_SQL}), b AS ({COSINE_SQL}), r AS (
   SELECT doc_id, 1.0::DOUBLE / (60 + row_number() OVER (ORDER BY score DESC, doc_id)) AS r FROM a
   UNION ALL SELECT vec_id, 1.0::DOUBLE / (60 + row_number() OVER (ORDER BY score DESC, vec_id)) FROM b)

@@ -1,4 +1,4 @@
-"""Declared schemas, readers of collections, and the sinks of the search index."""
+"""Declared schemas and readers of collections."""
 
 from __future__ import annotations
 
@@ -8,8 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quern.operators.search import postings
-
 STRING, STRINGS = T.StringType(), T.ArrayType(T.StringType())
 #: A document of the catalogue; schemas are declared, never inferred.
 DOCUMENT = T.StructType(
@@ -43,19 +41,3 @@ def unified(collections: Mapping[str, DataFrame]) -> DataFrame:
     if out is None:
         raise ValueError("no collection")
     return out
-
-
-def write_index(docs: DataFrame, folder: str, doc_id: str = "id", text: str = "summary", vector: str = "embedding", mode: str = "overwrite") -> None:
-    """Postings in ranges of (term, doc_id), so that a search reads few row groups and a common term is spread; their statistics; vectors, if there are any."""
-    terms = postings(docs, doc_id, text)
-    terms.repartitionByRange("term", "doc_id").sortWithinPartitions("term", "doc_id").write.mode(mode).parquet(f"{folder}/postings")
-    written = docs.sparkSession.read.parquet(f"{folder}/postings")
-    words = written.agg(F.coalesce(F.sum("tf"), F.lit(0)).alias("words")).scalar()
-    docs.agg(F.count(F.lit(1)).alias("n")).withColumn("mean", F.try_divide(words, "n")).write.mode(mode).parquet(f"{folder}/stats")
-    if vector in docs.columns:
-        docs.where(F.col(vector).isNotNull()).select(F.col(doc_id).alias("vec_id"), F.col(vector).alias("embedding")).write.mode(mode).parquet(f"{folder}/vectors")
-
-
-def read_index(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    """Postings and statistics of an index that :func:`write_index` wrote."""
-    return spark.read.parquet(f"{folder}/postings"), spark.read.parquet(f"{folder}/stats")

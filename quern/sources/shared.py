@@ -27,3 +27,13 @@ def scratch(spark: SparkSession, what: str) -> str:
     files.mkdirs(path)
     files.deleteOnExit(path)
     return at
+
+
+def kept_folder(spark: SparkSession, what: str, key: str) -> str:
+    """The path in the shared folder for what is derived from ``key``: the same for every call of an application, removed when its process ends."""
+    at = f"{shared_folder(spark)}/{what}-{uuid.uuid5(uuid.NAMESPACE_URL, key).hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(at)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(path)
+    files.deleteOnExit(path)
+    return at
