@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from quern.functions import dates, issuers, text
 from quern.operators import curation, identity, listing, search
-from quern.sources import index, vector_index
+from quern.sources import clusters, index, vector_index
 from quern.sources.catalogue import read_documents, unified
 from quern.sources.catalogue import read_table as table
 from quern.sources.shared import kept_folder, scratch
@@ -405,7 +405,7 @@ SELECT max(id) FILTER (WHERE n = 1) AS id, arg_min(date, n) FILTER (WHERE date I
 def identity_merge(spark, d):
     rows = spark.createDataFrame(RECORDS, "id int, source string, priority int, original_title string, url string, date string, summary string")
     same, apart = spark.createDataFrame(SAME, "a int, b int"), spark.createDataFrame(APART, "a int, b int")
-    clusters = identity.components(rows, identity.match_edges(rows, same, apart))
+    clusters = identity.kept_apart(rows, identity.match_links(rows, same), apart)
     merged = identity.merge(rows.join(clusters, "id"))
     return merged.select("id", "date", "url", F.array_join("sources", ",").alias("sources"), "n_records")
 
@@ -444,6 +444,30 @@ def identity_pages(spark, d):
     return identity.components(records, identity.match_edges(records))
 
 
+@query(f"WITH RECURSIVE {PAGES_SQL} SELECT id, cluster FROM c")
+def identity_upkeep_pages(spark, d):
+    """The same kept up by three batches of pages, the last of which comes twice."""
+    records, at = _page_records(spark, d), scratch(spark, "clusters")
+    batch = lambda i: F.pmod(F.xxhash64(i), F.lit(3))
+    edges = identity.match_edges(records)
+    for k in (0, 1, 2, 2):  # a link comes with the later of its records
+        clusters.refresh(spark, at, records.where(batch("id") == k), edges.where(F.greatest(batch("a"), batch("b")) == k), k)
+    return clusters.labels(spark, at)
+
+
+@query(f"""WITH t AS (SELECT page_id AS id, {_title_key_sql(PAGE_TITLE)} AS key FROM pages), n AS (SELECT *, count(*) OVER w AS n, min(id) OVER w AS low, max(id) OVER w AS high FROM t WINDOW w AS (PARTITION BY key))
+SELECT id, CASE WHEN key = '' OR n = 1 OR id = high THEN id ELSE low END AS cluster FROM n""")
+def identity_apart_pages(spark, d):
+    """Pages of one title, of which the last isn't the same as the first or the second: it alone leaves the cluster, and all others keep their links."""
+    records = _page_records(spark, d).withColumn("url", F.lit(None).cast("string"))
+    links = identity.match_links(records)
+    titled = records.select("id", text.title_key(F.col("original_title")).alias("key")).where("key <> ''")
+    ids = titled.groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("b"))
+    second = titled.join(ids, "key").where("id > a and id < b").groupBy("key", "b").agg(F.min("id").alias("a"))
+    apart = ids.where("a < b").select("a", "b").union(second.select("a", "b"))
+    return identity.kept_apart(records, links, apart)
+
+
 @query(f"""WITH RECURSIVE {PAGES_SQL}, w AS (SELECT *, row_number() OVER (PARTITION BY cluster ORDER BY priority, id) AS n FROM rec JOIN c USING (id))
 SELECT cluster, max(id) FILTER (WHERE n = 1) AS id, max(url) FILTER (WHERE n = 1) AS url, string_agg(DISTINCT source, ',' ORDER BY source) AS sources, count(*) AS n_records FROM w GROUP BY cluster""")
 def identity_merge_pages(spark, d):

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -37,3 +37,18 @@ def kept_folder(spark: SparkSession, what: str, key: str) -> str:
     files.mkdirs(path)
     files.deleteOnExit(path)
     return at
+
+
+def written(df: DataFrame, what: str = "step") -> DataFrame:
+    """``df`` written as Parquet to the shared folder and read again: computed once, and it outlives executors. :func:`dropped` removes it, or the end of the process."""
+    at = f"{scratch(df.sparkSession, what)}/rows"
+    df.write.parquet(at)
+    return df.sparkSession.read.schema(df.schema).parquet(at)
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Removes what :func:`written` wrote for these."""
+    for df in tables:
+        for at in {f.rpartition("/rows/")[0] for f in df.inputFiles()}:
+            path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(at)
+            path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
