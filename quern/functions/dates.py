@@ -10,11 +10,11 @@ PARTIAL = "struct<y: int, m: int, d: int>"
 
 
 def partial(y: Column, m: Column | None = None, d: Column | None = None) -> Column:
-    """A date as far as it is known; without a year there is none."""
+    """A date as far as it is known and in the calendar; without a year there is none, and no day without a month."""
     none = F.lit(None).cast("int")
-    month = none if m is None else m.cast("int")
-    day = none if d is None else F.when(month.isNotNull(), d.cast("int"))
-    return F.when(y.isNotNull(), F.struct(y.cast("int").alias("y"), month.alias("m"), day.alias("d")))
+    year, month = y.cast("int"), none if m is None else F.when(m.between(1, 12), m.cast("int"))
+    day = none if d is None else F.when(month.isNotNull() & d.between(1, F.day(F.last_day(F.make_date(year, month, F.lit(1))))), d.cast("int"))
+    return F.when(y.isNotNull(), F.struct(year.alias("y"), month.alias("m"), day.alias("d")))
 
 
 def _number(text: Column, pattern: str, group: int) -> Column:
@@ -22,7 +22,7 @@ def _number(text: Column, pattern: str, group: int) -> Column:
 
 
 def parse(text: Column) -> Column:
-    """2026, 2026-09, 2026-09-15 and 2026년 as partial dates; a bare year never becomes a day."""
+    """2026, 2026-09, 2026-09-15 and 2026년 as partial dates; a bare year never becomes a day, and of what the calendar lacks the month or the year stays."""
     pattern = "^\\s*([0-9]{4})(?:[-/.]([0-9]{1,2}))?(?:[-/.]([0-9]{1,2}))?\\s*년?\\s*$"
     return partial(_number(text, pattern, 1), _number(text, pattern, 2), _number(text, pattern, 3))
 

@@ -42,3 +42,14 @@ def fill_country(docs: DataFrame, by_host: DataFrame, by_issuer: DataFrame, host
     rows = docs.withColumn("_key", host).join(hosts, F.col("_key") == F.col("_host"), "left").join(names, docs["issuer"] == names["_issuer"], "left")
     rows = rows.withColumn("country", F.coalesce(known, "_by_host", "_by_issuer"))
     return rows.drop("_key", "_host", "_by_host", "_issuer", "_by_issuer")
+
+
+def by_domain(hosts: DataFrame, suffixes: DataFrame) -> DataFrame:
+    """(host, country) of hosts (host) by the longest entry of ``suffixes`` (suffix, country) that they are or end in, label by label.
+
+    Every host is looked up by its labels from each on, so the table is joined by equality and may have any size. Of entries of one suffix the smallest country holds.
+    """
+    known = suffixes.select(F.lower(F.trim("suffix")).alias("suffix"), "country").groupBy("suffix").agg(F.min("country").alias("country"))
+    labels = F.split("host", r"\.")
+    ends = hosts.where("host <> ''").select("host").distinct().select("host", F.posexplode(F.transform(F.sequence(F.lit(1), F.size(labels)), lambda k: F.array_join(F.slice(labels, k, F.size(labels)), "."))).alias("at", "suffix"))
+    return ends.join(known, "suffix").groupBy("host").agg(F.min_by("country", "at").alias("country"))

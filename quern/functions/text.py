@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 DOTTED_NAMES = ("oecd.ai",)
 DASHES = "[-–—]"
 HANGUL, LATIN = "[가-힣]", "[A-Za-z]"
+# Entities that HTML names; the ampersand comes last, so that nothing is read twice.
+ENTITIES = (("lt", "<"), ("gt", ">"), ("quot", '"'), ("apos", "'"), ("nbsp", " "), ("amp", "&"))
 #: The label before a summary; a colon after it may be missing.
 SUMMARY_LABEL = "핵심내용"
 
@@ -64,7 +66,8 @@ def url_key(url: Column) -> Column:
 
 
 def url_host(url: Column) -> Column:
-    return F.regexp_extract(F.lower(url), "^(?:https?:)?//([^/?#]*)", 1)
+    """The host in lower case, without a user before it or a port behind it; empty for an address without one."""
+    return F.regexp_extract(F.lower(F.trim(url)), r"^(?:https?:)?//(?:[^/?#]*@)?(\[[^\]/?#]*\]|[^/?#:]*)", 1)
 
 
 def url_fragment(url: Column) -> Column:
@@ -75,8 +78,27 @@ def url_query(url: Column) -> Column:
     return F.regexp_extract(url, "[?]([^#]*)", 1)
 
 
+def unescaped(text: Column) -> Column:
+    """Text of HTML with its entities read: numbers, and the names that every page may use."""
+    number = r"&#(?:[xX][0-9a-fA-F]{1,6}|[0-9]{1,7});"
+    found = F.array_distinct(F.regexp_extract_all(text, F.lit(number), F.lit(0)))
+
+    def sign(entity: Column) -> Column:
+        digits = F.lower(F.regexp_extract(entity, "&#([^;]*);", 1))
+        code = F.when(digits.startswith("x"), F.conv(F.substring(digits, 2, 6), 16, 10)).otherwise(digits).cast("int")
+        known = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
+        return F.when(known, F.decode(F.unhex(F.lpad(F.hex(F.when(known, code).otherwise(F.lit(63))), 8, "0")), "UTF-32")).otherwise(F.lit("\ufffd"))
+
+    text = F.aggregate(found, text, lambda s, e: F.replace(s, e, sign(e)))
+    for name, own in ENTITIES:
+        text = F.replace(text, F.lit(f"&{name};"), F.lit(own))
+    return text
+
+
 def page_title(html: Column) -> Column:
-    return F.trim(F.regexp_extract(html, "<title>([^<]*)</title>", 1))
+    """What the first title element holds, in any case and with any attributes, on one line; empty where there is none."""
+    held = F.regexp_extract(html, r"(?is)<title(?:\s[^>]*)?>(.*?)</title\s*>", 1)
+    return F.trim(F.regexp_replace(unescaped(held), r"\s+", " "))
 
 
 def markup(text: Column) -> Column:
@@ -85,8 +107,8 @@ def markup(text: Column) -> Column:
 
 
 def summary_of(text: Column) -> Column:
-    """The passage after the summary label, with or without a colon; the whole text without a label."""
-    after = F.trim(F.regexp_extract(text, f"{SUMMARY_LABEL}\\s*[:：]?\\s*(.*)$", 1))
+    """The passage after the first summary label, with or without a colon and however many lines; the whole text without a label."""
+    after = F.trim(F.regexp_extract(text, f"(?s){SUMMARY_LABEL}\\s*[:：]?\\s*(.*)$", 1))
     return F.coalesce(F.nullif(after, F.lit("")), text)
 
 
@@ -105,6 +127,17 @@ def tokens(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
 
 
+#: Scripts that are written without spaces.
+UNSPACED = r"\p{IsHangul}\p{IsHan}\p{IsHiragana}\p{IsKatakana}"
+
+
+def catalogue_tokens(text: Column) -> Column:
+    """Lower-case words, and runs of Hangul, Han or Kana as overlapping pairs, in order; a run of one sign is that sign."""
+    runs = F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(rf"[{UNSPACED}]+|[\p{{L}}\p{{N}}&&[^{UNSPACED}]]+"), F.lit(0))
+    pairs = lambda w: F.transform(F.sequence(F.lit(1), F.greatest(F.length(w) - 1, F.lit(1))), lambda k: F.substring(w, k, F.lit(2)))
+    return F.flatten(F.transform(runs, lambda w: F.when(w.rlike(f"^[{UNSPACED}]"), pairs(w)).otherwise(F.array(w))))
+
+
 def country_flag(code: Column) -> Column:
     """The flag of a two-letter country code: its letters as regional indicators; nothing for anything else."""
     letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"

@@ -111,3 +111,30 @@ def corpus_stats(docs: DataFrame) -> DataFrame:
     rows = docs.groupingSets([["source"], ["lang"], []], "source", "lang").agg(F.count(F.lit(1)).alias("n"), F.sum("n_chars").alias("chars"), F.grouping("source").alias("gs"), F.grouping("lang").alias("gl"))
     facet = F.when(F.col("gs") == 0, "source").when(F.col("gl") == 0, "lang").otherwise("all")
     return rows.select(facet.alias("facet"), F.coalesce("source", "lang").alias("value"), "n", "chars")
+
+
+def counts_under_filters(docs: DataFrame, chosen: Mapping[str, Sequence | None]) -> DataFrame:
+    """(facet, value, n): for every facet the counts of its values among documents that all other facets' filters let through.
+
+    One pass: a document that fails two facets counts nowhere, one that fails one facet counts for that facet alone, and one that
+    fails none for all. An array counts once for each distinct value. Filters with no values let everything through; null fails any other.
+    """
+    fails = F.filter(F.array(*[F.when(~F.coalesce(_passes(docs, f, v), F.lit(False)), F.lit(f)) for f, v in chosen.items()]), lambda x: x.isNotNull())
+    named = lambda f: F.transform(_values(docs, f), lambda x: F.struct(F.lit(f).alias("facet"), x.alias("value")))
+    values = F.flatten(F.array(*[named(f) for f in chosen]))
+    near = docs.withColumn("_fails", fails).where(F.size("_fails") <= 1)
+    each = near.select("_fails", F.inline(values)).where((F.size("_fails") == 0) | (F.get("_fails", F.lit(0)) == F.col("facet")))
+    return each.groupBy("facet", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _values(docs: DataFrame, facet: str) -> Column:
+    """A facet's distinct values as an array of strings, without null."""
+    own = F.col(facet)
+    own = F.array_distinct(own.cast("array<string>")) if docs.schema[facet].dataType.typeName() == "array" else F.array(own.cast("string"))
+    return F.filter(F.coalesce(own, F.array().cast("array<string>")), lambda x: x.isNotNull())
+
+
+def _passes(docs: DataFrame, facet: str, values: Sequence | None) -> Column:
+    if not values:
+        return F.lit(True)
+    return F.arrays_overlap(_values(docs, facet), F.array(*[F.lit(str(v)) for v in values]))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quern.functions.text import tokens
+from quern.functions.text import catalogue_tokens, tokens
 
 #: The usual constants of BM25 and of reciprocal ranks.
 K1, B, RANK_SHIFT = 1.2, 0.75, 60
@@ -31,6 +31,31 @@ def postings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
     return each.groupBy("term", "doc_id", "length").agg(F.count(F.lit(1)).alias("tf"))
 
 
+def positions(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(term, doc_id, at): where each term of :func:`catalogue_tokens` stands in each document, in order."""
+    each = docs.select(F.col(doc_id).alias("doc_id"), F.posexplode(catalogue_tokens(F.col(text))).alias("at", "term"))
+    return each.groupBy("term", "doc_id").agg(F.sort_array(F.collect_list("at")).alias("at"))
+
+
+def phrase(index: DataFrame, wanted: str) -> DataFrame:
+    """(doc_id, n): documents of positions (term, doc_id, at) in which the phrase stands, and how often; the terms are a filter that reaches the scan.
+
+    A phrase of Hangul or Han is found inside longer runs, as its pairs follow each other. A single sign of these is found in any pair that has it.
+    """
+    spark = index.sparkSession
+    terms = spark.range(1).select(catalogue_tokens(F.lit(wanted)).alias("t")).first().t
+    if not terms:
+        return index.select("doc_id", F.lit(0).cast("long").alias("n")).limit(0)
+    if len(terms) == 1:
+        sign = len(terms[0]) == 1 and not terms[0].isascii()
+        found = index.where(F.col("term").contains(terms[0]) if sign else F.col("term") == terms[0])
+        return found.select("doc_id", F.explode("at").alias("at")).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+    asked = spark.createDataFrame(list(enumerate(terms)), "k int, term string")
+    each = index.where(F.col("term").isin(*terms)).join(F.broadcast(asked), "term")  # as many rows as the phrase has terms
+    starts = each.select("doc_id", "k", F.explode("at").alias("at")).groupBy("doc_id", (F.col("at") - F.col("k")).alias("start")).agg(F.count(F.lit(1)).alias("k"))
+    return starts.where(F.col("k") == len(terms)).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+
+
 def bm25(docs: DataFrame, terms: Sequence[str], k: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The k best documents (doc_id, score) for some terms; only counts of these terms leave the scan."""
     wanted = sorted(set(terms))

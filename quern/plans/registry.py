@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from quern.functions import dates, issuers, text
 from quern.operators import curation, identity, listing, search
 from quern.sources import clusters, index, vector_index
-from quern.sources.catalogue import read_documents, unified
+from quern.sources.catalogue import read_checked, read_documents, unified
 from quern.sources.catalogue import read_table as table
 from quern.sources.shared import kept_folder, scratch
 from quern.streaming import refresh
@@ -65,6 +65,25 @@ def facet_top_values(spark, d):
     return listing.top_values(table(spark, d, "documents"), "source", 5)
 
 
+FIVE = {"lang": ["en", "de"], "source": ["src0", "src1", "src2", "src5"], "size": ["long", "middle"], "mail": None, "initial": ["A", "E", "T"]}
+_FIVE_SQL = {"lang": "lang", "source": "source", "size": "CASE WHEN n_chars < 500 THEN 'short' WHEN n_chars < 3000 THEN 'middle' ELSE 'long' END", "mail": "CASE WHEN contains(text, '@') THEN 'yes' ELSE 'no' END", "initial": "upper(text[1])"}
+
+
+def _five_sql() -> str:
+    """Each facet counted by itself, under the conditions of the others."""
+    tests = {f: f"{f} IN ({', '.join(repr(v) for v in values)})" for f, values in FIVE.items() if values}
+    counts = [f"SELECT '{f}' AS facet, {f} AS value, count(*) AS n FROM d WHERE {f} IS NOT NULL AND {' AND '.join(t for g, t in tests.items() if g != f)} GROUP BY {f}" for f in FIVE]
+    return f"WITH d AS (SELECT {', '.join(f'{sql} AS {f}' for f, sql in _FIVE_SQL.items())} FROM documents) {' UNION ALL '.join(counts)}"
+
+
+@query(_five_sql())
+def facet_counts_under_filters(spark, d):
+    """Five facets over all documents, each counted under the filters of the four others, in one scan."""
+    size = F.when(F.col("n_chars") < 500, "short").when(F.col("n_chars") < 3000, "middle").otherwise("long")
+    own = {"lang": F.col("lang"), "source": F.col("source"), "size": size, "mail": F.when(F.col("text").contains("@"), "yes").otherwise("no"), "initial": F.upper(F.substring("text", 1, 1))}
+    return listing.counts_under_filters(table(spark, d, "documents").select(*[c.alias(n) for n, c in own.items()]), FIVE)
+
+
 YEARS = range(1995, 2002)
 
 
@@ -145,6 +164,10 @@ def link_rewrite(spark, d):
     return rows.select("url", text.link_target(url).alias("target"), text.link_rel(url, F.lit("noopener")).alias("rel"), text.title_link(url).alias("link"), text.opens_apart(url, F.lit("http://a.test")).alias("apart"))
 
 
+HOST = "lower(string_split(list_last(string_split(string_split_regex(string_split(trim(url), '//')[2], '[/?#]')[1], '@')), ':')[1])"
+HOST = f"CASE WHEN url IS NULL THEN NULL WHEN regexp_matches(trim(url), '^(https?:)?//', 'i') THEN {HOST} ELSE '' END"
+
+
 VISITS = [("?k=law", "#x"), ("", ""), (None, "#top"), ("?a=1&b=2", None)]
 
 
@@ -153,7 +176,7 @@ def redirect_url(spark, d):
     return spark.createDataFrame(VISITS, "search string, hash string").select(text.redirect("index.html", F.col("search"), F.col("hash")).alias("url"))
 
 
-@query("SELECT page_id, regexp_extract(lower(url), '^(?:https?:)?//([^/?#]*)', 1) AS host, regexp_extract(url, '[?]([^#]*)', 1) AS query, regexp_extract(url, '#(.*)$', 1) AS fragment FROM pages")
+@query(f"SELECT page_id, {HOST} AS host, regexp_extract(url, '[?]([^#]*)', 1) AS query, regexp_extract(url, '#(.*)$', 1) AS fragment FROM pages")
 def url_parts(spark, d):
     url = F.col("url")
     return table(spark, d, "pages").select("page_id", text.url_host(url).alias("host"), text.url_query(url).alias("query"), text.url_fragment(url).alias("fragment"))
@@ -190,12 +213,23 @@ def _title_key_sql(title: str) -> str:
 TITLES = [("The AI Act",), ("AI Act — final text",), ("ai  act",), ("OECD.AI Principles",), ("OECDAI principles - 2024",), ("Theatre",), (None,)]
 
 
-PAGE_TITLE = "trim(regexp_extract(html, '<title>([^<]*)</title>', 1))"
+def _unescaped_sql(title: str) -> str:
+    for name, own in (("lt", "<"), ("gt", ">"), ("quot", '"'), ("apos", "''"), ("nbsp", " "), ("#39", "''"), ("amp", "&")):
+        title = f"replace({title}, '&{name};', '{own}')"
+    return title
+
+
+#: By positions rather than by a pattern: from the sign that ends the opening tag to the closing one.
+_FROM_TITLE = "html[nullif(strpos(translate(html, 'TILE', 'tile'), '<title'), 0):]"
+_IN_TITLE = f"{_FROM_TITLE}[strpos({_FROM_TITLE}, '>') + 1:]"
+PAGE_TITLE = f"coalesce(trim(regexp_replace({_unescaped_sql(f"{_IN_TITLE}[:strpos(translate({_IN_TITLE}, 'TILE', 'tile'), '</title') - 1]")}, '\\s+', ' ', 'g')), '')"
+HEADS = [("<TITLE>One &amp; two</TITLE>",), ('<head><title lang="en">\n A  <b>B</b> &lt;C&gt; </title><title>no</title>',), ("<p>none</p>",), ("<title>It&#39;s</Title >",), ("<title>&amp;lt;</title>",), ("",)]
 
 
-@query(f"SELECT title, {_title_key_sql('title')} AS key FROM (SELECT {PAGE_TITLE} AS title FROM pages UNION ALL SELECT title FROM {inline(TITLES, 'title')})")
+@query(f"SELECT title, {_title_key_sql('title')} AS key FROM (SELECT {PAGE_TITLE} AS title FROM (SELECT html FROM pages UNION ALL SELECT html FROM {inline(HEADS, 'html')}) UNION ALL SELECT title FROM {inline(TITLES, 'title')})")
 def title_key(spark, d):
-    titles = table(spark, d, "pages").select(text.page_title(F.col("html")).alias("title")).unionByName(spark.createDataFrame(TITLES, "title string"))
+    heads = table(spark, d, "pages").select("html").unionByName(spark.createDataFrame(HEADS, "html string"))
+    titles = heads.select(text.page_title(F.col("html")).alias("title")).unionByName(spark.createDataFrame(TITLES, "title string"))
     return titles.select("title", text.title_key(F.col("title")).alias("key"))
 
 
@@ -204,7 +238,7 @@ def pages_with_link(spark, d):
     return listing.with_link(table(spark, d, "pages")).select("page_id", "url")
 
 
-@query(f"SELECT {_title_key_sql("trim(regexp_extract(html, '<title>([^<]*)</title>', 1))")} AS key, count(*) AS n FROM pages GROUP BY 1")
+@query(f"SELECT {_title_key_sql(PAGE_TITLE)} AS key, count(*) AS n FROM pages GROUP BY 1")
 def title_cluster_counts(spark, d):
     return table(spark, d, "pages").groupBy(text.title_key(text.page_title(F.col("html"))).alias("key")).agg(F.count(F.lit(1)).alias("n"))
 
@@ -217,10 +251,10 @@ def markup_render(spark, d):
     return spark.createDataFrame(MARKED, "body string").select("body", text.markup(F.col("body")).alias("html"))
 
 
-SUMMARIES = [("핵심내용: 요약 하나", "", "원문"), ("핵심내용 요약 둘", "new", "old"), ("no label", None, "old"), (None, "  ", None)]
+SUMMARIES = [("핵심내용: 요약 하나", "", "원문"), ("핵심내용 요약 둘", "new", "old"), ("no label", None, "old"), (None, "  ", None), ("머리말 핵심내용: 첫 줄\n둘째 줄", None, "a\nb"), ("핵심내용\n: 다음 줄", "", ""), ("핵심내용", "x", "y")]
 
 
-@query(rf"SELECT body, coalesce(nullif(trim(regexp_extract(body, '핵심내용\s*[:：]?\s*(.*)$', 1)), ''), body) AS summary, coalesce(nullif(trim(rewritten), ''), original) AS kept FROM {inline(SUMMARIES, 'body, rewritten, original')}")
+@query(rf"SELECT body, coalesce(nullif(trim(ltrim(CASE WHEN ltrim(body[nullif(strpos(body, '핵심내용'), 0) + 4:], E' \n\t')[1] IN (':', '：') THEN ltrim(body[nullif(strpos(body, '핵심내용'), 0) + 4:], E' \n\t')[2:] ELSE body[nullif(strpos(body, '핵심내용'), 0) + 4:] END, E' \n\t')), ''), body) AS summary, coalesce(nullif(trim(rewritten), ''), original) AS kept FROM {inline(SUMMARIES, 'body, rewritten, original')}")
 def summary_fields(spark, d):
     rows = spark.createDataFrame(SUMMARIES, "body string, rewritten string, original string")
     return rows.select("body", text.summary_of(F.col("body")).alias("summary"), text.kept_summary(F.col("rewritten"), F.col("original")).alias("kept"))
@@ -241,7 +275,7 @@ PATHS = [("https://a.test/2025/11/news.html",), ("https://a.test/2024/03/09/",),
 
 @query(f"""WITH p AS (SELECT url, string_split(regexp_replace(url, '[?#].*$', ''), '/') AS parts FROM (SELECT url FROM pages UNION ALL SELECT url FROM {inline(PATHS, 'url')})),
 f AS (SELECT url, parts, list_min(list_filter(range(2, len(parts)), lambda k: regexp_full_match(parts[k], '20[0-9][0-9]') AND regexp_full_match(parts[k + 1], '0[1-9]|1[0-2]'))) AS k FROM p)
-SELECT url, parts[k]::INTEGER AS y, parts[k + 1]::INTEGER AS m, CASE WHEN regexp_full_match(parts[k + 2], '0[1-9]|[12][0-9]|3[01]') THEN parts[k + 2]::INTEGER END AS d FROM f""")
+SELECT url, parts[k]::INTEGER AS y, parts[k + 1]::INTEGER AS m, CASE WHEN regexp_full_match(parts[k + 2], '[0-9][0-9]') AND try_cast(parts[k] || '-' || parts[k + 1] || '-' || parts[k + 2] AS DATE) IS NOT NULL THEN parts[k + 2]::INTEGER END AS d FROM f""")
 def url_path_date(spark, d):
     date = dates.from_url_path(F.col("url"))
     urls = table(spark, d, "pages").select("url").unionByName(spark.createDataFrame(PATHS, "url string"))
@@ -258,6 +292,9 @@ METAS = [
     ('<meta name="date" content="soon"><meta property="og:published_time" content="2019-01-02">',),
     ('<meta name="dateline" content="2018-01-01"><p>date content="2017-01-01"</p>',),
     ('<meta name="date"><p content="2016-01-01">',),
+    ('<meta name="date" content="2024-19-77">',),
+    ('<meta name="date" content="2023-02-29"/>',),
+    ('<meta name="date" content="2024-02-29"/>',),
     (None,),
 ]
 #: Each attribute of an element as one [name, value] pair, which tells nothing of their order or quotes.
@@ -266,7 +303,7 @@ o AS (SELECT html, e, strpos(html, e) AS pos, regexp_extract_all(e, '([A-Za-z]+)
 d AS (SELECT html, pos, list_extract(v, list_position(list_transform(k, lambda x: lower(x)), 'content')) AS c FROM o
   WHERE len(list_filter(range(1, len(k) + 1), lambda j: lower(k[j]) IN ('name', 'property', 'itemprop') AND (lower(v[j]) IN ('date', 'datepublished') OR ends_with(lower(v[j]), 'published_time')))) > 0),
 f AS (SELECT html, arg_min(c, pos) AS c FROM d WHERE regexp_matches(c, '^[0-9]{4}-[0-9]{2}') GROUP BY html)
-SELECT rows.html, c[1:4]::INTEGER AS y, c[6:7]::INTEGER AS m, CASE WHEN regexp_matches(c, '^[0-9]{4}-[0-9]{2}-[0-9]{2}') THEN c[9:10]::INTEGER END AS d FROM rows LEFT JOIN f ON f.html = rows.html"""
+SELECT rows.html, c[1:4]::INTEGER AS y, CASE WHEN c[6:7] BETWEEN '01' AND '12' THEN c[6:7]::INTEGER END AS m, day(try_cast(c[1:10] AS DATE))::INTEGER AS d FROM rows LEFT JOIN f ON f.html = rows.html"""
 
 
 @query(META_SQL.replace("WITH m", f"WITH rows AS (SELECT html FROM pages UNION ALL SELECT html FROM {inline(METAS, 'html')}), m", 1))
@@ -344,6 +381,20 @@ def country_repair(spark, d):
     return issuers.fill_country(rows, hosts, names, text.url_host(F.col("url"))).select("id", "country")
 
 
+DOMAINS = [("example.com", "US"), ("Example.net", "FR"), ("example.org", "KR"), ("org", "XX"), ("m.example.com", "YY"), ("le.com", "ZZ"), ("example.com", "ZW"), ("blog.ththan.example.net", "DE"), ("therin.example.net", "JP")]
+ODD_HOSTS = [(-1, "https://user:pw@www.example.com:8080/x"), (-2, "//EXAMPLE.org"), (-3, "http://notexample.com/"), (-4, "http://a.b.m.example.com?x=@example.net"), (-5, "mailto:a@example.com"), (-6, None), (-7, "http://example.com.evil.test:80#example.com")]
+
+
+@query(f"""WITH p AS (SELECT id, {HOST} AS host FROM (SELECT page_id AS id, url FROM pages UNION ALL SELECT id, url FROM {inline(ODD_HOSTS, 'id, url')})),
+m AS (SELECT id, country, row_number() OVER (PARTITION BY id ORDER BY length(suffix) DESC, country) AS n FROM p JOIN (SELECT lower(suffix) AS suffix, country FROM {inline(DOMAINS, 'suffix, country')}) s ON host = suffix OR host LIKE '%.' || suffix)
+SELECT p.id, p.host, m.country FROM p LEFT JOIN m ON m.id = p.id AND m.n = 1""")
+def country_by_address(spark, d):
+    """Every page's country by the most specific domain entry."""
+    rows = table(spark, d, "pages").select(F.col("page_id").alias("id"), "url").unionByName(spark.createDataFrame(ODD_HOSTS, "id long, url string"))
+    rows = rows.select("id", text.url_host(F.col("url")).alias("host"))
+    return rows.join(issuers.by_domain(rows, spark.createDataFrame(DOMAINS, "suffix string, country string")), "host", "left").select("id", "host", "country")
+
+
 TOPICS = [(1, ["윤리·규범", "법", "가이드라인", "표준", "딥페이크"]), (2, ["국가안보", "피지컬AI"]), (3, ["법"])]
 
 
@@ -426,7 +477,7 @@ def multi_source_union(spark, d):
     return unified({"documents": docs, "pages": pages}).select("id", "source", "lang", "url")
 
 
-PAGES_SQL = f"""rec AS (SELECT page_id AS id, {PAGE_TITLE} AS title, url, regexp_extract(lower(url), '^(?:https?:)?//([^/?#]*)', 1) AS source, CASE WHEN url LIKE 'https:%' THEN 0 ELSE 1 END AS priority FROM pages),
+PAGES_SQL = f"""rec AS (SELECT page_id AS id, {PAGE_TITLE} AS title, url, {HOST} AS source, CASE WHEN url LIKE 'https:%' THEN 0 ELSE 1 END AS priority FROM pages),
 keyed AS (SELECT id, 't' || {_title_key_sql("title")} AS k FROM rec WHERE {_title_key_sql("title")} <> '' UNION SELECT id, 'u' || key FROM rec JOIN (SELECT DISTINCT * FROM ({_url_key_sql("pages")})) u ON u.url = rec.url WHERE key <> ''),
 least AS (SELECT k, min(id) AS b FROM keyed GROUP BY k), e AS (SELECT id AS a, b FROM keyed JOIN least USING (k) UNION SELECT b, id FROM keyed JOIN least USING (k)),
 r AS (SELECT id, id AS place FROM rec UNION SELECT r.id, e.b FROM r JOIN e ON e.a = r.place), c AS (SELECT id, min(place) AS cluster FROM r GROUP BY id)"""
@@ -477,7 +528,7 @@ def identity_merge_pages(spark, d):
     return merged.select("cluster", "id", "url", F.array_join("sources", ",").alias("sources"), "n_records")
 
 
-@query(f"""WITH t AS (SELECT page_id, {PAGE_TITLE} AS title, regexp_extract(lower(url), '^(?:https?:)?//([^/?#]*)', 1) AS issuer, nullif(regexp_extract(url, '[?]([^#]*)', 1), '') AS bill FROM pages),
+@query(f"""WITH t AS (SELECT page_id, {PAGE_TITLE} AS title, {HOST} AS issuer, nullif(regexp_extract(url, '[?]([^#]*)', 1), '') AS bill FROM pages),
 n AS (SELECT title, count(*) AS n, count(DISTINCT issuer) AS k FROM t GROUP BY title)
 SELECT page_id, CASE WHEN n > 1 AND bill IS NOT NULL THEN title || ' (' || bill || ')' WHEN n > 1 AND k > 1 THEN title || ' (' || issuer || ')' ELSE title END AS display_title FROM t JOIN n USING (title)""")
 def name_collision_pages(spark, d):
@@ -505,6 +556,21 @@ def documents_json(spark, d):
     return read_documents(spark, at).select("id", F.array_join("sources", ",").alias("sources"), "summary", F.col("date")["y"].alias("y"), F.col("date")["m"].alias("m"))
 
 
+@query("""SELECT CASE lang WHEN 'de' THEN 'not JSON' WHEN 'fr' THEN 'other type: sources, date' WHEN 'es' THEN NULL END AS problem, CASE WHEN lang = 'de' THEN NULL ELSE doc_id::VARCHAR END AS id,
+CASE lang WHEN 'fr' THEN 'date,sources' WHEN 'es' THEN 'extra' WHEN 'de' THEN NULL ELSE '' END AS rescued, CASE WHEN lang = 'de' THEN NULL ELSE text END AS summary FROM documents UNION ALL SELECT * FROM (VALUES ('not an object', NULL, NULL, NULL), ('not an object', NULL, NULL, NULL), ('not JSON', NULL, NULL, NULL))""")
+def documents_json_checked(spark, d):
+    """All documents as JSON lines, of which German ones break off, French ones have fields of other types and Spanish ones a field more; and three other broken lines."""
+    at, lang = scratch(spark, "json"), F.col("lang")
+    fields = F.struct(F.col("doc_id").cast("string").alias("id"), F.array("source").alias("sources"), F.col("text").alias("summary"), F.struct(F.lit(2026).alias("y")).alias("date"))
+    odd = F.struct(F.col("doc_id").cast("string").alias("id"), F.lit("one").alias("sources"), F.col("text").alias("summary"), F.lit("soon").alias("date"))
+    more = F.struct(F.col("doc_id").cast("string").alias("id"), F.array("source").alias("sources"), F.col("text").alias("summary"), F.lit(5).alias("extra"))
+    whole = F.to_json(fields)
+    line = F.when(lang == "de", F.substr(whole, F.lit(1), F.length(whole) - 3)).when(lang == "fr", F.to_json(odd)).when(lang == "es", F.to_json(more)).otherwise(whole)
+    broken = spark.createDataFrame([("[1, 2]",), ("7",), ("nothing",), ("  ",)], "value string")
+    table(spark, d, "documents").select(line.alias("value")).unionByName(broken).write.mode("overwrite").text(at)
+    return read_checked(spark, at).select("problem", "id", F.array_join(F.array_sort(F.map_keys("rescued")), ",").alias("rescued"), "summary")
+
+
 CODES = [("KR",), ("us",), ("EU",), ("KOR",), ("",), (None,)]
 
 
@@ -522,6 +588,17 @@ def title_repair(spark, d):
     return spark.createDataFrame(MIXED, "title string").select("title", text.words_replaced(F.col("title"), words).alias("repaired"))
 
 
+@query(rf"""WITH p AS (SELECT page_id, {PAGE_TITLE} AS title FROM pages), w AS (SELECT DISTINCT unnest(regexp_extract_all(text, '[\p{{L}}\p{{N}}_]+')) AS term FROM documents),
+t AS (SELECT page_id, regexp_extract_all(title, '[\p{{L}}\p{{N}}_]+|[^\p{{L}}\p{{N}}_]+') AS parts FROM p), e AS (SELECT page_id, unnest(parts) AS part, generate_subscripts(parts, 1) AS k FROM t),
+r AS (SELECT page_id, string_agg(CASE WHEN term IS NULL THEN part ELSE '[' || term || ']' END, '' ORDER BY k) AS replaced FROM e LEFT JOIN w ON term = part GROUP BY page_id)
+SELECT p.page_id, p.title, coalesce(replaced, '') AS replaced FROM p LEFT JOIN r USING (page_id)""")
+def title_dictionary_pages(spark, d):
+    """All page titles, with every word that any document has in brackets: a dictionary of as many entries as documents have words."""
+    titles = table(spark, d, "pages").select("page_id", text.page_title(F.col("html")).alias("title"))
+    words = table(spark, d, "documents").select(F.explode(F.regexp_extract_all("text", F.lit(r"[\p{L}\p{N}_]+"), F.lit(0))).alias("term")).distinct()
+    return curation.words_from_table(titles, words.withColumn("replacement", F.concat(F.lit("["), "term", F.lit("]"))), "page_id")
+
+
 FOUND_DATES = [(1, 2024, None, None), (1, 2024, 5, 3), (1, 2024, 6, None), (2, 2020, 1, None), (2, None, None, None), (3, None, None, None), (4, 2021, 2, 2), (4, 2021, 2, 1)]
 
 
@@ -585,6 +662,14 @@ def index_replay(spark, d):
     return spark.createDataFrame([(k, v["version"], v["last_batch"], v["n"], v["words"]) for k, v in enumerate(said)], "step int, version int, last_batch int, n long, words long")
 
 
+@query(r"""WITH t AS (SELECT doc_id, ' ' || array_to_string(list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> ''), ' ') || ' ' AS t FROM documents)
+SELECT doc_id FROM t WHERE contains(t, ' under the ') OR contains(t, ' of the ')""")
+def phrase_search(spark, d):
+    """Documents with one of two exact phrases, by positions."""
+    found = search.positions(table(spark, d, "documents"))
+    return search.phrase(found, "under the").unionByName(search.phrase(found, "Of, the")).select("doc_id").distinct()
+
+
 COSINE_SQL = """WITH q AS (SELECT embedding::DOUBLE[] AS q FROM embeddings WHERE vec_id = 0)
 SELECT vec_id, round(list_cosine_similarity(embedding::DOUBLE[], q), 6) AS score FROM embeddings, q ORDER BY score DESC, vec_id LIMIT 10"""
 

@@ -41,3 +41,27 @@ def unified(collections: Mapping[str, DataFrame]) -> DataFrame:
     if out is None:
         raise ValueError("no collection")
     return out
+
+
+def read_checked(spark: SparkSession, path: str, schema: T.StructType = DOCUMENT) -> DataFrame:
+    """A corpus in JSON lines with what is wrong in each: the columns of ``schema``, ``line``, ``problem`` and ``rescued``.
+
+    ``problem`` is null for a line that holds what the schema says; else it tells that the line is no JSON, no object, or which fields have another type, and
+    these fields are null. ``rescued`` maps fields that the schema lacks, and those of another type, to their JSON. No line is left out but blank ones, so
+    good and bad lines add up to all.
+    """
+    lines = spark.read.text(path).where(F.trim("value") != "").withColumnRenamed("value", "line")
+    corrupt = "_corrupt"
+    parsed = F.from_json("line", T.StructType([*schema.fields, T.StructField(corrupt, STRING)]), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt})
+    value = F.try_parse_json("line")
+    kind = F.when(value.isNull(), "not JSON").when(~F.schema_of_variant(value).startswith("OBJECT"), "not an object")
+    rows = lines.select("line", parsed.alias("d"), kind.alias("kind"), F.when(kind.isNull(), F.json_object_keys("line")).alias("keys"))
+    raw = lambda k: F.call_function("get_json_object", F.col("line"), F.concat(F.lit("$['"), k, F.lit("']")))
+    given = lambda k: F.col(f"d.{k}").isNull() & (F.coalesce(raw(F.lit(k)), F.lit("null")) != "null")
+    lost = F.filter(F.array(*[F.when(given(f.name), F.lit(f.name)) for f in schema.fields]), lambda x: x.isNotNull())
+    rows = rows.withColumn("lost", F.when(F.col("kind").isNull(), lost))
+    inner = F.col(f"d.{corrupt}").isNotNull()
+    problem = F.coalesce("kind", F.when(F.size("lost") > 0, F.concat(F.lit("other type: "), F.array_join("lost", ", "))), F.when(inner, F.lit("other type inside a field")))
+    unknown = F.filter("keys", lambda k: ~k.isin(*schema.fieldNames()))
+    held = F.when(F.col("kind").isNull(), F.map_from_entries(F.transform(F.array_distinct(F.concat(unknown, "lost")), lambda k: F.struct(k, raw(k)))))
+    return rows.select(*[F.when(F.col("kind").isNull(), F.col(f"d.{f.name}")).alias(f.name) for f in schema.fields], "line", problem.alias("problem"), held.alias("rescued"))
