@@ -202,8 +202,10 @@ def links(fingerprints: DataFrame, bits: int = BITS) -> DataFrame:
     """
     n = fingerprints.count()
     shards = max(LEAST_SHARDS, -(-n // SHARD))
-    rows = fingerprints.orderBy(F.xxhash64("fp"), "fp").limit(min(MAX_SAMPLE, 2 * SAMPLE_PER_SHARD * shards)).toArrow()
-    trees = fit(rows.column("fp").to_numpy().view(np.uint64), shards, bits // 2)
+    wanted = min(MAX_SAMPLE, 2 * SAMPLE_PER_SHARD * shards)
+    # a cut on a hash, so that no task sends more than its share
+    some = fingerprints if n <= wanted else fingerprints.where(F.pmod(F.xxhash64("fp"), F.lit(1 << 32)) < int((1 << 32) * wanted / n))
+    trees = fit(np.sort(some.toArrow().column("fp").to_numpy().view(np.uint64)), shards, bits // 2)
     dealt = fingerprints.select("fp", F.explode(F.arrow_udf(_shards_of(trees, bits // 2), "array<int>")("fp")).alias("shard"))
     return dealt.groupBy("shard").applyInArrow(_links_of_shard(trees[0][1], bits), "a long, b long")
 

@@ -23,6 +23,8 @@ from .common import written
 NEAREST, BLOCK, COLUMNS, LENIENCY = 20, 8192, 16, 2.1
 #: Most lists, sample rows for each and at most, rows of the sample that bound distances, coverage the probes are chosen for.
 MAX_LISTS, ROWS_PER_LIST, MAX_SAMPLE, BOUNDING, COVERED = 16_384, 64, 262_144, 4096, 0.97
+#: Bytes of the sample at most, and queries that one task holds against a block.
+SAMPLE_BYTES, QUERIES = 1 << 27, 8192
 #: Lists beyond which centroids are found and looked up in two levels; passes of k-means; numbers of a block of distances (8 bytes each).
 ONE_LEVEL, PASSES, DISTANCES = 1024, 8, 1 << 22
 SEED, SPARE = 5, 12
@@ -107,9 +109,12 @@ def fit(sample: np.ndarray, scale: float, square: float, total: int, nearest: in
     index.lists = index.list_of(index.bounding) if len(points) else index.lists
     if lists > 1:
         asked = rng.choice(len(sample), min(256, len(sample)), replace=False)
-        near = distances(index.rotated(sample[asked], query=True), points)
-        near[np.arange(len(asked)), asked] = np.inf
-        best = np.argpartition(near, min(nearest, len(sample) - 1) - 1, axis=1)[:, :nearest]
+        best = []
+        for some in np.array_split(asked, -(-len(asked) // 16)):  # 16 rows of distances at once
+            near = distances(index.rotated(sample[some], query=True), points)
+            near[np.arange(len(some)), some] = np.inf
+            best.append(np.argpartition(near, min(nearest, len(sample) - 1) - 1, axis=1)[:, :nearest])
+        best = np.concatenate(best)
         own = index.list_of(points)
         order = distances(index.rotated(sample[asked], query=True), index.centroids).argsort(axis=1)
         rank = np.argsort(order, axis=1)[np.arange(len(asked))[:, None], own[best]]
@@ -220,6 +225,14 @@ def _search(shared, nearest: int, leniency: float):
     return run
 
 
+def sampled(distinct: DataFrame, total: int, wanted: int) -> pa.Table:
+    """Some ``wanted`` of ``total`` vectors in the order of their keys: those below a cut on a hash of the key, so that no task sends more than its share."""
+    rows = distinct.select("h1", "h2", "embedding")
+    if total > wanted:
+        rows = rows.where(F.pmod(F.xxhash64(F.lit(2), "h1", "h2"), F.lit(1 << 32)) < int((1 << 32) * wanted / total))
+    return rows.toArrow().sort_by([("h1", "ascending"), ("h2", "ascending")])
+
+
 def nearest_neighbours(vectors: DataFrame, asked: DataFrame, nearest: int = NEAREST) -> DataFrame:
     """(query_id, rank, vec_id, score): for each of ``asked`` (vec_id) its nearest other rows of ``vectors`` (vec_id, embedding).
 
@@ -249,8 +262,8 @@ def nearest_neighbours(vectors: DataFrame, asked: DataFrame, nearest: int = NEAR
     scale = float(shape.scale)
     length = F.aggregate("embedding", F.lit(0.0), lambda a, c: a + (c / F.lit(scale)) * (c / F.lit(scale)))
     total, square = distinct.agg(F.count(F.lit(1)), F.max(length)).first()
-    sample = distinct.orderBy("h1", "h2").limit(int(min(MAX_SAMPLE, max(ROWS_PER_LIST * np.sqrt(total), 4096)))).select("embedding").toArrow()
-    index = fit(_matrix(sample.column(0)), scale, float(square), total, nearest + 1)
+    sample = sampled(distinct, total, int(min(MAX_SAMPLE, SAMPLE_BYTES // (8 * max(shape.wide, 1)), max(ROWS_PER_LIST * np.sqrt(total), 4096))))
+    index = fit(_matrix(sample.column("embedding")), scale, float(square), total, nearest + 1)
     assign = F.arrow_udf(_lists_of(spark.sparkContext.broadcast(index)), "int")
     assigned = written(distinct.withColumn("list", assign("embedding")), "lists")
     sizes = np.zeros(len(index.centroids), np.int64)
@@ -269,8 +282,12 @@ def nearest_neighbours(vectors: DataFrame, asked: DataFrame, nearest: int = NEAR
 
     def searched(asked: DataFrame, lists: Column, bound: Column, leniency: float = LENIENCY) -> DataFrame:
         one = asked.select("h1", "h2", "embedding", bound.alias("bound"), F.explode(lists).alias("list"))
-        one = one.join(cut, "list").select("h1", "h2", "embedding", "bound", "list", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
-        found = dealt.groupBy("list", "block").cogroup(one.groupBy("list", "block"))
+        # a list that very many queries probe is given to several tasks, each with a part of the queries; one that none probes to none
+        turns = F.broadcast(one.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / QUERIES).cast("int").alias("turns")))  # at most MAX_LISTS rows
+        one = one.join(cut, "list").join(turns, "list").withColumn("turn", F.pmod("h1", "turns").cast("int"))
+        one = one.select("h1", "h2", "embedding", "bound", "list", "turn", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
+        ours = dealt.join(turns, "list").withColumn("turn", F.explode(F.sequence(F.lit(0), F.col("turns") - 1))).drop("turns")
+        found = ours.groupBy("list", "block", "turn").cogroup(one.groupBy("list", "block", "turn"))
         return found.applyInArrow(_search(shared, nearest + 1, leniency), "h1 long, h2 long, score double, ids array<long>")
 
     lists, first = F.col("p")["lists"], F.col("p")["first"]

@@ -502,3 +502,16 @@ def test_preferences_of_null_turns_and_equal_conversations(spark):
     assert got[3].prompt_turns == 1 and got[3].chosen_text == got[3].rejected_text == ""
     assert out.sparkSession.createDataFrame([], df.schema).count() == 0
     assert preferences.format_pairs(preferences.with_borrowed_reply(preferences.conversations(df.limit(0)))).count() == 0
+
+
+def test_queries_of_a_list_are_cut_and_samples_are_drawn_by_hash(spark, sf_dir, monkeypatch):
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding")
+    asked = rows.where("vec_id % 3 = 0").select("vec_id")
+    found = lambda: sorted(tuple(r) for r in vectors.nearest_neighbours(rows, asked, 5).collect())
+    whole = found()
+    monkeypatch.setattr(vectors, "QUERIES", 7)
+    assert found() == whole
+    keyed = rows.select(F.xxhash64("embedding").alias("h1"), F.hash("embedding").alias("h2"), "embedding")
+    some = vectors.sampled(keyed, 500, 100)
+    assert 50 < some.num_rows < 160 and some.equals(vectors.sampled(keyed.repartition(5), 500, 100))
+    assert vectors.sampled(keyed, 500, 500).num_rows == rows.count()
