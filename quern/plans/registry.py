@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quern.functions import dates, issuers, text
@@ -171,9 +171,14 @@ HOST = f"CASE WHEN url IS NULL THEN NULL WHEN regexp_matches(trim(url), '^(https
 VISITS = [("?k=law", "#x"), ("", ""), (None, "#top"), ("?a=1&b=2", None)]
 
 
-@query(f"SELECT 'index.html' || coalesce(search, '') || coalesce(hash, '') AS url FROM {inline(VISITS, 'search, hash')}")
+@query(f"""SELECT 'index.html' || coalesce(search, '') || coalesce(hash, '') AS url FROM (SELECT search, hash FROM {inline(VISITS, 'search, hash')}
+UNION ALL SELECT CASE WHEN strpos(path, '?') > 0 THEN path[strpos(path, '?'):] END, CASE WHEN strpos(url, '#') > 0 THEN url[strpos(url, '#'):] END FROM (SELECT url, string_split(url, '#')[1] AS path FROM pages))""")
 def redirect_url(spark, d):
-    return spark.createDataFrame(VISITS, "search string, hash string").select(text.redirect("index.html", F.col("search"), F.col("hash")).alias("url"))
+    """Visits with the query and fragment of every page's address."""
+    sign = lambda c, part: F.when(part != "", F.concat(F.lit(c), part))
+    url = F.col("url")
+    rows = table(spark, d, "pages").select(sign("?", text.url_query(url)).alias("search"), sign("#", text.url_fragment(url)).alias("hash"))
+    return rows.unionByName(spark.createDataFrame(VISITS, "search string, hash string")).select(text.redirect("index.html", F.col("search"), F.col("hash")).alias("url"))
 
 
 @query(f"SELECT page_id, {HOST} AS host, regexp_extract(url, '[?]([^#]*)', 1) AS query, regexp_extract(url, '#(.*)$', 1) AS fragment FROM pages")
@@ -246,26 +251,36 @@ def title_cluster_counts(spark, d):
 MARKED = [("**a** and __b__",), ("plain * text_",), ("__u__**b**",), (None,), ("law and **safety** law",)]
 
 
-@query(rf"SELECT body, regexp_replace(regexp_replace(body, '\*\*([^*]+)\*\*', '<strong>\1</strong>', 'g'), '__([^_]+)__', '<u>\1</u>', 'g') AS html FROM {inline(MARKED, 'body')}")
+@query(rf"SELECT body, regexp_replace(regexp_replace(body, '\*\*([^*]+)\*\*', '<strong>\1</strong>', 'g'), '__([^_]+)__', '<u>\1</u>', 'g') AS html FROM (SELECT body FROM {inline(MARKED, 'body')} UNION ALL SELECT text || ' **' || source || '** __' || lang || '__' FROM documents)")
 def markup_render(spark, d):
-    return spark.createDataFrame(MARKED, "body string").select("body", text.markup(F.col("body")).alias("html"))
+    """All documents, with their source in bold and their language underlined."""
+    docs = table(spark, d, "documents").select(F.concat("text", F.lit(" **"), "source", F.lit("** __"), "lang", F.lit("__")).alias("body"))
+    return docs.unionByName(spark.createDataFrame(MARKED, "body string")).select("body", text.markup(F.col("body")).alias("html"))
 
 
 SUMMARIES = [("핵심내용: 요약 하나", "", "원문"), ("핵심내용 요약 둘", "new", "old"), ("no label", None, "old"), (None, "  ", None), ("머리말 핵심내용: 첫 줄\n둘째 줄", None, "a\nb"), ("핵심내용\n: 다음 줄", "", ""), ("핵심내용", "x", "y")]
 
 
-@query(rf"SELECT body, coalesce(nullif(trim(ltrim(CASE WHEN ltrim(body[nullif(strpos(body, '핵심내용'), 0) + 4:], E' \n\t')[1] IN (':', '：') THEN ltrim(body[nullif(strpos(body, '핵심내용'), 0) + 4:], E' \n\t')[2:] ELSE body[nullif(strpos(body, '핵심내용'), 0) + 4:] END, E' \n\t')), ''), body) AS summary, coalesce(nullif(trim(rewritten), ''), original) AS kept FROM {inline(SUMMARIES, 'body, rewritten, original')}")
+@query(rf"SELECT body, coalesce(nullif(trim(ltrim(CASE WHEN ltrim(body[nullif(strpos(body, '핵심내용'), 0) + 4:], E' \n\t')[1] IN (':', '：') THEN ltrim(body[nullif(strpos(body, '핵심내용'), 0) + 4:], E' \n\t')[2:] ELSE body[nullif(strpos(body, '핵심내용'), 0) + 4:] END, E' \n\t')), ''), body) AS summary, coalesce(nullif(trim(rewritten), ''), original) AS kept FROM (SELECT * FROM {inline(SUMMARIES, 'body, rewritten, original')} UNION ALL SELECT CASE WHEN lang = 'de' THEN source || ' 핵심내용' || CASE WHEN n_chars % 2 = 0 THEN ':' ELSE '' END || E'\n' || text ELSE text END, CASE lang WHEN 'fr' THEN '  ' WHEN 'es' THEN NULL ELSE source END, lang FROM documents)")
 def summary_fields(spark, d):
-    rows = spark.createDataFrame(SUMMARIES, "body string, rewritten string, original string")
+    """All documents, of which German ones have a label before their text, with a colon or without."""
+    lang, colon = F.col("lang"), F.when(F.col("n_chars") % 2 == 0, ":").otherwise("")
+    body = F.when(lang == "de", F.concat("source", F.lit(" 핵심내용"), colon, F.lit("\n"), "text")).otherwise(F.col("text"))
+    docs = table(spark, d, "documents").select(body.alias("body"), F.when(lang == "fr", "  ").when(lang != "es", F.col("source")).alias("rewritten"), lang.alias("original"))
+    rows = docs.unionByName(spark.createDataFrame(SUMMARIES, "body string, rewritten string, original string"))
     return rows.select("body", text.summary_of(F.col("body")).alias("summary"), text.kept_summary(F.col("rewritten"), F.col("original")).alias("kept"))
 
 
 SCRIPTS = [("인공지능법", "An English summary"), ("인공지능법", "한글 요약"), ("AI Act", "An English summary"), ("혼합 AI", "mixed 요약")]
 
 
-@query(f"SELECT title, summary, regexp_matches(title, '[가-힣]') AND regexp_matches(summary, '[A-Za-z]') AND NOT regexp_matches(summary, '[가-힣]') AS foreign_summary FROM {inline(SCRIPTS, 'title, summary')}")
+@query(f"SELECT title, summary, regexp_matches(title, '[가-힣]') AND regexp_matches(summary, '[A-Za-z]') AND NOT regexp_matches(summary, '[가-힣]') AS foreign_summary FROM (SELECT * FROM {inline(SCRIPTS, 'title, summary')} UNION ALL SELECT CASE WHEN lang = 'en' THEN source ELSE '문서 ' || source END, CASE WHEN lang = 'fr' THEN '요약 ' || text ELSE text END FROM documents)")
 def foreign_summaries(spark, d):
-    return spark.createDataFrame(SCRIPTS, "title string, summary string").select("title", "summary", text.only_summary_foreign(F.col("title"), F.col("summary")).alias("foreign_summary"))
+    """All documents, with Korean titles but for English ones, and a Korean word before French texts."""
+    lang = F.col("lang")
+    title = F.when(lang == "en", F.col("source")).otherwise(F.concat(F.lit("문서 "), "source"))
+    docs = table(spark, d, "documents").select(title.alias("title"), F.when(lang == "fr", F.concat(F.lit("요약 "), "text")).otherwise(F.col("text")).alias("summary"))
+    return docs.unionByName(spark.createDataFrame(SCRIPTS, "title string, summary string")).select("title", "summary", text.only_summary_foreign(F.col("title"), F.col("summary")).alias("foreign_summary"))
 
 
 # ---------------------------------------------------------------- dates
@@ -335,7 +350,9 @@ DATED = [
     (9, "text", "2026년", None, None, None),
 ]
 #: Dates are split at hyphens; which column counts follows from how much of each is known.
-DATED_SQL = f"""WITH rows AS (SELECT * FROM {inline(DATED, 'id, source, stated, original, other, added')}),
+DATED_SQL = f"""WITH rows AS (SELECT * FROM {inline(DATED, 'id, source, stated, original, other, added')} UNION ALL SELECT o_orderkey + 1000, CASE o_orderstatus WHEN 'F' THEN 'bulk' WHEN 'O' THEN 'confirmed' ELSE 'posted' END,
+  CASE WHEN o_orderpriority = '5-LOW' THEN strftime(o_orderdate, '%Y') WHEN o_orderpriority = '3-MEDIUM' THEN strftime(o_orderdate, '%Y-%m') ELSE strftime(o_orderdate, '%Y-%m-%d') END,
+  CASE WHEN o_orderkey % 3 = 0 THEN strftime(o_orderdate, '%Y년') END, CASE WHEN o_orderkey % 4 = 0 THEN strftime(o_orderdate, '%Y-%m') END, CASE WHEN o_orderkey % 5 > 0 THEN strftime(o_orderdate, '%Y-%m-01') END FROM orders),
 long AS (SELECT id, c, string_split(replace(t, '년', ''), '-') AS p FROM (SELECT id, unnest(['stated', 'original', 'other', 'added']) AS c, unnest([stated, original, other, added]) AS t FROM rows) WHERE t IS NOT NULL),
 dated AS (SELECT id, c, p[1]::INTEGER AS y, p[2]::INTEGER AS m, p[3]::INTEGER AS d, len(p) AS k FROM long),
 known AS (SELECT id, source, coalesce(max(k) FILTER (WHERE c = 'stated' AND NOT (source = 'bulk' AND (y, m, d) IN ((2020, 8, 4), (2020, 11, 4)))), 0) AS ks, coalesce(max(k) FILTER (WHERE c = 'original'), 0) AS ko,
@@ -347,8 +364,13 @@ SELECT id, y, m, d, CASE k WHEN 3 THEN y || '-' || lpad(m::VARCHAR, 2, '0') || '
 
 @query(DATED_SQL)
 def partial_date_resolution(spark, d):
-    """bulk: upload days of a whole collection don't count; confirmed: to the day, else added on; posted: a post's day never counts."""
-    rows = spark.createDataFrame(DATED, "id int, source string, stated string, original string, other string, added string")
+    """All orders as if their dates were known as far as their priority tells. bulk: upload days of a whole collection don't count; confirmed: to the day, else added on; posted: a post's day never counts."""
+    day, key, urgent = F.col("o_orderdate"), F.col("o_orderkey"), F.col("o_orderpriority")
+    source = F.when(F.col("o_orderstatus") == "F", "bulk").when(F.col("o_orderstatus") == "O", "confirmed").otherwise("posted")
+    stated = F.when(urgent == "5-LOW", F.date_format(day, "yyyy")).when(urgent == "3-MEDIUM", F.date_format(day, "yyyy-MM")).otherwise(F.date_format(day, "yyyy-MM-dd"))
+    more = [F.when(key % 3 == 0, F.date_format(day, "yyyy년")), F.when(key % 4 == 0, F.date_format(day, "yyyy-MM")), F.when(key % 5 > 0, F.date_format(day, "yyyy-MM-01"))]
+    orders = table(spark, d, "orders").select((key + 1000).alias("id"), source.alias("source"), stated.alias("stated"), *[c.alias(n) for c, n in zip(more, ("original", "other", "added"), strict=True)])
+    rows = orders.unionByName(spark.createDataFrame(DATED, "id long, source string, stated string, original string, other string, added string"))
     rows = rows.withColumns({c: dates.parse(F.col(c)) for c in ("stated", "original", "other", "added")})
     stated, original, other, added = (F.col(c) for c in ("stated", "original", "other", "added"))
     bulk = dates.not_bulk(stated, [(2020, 8, 4), (2020, 11, 4)])
@@ -363,19 +385,26 @@ OFFICES = [("서울특별시교육청",), ("교육부·서울교육청",), ("부
 OFFICE_SQL = "CASE WHEN issuer IS NULL THEN NULL WHEN regexp_matches(issuer, '교육부.*교육청|Ministry of Local Government') THEN 'central' WHEN regexp_matches(issuer, '교육청|광역시|특별시|(State|City|County) of |Municipal|(省|市)人民政府|Provincial (People''s )?Government|Alberta') THEN 'regional' WHEN contains(issuer, '대학교') OR list_has_any(string_split_regex(issuer, '[^A-Za-z]+'), ['University', 'College']) THEN 'university' WHEN regexp_matches(issuer, '연구[소원]') OR list_has_any(string_split_regex(issuer, '[^A-Za-z]+'), ['Lab', 'Laboratory', 'Laboratories']) THEN 'lab' WHEN issuer LIKE '%주식회사%' OR issuer LIKE '%(주)%' OR list_has_any(string_split_regex(issuer, '[^A-Za-z]+'), ['Inc', 'Corp', 'Corporation', 'Ltd', 'LLC', 'LG', 'CJ']) THEN 'company' ELSE 'central' END"
 
 
-@query(f"SELECT issuer, {OFFICE_SQL} AS level FROM {inline(OFFICES, 'issuer')}")
+@query(f"SELECT issuer, {OFFICE_SQL} AS level FROM (SELECT issuer FROM {inline(OFFICES, 'issuer')} UNION ALL SELECT CASE s_suppkey % 4 WHEN 0 THEN 'City of ' || n_name WHEN 1 THEN n_name || ' University' WHEN 2 THEN s_name || ' Ltd' ELSE s_name END FROM supplier JOIN nation ON s_nationkey = n_nationkey)")
 def issuer_level(spark, d):
-    return spark.createDataFrame(OFFICES, "issuer string").select("issuer", issuers.level(F.col("issuer")).alias("level"))
+    """All suppliers under names that tell what they are."""
+    rows, k = table(spark, d, "supplier").join(table(spark, d, "nation"), F.col("s_nationkey") == F.col("n_nationkey")), F.col("s_suppkey") % 4
+    name = F.when(k == 0, F.concat(F.lit("City of "), "n_name")).when(k == 1, F.concat("n_name", F.lit(" University"))).when(k == 2, F.concat("s_name", F.lit(" Ltd"))).otherwise(F.col("s_name"))
+    return rows.select(name.alias("issuer")).unionByName(spark.createDataFrame(OFFICES, "issuer string")).select("issuer", issuers.level(F.col("issuer")).alias("level"))
 
 
 PLACES = [(1, "Parliament", None, "https://p.test/1"), (2, "Agency", " ", "https://other.test/"), (3, "Agency", "KR", "https://p.test/2"), (4, None, None, None)]
-HOSTS, ISSUERS = [("p.test", "EU")], [("Agency", "US"), ("Parliament", "XX")]
+HOSTS, ISSUERS = [("p.test", "EU"), ("m.example.com", "KR")], [("Agency", "US"), ("Parliament", "XX")]
 
 
-@query(f"""SELECT p.id, coalesce(nullif(trim(p.country), ''), h.country, i.country) AS country FROM {inline(PLACES, 'id, issuer, country, url').replace(' t(', ' p(')}
-LEFT JOIN {inline(HOSTS, 'host, country').replace(' t(', ' h(')} ON split_part(p.url, '/', 3) = h.host LEFT JOIN {inline(ISSUERS, 'issuer, country').replace(' t(', ' i(')} ON p.issuer = i.issuer""")
+@query(f"""SELECT p.id, coalesce(nullif(trim(p.country), ''), h.country, i.country) AS country FROM (SELECT id, issuer, country, url FROM {inline(PLACES, 'id, issuer, country, url')} UNION ALL SELECT page_id + 1000, CASE WHEN page_id % 2 = 0 THEN 'Agency' END, CASE WHEN page_id % 5 = 0 THEN 'FR' END, CASE WHEN page_id % 3 = 0 THEN 'http://m.example.com:80/' ELSE url END FROM pages) p
+LEFT JOIN {inline(HOSTS, 'host, country').replace(' t(', ' h(')} ON string_split(split_part(p.url, '/', 3), ':')[1] = h.host LEFT JOIN {inline(ISSUERS, 'issuer, country').replace(' t(', ' i(')} ON p.issuer = i.issuer""")
 def country_repair(spark, d):
-    rows = spark.createDataFrame(PLACES, "id int, issuer string, country string, url string")
+    """All pages, of which every third has an address that tells its country, and every second a known issuer."""
+    n = F.col("page_id")
+    url = F.when(n % 3 == 0, "http://m.example.com:80/").otherwise(F.col("url"))
+    pages = table(spark, d, "pages").select((n + 1000).alias("id"), F.when(n % 2 == 0, "Agency").alias("issuer"), F.when(n % 5 == 0, "FR").alias("country"), url.alias("url"))
+    rows = pages.unionByName(spark.createDataFrame(PLACES, "id long, issuer string, country string, url string"))
     hosts = spark.createDataFrame(HOSTS, "host string, country string")
     names = spark.createDataFrame(ISSUERS, "issuer string, country string")
     return issuers.fill_country(rows, hosts, names, text.url_host(F.col("url"))).select("id", "country")
@@ -398,9 +427,12 @@ def country_by_address(spark, d):
 TOPICS = [(1, ["윤리·규범", "법", "가이드라인", "표준", "딥페이크"]), (2, ["국가안보", "피지컬AI"]), (3, ["법"])]
 
 
-@query(f"SELECT id, array_to_string(list_filter(topics, lambda x: x NOT IN ('윤리·규범', '법', '가이드라인', '표준')), ',') AS topics FROM {inline(TOPICS, 'id, topics')}")
+@query(f"SELECT id, array_to_string(list_filter(topics, lambda x: x NOT IN ('윤리·규범', '법', '가이드라인', '표준')), ',') AS topics FROM (SELECT * FROM {inline(TOPICS, 'id, topics')} UNION ALL SELECT doc_id + 1000, [lang, '법', source, CASE WHEN n_chars > 1000 THEN '표준' ELSE '딥페이크' END] FROM documents)")
 def topic_minus_kind(spark, d):
-    return spark.createDataFrame(TOPICS, "id int, topics array<string>").select("id", F.array_join(curation.topics_without_kinds(F.col("topics")), ",").alias("topics"))
+    """All documents, with their language and source as topics beside a kind's."""
+    more = F.when(F.col("n_chars") > 1000, "표준").otherwise("딥페이크")
+    docs = table(spark, d, "documents").select((F.col("doc_id") + 1000).alias("id"), F.array("lang", F.lit("법"), "source", more).alias("topics"))
+    return docs.unionByName(spark.createDataFrame(TOPICS, "id long, topics array<string>")).select("id", F.array_join(curation.topics_without_kinds(F.col("topics")), ",").alias("topics"))
 
 
 RULES = {"(?i)licen[cs]e": 2.0, "(?i)token": 1.0, "@": 1.0}
@@ -427,9 +459,13 @@ NODES = [(n,) for n in range(1, 12)]
 
 @query(f"""WITH RECURSIVE e AS (SELECT a, b FROM {inline(EDGES, 'a, b')} UNION ALL SELECT b, a FROM {inline(EDGES, 'a, b')}),
 r AS (SELECT id, id AS place FROM {inline(NODES, 'id')} UNION SELECT r.id, e.b FROM r JOIN e ON e.a = r.place)
-SELECT id, min(place) AS cluster FROM r GROUP BY id""")
+SELECT id, min(place) AS cluster FROM r GROUP BY id UNION ALL SELECT s_suppkey + 1000, min(s_suppkey) OVER (PARTITION BY s_nationkey) + 1000 FROM supplier""")
 def identity_components(spark, d):
-    return identity.components(spark.createDataFrame(NODES, "id int"), spark.createDataFrame(EDGES, "a int, b int"))
+    """All suppliers, each linked to the next of its nation."""
+    rows = table(spark, d, "supplier").select((F.col("s_suppkey") + 1000).alias("id"), "s_nationkey")
+    after = F.lead("id").over(Window.partitionBy("s_nationkey").orderBy("id"))
+    edges = rows.select(after.alias("a"), F.col("id").alias("b")).where("a is not null").unionByName(spark.createDataFrame(EDGES, "a long, b long"))
+    return identity.components(rows.select("id").union(spark.createDataFrame(NODES, "id long")), edges)
 
 
 RECORDS = [
@@ -443,7 +479,7 @@ RECORDS = [
     (8, "official", 0, "Other document", "https://x.test/same", "2018", None),
 ]
 SAME, APART = [(6, 5)], [(7, 8)]
-MERGE_SQL = f"""WITH RECURSIVE rec AS (SELECT * FROM {inline(RECORDS, 'id, source, priority, title, url, date, summary')}),
+MERGE_SQL = f"""WITH RECURSIVE rec AS (SELECT * FROM {inline(RECORDS, 'id, source, priority, title, url, date, summary')} UNION ALL SELECT page_id + 1000, {HOST}, page_id % 3, {PAGE_TITLE}, url, CASE page_id % 4 WHEN 0 THEN '2020-01-' || lpad((page_id % 28 + 1)::VARCHAR, 2, '0') WHEN 1 THEN '2019' END, NULL FROM pages),
 held AS (SELECT unnest([a, b]) AS id FROM {inline(APART, 'a, b')}),
 keyed AS (SELECT id, 't' || {_title_key_sql("title")} AS k FROM rec WHERE id NOT IN (SELECT id FROM held) UNION SELECT id, 'u' || key FROM rec JOIN (SELECT DISTINCT * FROM ({_url_key_sql("rec")})) u ON u.url = rec.url WHERE id NOT IN (SELECT id FROM held)),
 e AS (SELECT x.id AS a, y.id AS b FROM keyed x JOIN keyed y USING (k) UNION SELECT a, b FROM {inline(SAME, 'a, b')} UNION SELECT b, a FROM {inline(SAME, 'a, b')}),
@@ -454,7 +490,11 @@ SELECT max(id) FILTER (WHERE n = 1) AS id, arg_min(date, n) FILTER (WHERE date I
 
 @query(MERGE_SQL)
 def identity_merge(spark, d):
-    rows = spark.createDataFrame(RECORDS, "id int, source string, priority int, original_title string, url string, date string, summary string")
+    """All pages as records of their hosts, some with a day and some with a year, beside others with given and forbidden pairs."""
+    n, url = F.col("page_id"), F.col("url")
+    date = F.when(n % 4 == 0, F.format_string("2020-01-%02d", n % 28 + 1)).when(n % 4 == 1, "2019")
+    pages = table(spark, d, "pages").select((n + 1000).alias("id"), text.url_host(url).alias("source"), (n % 3).cast("int").alias("priority"), text.page_title(F.col("html")).alias("original_title"), "url", date.alias("date"), F.lit(None).cast("string").alias("summary"))
+    rows = pages.unionByName(spark.createDataFrame(RECORDS, "id long, source string, priority int, original_title string, url string, date string, summary string"))
     same, apart = spark.createDataFrame(SAME, "a int, b int"), spark.createDataFrame(APART, "a int, b int")
     clusters = identity.kept_apart(rows, identity.match_links(rows, same), apart)
     merged = identity.merge(rows.join(clusters, "id"))
@@ -464,10 +504,14 @@ def identity_merge(spark, d):
 BILLS = [(1, "AI Bill", "House", "H.R. 1"), (2, "AI Bill", "Senate", "S. 2"), (3, "AI Principles", "LG", None), (4, "AI Principles", "CJ", None), (5, "Alone", "X", "H.R. 9"), (6, "Twice", "Y", None), (7, "Twice", "Y", None)]
 
 
-@query(f"""WITH w AS (SELECT *, count(*) OVER (PARTITION BY title) AS n, (SELECT count(DISTINCT issuer) FROM {inline(BILLS, 'id2, title2, issuer, bill2')} WHERE title2 = title) AS k FROM {inline(BILLS, 'id, title, issuer, bill_no')})
-SELECT id, CASE WHEN n > 1 AND bill_no IS NOT NULL THEN title || ' (' || bill_no || ')' WHEN n > 1 AND k > 1 THEN title || ' (' || issuer || ')' ELSE title END AS display_title FROM w""")
+@query(f"""WITH t AS (SELECT * FROM {inline(BILLS, 'id, title, issuer, bill_no')} UNION ALL SELECT doc_id + 1000, lang || ' ' || n_chars % 50, source, CASE WHEN n_chars % 7 = 0 THEN 'No. ' || doc_id END FROM documents),
+k AS (SELECT title, count(*) AS n, count(DISTINCT issuer) AS k FROM t GROUP BY title)
+SELECT id, CASE WHEN n > 1 AND bill_no IS NOT NULL THEN title || ' (' || bill_no || ')' WHEN n > 1 AND k > 1 THEN title || ' (' || issuer || ')' ELSE title END AS display_title FROM t JOIN k USING (title)""")
 def name_collision_suffix(spark, d):
-    return identity.told_apart(spark.createDataFrame(BILLS, "id int, title string, issuer string, bill_no string")).select("id", "display_title")
+    """All documents under titles that many share."""
+    number = F.when(F.col("n_chars") % 7 == 0, F.concat(F.lit("No. "), F.col("doc_id").cast("string")))
+    docs = table(spark, d, "documents").select((F.col("doc_id") + 1000).alias("id"), F.concat("lang", F.lit(" "), (F.col("n_chars") % 50).cast("string")).alias("title"), F.col("source").alias("issuer"), number.alias("bill_no"))
+    return identity.told_apart(docs.unionByName(spark.createDataFrame(BILLS, "id long, title string, issuer string, bill_no string"))).select("id", "display_title")
 
 
 @query("SELECT doc_id AS id, 'documents' AS source, lang, NULL::VARCHAR AS url FROM documents UNION ALL SELECT page_id, 'pages', NULL, url FROM pages")
@@ -539,12 +583,16 @@ def name_collision_pages(spark, d):
 
 
 COLOURED = [("law",), ("bill",), ("treaty",), ("news",), ("other",), ("unheard of",), (None,)]
-COLOUR_SQL = "CASE WHEN kind IS NULL THEN NULL ELSE CASE kind " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in curation.KIND_COLOURS.items()) + " ELSE '#534f4a' END END"
+# The colour of each kind, written down a second time so that the query is held against something else than its own table.
+PALETTE = "(VALUES ('law', '#1d4ed8'), ('bill', '#be123c'), ('admin', '#0369a1'), ('treaty', '#3d3a6e'), ('declaration', '#a16207'), ('guideline', '#0f766e'), ('strategy', '#c2410c'), ('report', '#474284'), ('standard', '#7c3aed'), ('institution', '#3f5340'), ('news', '#b44a58'), ('other', '#534f4a')) p(name, colour)"
+ALL_KINDS = ["law", "bill", "admin", "treaty", "declaration", "guideline", "strategy", "report", "standard", "institution", "news", "other", "blog"]
 
 
-@query(f"SELECT kind, {COLOUR_SQL} AS colour FROM {inline(COLOURED, 'kind')}")
+@query(f"SELECT kind, CASE WHEN kind IS NOT NULL THEN coalesce(colour, '#534f4a') END AS colour FROM (SELECT kind FROM {inline(COLOURED, 'kind')} UNION ALL SELECT {ALL_KINDS}[n_chars % 13 + 1] FROM documents) LEFT JOIN {PALETTE} ON name = kind")
 def kind_colour(spark, d):
-    return spark.createDataFrame(COLOURED, "kind string").select("kind", curation.kind_colour(F.col("kind")).alias("colour"))
+    """All documents, each of one of thirteen kinds."""
+    docs = table(spark, d, "documents").select(F.element_at(F.array(*[F.lit(k) for k in ALL_KINDS]), (F.col("n_chars") % 13 + 1).cast("int")).alias("kind"))
+    return docs.unionByName(spark.createDataFrame(COLOURED, "kind string")).select("kind", curation.kind_colour(F.col("kind")).alias("colour"))
 
 
 @query("SELECT doc_id::VARCHAR AS id, source AS sources, text AS summary, year(DATE '2026-01-01')::INTEGER AS y, NULL::INTEGER AS m FROM documents")
@@ -574,18 +622,23 @@ def documents_json_checked(spark, d):
 CODES = [("KR",), ("us",), ("EU",), ("KOR",), ("",), (None,)]
 
 
-@query(f"SELECT code, CASE WHEN regexp_matches(upper(code), '^[A-Z]{{2}}$') THEN chr(unicode(substr(upper(code), 1, 1)) + 127397) || chr(unicode(substr(upper(code), 2, 1)) + 127397) END AS flag FROM {inline(CODES, 'code')}")
+@query(f"SELECT code, CASE WHEN regexp_matches(upper(code), '^[A-Z]{{2}}$') THEN chr(unicode(substr(upper(code), 1, 1)) + 127397) || chr(unicode(substr(upper(code), 2, 1)) + 127397) END AS flag FROM (SELECT code FROM {inline(CODES, 'code')} UNION ALL SELECT lang FROM documents UNION ALL SELECT n_name[:n_nationkey % 3 + 1] FROM nation)")
 def country_flag(spark, d):
-    return spark.createDataFrame(CODES, "code string").select("code", text.country_flag(F.col("code")).alias("flag"))
+    """All documents' languages and the first letters of all nations as codes."""
+    nations = table(spark, d, "nation").select(F.substring("n_name", F.lit(1), F.col("n_nationkey") % 3 + 1).alias("code"))
+    codes = table(spark, d, "documents").select(F.col("lang").alias("code")).unionByName(nations).unionByName(spark.createDataFrame(CODES, "code string"))
+    return codes.select("code", text.country_flag(F.col("code")).alias("flag"))
 
 
 MIXED = [("일본 promotion act",), ("영국 data act",), ("Aletheia 윤리",), ("promotional",)]
 
 
-@query(rf"SELECT title, regexp_replace(regexp_replace(regexp_replace(title, '\bpromotion\b', '촉진', 'g'), '\bdata\b', '데이터', 'g'), '\bact\b', '법', 'g') AS repaired FROM {inline(MIXED, 'title')}")
+@query(rf"SELECT title, regexp_replace(regexp_replace(regexp_replace(title, '\bpromotion\b', '촉진', 'g'), '\bdata\b', '데이터', 'g'), '\bact\b', '법', 'g') AS repaired FROM (SELECT title FROM {inline(MIXED, 'title')} UNION ALL SELECT source || ' data act ' || n_chars || ' of promotion' FROM documents)")
 def title_repair(spark, d):
+    """All documents under titles with leftover words."""
+    docs = table(spark, d, "documents").select(F.concat("source", F.lit(" data act "), F.col("n_chars").cast("string"), F.lit(" of promotion")).alias("title"))
     words = {"promotion": "촉진", "data": "데이터", "act": "법"}
-    return spark.createDataFrame(MIXED, "title string").select("title", text.words_replaced(F.col("title"), words).alias("repaired"))
+    return docs.unionByName(spark.createDataFrame(MIXED, "title string")).select("title", text.words_replaced(F.col("title"), words).alias("repaired"))
 
 
 @query(rf"""WITH p AS (SELECT page_id, {PAGE_TITLE} AS title FROM pages), w AS (SELECT DISTINCT unnest(regexp_extract_all(text, '[\p{{L}}\p{{N}}_]+')) AS term FROM documents),
@@ -602,9 +655,13 @@ def title_dictionary_pages(spark, d):
 FOUND_DATES = [(1, 2024, None, None), (1, 2024, 5, 3), (1, 2024, 6, None), (2, 2020, 1, None), (2, None, None, None), (3, None, None, None), (4, 2021, 2, 2), (4, 2021, 2, 1)]
 
 
-@query(f"""SELECT cluster, y, m, d FROM (SELECT *, row_number() OVER (PARTITION BY cluster ORDER BY (CASE WHEN d IS NOT NULL THEN 3 WHEN m IS NOT NULL THEN 2 WHEN y IS NOT NULL THEN 1 ELSE 0 END) DESC, y, m, d) AS n FROM {inline(FOUND_DATES, 'cluster, y, m, d')}) WHERE n = 1""")
+@query(f"""SELECT cluster, y, m, d FROM (SELECT *, row_number() OVER (PARTITION BY cluster ORDER BY (CASE WHEN d IS NOT NULL THEN 3 WHEN m IS NOT NULL THEN 2 WHEN y IS NOT NULL THEN 1 ELSE 0 END) DESC, y, m, d) AS n FROM (SELECT * FROM {inline(FOUND_DATES, 'cluster, y, m, d')} UNION ALL SELECT o_custkey + 1000, year(o_orderdate), CASE WHEN o_orderpriority <> '5-LOW' THEN month(o_orderdate) END, CASE WHEN o_orderpriority < '3' THEN day(o_orderdate) END FROM orders)) WHERE n = 1""")
 def cluster_best_date(spark, d):
-    rows = spark.createDataFrame(FOUND_DATES, "cluster int, y int, m int, d int")
+    """All orders by customer, known to the day, the month or the year as their priority tells."""
+    day, urgent = F.col("o_orderdate"), F.col("o_orderpriority")
+    known = [F.year(day).alias("y"), F.when(urgent != "5-LOW", F.month(day)).alias("m"), F.when(urgent < "3", F.day(day)).alias("d")]
+    orders = table(spark, d, "orders").select((F.col("o_custkey") + 1000).alias("cluster"), *known)
+    rows = orders.unionByName(spark.createDataFrame(FOUND_DATES, "cluster long, y int, m int, d int"))
     best = identity.best_dates(rows.select("cluster", F.struct("y", "m", "d").alias("date")))
     return best.select("cluster", *[F.col("date")[c].alias(c) for c in ("y", "m", "d")])
 
