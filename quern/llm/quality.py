@@ -21,6 +21,8 @@ from .common import OWN, drop_written, let, packed, unpacked, with_results, writ
 BUCKETS, SMOOTHING, THRESHOLD = 1 << 18, 4.0, -0.15
 #: Buckets grow as this power of the n-grams, one for so many of that; bytes of text that stand for one n-gram.
 GROWTH, SHARED_BY, BYTES_A_GRAM = 0.75, 5, 3
+#: Parts that ratios are rounded to.
+UNIT = float(1 << 32)
 #: Ratios that one array or broadcast holds (8 bytes each in the array); of more buckets the most frequent are broadcast and the others joined.
 SLOTS = 10 << 20
 #: Rows of ids or texts that are broadcast; more are joined by a shuffle. This decides speed, not results.
@@ -145,7 +147,8 @@ def bucket_counts(docs: DataFrame, trusted: DataFrame, doc_id: str = "doc_id", t
 
 
 def _ratio(raw: Column, target: Column, share: float, smoothing: float = SMOOTHING) -> Column:
-    return F.log((target + F.lit(smoothing)) / (raw * F.lit(share) + F.lit(smoothing)))
+    """The ratio in whole parts of 1 / UNIT: sums up to two million are then exact in doubles, in whatever order rows come, so every run decides alike."""
+    return F.round(F.log((target + F.lit(smoothing)) / (raw * F.lit(share) + F.lit(smoothing))) * F.lit(UNIT)) / F.lit(UNIT)
 
 
 def _array(rated: DataFrame, buckets: int) -> DataFrame:
@@ -193,7 +196,7 @@ def texts_scored(docs: DataFrame, trusted: DataFrame, doc_id: str, text: str, bu
     else:
         weights = _joined_weights(facts, rated, buckets, slots)
     own = [F.max(c).alias(c) for c in _FACTS]  # copies of a text agree in them, and in the mean
-    return written(weights.groupBy(*_KEYS).agg(*own, (F.sum("sum") / F.sum("n")).alias("llr")), "texts", narrow=True)
+    return written(weights.groupBy(*_KEYS).agg(*own, F.round(F.sum("sum") / F.sum("n"), 9).alias("llr")), "texts", narrow=True)
 
 
 def _joined_weights(facts: DataFrame, rated: DataFrame, buckets: int, slots: int) -> DataFrame:

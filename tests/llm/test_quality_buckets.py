@@ -30,3 +30,10 @@ def test_target_is_counted_on_all_trusted_documents(spark):
     docs = spark.range(25_000).selectExpr("id AS doc_id", "concat('word', id % 7) AS text")
     counts = quality.bucket_counts(docs, spark.range(-10_000, 25_000).selectExpr("id AS doc_id"))
     assert [tuple(r) for r in counts.selectExpr("sum(raw)", "sum(target)").collect()] == [(25_000, 25_000)]
+
+
+def test_scores_do_not_depend_on_the_order_of_rows(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    trusted = quality.trusted_ids(read(spark, sf_dir, "labels"))
+    runs = [sorted((r.doc_id, r.llr) for r in quality.score(d, trusted).collect()) for d in (docs, docs.repartition(7), docs.orderBy("text"))]
+    assert runs[0] == runs[1] == runs[2]
