@@ -8,7 +8,7 @@ import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from quern.llm import pii, quality
+from quern.llm import common, forest, near_copies, pii, quality
 from tests.llm.test_contracts import WORD, base_spans, llr
 from tests.llm.test_near_copies import brute_force
 
@@ -91,3 +91,14 @@ def test_encoding(stages):
     assert Counter(stages[5].doc_id) == Counter(stages[4].doc_id)
     for i, ids in zip(stages[5].doc_id, stages[5].token_ids, strict=True):
         assert np.array_equal(ids, library.encode(texts[i], add_special_tokens=False).ids)
+
+
+def test_joins_without_broadcasts_give_the_same_rows(spark, sf_dir, monkeypatch):
+    """What larger inputs take: keys, ids and candidates joined by a shuffle."""
+    docs, trusted = common.read(spark, sf_dir, "documents"), quality.trusted_ids(common.read(spark, sf_dir, "labels"))
+    rows = lambda df: sorted(map(repr, df.collect()))
+    made = lambda: [rows(quality.kept_documents(docs, trusted)), rows(quality.score(docs.drop("text").join(docs.select("doc_id", "text"), "doc_id"), trusted)), rows(near_copies.one_of_each(docs)), rows(forest.near_duplicates(docs))]
+    before = made()
+    monkeypatch.setattr(quality, "MOST_BROADCAST", 0)
+    monkeypatch.setattr(forest, "MOST_BROADCAST", 0)
+    assert made() == before
