@@ -753,8 +753,9 @@ def vector_index_search(spark, d):
   UNION ALL SELECT vec_id, 1.0::DOUBLE / (60 + row_number() OVER (ORDER BY score DESC, vec_id)) FROM b)
 SELECT doc_id, round(sum(r), 9) AS score FROM r GROUP BY doc_id ORDER BY score DESC, doc_id LIMIT 10""")
 def search_library(spark, d):
-    vectors = embedding_topk(spark, d).withColumnRenamed("vec_id", "doc_id")
-    return search.fused([fts_bm25_topk(spark, d), vectors], "doc_id", 10)
+    """Both parts from their indexes, brought to what the tables hold now."""
+    vectors = vector_index_search(spark, d).withColumnRenamed("vec_id", "doc_id")
+    return search.fused([fts_index_search(spark, d), vectors], "doc_id", 10)
 
 
 @query(r"""WITH t AS (SELECT doc_id, unnest(list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '')) AS term FROM documents)
