@@ -327,7 +327,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "token_ids
 
 
 def decode(docs: DataFrame, path: str, ids: str = "token_ids", decoded: str = "decoded") -> DataFrame:
-    """Adds ``decoded`` (string): the text of each row of ids; null or no ids give an empty text."""
+    """Adds ``decoded`` (string): the text of each row of ids; null or no ids give an empty text. Rows stay, repeated ones too, and an empty table gives an empty one."""
     column = F.arrow_udf(_text_of(path), "string")(F.coalesce(F.col(f"`{ids}`"), F.array().cast("array<int>")))
     return with_results(docs, {decoded: column})
 

@@ -14,7 +14,7 @@ import re
 from bisect import bisect_left, bisect_right
 from dataclasses import dataclass
 from functools import lru_cache
-from re import _constants as sre
+from re import _constants as sre  # private to Python's re: its tree of a pattern, as Python 3.11 to 3.14 have it
 from re import _parser
 
 import ahocorasick

@@ -110,4 +110,4 @@ QUERIES = {
     "op12_lsh_forest": op12_lsh_forest,
     "op13_source_divergence": op13_source_divergence,
 }
-ORACLES = {"op4_hash_tree_shards": sharding.oracle_sql(SHARDS), "op7_preference_pairs": preferences.ORACLE_SQL, "op13_source_divergence": divergence.ORACLE_SQL}
+ORACLES = {"op4_hash_tree_shards": sharding.oracle_sql(SHARDS), "op7_preference_pairs": preferences.ORACLE_SQL, "op12_lsh_forest": forest.ORACLE_SQL, "op13_source_divergence": divergence.ORACLE_SQL}

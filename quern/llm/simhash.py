@@ -259,7 +259,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """Adds fingerprint (long) and component_id to whole documents, by :func:`with_fingerprint` and :func:`grouped`.
 
     Null and empty texts have no words and the fingerprint zero, which links like any other; a text of
-    fewer words than a shingle is one shingle. Input columns called like the results give way.
+    fewer words than a shingle is one shingle. Input columns called like the results give way. A task holds a text with its words; bits are counted
+    65,536 shingles at a time.
     """
     return grouped(with_fingerprint(docs, text, words), doc_id, bits)
 

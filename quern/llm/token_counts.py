@@ -121,7 +121,7 @@ def count_tokens(docs: DataFrame, path: str, text: str = "text", result: str = "
     at ``path``, as encoding it would give.
 
     A null or empty text has none. Every row stays, repeated rows too; an input column called like the
-    result gives way. An empty table gives an empty one. Texts stay where they are read; rare pre-tokens,
+    result gives way. An empty table gives an empty one. Texts of any length are counted whole by the task that reads them; rare pre-tokens,
     sums and the other columns are written to the shared folder and dealt out.
     """
     hot = docs.sparkSession.sparkContext.broadcast(frequent(docs, path, text))
