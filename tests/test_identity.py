@@ -77,11 +77,10 @@ def test_pairs_are_kept_apart_whatever_leads_from_one_to_the_other(spark, seed):
     expected = brute_force(ids, links, apart)
     assert all(expected[a] != expected[b] for a, b in apart if a != b)
     nodes = spark.createDataFrame([(n,) for n in ids], "id int")
-    for turn in range(2 - seed):
-        if turn:
-            links, apart = [(b, a, s) for a, b, s in rng.sample(links, len(links))], [(b, a) for a, b in reversed(apart)]
-        found = identity.kept_apart(nodes, spark.createDataFrame(links, "a int, b int, strength int"), spark.createDataFrame(apart, "a int, b int"))
-        assert {r.id: r.cluster for r in found.collect()} == expected
+    if seed:  # the rule doesn't know of any order
+        links, apart = [(b, a, s) for a, b, s in rng.sample(links, len(links))], [(b, a) for a, b in reversed(apart)]
+    found = identity.kept_apart(nodes, spark.createDataFrame(links, "a int, b int, strength int"), spark.createDataFrame(apart, "a int, b int"))
+    assert {r.id: r.cluster for r in found.collect()} == expected
 
 
 def test_third_records_keep_their_links(spark):
