@@ -74,7 +74,8 @@ def term_counts(docs: DataFrame, text: str = "text", lang: str = "lang", source:
     """
     own = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")).alias(n) for c, n in ((text, "text"), (lang, "lang"), (source, "source"))]
     each = docs.select(*own).mapInArrow(partial_counts, "lang string, source string, term string, n bigint, docs bigint")
-    counted = each.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    # dealt out once: both groupings follow it, and rows that their tasks have combined aren't combined again before
+    counted = each.repartition("lang", "term").groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
     by_term = counted.groupBy("lang", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"), F.collect_list(F.struct("source", "n")).alias("sources"))
     return by_term.where(F.col("docs") >= least).select("lang", "term", "n", "sources")
 
