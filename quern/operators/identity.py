@@ -17,7 +17,7 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     nothing changes. Minima are combined before they are shuffled, so a node with many edges is no burden. What a round has written goes with the next.
     """
     now, state = written(edges.where("a <> b").select("a", "b").distinct(), "edges"), None
-    while True:
+    while not now.isEmpty():
         both = now.union(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         # written, so that the join has a shuffle on either side and Spark can split the edges of a hub
         least = written(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m")), "least")
@@ -79,6 +79,9 @@ def kept_apart(nodes: DataFrame, links: DataFrame, apart: DataFrame) -> DataFram
         own = lambda c: members.select(F.col("id").alias(c), F.coalesce("seed", "whole").alias(f"{c}_whole"), F.col("seed").alias(f"{c}_seed"))  # noqa: E731, B023
         here = inside.where(F.col("strength") == strength).join(own("a"), "a").join(own("b"), "b").where("a_whole <> b_whole")
         here = written(here.select("a_whole", "a_seed", "b_whole", "b_seed").distinct(), "here")
+        if here.isEmpty():
+            dropped(here)
+            continue
         moved = _tied(here)
         united = _united(here, moved, pairs, members)
         free = here.where("a_seed is null and b_seed is null").select(F.col("a_whole").alias("a"), F.col("b_whole").alias("b"))
@@ -103,6 +106,9 @@ def _tied(here: DataFrame) -> DataFrame:
     ways = ways.union(here.select("b_whole", "b_seed", "a_whole", "a_seed"))
     ways = written(ways.where("seed is null").select("whole", "from", "from_seed"), "ways")
     tied = written(ways.where("from_seed is not null").groupBy("whole").agg(F.min("from_seed").alias("seed")), "tied")
+    if tied.isEmpty():
+        dropped(ways)
+        return tied
     while True:
         near = ways.where("from_seed is null").join(tied.select(F.col("whole").alias("from"), "seed"), "from").join(tied.select("whole"), "whole", "left_anti")
         more = written(near.groupBy("whole").agg(F.min("seed").alias("seed")), "more")
@@ -124,6 +130,8 @@ def _united(here: DataFrame, moved: DataFrame, apart: DataFrame, members: DataFr
     pairs = here.join(new("a"), "a_whole", "left").join(new("b"), "b_whole", "left").select(to("a").alias("x"), to("b").alias("y")).where("x <> y")
     pairs = pairs.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
     pairs = written(pairs.withColumn("place", F.struct("x", "y")), "pairs")  # clusters change, the order of pairs doesn't
+    if pairs.isEmpty():
+        return pairs.select(F.col("x").alias("seed"), F.col("y").alias("into"))
     seed_of = members.where("seed is not null").select("id", "seed")
     of = lambda c, n: seed_of.select(F.col("id").alias(c), F.col("seed").alias(n))
     against = apart.select("a", "b").join(of("a", "x"), "a").join(of("b", "y"), "b").select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
