@@ -25,8 +25,10 @@ GROWTH, SHARED_BY, BYTES_A_GRAM = 0.75, 5, 3
 UNIT = float(1 << 32)
 #: Ratios that one array or broadcast holds (8 bytes each in the array); of more buckets the most frequent are broadcast and the others joined.
 SLOTS = 10 << 20
-#: Rows of ids or texts that are broadcast; more are joined by a shuffle. This decides speed, not results.
+#: Rows of texts that are broadcast; more are joined by a shuffle. This decides speed, not results.
 MOST_BROADCAST = 1 << 19
+#: Trusted documents that the target is counted on: of more so many are drawn by a hash of their ids (some 60 bytes each are broadcast).
+MOST_TRUSTED = 1 << 20
 #: N-grams that one task counts at most, unless the table is cut more coarsely; ratios gathered at once on the way to the array.
 GRAMS_A_TASK, CHUNK = 1 << 26, 4096
 LEAST_WORDS, MOST_REPEATED = 50, 50
@@ -129,11 +131,13 @@ def _each_bucket(pairs: DataFrame, buckets: int, *others: str) -> DataFrame:
 
 
 def _marked(docs: DataFrame, trusted: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """Texts, with a mark where the id is in ``trusted``."""
+    """Texts, with a mark where the id is in ``trusted``. Texts stay where they are read: no more ids are sent to them than a task holds easily."""
     ids = trusted.select(F.col(f"`{doc_id}`").alias(f"{OWN}id")).where(f"{OWN}id is not null").distinct().withColumn(f"{OWN}trusted", F.lit(1))
-    ids = F.broadcast(ids) if ids.count() <= MOST_BROADCAST else ids
+    n = ids.count()
+    if n > MOST_TRUSTED:
+        ids = ids.where(F.pmod(F.xxhash64(f"{OWN}id"), F.lit(1 << 32)) < int((1 << 32) * MOST_TRUSTED / n))
     own = docs.select(F.col(f"`{doc_id}`").alias(f"{OWN}doc"), F.col(f"`{text}`").alias("text"))
-    return own.join(ids, F.col(f"{OWN}doc") == F.col(f"{OWN}id"), "left")
+    return own.join(F.broadcast(ids), F.col(f"{OWN}doc") == F.col(f"{OWN}id"), "left")
 
 
 def bucket_counts(docs: DataFrame, trusted: DataFrame, doc_id: str = "doc_id", text: str = "text", buckets: int = BUCKETS) -> DataFrame:
@@ -226,7 +230,7 @@ def _verdict(n_words: Column, n_repeat_words: Column, llr: Column, threshold: fl
 def score(docs: DataFrame, trusted: DataFrame, doc_id: str = "doc_id", text: str = "text", buckets: int | None = None, threshold: float = THRESHOLD) -> DataFrame:
     """Adds n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, llr and kept to whole documents.
 
-    ``trusted`` holds the ids (column ``doc_id``) of documents the target is counted on. A null text has no
+    ``trusted`` holds the ids (column ``doc_id``) of documents the target is counted on, about MOST_TRUSTED of them if there are more. A null text has no
     words; a document of fewer than 50 words, or with over half of them in repeated three-word windows, fails
     the base. A document without n-grams has the ratio zero, and so has every document where no trusted one
     is found. kept is false where the base fails, else whether llr reaches ``threshold``. Every row stays,

@@ -37,3 +37,10 @@ def test_scores_do_not_depend_on_the_order_of_rows(spark, sf_dir):
     trusted = quality.trusted_ids(read(spark, sf_dir, "labels"))
     runs = [sorted((r.doc_id, r.llr) for r in quality.score(d, trusted).collect()) for d in (docs, docs.repartition(7), docs.orderBy("text"))]
     assert runs[0] == runs[1] == runs[2]
+
+
+def test_trusted_ids_beyond_the_bound_are_drawn_by_their_hash(spark, monkeypatch):
+    monkeypatch.setattr(quality, "MOST_TRUSTED", 5_000)
+    docs = spark.range(25_000).selectExpr("id AS doc_id", "concat('word', id % 7) AS text")
+    sums = [quality.bucket_counts(d, spark.range(25_000).selectExpr("id AS doc_id")).selectExpr("sum(raw)", "sum(target)").first() for d in (docs, docs.repartition(5))]
+    assert sums[0] == sums[1] and sums[0][0] == 25_000 and 4_600 < sums[0][1] < 5_400
