@@ -80,7 +80,7 @@ def _five_sql() -> str:
 def facet_counts_under_filters(spark, d):
     """Five facets over all documents, each counted under the filters of the four others, in one scan."""
     size = F.when(F.col("n_chars") < 500, "short").when(F.col("n_chars") < 3000, "middle").otherwise("long")
-    own = {"lang": F.col("lang"), "source": F.col("source"), "size": size, "mail": F.when(F.col("text").contains("@"), "yes").otherwise("no"), "initial": F.upper(F.substring("text", 1, 1))}
+    own = {"lang": F.col("lang"), "source": F.col("source"), "size": size, "mail": F.when(F.col("text").contains("@"), "yes").otherwise("no"), "initial": text.upper_sign(F.substring("text", 1, 1))}
     return listing.counts_under_filters(table(spark, d, "documents").select(*[c.alias(n) for n, c in own.items()]), FIVE)
 
 
