@@ -22,20 +22,40 @@ from pyspark.sql import functions as F
 from quern.functions.text import tokens
 from quern.operators.search import bm25_part, idf
 from quern.sources import versions
+from quern.sources.shared import dropped, written
 
 #: Documents of a range, about; ranges of the first round of a search.
 RANGE_DOCUMENTS, FIRST_RANGES = 1024, 4
 #: Ranges that a filter lists; more are joined.
 LISTED = 4096
+#: Ids that are broadcast (some 20 bytes each); more are joined by a shuffle. This decides speed, not results.
+MOST_BROADCAST = 1 << 21
+#: Words of the documents that one task makes into blocks (some 40 bytes each while they are sorted), unless a range has more.
+WORDS_A_TASK = 1 << 22
 EMPTY = {"version": 0, "last_batch": -1, "segments": [], "n": 0, "words": 0}
 
 
 def changed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", deleted: str = "deleted", order: str | None = None) -> DataFrame:
-    """(doc_id, text, deleted): one row for each id. Of several the one with the largest ``order`` holds, by default a deletion, else the largest text."""
+    """(doc_id, text, deleted): one row for each id. Of several the one with the largest ``order`` holds, by default a deletion, else the largest text.
+
+    ``docs`` is read twice: ids are counted first, and texts of those that come once are neither shuffled nor sorted.
+    """
     gone = F.coalesce(F.col(deleted).cast("boolean"), F.lit(False)) if deleted in docs.columns else F.lit(False)
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), gone.alias("deleted"), (F.col(order) if order else F.lit(0)).alias("_order"))
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), gone.alias("deleted"), (F.col(order) if order else F.lit(0)).alias("_order")).where("doc_id is not null")
+    repeated = written(rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id"), "repeated")
+    n = repeated.count()
+    if not n:
+        dropped(repeated)
+        return rows.drop("_order")
+    some = few(repeated, n)
     last = F.max_by(F.struct("text", "deleted"), F.struct("_order", "deleted", "text")).alias("last")
-    return rows.where("doc_id is not null").groupBy("doc_id").agg(last).select("doc_id", "last.text", "last.deleted")
+    held = rows.join(some, "doc_id", "left_semi").groupBy("doc_id").agg(last).select("doc_id", "last.text", "last.deleted")
+    return rows.drop("_order").join(some, "doc_id", "left_anti").unionByName(held)
+
+
+def few(ids: DataFrame, n: int) -> DataFrame:
+    """``ids``, n rows of one number, broadcast if they are few enough: then what they are joined with isn't shuffled."""
+    return F.broadcast(ids) if n <= MOST_BROADCAST else ids
 
 
 def _tables(spark: SparkSession, folder: str, segments: Sequence[dict], table: str) -> DataFrame | None:
@@ -54,27 +74,35 @@ def alive(rows: DataFrame, spark: SparkSession, folder: str, version: dict) -> D
 
 
 def documents(spark: SparkSession, folder: str, version: dict | None = None) -> DataFrame | None:
-    """(doc_id, length, text_hash, terms, segment) of all documents of a version, by default the newest."""
+    """(doc_id, length, text_hash, terms, segment) of all documents of a version, by default the newest; ``terms`` are all words in order."""
     version = version or versions.load(spark, folder) or EMPTY
     docs = _tables(spark, folder, version["segments"], "docs")
     return None if docs is None else alive(docs, spark, folder, version)
 
 
-def _write_segment(docs: DataFrame, at: str) -> None:
-    """``docs`` (doc_id, text_hash, t) as documents and as blocks of postings."""
+def _write_segment(docs: DataFrame, at: str) -> tuple[int, int]:
+    """``docs`` (doc_id, text_hash, t) as documents and as blocks of postings; how many documents and words these are."""
     spark = docs.sparkSession
-    sized = docs.withColumn("length", F.size("t")).withColumn("class", F.floor(F.log2(F.col("length") + 1) * 4).cast("int"))
-    sized.select("doc_id", "text_hash", "length", "class", "t").write.parquet(f"{at}/read")
-    sized = spark.read.parquet(f"{at}/read")
-    ranges = sized.groupBy("class").agg(F.ceil(F.count(F.lit(1)) / RANGE_DOCUMENTS).alias("ranges"))  # some 100 rows
-    ranged = sized.join(F.broadcast(ranges), "class").withColumn("range", F.col("class") * (1 << 32) + F.pmod(F.xxhash64("doc_id"), F.col("ranges")))
-    ranged.select("doc_id", "length", "text_hash", F.array_distinct("t").alias("terms")).write.parquet(f"{at}/docs")
-    each = ranged.select("doc_id", "range", "length", F.explode("t").alias("term")).groupBy("term", "range", "doc_id", "length").agg(F.count(F.lit(1)).alias("tf"))
-    blocks = each.groupBy("term", "range").agg(
-        F.count(F.lit(1)).alias("n"), F.max("tf").alias("most"), F.min("length").alias("shortest"), F.sort_array(F.collect_list(F.struct("doc_id", "tf", "length"))).alias("postings")
+    docs.select("doc_id", F.size("t").alias("length"), "text_hash", F.col("t").alias("terms")).write.parquet(f"{at}/docs")
+    sized = spark.read.parquet(f"{at}/docs").withColumn("class", F.floor(F.log2(F.col("length") + 1) * 4).cast("int"))
+    classes = sized.groupBy("class").agg(F.ceil(F.count(F.lit(1)) / RANGE_DOCUMENTS).alias("ranges"), F.count(F.lit(1)).alias("n"), F.sum("length").alias("words"))
+    counted = classes.collect()  # some 100 rows
+    n, words = sum(r.n for r in counted), sum(r.words for r in counted)
+    ranges = F.create_map(*[F.lit(x) for r in counted for x in (r["class"], r.ranges)])[F.col("class")] if counted else F.lit(1)
+    # words hold no blank, and one text takes less room than an array
+    ranged = sized.where("length > 0").select("doc_id", "length", F.array_join("terms", " ").alias("words"), (F.col("class") * F.lit(1 << 32) + F.pmod(F.xxhash64("doc_id"), ranges)).alias("range"))
+    # documents are dealt out once, whole ranges to a task; words are counted and put together where they then are
+    each = ranged.repartition(max(1, -(-words // WORDS_A_TASK)), "range").select("doc_id", "range", "length", F.explode(F.split("words", " ")).alias("term"))
+    _write_blocks(each.groupBy("range", "term", "doc_id", "length").agg(F.count(F.lit(1)).alias("tf")), at)
+    return n, words
+
+
+def _write_blocks(each: DataFrame, at: str) -> None:
+    """Postings (term, range, doc_id, length, tf), all of a range in one partition, as blocks: every file is sorted by term and range, so that a search reads a few pages of it."""
+    blocks = each.groupBy("range", "term").agg(
+        F.count(F.lit(1)).alias("n"), F.max("tf").alias("most"), F.min("length").alias("shortest"), F.collect_list(F.struct("doc_id", "tf", "length")).alias("postings")
     )
-    blocks.repartitionByRange("term", "range").sortWithinPartitions("term", "range").write.parquet(f"{at}/blocks")
-    versions.remove(spark, f"{at}/read")
+    blocks.select("term", "range", "n", "most", "shortest", "postings").sortWithinPartitions("term", "range").write.parquet(f"{at}/blocks")
 
 
 def refresh(spark: SparkSession, folder: str, changes: DataFrame, batch: int) -> dict:
@@ -88,26 +116,23 @@ def refresh(spark: SparkSession, folder: str, changes: DataFrame, batch: int) ->
         return before
     number, name = before["version"] + 1, uuid.uuid4().hex
     at = f"{folder}/segments/{name}"
-    once = changed(changes)
-    once.write.parquet(f"{at}/changes")
-    once = spark.read.parquet(f"{at}/changes")
-    _write_segment(once.where("not deleted").select("doc_id", F.xxhash64("text").alias("text_hash"), tokens(F.col("text")).alias("t")), at)
-    added = spark.read.parquet(f"{at}/docs").agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("length"), F.lit(0)).alias("words")).first()
+    changes = changes.select("doc_id", "text", *[c for c in changes.columns if c == "deleted"])
+    changes.write.parquet(f"{at}/changes")
+    once = changed(spark.read.schema(changes.schema).parquet(f"{at}/changes"))
+    added, added_words = _write_segment(once.where("not deleted").select("doc_id", F.xxhash64("text").alias("text_hash"), tokens(F.col("text")).alias("t")), at)
     old, n, words, taken = documents(spark, folder, before), 0, 0, False
     if old is not None:
         # what leaves: its ids hide it, its terms are counted out, so that a search needs no scan to know how many documents a term has
-        gone = old.join(once.select("doc_id"), "doc_id").select("doc_id", "length", "terms")
-        gone.write.parquet(f"{at}/gone")
-        gone = spark.read.parquet(f"{at}/gone")
+        gone = written(old.select("doc_id", "length").join(once.select("doc_id"), "doc_id"), "gone")
         n, words = gone.agg(F.count(F.lit(1)), F.coalesce(F.sum("length"), F.lit(0))).first()
         if taken := n > 0:
             gone.select("doc_id").write.parquet(f"{at}/taken")
-            lost = gone.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+            lost = old.join(few(gone.select("doc_id"), n), "doc_id", "left_semi").select(F.explode(F.array_distinct("terms")).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
             lost.repartitionByRange("term").sortWithinPartitions("term").write.parquet(f"{at}/lost")
-        versions.remove(spark, f"{at}/gone")
+        dropped(gone)
     versions.remove(spark, f"{at}/changes")
     segments = [*before["segments"], {"number": number, "name": name, "taken": taken}]
-    return versions.commit(spark, folder, number, {"last_batch": batch, "segments": segments, "n": before["n"] + added.n - n, "words": before["words"] + added.words - words})
+    return versions.commit(spark, folder, number, {"last_batch": batch, "segments": segments, "n": before["n"] + added - n, "words": before["words"] + added_words - words})
 
 
 def compact(spark: SparkSession, folder: str) -> dict:
@@ -123,10 +148,7 @@ def compact(spark: SparkSession, folder: str) -> dict:
     living = alive(each, spark, folder, before)
     parts = living.groupBy("range").agg(F.ceil(F.approx_count_distinct("doc_id") / RANGE_DOCUMENTS).alias("parts"))
     cut = living.join(parts, "range").withColumn("range", F.col("range") + (1 << 20) * F.pmod(F.xxhash64(F.lit(1), "doc_id"), F.greatest("parts", F.lit(1))))
-    blocks = cut.groupBy("term", "range").agg(
-        F.count(F.lit(1)).alias("n"), F.max("tf").alias("most"), F.min("length").alias("shortest"), F.sort_array(F.collect_list(F.struct("doc_id", "tf", "length"))).alias("postings")
-    )
-    blocks.repartitionByRange("term", "range").sortWithinPartitions("term", "range").write.parquet(f"{at}/blocks")
+    _write_blocks(cut.drop("segment", "parts").repartition(max(1, -(-before["words"] // WORDS_A_TASK)), "range"), at)
     return versions.commit(spark, folder, number, before | {"segments": [{"number": number, "name": name, "taken": False}]})
 
 
@@ -149,12 +171,16 @@ def synchronise(spark: SparkSession, folder: str, docs: DataFrame, doc_id: str =
     before = versions.load(spark, folder) or EMPTY
     known = documents(spark, folder, before)
     if known is not None:
+        # hashes meet, texts don't; of an id that comes more than once every row goes into the batch
         known = known.select("doc_id", F.col("text_hash").alias("_known"), F.lit(True).alias("_there"))
-        hashed = now.withColumn("_hash", F.xxhash64("text"))
-        both = hashed.join(known, "doc_id", "full")
-        now = both.where("_hash is null or _there is null or _hash <> _known").select("doc_id", "text", F.col("_hash").isNull().alias("deleted"))
-        if now.isEmpty():
+        both = now.where("doc_id is not null").select("doc_id", F.xxhash64("text").alias("_hash")).join(known, "doc_id", "full")
+        differ = written(both.where("_hash is null or _there is null or _hash <> _known").groupBy("doc_id").agg(F.max("_hash").isNull().alias("deleted")), "differ")
+        n = differ.count()
+        if not n:
+            dropped(differ)
             return before
+        texts = now.join(few(differ.where("not deleted").select("doc_id"), n), "doc_id", "left_semi").withColumn("deleted", F.lit(False))
+        now = texts.unionByName(differ.where("deleted").select("doc_id", F.lit(None).cast("string").alias("text"), "deleted"))
     return refresh(spark, folder, now, before["last_batch"] + 1)
 
 
