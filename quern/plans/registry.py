@@ -693,7 +693,8 @@ def _three_batches(spark, d) -> tuple[str, list]:
     """All documents, those labelled with an old text; their right texts, and bad ones deleted; nothing but one that was never there. Each twice."""
     at = scratch(spark, "refreshed")
     docs, labels = table(spark, d, "documents").select("doc_id", "text"), table(spark, d, "labels")
-    labelled = docs.join(labels.select("doc_id", "quality").distinct(), "doc_id", "left")
+    qualities = labels.select("doc_id", "quality").distinct()
+    labelled = docs.join(index.few(qualities, qualities.count()), "doc_id", "left")
     old = F.when(F.col("quality").isNotNull(), F.concat(F.lit("token license "), "text")).otherwise(F.col("text"))
     batches = [
         labelled.select("doc_id", old.alias("text")),
