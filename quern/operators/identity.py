@@ -13,17 +13,23 @@ from quern.sources.shared import dropped, written
 def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """(id, cluster): the smallest id that each node reaches over edges (a, b), in either direction.
 
-    Every round links the neighbours of a node, and itself, to the smallest of them; stars are left when
-    nothing changes. Minima are combined before they are shuffled, so a node with many edges is no burden. What a round has written goes with the next.
+    Every round links the larger neighbours of each node to the smallest of all, and then the smaller ones and the node itself to the smallest of these,
+    until only stars are left. Neither step makes more edges than it gets, so a long chain takes more rounds but no more room. Minima are combined before
+    they are shuffled, so a node with many edges is no burden. What a round has written goes with the next.
     """
-    now, state = written(edges.where("a <> b").select("a", "b").distinct(), "edges"), None
+    larger, smaller = F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")
+    now, state = written(edges.where("a <> b").select(larger, smaller).distinct(), "edges"), None
     while not now.isEmpty():
+        # written, so that the joins have a shuffle on either side and Spark can split the edges of a hub
         both = now.union(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        # written, so that the join has a shuffle on either side and Spark can split the edges of a hub
         least = written(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m")), "least")
-        after = written(both.join(least, "a").select(F.explode(F.array("a", "b")).alias("a"), F.col("m").alias("b")).where("a <> b").distinct(), "edges")
+        # an edge hangs its larger node on what is smallest around the smaller one
+        hung = written(now.join(least.withColumnRenamed("a", "b"), "b").select("a", F.col("m").alias("b")).distinct(), "hung")
         dropped(now, least)
-        now, before = after, state
+        least = written(hung.groupBy("a").agg(F.min("b").alias("m")), "least")
+        after = hung.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").union(least.select("a", F.col("m").alias("b")))
+        now, before = written(after.distinct(), "edges"), state
+        dropped(hung, least)
         state = tuple(now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
         if state == before:
             break
