@@ -77,6 +77,10 @@ def _sets(words: int):
     return per_text(lambda texts: pa.array([shingles(t, words).view(np.int64) for t in texts], pa.list_(pa.int64())), pa.list_(pa.int64()))
 
 
+def _minima(sets: pa.Array) -> pa.Array:
+    return pa.array([minima(s.values.to_numpy().view(np.uint64)) for s in sets], pa.list_(pa.int32()))
+
+
 def linked(sets: list[np.ndarray], percent: int = PERCENT) -> np.ndarray:
     """For each set the first that it reaches over pairs of the similarity or more.
 
@@ -228,7 +232,16 @@ def set_roots(docs: DataFrame, sketches: DataFrame, doc_id: str, text: str, word
     sets = written(sets.select("key", "one.id", "one.th", "one.n", "one.minima"), "sets")
     regions = sets.select("key", F.explode(F.array(*[prefix(t, START) for t in range(TREES)])).alias("region"))
     shared = regions.groupBy("region").agg(F.min("key").alias("least"), F.max("key").alias("most")).where("least < most")
-    found = components(regions.join(shared, "region").where("key > least").select(F.col("key").alias("a"), F.col("least").alias("b")))
+    near = regions.join(shared, "region").where("key > least").select(F.col("key").alias("a"), F.col("least").alias("b"))
+    return decided_roots(docs, sets, near, doc_id, text, words, percent, held)
+
+
+def decided_roots(docs: DataFrame, sets: DataFrame, near: DataFrame, doc_id: str, text: str, words: int, percent: int, held: int) -> DataFrame:
+    """(key, root) as :func:`set_roots` has them, from candidates ``near`` (a, b) among ``sets`` (key, id, th, n, and minima if they are known).
+
+    Candidates that reach each other are held against each other whole. Minima are only needed for groups too large for a task.
+    """
+    found = components(near)
     found = found.union(found.select("root", "root")).distinct().withColumnRenamed("node", "key")
     some = found.join(sets, "key").select("key", "root", "n", *row_keys("id", "th"))
     totals = some.groupBy("root").agg((F.sum("n") > held).alias("large"))
@@ -241,7 +254,8 @@ def set_roots(docs: DataFrame, sketches: DataFrame, doc_id: str, text: str, word
     if crowd:
         # rows that share id and text hash have the same shingles
         shingled = written(whole.where("large").groupBy("key").agg(F.first("shingles").alias("shingles")), "shingles")
-        members = some.where("large").select("key", "root").distinct().join(sets.select("key", "n", "minima"), "key")
+        known = sets if "minima" in sets.columns else shingled.select("key", F.size("shingles").cast("long").alias("n"), F.arrow_udf(_minima, "array<int>")("shingles").alias("minima"))
+        members = some.where("large").select("key", "root").distinct().join(known.select("key", "n", "minima"), "key")
         roots = written(roots, "small").unionByName(crowded_roots(members, shingled, percent, held))
     return written(roots, "roots", narrow=True)
 
